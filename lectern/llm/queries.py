@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, sentencepiece_codec
+from . import exact_dedup, mixing, pseudonyms, quality, secret_scan, sentencepiece_codec
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,13 +23,36 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.assign_groups(_table(spark, sf_dir, "documents"))
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "source"))
+
+
+def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.pseudonymise(_table(spark, sf_dir, "documents").select("doc_id", "text"), pseudonyms.TEST_KEY)
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    versions = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    findings, _ = secret_scan.scan(versions, path_cols=("doc_id",), content_col="text")
+    return secret_scan.digest_rows(findings, "doc_id")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.score(docs, quality.trusted_sample(_table(spark, sf_dir, "labels"))).drop("text")
+
+
 def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.encode_documents(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"), ids=False)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op6_mixing": op6_mixing,
+    "op7_pseudonyms": op7_pseudonyms,
+    "op8_secret_scan": op8_secret_scan,
     "op9_sentencepiece": op9_sentencepiece,
+    "op10_quality": op10_quality,
 }
 
 SQL: dict[str, str] = {
