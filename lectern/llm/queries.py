@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, mixing, pseudonyms, quality, secret_scan, sentencepiece_codec, simhash
+from . import exact_dedup, mixing, pseudonyms, quality, secret_scan, sentencepiece_codec, simhash, token_shards
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_shards.write_shards(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
+    return token_shards.read_documents(spark, path)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.assign_groups(_table(spark, sf_dir, "documents"))
 
@@ -51,6 +56,7 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_shards": op2_token_shards,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_simhash": op4_simhash,
     "op6_mixing": op6_mixing,
