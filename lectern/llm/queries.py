@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, mixing, pseudonyms, quality, secret_scan, sentencepiece_codec, simhash, token_shards
+from . import exact_dedup, language_id, mixing, pseudonyms, quality, secret_scan, sentencepiece_codec, simhash, token_shards
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.assign_components(_table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(_table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "source"))
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_shards": op2_token_shards,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_simhash": op4_simhash,
+    "op5_language_id": op5_language_id,
     "op6_mixing": op6_mixing,
     "op7_pseudonyms": op7_pseudonyms,
     "op8_secret_scan": op8_secret_scan,
