@@ -1,2 +1,71 @@
-"""placeholder"""
-STAGES = []
+"""A corpus pipeline out of the operators in lectern.llm.
+
+STAGES lists (name, function). Each function takes (spark, docs, sf_dir) and returns a
+DataFrame; run() writes what a stage returns as Parquet into the shared folder and reads
+it again as the docs of the next, so a lost executor repeats no earlier stage.
+
+1 quality    documents that the quality rules reject go
+2 exact      of texts that are equal but for white space, the row with the smallest id stays
+3 near       of each group of near copies, the row with the smallest id stays
+4 mix        all documents, put in the order that mixes the sources to their target shares:
+             the files, and the rows in each, follow the schedule
+5 tokens     one row per document with its SentencePiece ids
+
+All stages but the last return the columns of documents. Empty tables pass through all stages.
+"""
+
+from __future__ import annotations
+
+import uuid
+from collections.abc import Callable
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from lectern.llm import exact_dedup, mixing, quality, sentencepiece_codec, simhash
+from lectern.llm._shared import shared_dir
+
+#: The rows of run() depend on XXH64 hashes, merges and a schedule, which SQL can't express.
+ORACLE_SQL = None
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    trusted = quality.trusted_sample(spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score(docs, trusted).where("kept").select(docs.columns)
+
+
+def drop_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exact_dedup.drop_copies(docs)
+
+
+def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.drop_near_copies(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.in_order(mixing.mix(docs)).select(docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", keep_quality),
+    ("exact", drop_exact),
+    ("near", drop_near),
+    ("mix", mix_sources),
+    ("tokens", encode),
+]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents."""
+    folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        out = stage(spark, docs, sf_dir)
+        schema = out.schema
+        out.write.parquet(f"{folder}/{name}")
+        docs = spark.read.schema(schema).parquet(f"{folder}/{name}")
+    return docs

@@ -116,3 +116,8 @@ def mix(docs: DataFrame, shares: dict[str, int] | None = None, block_docs: int =
         .withColumn("mix_slot", F.col("_start") + F.expr("(mix_block - _from) div _share * _total") + F.get("_places", (j % F.col("_share")).cast("int")))
         .select(*docs.columns, "mix_source", "mix_block", "mix_release", "mix_deadline", "mix_slot", "mix_position")
     )
+
+
+def in_order(mixed: DataFrame) -> DataFrame:
+    """The rows of mix() in the order of the schedule, across and within partitions."""
+    return mixed.orderBy("mix_slot", "mix_position")

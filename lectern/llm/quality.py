@@ -102,7 +102,9 @@ def score(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     total = lambda column: F.aggregate(column, F.lit(0).cast("long"), lambda x, h: x + F.get(table, _bucket(h)))
     n = F.size("_words").cast("long")
     failed = (n < MIN_WORDS) | (F.col("n_repeat_words") * 100 > n * MAX_REPEATED_PERCENT)
-    kept = ~F.col("base_failed") & (F.col("score") >= threshold)
+    # The last condition is always true. As it isn't deterministic, a filter on kept stays above what
+    # it is computed from, instead of being pushed down with copies of all those expressions.
+    kept = ~F.col("base_failed") & (F.col("score") >= threshold) & (F.spark_partition_id() >= 0)
     return (
         _repeated_words(_hashed(docs, text_col))
         .withColumn("_lines", lines)

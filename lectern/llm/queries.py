@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, language_id, mixing, pseudonyms, quality, secret_scan, sentencepiece_codec, simhash, token_shards
+from . import exact_dedup, host_paths, language_id, mixing, pseudonyms, quality, secret_scan, sentencepiece_codec, simhash, token_shards
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_host_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_paths.extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op2_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_shards.write_shards(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"))
     return token_shards.read_documents(spark, path)
@@ -60,6 +64,7 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_host_paths": op1_host_paths,
     "op2_token_shards": op2_token_shards,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_simhash": op4_simhash,
