@@ -3,7 +3,9 @@
 Words and pairs of neighbouring words of a document fall by hash into BUCKETS buckets.
 One multinomial over the buckets is counted from trusted documents, one from all
 documents. A document's score is the sum over its n-grams of the log of the ratio of the
-two, divided by their number; it is kept if no base rule fails and the score reaches a
+two, divided by their number. SMOOTHING is added to a bucket's trusted count and to what
+the raw counts let expect of it, so rare buckets say little and the score means the same
+at any corpus size. The document is kept if no base rule fails and the score reaches a
 fixed threshold. The weights are whole millionths, so the sum does not depend on its order.
 
 Only built-in column functions are used. The documents are read twice and never
@@ -25,12 +27,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ._shared import SPACE, whole_text
 
 BUCKETS = 1 << 16
-SMOOTHING = 1
+SMOOTHING = 8
 TRUSTED_DOCS = 20_000
 WINDOW = 8
 MIN_WORDS, MAX_REPEATED_PERCENT = 20, 30
 #: Mean log ratio, in nats, below which a document is dropped.
-THRESHOLD = -0.13
+THRESHOLD = -0.15
 UNIT = 1_000_000
 
 
@@ -65,8 +67,8 @@ def weights(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_co
     counts = grams.groupBy(_bucket(F.col("_g")).alias("_b")).agg(F.count(F.lit(1)).alias("_raw"), F.sum("_in").alias("_target"))
     filled = docs.sparkSession.range(0, BUCKETS, 1, 1).select(F.col("id").cast("int").alias("_b")).join(counts, "_b", "left").select("_b", F.coalesce("_raw", F.lit(0)).alias("_raw"), F.coalesce("_target", F.lit(0)).alias("_target"))
     row = filled.agg(F.array_sort(F.collect_list(F.struct("_b", "_raw", "_target"))).alias("_all"), F.sum("_raw").alias("_r"), F.sum("_target").alias("_t"))
-    share = lambda n, total: F.log((n + SMOOTHING) / (total + SMOOTHING * BUCKETS))
-    ratio = F.when(F.col("_t") > 0, F.transform("_all", lambda x: F.round((share(x["_target"], F.col("_t")) - share(x["_raw"], F.col("_r"))) * UNIT).cast("long")))
+    expected = lambda x: x["_raw"] * (F.col("_t") / F.col("_r"))
+    ratio = F.when(F.col("_t") > 0, F.transform("_all", lambda x: F.round(F.log((x["_target"] + SMOOTHING) / (expected(x) + SMOOTHING)) * UNIT).cast("long")))
     return row.select(F.coalesce(ratio, F.array_repeat(F.lit(0).cast("long"), BUCKETS)).alias("weights"))
 
 
@@ -102,9 +104,11 @@ def score(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
     total = lambda column: F.aggregate(column, F.lit(0).cast("long"), lambda x, h: x + F.get(table, _bucket(h)))
     n = F.size("_words").cast("long")
     failed = (n < MIN_WORDS) | (F.col("n_repeat_words") * 100 > n * MAX_REPEATED_PERCENT)
-    # The last condition is always true. As it isn't deterministic, a filter on kept stays above what
-    # it is computed from, instead of being pushed down with copies of all those expressions.
-    kept = ~F.col("base_failed") & (F.col("score") >= threshold) & (F.spark_partition_id() >= 0)
+    kept = ~F.col("base_failed") & (F.col("score") >= threshold)
+    # The condition is always true. As it isn't deterministic, a filter on one of these columns stays
+    # above what it is computed from, instead of being pushed down with copies of all those expressions.
+    fixed = lambda c: F.when(F.spark_partition_id() >= 0, F.col(c))
+    results = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score", "base_failed", "kept"]
     return (
         _repeated_words(_hashed(docs, text_col))
         .withColumn("_lines", lines)
@@ -118,5 +122,6 @@ def score(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
         })
         .withColumn("base_failed", failed)
         .withColumn("kept", kept)
+        .withColumns({c: fixed(c) for c in results})
         .drop("_words", "_h1", "_h2", "_repeated", "_lines")
     )
