@@ -1,0 +1,19 @@
+"""Questions that a reader of a compiled corpus asks."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+from lectern.operators.sequence import neighbours
+
+__all__ = ["in_division", "summary", "neighbours"]
+
+
+def in_division(verses: DataFrame, texts: DataFrame, division: str, n: int, verse_key: str, text_key: str) -> DataFrame:
+    """All texts of the verses in one division."""
+    return verses.where(F.col(division) == n).join(texts, verses[verse_key] == texts[text_key])
+
+
+def summary(verses: DataFrame, division: str) -> DataFrame:
+    """How many verses each division has."""
+    return verses.groupBy(division).agg(F.count(F.lit(1)).alias("verses"))

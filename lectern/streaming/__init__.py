@@ -1,0 +1 @@
+"""Streaming: nothing here. The inputs are files that change as a whole, and no input has an event time."""
