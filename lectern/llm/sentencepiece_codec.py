@@ -36,7 +36,7 @@ MARK = "▁"
 LETTER = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+")
 OTHER = r"[^A-Za-zÀ-ÖØ-öø-ɏ▁]+"
 #: Results of chunks that a worker remembers in each of two generations, the same for pairs, and the longest such chunk.
-MEMORY, PAIRS, LONGEST = 500_000, 200_000, 40
+MEMORY, PAIRS, LONGEST = 150_000, 100_000, 40
 
 
 class SentencePieceCodec:
