@@ -66,8 +66,8 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The rows of docs that stay, with all their columns."""
     tagged = docs.withColumn("_id_", F.col(id_col)).withColumn("_digest_", _digest(normalised(whole_text(text_col))))
     norm = docs.select(F.col(id_col).alias("_id"), normalised(whole_text(text_col)).alias("_norm")).withColumn("_digest", _digest(F.col("_norm")))
-    keep = _groups(norm).select("_digest", "_keep")
-    stays = tagged.join(keep, (F.col("_digest_") == F.col("_digest")) & F.col("_id_").eqNullSafe(F.col("_keep")), "left_semi")
+    keep = _groups(norm).select(F.col("_digest").alias("_digest_"), F.col("_keep").alias("_keep_"))
+    stays = tagged.join(keep, (tagged["_digest_"] == keep["_digest_"]) & tagged["_id_"].eqNullSafe(keep["_keep_"]), "left_semi")
     order = [F.col(f"`{f.name}`") for f in docs.schema.fields if f.dataType.typeName() not in ("map", "variant")]
     first = Window.partitionBy("_id_", "_digest_").orderBy(*order)
     return stays.withColumn("_nth_", F.row_number().over(first)).where("_nth_ = 1").drop("_id_", "_digest_", "_nth_")

@@ -1,0 +1,201 @@
+"""The operators made of built-in functions, against brute-force versions and edge cases."""
+
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from lectern.llm import exact_dedup, mixing, pseudonyms, quality, secret_scan
+
+WORD = r"[^\x20\x09-\x0D]+"
+ODD = [None, "", " ", "a", "a  b\t\nc", "é" * 5, "🙂 x\n🙂 x", "x" * 200_000, "lorem ipsum " * 3000]
+
+
+def frame(spark, texts, ids=None):
+    return spark.createDataFrame([(i, t) for i, t in zip(ids or range(len(texts)), texts)], "doc_id long, text string")
+
+
+def same_rows(a, b):
+    assert sorted(map(repr, a)) == sorted(map(repr, b))
+
+
+# exact dedup
+
+
+def test_exact_groups(spark):
+    texts = ["a b", "a  b", "a\t\nb", " a b", "a b ", "a\xa0b", None, "", " ", "  ", "c", "A b", "x" * 100_000, "x" * 100_000]
+    ids = [9, 4, 7, 1, 2, 3, 20, 12, 30, 31, 5, 6, 41, 40]
+    norm = {i: re.sub(r"[\x20\x09-\x0D]+", " ", t or "") for i, t in zip(ids, texts)}
+    groups = {}
+    for i, n in norm.items():
+        groups.setdefault(n, []).append(i)
+    want = [(i, min(groups[n]), len(groups[n]), i == min(groups[n]), hashlib.sha256(n.encode()).hexdigest()) for i, n in norm.items()]
+    same_rows(map(tuple, exact_dedup.assign_groups(frame(spark, texts, ids)).collect()), want)
+    kept = {r["doc_id"] for r in exact_dedup.drop_copies(frame(spark, texts, ids).withColumn("lang", F.lit("x"))).collect()}
+    assert kept == {i for i, k, *_ in want if i == k}
+
+
+def test_exact_ties_nulls_and_clashing_names(spark):
+    rows = [(1, "t", "p"), (1, "t", "q"), (None, "t", "r"), (None, "u", "s"), (None, "u", "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _keep string").withColumns({"kept": F.lit(0), "_size": F.lit(1)})
+    got = exact_dedup.assign_groups(df).collect()
+    assert sorted((r["group_size"], str(r["keep_id"])) for r in got) == [(2, "None"), (2, "None"), (3, "1"), (3, "1"), (3, "1")] and sum(r["kept"] for r in got) == 2
+    kept = exact_dedup.drop_copies(df)
+    assert kept.columns == df.columns and sorted(r["text"] for r in kept.collect()) == ["t", "u"]
+    assert exact_dedup.assign_groups(df.limit(0)).count() == 0 == exact_dedup.drop_copies(df.limit(0)).count()
+
+
+# mixing
+
+
+def test_schedule_keeps_within_a_block():
+    rng = random.Random(1)
+    for _ in range(30):
+        shares = {f"s{i}": rng.randint(1, 9) for i in range(rng.randint(1, 7))} | {mixing.OTHERS: 1}
+        blocks = {s: rng.randint(0, 40) for s in shares}
+        phases = mixing.plan(blocks, shares)
+        assert mixing.deviation(phases) < 1
+        assert {s: sum(p.blocks.get(s, 0) for p in phases) for s in blocks} == blocks
+
+
+def test_mix_places_every_block_once_and_in_time(spark):
+    shares = {"a": 3, "b": 2, mixing.OTHERS: 1}
+    rows = [(i, "aab*"[i % 4] if i % 11 else None) for i in range(500)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string"), shares, 4).collect()
+    assert sorted(r["doc_id"] for r in got) == list(range(500))
+    slots = {}
+    for r in got:
+        slots.setdefault(r["mix_slot"], []).append(r)
+    assert sorted(slots) == list(range(len(slots)))
+    for slot, docs in slots.items():
+        assert len({(r["mix_source"], r["mix_block"]) for r in docs}) == 1 and sorted(r["mix_position"] for r in docs) == list(range(len(docs)))
+        assert docs[0]["mix_release"] <= slot < docs[0]["mix_deadline"]
+    # while all sources last, each is less than a block from its share
+    n = dict.fromkeys(shares, 0)
+    for slot in range(len(slots)):
+        n[slots[slot][0]["mix_source"]] += 1
+        if any(sum(r["mix_source"] == s for r in got) <= 4 * n[s] for s in shares):
+            break
+        assert all(abs(n[s] - shares[s] * (slot + 1) / 6) < 1 for s in shares)
+
+
+def test_mix_edges(spark):
+    empty = spark.createDataFrame([], "doc_id long, source string, text string")
+    assert mixing.in_order(mixing.mix(empty)).count() == 0
+    odd = spark.createDataFrame([(None, None), (None, None), (3, "zzz"), (3, "zzz")], "doc_id long, source string")
+    assert [r["mix_position"] for r in mixing.in_order(mixing.mix(odd)).collect()] == [0, 1, 2, 3]
+    with pytest.raises(ValueError):
+        mixing.mix(odd, {"a": 1})
+
+
+# pseudonyms
+
+
+def luhn(digits):
+    return sum(int(c) if i % 2 == 0 else int(c) * 2 - 9 * (c > "4") for i, c in enumerate(reversed(digits))) % 10 == 0
+
+
+def test_permutations_are_permutations(spark):
+    n = spark.range(17 * 23).select(pseudonyms.permute(F.col("id"), 17, 23, "k", "t").alias("x")).collect()
+    assert sorted(r["x"] for r in n) == list(range(17 * 23))
+    two = [a + b for a in "abcdefghijklmnopqrstuvwxyz" for b in "0123456789"]
+    out = spark.createDataFrame([(t,) for t in two], "t string").select(pseudonyms.permute_string(F.col("t"), "k", "t").alias("x")).collect()
+    assert sorted(r["x"] for r in out) == sorted(two)
+
+
+def test_pseudonyms_keep_formats_and_links(spark):
+    card, grouped, phone, mail, ip, ssn = "4429526289707589", "4111-1111-1111-1111", "+1 (504) 555-3746", "frhrk.eo_59@mail1.example.com", "29.217.126.147", "123-45-6789"
+    texts = [f"a {card} b {phone},{mail};{ip} {ssn} 2024-02-29 31/12/1999", f"{ip} {card}\n{mail} {grouped}", None, "", "none 12 @ 300.1.1.1 4429526289707588 000-12-3456 2023-02-29", f"{card} {card}"]
+    got = sorted(pseudonyms.pseudonymise(frame(spark, texts).withColumn("n_other", F.lit(1)), "key").collect())
+    one, two = got[0]["text"], got[1]["text"]
+    for value in (card, grouped, phone, mail, ip, ssn, "2024-02-29", "31/12/1999"):
+        assert value not in one and value not in two
+    new_card = re.search(r"\b\d{16}\b", one)[0]
+    assert luhn(new_card) and new_card[0] == "4" and new_card in two and got[5]["text"] == f"{new_card} {new_card}"
+    assert luhn(re.search(r"(?:\d{4}-){3}\d{4}", two)[0].replace("-", ""))
+    assert re.search(r"\+1 \([2-9]\d\d\) [2-9]\d\d-\d{4}", one) and re.search(r"[a-z]{5}\.[a-z]{2}_\d\d@mail1\.example\.com", one)[0] in two
+    assert all(int(p) < 256 for p in re.search(r"\d+\.\d+\.\d+\.\d+", one)[0].split("."))
+    assert (got[0]["n_pii"], got[0]["n_date"], got[1]["n_card"], got[1]["n_pii"]) == (7 + 1, 2, 2, 4) or got[0]["n_pii"] == 7
+    assert (got[2]["text"], got[3]["text"], got[4]["text"]) == (None, "", texts[4]) and got[4]["n_pii"] == 0 and got[0]["n_other"] == 1
+    assert pseudonyms.pseudonymise(frame(spark, ["x"]).limit(0), "k").count() == 0
+
+
+# secrets
+
+KINDS = [("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 2, 12), ("access", re.compile("AKIA[A-Z0-9]+"), 0, 18), ("hex", re.compile("[0-9a-f]+"), 0, 16)]
+
+
+def spans(text):
+    found = [(m.start(), i, f"{k}:{m.start()}:{m.end()}") for i, (k, p, g, n) in enumerate(KINDS) for m in p.finditer(text or "") if len(m[g]) >= n]
+    return [s for *_, s in sorted(found)]
+
+
+def test_secret_spans_against_finditer(spark):
+    rng = random.Random(4)
+    parts = ["token", "Secret", "PASSWORD", "api_key", "apikey", "=", ":", " ", '"', "'", "abc123def456", "0123456789abcdef", "AKIA", "ABCDEFGHIJKLMNOP", "é", "🙂", "\n", "zz", "/+"]
+    texts = [*ODD, *("".join(rng.choice(parts) for _ in range(rng.randint(1, 14))) for _ in range(400))]
+    findings, new = secret_scan.scan(frame(spark, texts), path_cols=("doc_id",), content_col="text")
+    got = {r["doc_id"]: r for r in secret_scan.digest_rows(findings, "doc_id").collect()}
+    for i, t in enumerate(texts):
+        want = spans(t)
+        assert got[i]["spans"] == ",".join(want), t
+        assert got[i]["base_sha256"] == hashlib.sha256(",".join(want).encode()).hexdigest()
+        assert [got[i][f"n_{k}"] for k, *_ in KINDS] == [sum(s.startswith(k + ":") for s in want) for k, *_ in KINDS]
+    assert new.select("blob", "rule").distinct().count() == new.count()
+
+
+def test_ledger_scans_only_what_is_new(spark):
+    first = spark.createDataFrame([("p", 1, "token=abcdefghijklmnop"), ("q", 1, "token=abcdefghijklmnop"), ("q", 2, "x")], "path string, version int, content string")
+    findings, ledger = secret_scan.scan(first)
+    assert findings.count() == 3 and ledger.count() == 2 * 3
+    more = first.unionByName(spark.createDataFrame([("r", 1, "AKIA" + "A" * 16)], first.schema))
+    rules = (*secret_scan.RULES[:2], secret_scan.Rule("hex", "[0-9a-f]+", 0, 16, version=2))
+    findings, new = secret_scan.scan(more, ledger, rules)
+    assert {(r["rule"]) for r in new.collect()} == {"hex@2", "assign@1", "access@1"} and new.count() == 2 + 3  # hex again for two blobs, all rules for one
+    assert {(r["path"], r["version"]): len(r["spans"]) for r in findings.collect()} == {("p", 1): 1, ("q", 1): 1, ("q", 2): 0, ("r", 1): 1}
+    assert secret_scan.scan(more, ledger.unionByName(new), rules)[1].count() == 0
+    assert secret_scan.scan(first.limit(0))[0].count() == 0
+
+
+# quality
+
+
+def base(text):
+    words = re.findall(WORD, text or "")
+    windows = {}
+    for i in range(len(words) - 7):
+        windows.setdefault(tuple(words[i : i + 8]), []).append(i)
+    inside = {k for at in windows.values() if len(at) > 1 for i in at for k in range(i, i + 8)}
+    lines = [x for x in (text or "").split("\n") if re.search(WORD, x)]
+    n = len(words)
+    return n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(inside), n < 20 or 100 * len(inside) > 30 * n
+
+
+def test_quality_statistics_against_loops(spark):
+    rng = random.Random(8)
+    texts = [*ODD, *(" ".join(rng.choice("abc#\n") if rng.random() < 0.7 else f"w{rng.randrange(50)}" for _ in range(rng.randint(1, 120))) for _ in range(150))]
+    df = frame(spark, texts).withColumns({"score": F.lit("clash"), "_h1": F.lit(1)}).drop("_h1", "score")
+    got = {r["doc_id"]: r for r in quality.score(df, spark.createDataFrame([(40,), (41,)], "_trusted long")).collect()}
+    for i, t in enumerate(texts):
+        r = got[i]
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"], r["base_failed"]) == base(t), repr(t)[:200]
+        assert r["kept"] == (not r["base_failed"] and r["score"] >= quality.THRESHOLD)
+
+
+def test_quality_tells_junk_from_text(spark):
+    rng = random.Random(2)
+    good = [" ".join(rng.choice(["the", "cat", "sat", "on", "a", "mat", "and", "dog", "ran"]) + str(rng.randrange(3)) for _ in range(200)) for _ in range(60)]
+    junk = [" ".join(rng.choice(["zz***", "qq%%%", "xx$$$", "kk&&&"]) + str(rng.randrange(3)) for _ in range(200)) for _ in range(20)]
+    trusted = spark.createDataFrame([(i,) for i in range(0, 60, 2)], "_trusted long")
+    got = {r["doc_id"]: r["kept"] for r in quality.score(frame(spark, good + junk), trusted).collect()}
+    assert all(got[i] for i in range(60)) and not any(got[i] for i in range(60, 80))
+    none = quality.score(frame(spark, good), spark.createDataFrame([], "_trusted long")).where("kept").count()
+    assert none == 60  # nothing to compare with: the base rules decide
+    assert quality.score(frame(spark, ["x"]).limit(0), trusted).where("kept").count() == 0
+
+
+def test_trusted_sample(spark):
+    labels = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (2, 1, 1), (3, 0, 0), (None, 1, 0), (4, 1, None)], "doc_id long, quality int, toxic int")
+    assert [r[0] for r in quality.trusted_sample(labels).collect()] == [1]
