@@ -49,10 +49,9 @@ def expand_markers_by_interval(positions: DataFrame, markers: DataFrame, key: st
     Only markers that meet a position are ordered, and they are few; each becomes an interval
     up to the next one, and positions meet intervals by buckets of `width`.
     """
-    known = positions.select(key).distinct().join(_highest(markers, [key], ordinal), key)
-    intervals = known.withColumn("_next", F.lead(key).over(Window.orderBy(key)))
-    last = positions.agg(F.max(key).alias("_max"))
-    spans = intervals.join(F.broadcast(last)).select(F.col(key).alias("_lo"), F.coalesce(F.col("_next") - 1, F.col("_max")).alias("_hi"), "_n")
+    known = positions.select(F.col(key).cast("long").alias("_lo")).distinct().join(_highest(markers, [key], ordinal).select(F.col(key).cast("long").alias("_lo"), "_n"), "_lo")
+    stop = positions.select((F.max(key).cast("long") + 1).alias("_lo"), F.lit(None).cast("int").alias("_n"))  # ends the last interval
+    spans = known.unionByName(stop).withColumn("_hi", F.lead("_lo").over(Window.orderBy("_lo")) - 1).where("_n IS NOT NULL")
     return range_join(positions, spans, key, "_lo", "_hi", width, keep="_n", rank=F.col("_n"), how_many="one").withColumn(out, F.coalesce("_n", F.lit(0))).drop("_n")
 
 
@@ -64,8 +63,10 @@ def range_join(points: DataFrame, ranges: DataFrame, point: str, lo: str, hi: st
     largest rank wins.
     """
     spans = ranges.select(F.col(lo).cast("long").alias("_a"), F.col(hi).cast("long").alias("_z"), F.col(keep).alias("_keep"), rank.alias("_rank")).where("_a <= _z")
-    spans = spans.withColumn("_bucket", F.explode(F.sequence(F.floor(F.col("_a") / width), F.floor(F.col("_z") / width))))
-    keyed = points.withColumn("_bucket", F.floor(F.col(point) / width))
+    size = F.lit(width).cast("long")
+    start = lambda c: c - F.pmod(c, size)
+    spans = spans.withColumn("_bucket", F.explode(F.sequence(start(F.col("_a")), start(F.col("_z")), size)))
+    keyed = points.withColumn("_bucket", start(F.col(point).cast("long")))
     if how_many == "one":
         hit = keyed.join(spans, (keyed["_bucket"] == spans["_bucket"]) & F.col(point).between(F.col("_a"), F.col("_z")), "left")
         return hit.select(*points.columns, F.col("_keep").alias(keep))

@@ -348,8 +348,9 @@ def first_offenders(spark, d):
 
 @query("SELECT (SELECT count(*) FROM (SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels)) AS left_only, (SELECT count(*) FROM (SELECT doc_id FROM labels EXCEPT SELECT doc_id FROM documents)) AS right_only")
 def key_set_difference(spark, d):
-    a, b = table(spark, d, "documents").select("doc_id"), table(spark, d, "labels").select("doc_id")
-    return a.subtract(b).agg(F.count(F.lit(1)).alias("left_only")).join(F.broadcast(b.subtract(a).agg(F.count(F.lit(1)).alias("right_only"))))
+    side = lambda name, a, b: table(spark, d, name).select("doc_id", F.lit(a).alias("a"), F.lit(b).alias("b"))
+    keys = side("documents", 1, 0).unionByName(side("labels", 0, 1)).groupBy("doc_id").agg(F.max("a").alias("a"), F.max("b").alias("b"))
+    return keys.agg(F.count_if(F.expr("a > b")).alias("left_only"), F.count_if(F.expr("b > a")).alias("right_only"))
 
 
 @query("SELECT conv_id, turn, text AS text, 0 AS grafted FROM conversations WHERE text IS NOT NULL")
