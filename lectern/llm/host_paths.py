@@ -14,8 +14,9 @@ class. Character references are decoded, white space within a block becomes one
 blocks are joined by one space.
 
 Votes are combined per task before they are shuffled, so a host with a third of all pages
-sends a row per task and path. Pages meet their host's winner in an equi-join, which
-adaptive execution splits for such a host.
+sends a row per task and path. The winners, a row per host, are written and counted: up to
+BROADCAST_HOSTS of them are broadcast and no page is shuffled; beyond, pages meet them in
+an equi-join, which adaptive execution splits for such a host.
 
 Edge cases: null or empty html has empty text; a null url has no host. A page without any
 markup is its own text. Unclosed and crossing tags are closed where the next block or the
@@ -31,6 +32,11 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ._shared import materialise
+
+#: Most hosts whose winners are broadcast: at some 100 bytes each, 10 MB.
+BROADCAST_HOSTS = 100_000
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(script|style|noscript|template|textarea|select|option|iframe|object|svg|math|canvas|audio|video|title|head)\b[^>]*>"
@@ -241,5 +247,7 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
             yield pd.DataFrame({id_col: batch["key"].values, url_col: batch["url"].values, "text": text, "n_chars": [len(t) for t in text]})
 
     rows = pages.select(F.col(id_col).alias("key"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(F.col(url_col)).alias("host"))
-    joined = rows.join(vote(pages, url_col, html_col), "host", "left").select("key", "url", "html", "path")
+    winners = materialise(vote(pages, url_col, html_col), "winners")
+    winners = F.broadcast(winners) if winners.count() <= BROADCAST_HOSTS else winners
+    joined = rows.join(winners, "host", "left").select("key", "url", "html", "path")
     return joined.mapInPandas(run, f"`{id_col}` {kind}, `{url_col}` string, text string, n_chars long")
