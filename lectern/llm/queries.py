@@ -76,7 +76,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
 }
 
+def _matches(kind: str, nth: int, pattern: str, group: int, least: int) -> str:
+    """SQL for the spans of one rule: what stands between the matches gives their places."""
+    return f"""
+        SELECT rid, '{kind}' AS kind, {nth} AS nth, gaps + alls - length(a) AS start, gaps + alls AS stop
+        FROM (SELECT *, sum(length(g)) OVER w AS gaps, sum(length(a)) OVER w AS alls
+              FROM (SELECT rid, generate_subscripts(a, 1) AS i, unnest(a) AS a, unnest(p) AS p, unnest(g[1:len(a)]) AS g
+                    FROM (SELECT rid, regexp_extract_all(t, {pattern}, 0) AS a, regexp_extract_all(t, {pattern}, {group}) AS p, string_split_regex(t, {pattern}) AS g FROM d))
+              WINDOW w AS (PARTITION BY rid ORDER BY i))
+        WHERE length(p) >= {least}"""
+
+
+_EITHER = {k: "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in k) for k in ("password", "passwd", "secret", "token")}
+_ASSIGN = "(" + "|".join(_EITHER.values()) + "|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
+
 SQL: dict[str, str] = {
+    "op8_secret_scan": f"""
+        WITH d AS (SELECT doc_id, row_number() OVER () AS rid, coalesce(text, '') AS t FROM documents),
+        m AS ({" UNION ALL ".join((
+            _matches("assign", 0, "'" + _ASSIGN + """["'']?\\x20*[:=]\\x20*["'']?([A-Za-z0-9+/_.=-]+)'""", 2, 12),
+            _matches("access", 1, "'AKIA[A-Z0-9]+'", 0, 18),
+            _matches("hex", 2, "'[0-9a-f]+'", 0, 16),
+        ))}),
+        s AS (SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+                     string_agg(concat(kind, ':', start, ':', stop), ',' ORDER BY start, nth) AS spans FROM m GROUP BY rid)
+        SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+               sha256(coalesce(spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM d LEFT JOIN s USING (rid)
+    """,
     "op3_exact_dedup": r"""
         WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents)
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
