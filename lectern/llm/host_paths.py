@@ -246,8 +246,8 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
             text = [extract(h, p) for h, p in zip(batch["html"], batch["path"])]
             yield pd.DataFrame({id_col: batch["key"].values, url_col: batch["url"].values, "text": text, "n_chars": [len(t) for t in text]})
 
-    rows = pages.select(F.col(id_col).alias("key"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(F.col(url_col)).alias("host"))
+    rows = pages.select(F.col(id_col).cast("string").alias("key"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(F.col(url_col)).alias("host"))
     winners = materialise(vote(pages, url_col, html_col), "winners")
     winners = F.broadcast(winners) if winners.count() <= BROADCAST_HOSTS else winners
     joined = rows.join(winners, "host", "left").select("key", "url", "html", "path")
-    return joined.mapInPandas(run, f"`{id_col}` {kind}, `{url_col}` string, text string, n_chars long")
+    return joined.mapInPandas(run, f"`{id_col}` string, `{url_col}` string, text string, n_chars long").withColumn(id_col, F.col(f"`{id_col}`").cast(kind))

@@ -141,8 +141,8 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
             out[id_col], out["held_out"] = batch["key"].values, batch["out"].values
             yield out[[id_col, "held_out", "lang_pred", "score"]]
 
-    rows = docs.select(F.col(id_col).alias("key"), held_out(id_col).alias("out"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInPandas(run, f"`{id_col}` {kind}, held_out boolean, lang_pred string, score double")
+    rows = docs.select(F.col(id_col).cast("string").alias("key"), held_out(id_col).alias("out"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInPandas(run, f"`{id_col}` string, held_out boolean, lang_pred string, score double").withColumn(id_col, F.col(f"`{id_col}`").cast(kind))
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

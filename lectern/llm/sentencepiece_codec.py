@@ -261,10 +261,9 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
             for key, text in zip(batch["key"], batch["text"]):
                 got = c.encode(text, add_end=True)
                 rows.append((key, *([got] if ids else []), len(got), hashlib.sha256(c.decimals(got).encode()).hexdigest(), hashlib.sha256(c.decode(got).encode()).hexdigest()))
-            out = pd.DataFrame(rows, columns=names)
-            out[id_col] = batch["key"].values  # keeps whole numbers beside nulls
-            yield out
+            yield pd.DataFrame(rows, columns=names)
 
     names = [id_col, *(["ids"] if ids else []), "n_tokens", "ids_sha256", "decoded_sha256"]
-    schema = f"`{id_col}` {kind}, {'ids array<int>, ' if ids else ''}n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return docs.select(F.col(id_col).alias("key"), whole_text(text_col).alias("text")).mapInPandas(run, schema)
+    schema = f"`{id_col}` string, {'ids array<int>, ' if ids else ''}n_tokens long, ids_sha256 string, decoded_sha256 string"
+    rows = docs.select(F.col(id_col).cast("string").alias("key"), whole_text(text_col).alias("text"))  # as a string: pandas has no whole numbers beside nulls
+    return rows.mapInPandas(run, schema).withColumn(id_col, F.col(f"`{id_col}`").cast(kind))

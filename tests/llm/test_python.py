@@ -113,8 +113,10 @@ def test_written_documents(spark):
         at += len(tokens)
     assert not got
     assert token_shards.read_documents(spark, token_shards.write_shards(df.limit(0), BPE)).count() == 0
-    nulls = token_shards.read_documents(spark, token_shards.write_shards(frame(spark, ["a", "b"], [None, 1]), BPE)).collect()
-    assert sorted((r["start"], r["doc_id"]) for r in nulls) == [(0, None), (2, 1)]
+    huge = 2**62 + 1  # beside a null
+    nulls = token_shards.read_documents(spark, token_shards.write_shards(frame(spark, ["a", "b"], [None, huge]), BPE)).collect()
+    assert sorted((r["start"], r["doc_id"]) for r in nulls) == [(0, None), (2, huge)]
+    assert {r["doc_id"] for r in sentencepiece_codec.encode_documents(frame(spark, ["a", "b"], [None, huge]), SP).collect()} == {None, huge}
 
 
 # SimHash
