@@ -47,7 +47,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return sentencepiece_codec.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return sentencepiece_codec.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"), memory=150_000, forget=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -36,13 +36,13 @@ MARK = "▁"
 LETTER = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+")
 OTHER = r"[^A-Za-zÀ-ÖØ-öø-ɏ▁]+"
 #: Results of chunks that a worker remembers in each of two generations, the same for pairs, and the longest such chunk.
-MEMORY, PAIRS, LONGEST = 150_000, 100_000, 40
+MEMORY, PAIRS, LONGEST = 500_000, 200_000, 40
 
 
 class SentencePieceCodec:
     """Encoder and decoder of one BPE model file."""
 
-    def __init__(self, model_path: str):
+    def __init__(self, model_path: str, memory: int = MEMORY):
         from sentencepiece import sentencepiece_model_pb2 as proto
 
         with open(model_path, "rb") as f:
@@ -55,6 +55,7 @@ class SentencePieceCodec:
             raise ValueError("only models whose normaliser keeps the text are supported")
         if any(p.type == kinds.USER_DEFINED for p in model.pieces):
             raise ValueError("user-defined pieces are not supported")
+        self.memory = memory
         self.prefix = MARK if spec.add_dummy_prefix else ""
         self.rank: dict[str, float] = {}
         self.id: dict[str, int] = {}
@@ -191,7 +192,7 @@ class SentencePieceCodec:
         if got is None:
             got = tuple(self._chunk(chunk))
         if len(chunk) <= LONGEST:
-            if len(self.known) >= MEMORY:
+            if len(self.known) >= self.memory:
                 self.older, self.known = self.known, {}
             self.known[chunk] = got
         return got
@@ -209,6 +210,10 @@ class SentencePieceCodec:
                 ids += got
         return ids
 
+    def forget(self) -> None:
+        self.known, self.older = {}, {}
+        self.pairs.clear()
+
     def encode(self, text: str, add_end: bool = False) -> list[int]:
         ids = self._ids(text)
         return [*ids, self.end] if add_end else ids
@@ -250,18 +255,25 @@ def codec(model_path: str) -> SentencePieceCodec:
     return _loaded[model_path]
 
 
-def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = True) -> DataFrame:
-    """id, ids (only if asked for), n_tokens, ids_sha256, decoded_sha256 of each row. Nothing is shuffled."""
+def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = True, memory: int = MEMORY, forget: bool = False) -> DataFrame:
+    """id, ids (only if asked for), n_tokens, ids_sha256, decoded_sha256 of each row. Nothing is shuffled.
+
+    memory: chunks that a worker remembers in each generation; forget: whether it gives them
+    up after each task, for jobs in which other stages follow in the same workers.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         c = codec(model_path)
+        c.memory = memory
         for batch in batches:
             rows = []
             for key, text in zip(batch["key"], batch["text"]):
                 got = c.encode(text, add_end=True)
                 rows.append((key, *([got] if ids else []), len(got), hashlib.sha256(c.decimals(got).encode()).hexdigest(), hashlib.sha256(c.decode(got).encode()).hexdigest()))
             yield pd.DataFrame(rows, columns=names)
+        if forget:
+            c.forget()
 
     names = [id_col, *(["ids"] if ids else []), "n_tokens", "ids_sha256", "decoded_sha256"]
     schema = f"`{id_col}` string, {'ids array<int>, ' if ids else ''}n_tokens long, ids_sha256 string, decoded_sha256 string"
