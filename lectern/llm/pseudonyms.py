@@ -11,11 +11,18 @@ case, digits stay digits.
 kind    validated                                       permuted
 email   shape                                           local part; the domain stays
 ip      four numbers up to 255                          all 2^32 addresses
-phone   North American, area and exchange from 2        800 areas x 8 million numbers
+phone   three, three and four digits, or + and 7 to 15  see below
 card    13 to 19 digits, Luhn                           all but the first digit; new check digit
 ssn     area, group and serial in use                   898 areas x 99 * 9999
 date    Y-M-D or D-M-Y with - / or ., 1900 to 2099      the 73,049 days
 
+A phone number of ten digits (+1 or no country code) whose area and exchange start with 2
+to 9 stays such a number: 800 areas x 8 million numbers. The other 3.6 billion are permuted
+among themselves. Any area and exchange count where separators or +1 show the shape; ten
+digits in a row without + count only with both from 2, as clocks and counters look the same.
+Of other numbers with + the country code stays and the digits behind it are permuted, but
+for a trunk zero in parentheses.
+
 Only built-in column functions are used and nothing is shuffled. A text without digits
 and @ is passed on as it is.
 
@@ -34,12 +41,17 @@ ROUNDS = 8
 #: Shapes, by kind, in the order in which they are tried at a place.
 SHAPES = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}",
-    "phone": r"\+1[ .-]?\(?[2-9][0-9]{2}\)?[ .-]?[2-9][0-9]{2}[ .-]?[0-9]{4}(?![0-9])|(?<![0-9+])\(?[2-9][0-9]{2}\)?[ .-][2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])",
+    "phone": r"\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
+    r"|(?<![0-9A-Za-z])\+[1-9](?:[ .()/-]{0,2}[0-9]){6,14}(?![0-9])"
+    r"|(?<![0-9+])\(?[0-9]{3}(?:\)[ .-]?|[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
+    r"|(?<![A-Za-z0-9_./=#&$+-])[2-9][0-9]{2}[2-9][0-9]{6}(?![A-Za-z0-9_]|[.,-][0-9])",
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])",
     "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])",
     "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
     "date": r"(?<![0-9])(?:(?:19|20)[0-9]{2}(?:-[0-9]{2}-|/[0-9]{2}/|\.[0-9]{2}\.)[0-9]{2}|[0-9]{2}(?:-[0-9]{2}-|/[0-9]{2}/|\.[0-9]{2}\.)(?:19|20)[0-9]{2})(?![0-9])",
 }
+#: Country codes; no code begins with another.
+COUNTRY = "^(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9][0-9]{2})"
 ANY = "|".join(SHAPES.values())
 
 
@@ -105,12 +117,28 @@ def _card(digits: Column, key: str) -> Column:
     return F.concat(body, F.pmod(-total, F.lit(10)).cast("string"))
 
 
-def _phone(digits: Column, key: str) -> Column:
+def _phone(text: Column, key: str) -> Column:
+    held = F.replace(text, F.lit("(0)"), F.lit("(\u0001)"))  # a trunk zero is no part of the number
+    digits = F.regexp_replace(held, "[^0-9]", "")
+    code = F.regexp_extract(digits, COUNTRY, 0)
+    abroad = F.concat(code, permute_string(F.substring(digits, F.length(code) + 1, F.length(digits)), key, "phone"))
+    ours = ~text.startswith("+") | (text.startswith("+1") & (F.length(digits) == 11))
+    return F.replace(_laid_out(F.when(ours, _ten_digits(digits, key)).otherwise(abroad), held), F.lit("\u0001"), F.lit("0"))
+
+
+def _ten_digits(digits: Column, key: str) -> Column:
+    """The last ten digits permuted; what stands before them stays."""
     ten = F.right(digits, F.lit(10))
-    part = lambda at, n: F.substring(ten, at, n).cast("long")
-    value = permute((part(1, 3) - 200) * 8_000_000 + (part(4, 3) - 200) * 10_000 + part(7, 4), 800, 8_000_000, key, "phone")
-    area, rest = F.floor(value / 8_000_000), F.pmod(value, F.lit(8_000_000).cast("long"))
-    return F.concat(F.substring(digits, F.lit(1), F.length(digits) - 10), (area + 200).cast("string"), (F.floor(rest / 10_000) + 200).cast("string"), _padded(F.pmod(rest, F.lit(10_000).cast("long")), 4))
+    area, exchange, line = (F.substring(ten, at, n).cast("long") for at, n in ((1, 3), (4, 3), (7, 4)))
+    value = permute((area - 200) * 8_000_000 + (exchange - 200) * 10_000 + line, 800, 8_000_000, key, "phone")
+    valid = (F.floor(value / 8_000_000) + 200) * 10_000_000 + F.pmod(value, F.lit(8_000_000).cast("long")) + 2_000_000
+    # the others: 200 areas x 10 million, then 800 areas x 2 million
+    low = 200 * 10_000_000
+    nth = F.when(area < 200, ten.cast("long")).otherwise(low + (area - 200) * 2_000_000 + exchange * 10_000 + line)
+    other = permute(nth, 60_000, 60_000, key, "phone")
+    rest = other - low
+    invalid = F.when(other < low, other).otherwise((F.floor(rest / 2_000_000) + 200) * 10_000_000 + F.pmod(rest, F.lit(2_000_000).cast("long")))
+    return F.concat(F.substring(digits, F.lit(1), F.length(digits) - 10), _padded(F.when((area >= 200) & (exchange >= 200), valid).otherwise(invalid), 10))
 
 
 def _ssn(digits: Column, key: str) -> Column:
@@ -150,7 +178,7 @@ def _tagged(text: Column, key: str) -> Column:
     pair = lambda kind, out: F.struct(F.lit(kind).alias("kind"), out.alias("out"))
     return (
         F.when(whole("email"), pair("email", F.concat(permute_string(F.substring_index(text, "@", 1), key, "email"), F.lit("@"), F.substring_index(text, "@", -1))))
-        .when(whole("phone"), pair("phone", _laid_out(_phone(digits, key), text)))
+        .when(whole("phone"), pair("phone", _phone(text, key)))
         .when(whole("ip") & F.forall(F.split(text, r"\."), lambda p: p.cast("int") <= 255), pair("ip", _ip(text, key)))
         .when(whole("card") & F.call_function("luhn_check", digits), pair("card", _laid_out(_card(digits, key), text)))
         .when(whole("ssn"), pair("ssn", _laid_out(_ssn(digits, key), text)))

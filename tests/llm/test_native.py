@@ -122,6 +122,25 @@ def test_pseudonyms_keep_formats_and_links(spark):
     assert pseudonyms.pseudonymise(frame(spark, ["x"]).limit(0), "k").count() == 0
 
 
+def test_phones_of_any_area_and_country(spark):
+    ours = ["+1 (017) 555-7713", "+1 (132) 555-1352", "017-555-7713", "(132) 055-1352", "(504)555-3746", "+1 504 155 3746", "5045553746", "+10175557713"]
+    abroad = ["+44 20 7946 0958", "+44 (0)20 7946 0958", "+442079460958", "+49-30-901820", "+353 1 679 5000"]
+    none = ["1700000000", "id=5045553746", "+12345", "555-3746", "12345678901"]
+    texts = [*ours, *abroad]
+    got = [r for r in sorted(pseudonyms.pseudonymise(frame(spark, [f"call {t}, now" for t in [*texts, *none]]), "key").collect())]
+    shape = lambda t: re.sub(r"\d", "0", t)
+    new = {}
+    for t, r in zip(texts, got):
+        assert (r["n_phone"], r["n_pii"]) == (1, 1) and t not in r["text"] and shape(r["text"]) == shape(f"call {t}, now"), t
+        new[t] = re.sub(r"\D", "", r["text"].replace("(0)", ""))
+    for t in ours:  # what no exchange can ring stays so, and the reverse
+        digits, valid = re.sub(r"\D", "", t)[-10:], re.compile(r"[2-9]\d\d[2-9]\d{6}")
+        assert bool(valid.fullmatch(digits)) == bool(valid.fullmatch(new[t][-10:])), t
+    assert new["+1 (017) 555-7713"] == "1" + new["017-555-7713"] == new["+10175557713"] and new["5045553746"] == new["(504)555-3746"]
+    assert len({new[t] for t in abroad[:3]}) == 1 and all(new[t].startswith(c) for t, c in zip(abroad, ("44", "44", "44", "49", "353")))
+    assert [(r["text"], r["n_pii"]) for r in got[len(texts) :]] == [(f"call {t}, now", 0) for t in none]
+
+
 # secrets
 
 KINDS = [("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 2, 12), ("access", re.compile("AKIA[A-Z0-9]+"), 0, 18), ("hex", re.compile("[0-9a-f]+"), 0, 16)]
