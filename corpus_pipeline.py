@@ -9,9 +9,13 @@ it again as the docs of the next, so a lost executor repeats no earlier stage.
 3 near       of each group of near copies, the row with the smallest id stays
 4 mix        all documents, put in the order that mixes the sources to their target shares:
              the files, and the rows in each, follow the schedule
-5 tokens     one row per document with its SentencePiece ids
+5 tokens     one row per document with its SentencePiece ids, mix_slot and mix_position, in the
+             order of the schedule
 
 All stages but the last return the columns of documents. Empty tables pass through all stages.
+Spark does not read files in the order of their names, so tokens works the schedule out again:
+it depends on the ids and sources alone, and these are the same before and after mix. The rows
+of run() are sorted by it.
 """
 
 from __future__ import annotations
@@ -47,7 +51,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return sentencepiece_codec.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"), memory=150_000, forget=True)
+    ordered = mixing.in_order(mixing.mix(docs))
+    return sentencepiece_codec.encode_documents(ordered, public_tokenizers.path("piece_bpe_32k.model"), memory=150_000, forget=True, keep=("mix_slot", "mix_position"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -60,7 +65,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents."""
+    """All stages over documents, in the order of the schedule."""
     folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
@@ -68,4 +73,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         schema = out.schema
         out.write.parquet(f"{folder}/{name}")
         docs = spark.read.schema(schema).parquet(f"{folder}/{name}")
-    return docs
+    return mixing.in_order(docs)

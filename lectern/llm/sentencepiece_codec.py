@@ -255,11 +255,12 @@ def codec(model_path: str) -> SentencePieceCodec:
     return _loaded[model_path]
 
 
-def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = True, memory: int = MEMORY, forget: bool = False) -> DataFrame:
+def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = True, memory: int = MEMORY, forget: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """id, ids (only if asked for), n_tokens, ids_sha256, decoded_sha256 of each row. Nothing is shuffled.
 
     memory: chunks that a worker remembers in each generation; forget: whether it gives them
-    up after each task, for jobs in which other stages follow in the same workers.
+    up after each task, for jobs in which other stages follow in the same workers; keep: whole
+    numbers of docs, never null, that are passed on. Rows keep their order.
     """
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -271,11 +272,11 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
             for key, text in zip(batch["key"], batch["text"]):
                 got = c.encode(text, add_end=True)
                 rows.append((key, *([got] if ids else []), len(got), hashlib.sha256(c.decimals(got).encode()).hexdigest(), hashlib.sha256(c.decode(got).encode()).hexdigest()))
-            yield pd.DataFrame(rows, columns=names)
+            yield pd.DataFrame(rows, columns=names).assign(**{k: batch[k].values for k in keep})
         if forget:
             c.forget()
 
     names = [id_col, *(["ids"] if ids else []), "n_tokens", "ids_sha256", "decoded_sha256"]
-    schema = f"`{id_col}` string, {'ids array<int>, ' if ids else ''}n_tokens long, ids_sha256 string, decoded_sha256 string"
-    rows = docs.select(F.col(id_col).cast("string").alias("key"), whole_text(text_col).alias("text"))  # as a string: pandas has no whole numbers beside nulls
+    schema = f"`{id_col}` string, {'ids array<int>, ' if ids else ''}n_tokens long, ids_sha256 string, decoded_sha256 string{''.join(f', `{k}` long' for k in keep)}"
+    rows = docs.select(F.col(id_col).cast("string").alias("key"), whole_text(text_col).alias("text"), *keep)  # as a string: pandas has no whole numbers beside nulls
     return rows.mapInPandas(run, schema).withColumn(id_col, F.col(f"`{id_col}`").cast(kind))

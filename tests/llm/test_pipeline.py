@@ -52,3 +52,26 @@ def test_mix_stage_orders_by_the_schedule(spark):
     want = mixing.mix(docs).withColumn("_k", F.struct("mix_slot", "mix_position")).orderBy("_k")
     got = corpus_pipeline.mix_sources(spark, docs, "")
     assert [r["doc_id"] for r in got.collect()] == [r["doc_id"] for r in want.collect()]
+
+
+def test_run_follows_the_schedule_over_several_files(spark, tmp_path, monkeypatch):
+    rng = random.Random(12)
+    text = lambda: " ".join(f"w{rng.randrange(400)}" for _ in range(rng.choice([25, 60, 900])))
+    rows = [(i, text(), f"src{i * i % 5}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(corpus_pipeline, "STAGES", corpus_pipeline.STAGES[-2:])
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.files.openCostInBytes", "spark.sql.files.maxPartitionBytes")}
+    try:
+        for k, v in zip(old, ("false", "1", "20000")):
+            spark.conf.set(k, v)
+        out = corpus_pipeline.run(spark, str(tmp_path))
+        assert len(out.inputFiles()) > 1
+        want = [(r["doc_id"], r["mix_slot"], r["mix_position"]) for r in mixing.in_order(mixing.mix(docs)).collect()]
+        assert [(r["doc_id"], r["mix_slot"], r["mix_position"]) for r in out.collect()] == want
+        # the files by name, and the rows in each, are in this order too
+        files = [spark.read.parquet(f).collect() for f in sorted(out.inputFiles())]
+        assert [r["doc_id"] for rows in files for r in rows] == [d for d, *_ in want]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
