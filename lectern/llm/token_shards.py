@@ -1,9 +1,9 @@
 """Token ids in Re-Pair compressed shards.
 
 Texts are encoded in ascending order of their ids, each ends with an end id, and the ids
-go into shards. A shard repeatedly replaces frequent pairs of neighbouring symbols by new
-symbols; it stores the rules, the length each symbol expands to, and the sequence that
-is left. With the lengths a reader finds any position without expanding what stands
+go into shards. A shard replaces frequent pairs of neighbouring symbols by new symbols
+until no pair occurs LEAST times; it stores the rules, the length each symbol expands to,
+and the sequence that is left. With the lengths a reader finds any position without expanding what stands
 before it. A rule never reaches over an end id, so symbols never span documents.
 
 Format of a shard (little-endian, unsigned 32 bits each unless said otherwise):
@@ -44,8 +44,8 @@ from ._shared import shared_dir, whole_text
 END = 2
 #: Ids in a shard, about: a document is never split.
 SHARD_IDS = 1 << 20
-#: A pair must occur so often; a round takes all pairs at least SHARE times as frequent as the most frequent one.
-LEAST, SHARE, ROUNDS = 16, 0.01, 3
+#: A pair must occur so often; a round takes all pairs at least SHARE times as frequent as the most frequent one. Rounds go on while there is such a pair.
+LEAST, SHARE = 16, 0.01
 ANCHOR = 1024
 #: Pieces that a worker remembers in each of two generations, and the longest such piece.
 MEMORY, LONGEST = 900_000, 40
@@ -117,28 +117,39 @@ def compress(ids: np.ndarray, lengths: np.ndarray, terminals: int) -> bytes:
     left, right, size = [], [], [np.ones(terminals, np.uint32)]
     rounds: list[int] = []
     top, sizes = terminals, size[0]
-    for _ in range(ROUNDS):
-        if len(seq) < 2:
+    stops = np.arange(terminals) == END  # symbols that end a document: no rule goes on behind them
+    newest = 0  # from here on symbols are new since all pairs that occur LEAST times were replaced
+    while len(seq) > 1:
+        often = np.bincount(seq, minlength=top) >= LEAST  # others are in no pair that is
+        may = (often & ~stops)[seq[:-1]] & often[seq[1:]]
+        if newest:
+            new = seq >= newest
+            may &= new[:-1] | new[1:]
+        where = np.flatnonzero(may)
+        if len(where) < LEAST:
             break
         kind, shift = (np.uint32, 16) if top <= 1 << 16 else (np.uint64, 32)
-        none, low = kind((1 << 2 * shift) - 1), kind((1 << shift) - 1)
-        pair = seq[:-1].astype(kind) << kind(shift) | seq[1:].astype(kind)
-        pair[seq[:-1] == END] = none  # no rule over an end id
+        low = kind((1 << shift) - 1)
+        pair = seq[where].astype(kind) << kind(shift) | seq[where + 1].astype(kind)
         in_order = np.sort(pair)
         first = np.flatnonzero(np.concatenate(([True], in_order[1:] != in_order[:-1])))
         count = np.diff(np.concatenate((first, [len(in_order)])))
         kinds = in_order[first]
-        count[kinds == none] = 0  # nor would the pair of the two last symbols of a full alphabet be told from it
         most = int(count.max())
         if most < LEAST:
             break
-        chosen = kinds[count >= max(LEAST, int(most * SHARE))]
+        enough = max(LEAST, int(most * SHARE))
+        if enough == LEAST:
+            newest = top  # later on counts of pairs of old symbols can but fall
+        chosen = kinds[count >= enough]
         which = np.minimum(np.searchsorted(chosen, pair), len(chosen) - 1)
-        at = np.flatnonzero(chosen[which] == pair)
+        hit = chosen[which] == pair
+        at, which = where[hit], which[hit]
         run = np.concatenate(([True], np.diff(at) != 1))  # of pairs that overlap, every second from the left
         began = np.maximum.accumulate(np.where(run, np.arange(len(at)), 0))
-        at = at[(np.arange(len(at)) - began) % 2 == 0]
-        used, symbol = np.unique(which[at], return_inverse=True)
+        second = (np.arange(len(at)) - began) % 2 == 0
+        at = at[second]
+        used, symbol = np.unique(which[second], return_inverse=True)
         a, b = (chosen[used] >> kind(shift)).astype(np.uint32), (chosen[used] & low).astype(np.uint32)
         seq[at] = top + symbol
         keep = np.ones(len(seq), bool)
@@ -148,6 +159,7 @@ def compress(ids: np.ndarray, lengths: np.ndarray, terminals: int) -> bytes:
         right.append(b)
         size.append(sizes[a] + sizes[b])
         sizes = np.concatenate((sizes, size[-1]))
+        stops = np.concatenate((stops, stops[b]))
         rounds.append(len(used))
         top += len(used)
     positions = np.cumsum(sizes[seq], dtype=np.uint32) - sizes[seq]

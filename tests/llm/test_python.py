@@ -98,6 +98,32 @@ def test_shard_round_trip_and_random_access():
     assert len(shard.left) >= 0 and len(token_shards.compress(np.tile(np.arange(9, dtype=np.uint32), 5000), np.array([45_000]), 50_257)) < 45_000
 
 
+def test_shards_are_compressed_to_the_end():
+    rng = np.random.default_rng(6)
+    copies = np.tile(np.append(rng.integers(3, 40_000, 3000), token_shards.END), 300).astype(np.uint32)
+    few = np.where(rng.random(60_000) < 0.02, token_shards.END, rng.zipf(1.3, 60_000) % 500 + 3).astype(np.uint32)
+    short = np.tile(np.array([5, 6, token_shards.END], np.uint32), 4000)
+    for ids in (copies, few, short, np.full(50_000, 9, np.uint32)):
+        ends = np.flatnonzero(ids == token_shards.END)
+        lengths = np.diff(np.concatenate(([0], ends + 1, [len(ids)])))
+        payload = token_shards.compress(ids, lengths[lengths > 0], 50_257)
+        shard = token_shards.Shard(payload)
+        assert (shard.ids() == ids).all()
+        texts = {s: shard._expand(np.array([s])) for s in np.unique(shard.seq).tolist()}
+        assert all((t[:-1] != token_shards.END).all() for t in texts.values())  # no symbol spans documents
+        before, counts = None, {}
+        for s in shard.seq.tolist():
+            if before is not None and texts[before][-1] != token_shards.END:
+                counts[before, s] = counts.get((before, s), 0) + (counts.get("last") != (before, s) or before != s)
+                counts["last"] = (before, s)
+            else:
+                counts["last"] = None
+            before = s
+        assert max((n for k, n in counts.items() if k != "last"), default=0) < token_shards.LEAST
+        if ids is copies:
+            assert len(payload) < 4 * len(ids) / 50
+
+
 def test_written_documents(spark):
     from tokenizers import Tokenizer
 
