@@ -10,7 +10,8 @@
 
 What is left out everywhere: scripts, styles and other parts without text, menus, headers,
 footers, sidebars, notices, adverts, forms and reader comments, known by tag, role or
-class. Character references are decoded, white space within a block becomes one space,
+class. A class or id does not make noise of what holds the main element, the only visible
+article or most of the page's text. Character references are decoded, white space within a block becomes one space,
 blocks are joined by one space.
 
 Votes are combined per task before they are shuffled, so a host with a third of all pages
@@ -51,12 +52,20 @@ SKIPPED = frozenset("script style noscript template textarea select option ifram
 #: Elements left out with all they contain.
 NOISE_TAGS = frozenset("nav header footer aside form button dialog menu".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
-#: Words that mark an element as noise when they are a part of its class or id.
+#: Words that mark an element as noise when a class or its id is one, ends in one ("left-sidebar"), or is one before a word of PARTS
+#: ("sidebar-left"), unless it says how a page is laid out ("has-sidebar").
 NOISE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs sidebar aside widget related recommended "
     "footer header masthead comment comments commentlist disqus reply replies notice alert cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription signup login "
     "share sharing social toolbar pagination pager form search skip".split()
 )
+PARTS = frozenset(
+    "area bar block body bottom box button buttons column container content count field form group header heading icons inner input item items left link links list main meta panel posts "
+    "primary region right secondary section slot title top unit widget wrap wrapper".split()
+)
+STATES = frozenset("has have with without no is not show hide".split())
+#: Readers' words are noise however long they are.
+REPLIES = frozenset("comment comments commentlist disqus reply replies".split())
 #: Elements without content.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that do not end a line.
@@ -67,11 +76,24 @@ LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote td th tr tbody t
 _CLOSES = {"p": None, "li": frozenset({"ul", "ol"}), "dt": frozenset({"dl"}), "dd": frozenset({"dl"}), "tr": frozenset({"table"}), "td": frozenset({"tr", "table"}), "th": frozenset({"tr", "table"}), "option": None}
 _ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main menu nav ol p pre section table ul".split())
 _SPLIT = re.compile(r"[^a-z]+")
-_traits: dict[tuple[str, str], tuple[str, bool]] = {}
+_HEADING = re.compile("h[1-6]")
+#: Why an element is noise.
+NONE, NAMED, REPLY, SURE = 0, 1, 2, 3
+_traits: dict[tuple[str, str], tuple[str, int]] = {}
+
+
+def _noise_word(name: str) -> str:
+    """The word for which a class or id is noise, or nothing."""
+    words = [w for w in _SPLIT.split(re.sub(r"([a-z])([A-Z])", r"\1-\2", name).lower()) if w]
+    if not words or words[0] in STATES:
+        return ""
+    if words[-1] in NOISE_WORDS:
+        return words[-1]
+    return words[0] if words[0] in NOISE_WORDS and all(w in PARTS or w in NOISE_WORDS for w in words[1:]) else ""
 
 
-def _trait(tag: str, attributes: str) -> tuple[str, bool]:
-    """(step of the path, whether it is noise) of an element; remembered, as pages repeat them."""
+def _trait(tag: str, attributes: str) -> tuple[str, int]:
+    """(step of the path, why it is noise) of an element; remembered, as pages repeat them."""
     got = _traits.get((tag, attributes))
     if got is None:
         found, hidden = {}, False
@@ -81,9 +103,17 @@ def _trait(tag: str, attributes: str) -> tuple[str, bool]:
             else:
                 hidden = True
         classes = found.get("class", "").lower().split()
-        words = {w for c in [*classes, found.get("id", "").lower()] for w in _SPLIT.split(re.sub(r"([a-z])([A-Z])", r"\1-\2", c))}
+        names = found.get("class", "").split()
+        if "id" in found and not (tag == "section" or _HEADING.fullmatch(tag)):  # the ids of these are made of their headings
+            names.append(found["id"])
+        words = set(map(_noise_word, names)) - {""}
         hidden = hidden or "hidden" in found or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
-        noise = tag in NOISE_TAGS or hidden or found.get("role", "").lower() in NOISE_ROLES or (tag not in ("html", "body", "main", "article") or "comment" in words) and not words.isdisjoint(NOISE_WORDS)
+        if tag in NOISE_TAGS or hidden or found.get("role", "").lower() in NOISE_ROLES:
+            noise = SURE
+        elif tag in ("html", "body", "main", "article"):
+            noise = REPLY if "comment" in words else NONE
+        else:
+            noise = REPLY if words & REPLIES else NAMED if words else NONE
         step = ".".join([tag, *sorted({re.sub(r"\d+", "#", c) for c in classes})])
         if len(_traits) > 50_000:
             _traits.clear()
@@ -100,6 +130,7 @@ class Page:
 
     def __init__(self, html: str):
         self.parent, self.tag, self.path, self.noise = [0], [""], [""], [False]
+        why = [NONE]
         self.texts: list[tuple[int, str, bool, bool]] = []
         stack, blocks, links, new_line = [0], [0], 0, True
         parent, tags, texts = self.parent, self.tag, self.texts
@@ -155,7 +186,7 @@ class Page:
             parent.append(up)
             tags.append(tag)
             self.path.append(f"{self.path[up]}>{step}" if tag not in INLINE else self.path[up])
-            self.noise.append(noise or self.noise[up])
+            why.append(noise)
             e = len(parent) - 1
             if not m[4].endswith("/"):
                 stack.append(e)
@@ -165,6 +196,42 @@ class Page:
                 new_line = True
         if at < n:
             texts.append((stack[-1], blocks[-1], html[at:], new_line, links > 0))
+        self._mark(why)
+
+    def _mark(self, why: list[int]) -> None:
+        """Sets noise. A name makes no noise of what holds most of the page's text, or its main element or only visible article."""
+        parent, tags, n = self.parent, self.tag, len(self.parent)
+        if NAMED in why or REPLY in why:
+            sure = [False] * n
+            for e in range(1, n):
+                sure[e] = why[e] == SURE or sure[parent[e]]
+            size = [0] * n
+            for inner, _, text, _, link in self.texts:
+                if not link and not sure[inner]:
+                    size[inner] += len(text.strip())
+            for e in range(n - 1, 0, -1):
+                size[parent[e]] += size[e]
+            hosts = [tags[e] in ("main", "article") and not sure[e] and why[e] == NONE and size[e] > 0 for e in range(n)]
+            holds, inside = hosts[:], hosts[:]
+            for e in range(n - 1, 0, -1):
+                holds[parent[e]] |= holds[e]
+            for e in range(1, n):
+                inside[e] |= inside[parent[e]]
+                if why[e] == NAMED and 2 * size[e] > size[0] and (inside[e] or holds[e] or not holds[0]):  # a long advert beside a short article stays one
+                    why[e] = NONE
+            named = [False] * n
+            for e in range(1, n):
+                named[e] = why[e] in (NAMED, REPLY) or named[parent[e]]
+            anchors = [e for e in range(1, n) if tags[e] == "main" and not sure[e]]
+            articles = [e for e in range(1, n) if tags[e] == "article" and not sure[e] and why[e] == NONE]
+            if not anchors and articles and all(named[e] for e in articles):
+                anchors = [max(articles, key=size.__getitem__)]
+            for e in anchors:
+                while e:
+                    why[e], e = (why[e] if why[e] == SURE else NONE), parent[e]
+        self.noise = [False] * n
+        for e in range(1, n):
+            self.noise[e] = why[e] > NONE or self.noise[parent[e]]
 
     def scores(self) -> dict[int, int]:
         """By container, twice the characters of its blocks and once those of the next level, less text in links."""

@@ -278,6 +278,23 @@ def test_main_text(spark):
     assert host_paths.extract_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_names_that_are_no_noise():
+    text = "Some words of a story that goes on and on. " * 5
+    clean, art = text.strip(), f"<article><p>{text}</article>"
+    get = lambda body: host_paths.extract(page(body), None)
+    for wrap in ("class='has-sidebar'", "id=page class='nav-open'", "class=search-page", "class=sidebar", "class='modal share'", "id=comments"):
+        assert get(f"<div {wrap}>{art}</div>") == clean, wrap
+        assert get(f"<div {wrap}><main><p>{text}</main></div>") == clean, wrap
+    assert get(f"<div class=search><p>{text}</div>") == clean
+    got = get(f"<article><h2 id='related-work'>Related work</h2><p>{text}<section id='comments-on-x'><p>Rest</section></article>")
+    assert got == f"Related work {clean} Rest"
+    for noise in ("class=left-sidebar", "class=sidebar-left", "id=share-buttons", "class=relatedPosts", "class='x comment-list'", "class=cookie"):
+        assert get(f"<article><p>{text}<div {noise}><p>noise</div></article>") == clean, noise
+    replies = f"<div id=comments><article class=comment-body><p>{text * 9}</article></div>"
+    assert get(art + replies) == clean  # however long
+    assert get(f"<article><p>short</article><div class=ad>{text}</div>") == "short"
+
+
 def test_hosts(spark):
     urls = ["HTTP://User@Www.X.org:80/a?b#c", "//y.org/z", "no host", None, "https:///"]
     got = [r[0] for r in spark.createDataFrame([(u,) for u in urls], "u string").select(host_paths.host_of(F.col("u"))).collect()]
