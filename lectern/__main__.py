@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import logging
 import sys
 from pathlib import Path
 
@@ -26,11 +27,14 @@ def main(argv: list[str] | None = None) -> int:
         prepare.add_argument(f"--{name}", default=default)
     verify = commands.add_parser("verify", help="check a compiled file; exit code 1 if a check fails")
     verify.add_argument("--db", required=True)
+    verify.add_argument("--font", help="also shape the second script with this font, if a shaping library is present")
     for name, text in (("script", "normalise a second-script snapshot"), ("edition", "flatten a saved edition payload")):
         one = commands.add_parser(name, help=text)
         one.add_argument("input")
         one.add_argument("output")
     args = parser.parse_args(argv)
+    logging.basicConfig(level=logging.WARNING, format="%(message)s")
+    logging.getLogger("lectern").setLevel(logging.INFO)
     spark = session()
     if args.command == "build":
         print(corpus.build(spark, corpus.load_config(args.config), args.output, args.graft))
@@ -43,7 +47,7 @@ def main(argv: list[str] | None = None) -> int:
         for row in quality.structure_report(rows).collect():
             print(row["severity"], row["message"])
     elif args.command == "verify":
-        findings = quality.report(corpus_tables(spark, args.db)).cache()
+        findings = quality.report(corpus_tables(spark, args.db), font=args.font).cache()
         for row in findings.orderBy("severity", "check_name", "subject").collect():
             print(f"{row['severity']}: {row['check_name']} {row['subject']}: {row['message']}")
         return quality.exit_code(findings)

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lectern.functions.text import strip
+from lectern.shared import unused_prefix
 
 
 def ordered_concat(df: DataFrame, keys: list[str], order: str, text: str, tie: str | None = None, out: str = "text") -> DataFrame:
@@ -83,6 +84,18 @@ def sorted_json(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
     return pairs.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("_k", "_v"))))).alias(out))
 
 
-def first_offenders(df: DataFrame, key: Column, k: int) -> Column:
-    """The k smallest keys as text, for messages. Each group keeps k, so the aggregate's size is bounded."""
-    return F.array_join(F.slice(F.array_sort(F.collect_set(key)), 1, k), ", ")
+def first_offenders(df: DataFrame, by: list[str], key: Column, k: int, out: str) -> DataFrame:
+    """Per group the k smallest distinct keys, joined by a comma, for messages; empty where all keys are null.
+
+    Copies go before the shuffle, and ranks above k go before the second one, so no task
+    collects a group.
+    """
+    p = unused_prefix(df)
+    distinct = df.select(*by, key.cast("string").alias(f"{p}k")).distinct()
+    ranked = distinct.withColumn(f"{p}r", F.row_number().over(Window.partitionBy(*by).orderBy(F.col(f"{p}k").asc_nulls_last()))).where(F.col(f"{p}r") <= k)
+    return ranked.groupBy(*by).agg(F.array_join(F.array_sort(F.collect_list(f"{p}k")), ", ").alias(out))
+
+
+def upsert(rows: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """INSERT OR REPLACE: of rows with equal keys the last one in the order stays."""
+    return last_wins(rows, keys, order).drop(order)

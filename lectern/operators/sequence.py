@@ -1,57 +1,97 @@
 """Positions in a canonical order: running ids, start markers, id ranges.
 
-The window forms read well and fit a corpus of any ordinary size; each global window is one
-task. The interval forms do the same with joins on buckets and scale out.
+No operator puts all rows into one task. Rows are dealt into ranges of the order, sorted in
+each, and written once with their place (range in the upper bits), so what is worked out
+per range and what is worked out over all ranges speak of the same rows. Over all ranges
+there is a row a range only. Small inputs come out as one range, by adaptive execution.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from lectern.shared import materialise, quoted, unused_prefix
+
+_LOCAL_BITS = 33  # of monotonically_increasing_id: what numbers the rows of a partition
+
+
+def _ranged(df: DataFrame, order: list[str], place: str) -> DataFrame:
+    """df written in ranges of the order; place rises along it and has the range above _LOCAL_BITS."""
+    return materialise(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(place, F.monotonically_increasing_id()), "ranged")
 
-def running_id(df: DataFrame, order: list[str], out: str = "id") -> DataFrame:
-    """1, 2, ... in the given order, in one task."""
-    return df.withColumn(out, F.row_number().over(Window.orderBy(*order)))
 
+def _range_of(place: str) -> Column:
+    return F.shiftright(place, _LOCAL_BITS)
+
+
+def running_id(df: DataFrame, order: list[str], out: str = "id") -> DataFrame:
+    """1, 2, ... as long, in the given order (nulls first; rows that tie in any order, but each id once).
 
-def running_id_by_range(df: DataFrame, order: list[str], out: str = "id") -> DataFrame:
-    """The same for large inputs: rows are ranged, numbered per partition, and moved on by the sizes of the earlier ones."""
-    parts = df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
-    sizes = parts.groupBy("_p").count()
-    before = sizes.select(F.col("_p"), (F.sum("count").over(Window.orderBy("_p")) - F.col("count")).alias("_b"))  # a row per partition
-    local = parts.withColumn("_n", F.row_number().over(Window.partitionBy("_p").orderBy(*order)))
-    return local.join(F.broadcast(before), "_p").withColumn(out, F.col("_n") + F.col("_b")).drop("_p", "_n", "_b")
+    One shuffle and one write of df; the sizes of the ranges, a row each, tell where each begins.
+    """
+    p = unused_prefix(df)
+    rows = _ranged(df, order, f"{p}at")
+    sizes = rows.groupBy(_range_of(f"{p}at").alias(f"{p}r")).agg(F.count(F.lit(1)).alias(f"{p}n"))
+    starts = sizes.select(f"{p}r", (F.sum(f"{p}n").over(Window.orderBy(f"{p}r")) - F.col(f"{p}n")).alias(f"{p}b"))  # a row per range
+    local = F.col(f"{p}at").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))
+    joined = rows.join(starts, _range_of(f"{p}at") == F.col(f"{p}r"))
+    return joined.select(*(F.col(quoted(c)) for c in df.columns), (local + F.col(f"{p}b") + 1).alias(out))
+
+
+def carry_forward(df: DataFrame, order: list[str], columns: list[str]) -> DataFrame:
+    """df with the columns' nulls replaced by the last value before them in the order; null before the first."""
+    p = unused_prefix(df)
+    rows = _ranged(df, order, f"{p}at").withColumn(f"{p}r", _range_of(f"{p}at"))
+    last = lambda c, w: F.last(c, ignorenulls=True).over(w)
+    ends = rows.groupBy(f"{p}r").agg(*(F.max_by(quoted(c), F.when(F.col(quoted(c)).isNotNull(), F.col(f"{p}at"))).alias(f"{p}{i}") for i, c in enumerate(columns)))
+    before = Window.orderBy(f"{p}r").rowsBetween(Window.unboundedPreceding, -1)  # a row per range
+    brought = ends.select(F.col(f"{p}r").alias(f"{p}q"), *(last(f"{p}{i}", before).alias(f"{p}{i}") for i in range(len(columns))))
+    here = Window.partitionBy(f"{p}r").orderBy(f"{p}at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = rows.select("*", *(last(quoted(c), here).alias(f"{p}l{i}") for i, c in enumerate(columns)))
+    joined = local.join(brought, F.col(f"{p}r") == F.col(f"{p}q"))
+    at = {c: F.coalesce(f"{p}l{i}", f"{p}{i}").alias(c) for i, c in enumerate(columns)}
+    return joined.select(*(at.get(c, F.col(quoted(c))) for c in df.columns))
 
 
 def marker_ordinals(markers: DataFrame, order: str, out: str = "n") -> DataFrame:
     """Markers get their rank in the order column; a stored number is not looked at."""
-    return markers.withColumn(out, F.row_number().over(Window.orderBy(order)))
+    return running_id(markers, [order], out)
 
 
-def _highest(markers: DataFrame, keys: list[str], ordinal: str) -> DataFrame:
-    return markers.groupBy(*keys).agg(F.max(ordinal).alias("_n"))  # of equal positions the last marker holds
+def _highest(markers: DataFrame, keys: list[str], ordinal: str, out: str = "_n") -> DataFrame:
+    return markers.groupBy(*keys).agg(F.max(ordinal).alias(out))  # of equal positions the last marker holds
 
 
-def expand_markers(positions: DataFrame, markers: DataFrame, keys: list[str], ordinal: str, out: str, order: list[str] | None = None, partition: list[str] | None = None) -> DataFrame:
-    """Each position gets the ordinal of the last marker at or before it, 0 before the first.
+def expand_markers(positions: DataFrame, markers: dict[str, DataFrame], keys: list[str], ordinal: str, order: list[str] | None = None) -> DataFrame:
+    """Each position gets, per entry of markers, the ordinal of the last marker at or before it, 0 before the first.
 
     Markers at unknown positions are ignored, though they used up their ordinal; markers
-    out of order are legal, so the result may go down along the order.
+    out of order are legal, so the result may go down along the order. All entries are
+    carried forward in one pass.
     """
-    frame = (Window.partitionBy(*partition) if partition else Window).orderBy(*(order or keys)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    joined = positions.join(_highest(markers, keys, ordinal), keys, "left")
-    return joined.withColumn(out, F.coalesce(F.last("_n", ignorenulls=True).over(frame), F.lit(0))).drop("_n")
-
+    joined = positions
+    for name, m in markers.items():
+        joined = joined.join(_highest(m, keys, ordinal, name), keys, "left")
+    if not markers:
+        return joined
+    carried = carry_forward(joined, order or keys, list(markers))
+    return carried.withColumns({name: F.coalesce(name, F.lit(0)) for name in markers}).select(*positions.columns, *markers)
 
-def expand_markers_by_interval(positions: DataFrame, markers: DataFrame, key: str, ordinal: str, out: str, width: int) -> DataFrame:
-    """The same for one whole-number key, without a global window over the positions.
 
-    Only markers that meet a position are ordered, and they are few; each becomes an interval
-    up to the next one, and positions meet intervals by buckets of `width`.
-    """
+def marker_intervals(positions: DataFrame, markers: DataFrame, key: str, ordinal: str) -> DataFrame:
+    """(_lo, _hi, _n): the closed range of positions for which each marker that meets a position holds."""
     known = positions.select(F.col(key).cast("long").alias("_lo")).distinct().join(_highest(markers, [key], ordinal).select(F.col(key).cast("long").alias("_lo"), "_n"), "_lo")
-    stop = positions.select((F.max(key).cast("long") + 1).alias("_lo"), F.lit(None).cast("int").alias("_n"))  # ends the last interval
-    spans = known.unionByName(stop).withColumn("_hi", F.lead("_lo").over(Window.orderBy("_lo")) - 1).where("_n IS NOT NULL")
+    end = positions.select((F.max(key).cast("long") + 1).alias("_lo"), F.lit(None).cast("long").alias("_n"))  # ends the last interval
+    turned = known.unionByName(end).select((-F.col("_lo")).alias("_down"), "_lo", F.col("_n").cast("long").alias("_n"), (F.col("_lo") - 1).alias("_hi"))
+    # from the end to the start, the end of an interval is the place before the last start that was met
+    ids = running_id(turned, ["_down"], "_i")
+    following = ids.select((F.col("_i") + 1).alias("_i"), F.col("_hi").alias("_stop"))
+    return ids.join(following, "_i", "left").where("_n IS NOT NULL").select("_lo", F.col("_stop").alias("_hi"), "_n")
+
+
+def expand_markers_by_interval(positions: DataFrame, markers: DataFrame, key: str, ordinal: str, out: str, width: int) -> DataFrame:
+    """The same for one whole-number key, by joins: positions meet the intervals of the markers in buckets of `width`."""
+    spans = marker_intervals(positions, markers, key, ordinal)
     return range_join(positions, spans, key, "_lo", "_hi", width, keep="_n", rank=F.col("_n"), how_many="one").withColumn(out, F.coalesce("_n", F.lit(0))).drop("_n")
 
 
@@ -79,7 +119,7 @@ def ranges_to_points(ranges: DataFrame, lo: str, hi: str, out: str) -> DataFrame
     return ranges.withColumn(out, F.explode(F.sequence(F.col(lo), F.col(hi))))
 
 
-def neighbours(df: DataFrame, order: list[str], value: str, partition: list[str] | None = None) -> DataFrame:
-    """The previous and next value in the order."""
-    w = (Window.partitionBy(*partition) if partition else Window).orderBy(*order)
+def neighbours(df: DataFrame, order: list[str], value: str, partition: list[str]) -> DataFrame:
+    """The previous and next value in the order, within each part."""
+    w = Window.partitionBy(*partition).orderBy(*order)
     return df.withColumn("previous", F.lag(value).over(w)).withColumn("next", F.lead(value).over(w))

@@ -33,12 +33,15 @@ CREATE TABLE ayahs (id INTEGER PRIMARY KEY, surah_id INTEGER NOT NULL REFERENCES
     page_number INTEGER, juz_number INTEGER, hizb_number INTEGER, rub_el_hizb INTEGER, ruku_number INTEGER, sajda INTEGER NOT NULL DEFAULT 0, UNIQUE (surah_id, ayah_number));
 CREATE TABLE resources (id INTEGER PRIMARY KEY, type TEXT NOT NULL, language_code TEXT NOT NULL, name TEXT NOT NULL, author TEXT, license TEXT, source_url TEXT);
 CREATE TABLE translations (id INTEGER PRIMARY KEY AUTOINCREMENT, ayah_id INTEGER NOT NULL REFERENCES ayahs(id), resource_id INTEGER NOT NULL REFERENCES resources(id), text_content TEXT NOT NULL, UNIQUE (ayah_id, resource_id));
+CREATE INDEX idx_ayahs_surah ON ayahs(surah_id);
 CREATE INDEX idx_ayahs_page ON ayahs(page_number);
 CREATE INDEX idx_ayahs_juz ON ayahs(juz_number);
 CREATE INDEX idx_ayahs_hizb ON ayahs(hizb_number);
 CREATE INDEX idx_ayahs_rub ON ayahs(rub_el_hizb);
 CREATE INDEX idx_ayahs_ruku ON ayahs(ruku_number);
 CREATE INDEX idx_tr_resource_ayah ON translations(resource_id, ayah_id);
+CREATE INDEX idx_tr_ayah ON translations(ayah_id);
+CREATE INDEX idx_tr_resource ON translations(resource_id);
 """
 ORDER = {"db_meta": ["key"], "surahs": ["id"], "ayahs": ["id"], "resources": ["id"], "translations": ["id"]}
 DIVISIONS = ("page_number", "juz_number", "hizb_number", "rub_el_hizb", "ruku_number")
@@ -85,11 +88,26 @@ def checksums_in_spark(spark: SparkSession, paths: list[str]) -> DataFrame:
     return spark.read.format("binaryFile").load(paths).select("path", F.sha2("content", 256).alias("sha256"))
 
 
+def _table(spark: SparkSession, source: Source, choose) -> tuple[DataFrame, dict[str, str | None], str]:
+    """The columns that choose(names) names, and no others, are read from the file; also what it chose."""
+    table = sqlite.data_table(source.file, source.table)
+    names = sqlite.columns(source.file, table)
+    kind, c = choose(names)
+    return sqlite.read_table(spark, source.file, table, only=sorted({x for x in c.values() if x})), c, kind
+
+
+def _resolved(source: Source, wanted: dict[str, list[str]], needs: tuple[str, ...], what: str):
+    def choose(names: list[str]):
+        c = resolve(names, wanted, source.columns)
+        if not all(c[n] for n in needs):
+            raise ValueError(f"{what} columns not found in {source.file}: {names}")
+        return what, c
+
+    return choose
+
+
 def read_chapters(spark: SparkSession, source: Source) -> DataFrame:
-    df = sqlite.read_table(spark, source.file, source.table)
-    c = resolve(df.columns[:-1], CHAPTER, source.columns)
-    if not (c["id"] and c["name_arabic"] and c["name_english"]):
-        raise ValueError(f"chapter columns not found in {source.file}: {df.columns[:-1]}")
+    df, c, _ = _table(spark, source, _resolved(source, CHAPTER, ("id", "name_arabic", "name_english"), "chapter"))
     col = lambda name: F.col(c[name]) if c[name] else F.lit(None).cast("string")
     named = lambda name: T.strip(F.coalesce(col(name), F.raise_error(F.lit(f"{name} is null")).cast("string")))
     rows = df.select(T.strip(col("id")).cast("int").alias("id"), named("name_arabic").alias("name_arabic"), T.lower_between_hyphens(named("name_english")).alias("name_english"), T.strip_lower(col("revelation_place")).alias("revelation_place"), T.strip(col("total_ayahs")).cast("int").alias("total_ayahs"), "_rowid")
@@ -98,8 +116,7 @@ def read_chapters(spark: SparkSession, source: Source) -> DataFrame:
 
 def read_text(spark: SparkSession, source: Source) -> DataFrame:
     """(surah, ayah, text, seq): one row per position; seq is the source row that first named it."""
-    df = sqlite.read_table(spark, source.file, source.table)
-    kind, c = text_kind(df.columns[:-1], source.columns)
+    df, c, kind = _table(spark, source, lambda names: text_kind(names, source.columns))
     if kind == "words":
         rows = df.select(F.col(c["surah"]).cast("int").alias("surah"), F.col(c["ayah"]).cast("int").alias("ayah"), F.col(c["word_index"]).cast("long").alias("_i"), F.col(c["word"]).alias("_w"), "_rowid")
         first = rows.where("_w IS NOT NULL").groupBy(*POSITION).agg(F.min("_rowid").alias("seq"))
@@ -110,10 +127,7 @@ def read_text(spark: SparkSession, source: Source) -> DataFrame:
 
 
 def read_verse_metadata(spark: SparkSession, source: Source) -> DataFrame:
-    df = sqlite.read_table(spark, source.file, source.table)
-    c = resolve(df.columns[:-1], METADATA, source.columns)
-    if not (c["surah"] and c["ayah"]):
-        raise ValueError(f"metadata columns not found in {source.file}: {df.columns[:-1]}")
+    df, c, _ = _table(spark, source, _resolved(source, METADATA, ("surah", "ayah"), "metadata"))
     number = lambda name: (F.col(c[name]) if c[name] else F.lit(None)).cast("int").alias(name)
     sajda = T.flag(F.col(c["sajda"])) if c["sajda"] else F.lit(None).cast("int")
     return R.last_wins(df.select(number("surah"), number("ayah"), *map(number, DIVISIONS), sajda.alias("sajda"), "_rowid"), POSITION, "_rowid").drop("_rowid")
@@ -121,26 +135,35 @@ def read_verse_metadata(spark: SparkSession, source: Source) -> DataFrame:
 
 def read_marker_metadata(spark: SparkSession, source: Source, positions: DataFrame) -> DataFrame:
     markers, here = J.marker_document(spark, source.file), J.present_dimensions(spark, source.file)
-    out = positions.select(*POSITION)
-    for dimension, name in J.DIMENSIONS.items():
-        out = S.expand_markers(out, markers.where(F.col("dimension") == dimension).drop("dimension"), POSITION, "n", name) if dimension in here else out.withColumn(name, F.lit(None).cast("int"))
+    by_name = {name: markers.where(F.col("dimension") == d).drop("dimension") for d, name in J.DIMENSIONS.items() if d in here}
+    out = S.expand_markers(positions.select(*POSITION), by_name, POSITION, "n")
+    out = out.withColumns({name: F.lit(None).cast("int") for name in DIVISIONS if name not in by_name}).select(*POSITION, *DIVISIONS)
     return R.membership_flag(out, markers.where("dimension = 'sajda'"), POSITION, "sajda") if "sajda" in here else out.withColumn("sajda", F.lit(None).cast("int"))
 
 
-def compile_tables(spark: SparkSession, config: dict, graft_mode: str = "needed") -> dict[str, DataFrame]:
-    """The five tables. graft_mode: needed, full or none."""
+@dataclass(frozen=True)
+class Compiled:
+    """The five tables, and what was done for them: rows (what, subject, n)."""
+
+    tables: dict[str, DataFrame]
+    counters: DataFrame
+
+
+def compile_corpus(spark: SparkSession, config: dict, graft_mode: str = "needed") -> Compiled:
+    """graft_mode: needed, full or none. The counters are aggregates of the tables' rows, so retries count nothing twice."""
     check_inputs(config)
     sources = config["sources"]
     chapters = read_chapters(spark, Source.of(sources["surahs"]))
     main = sources["arabic_uthmani"]
-    verses = read_text(spark, Source.of(main)).select(*POSITION, "text")
+    verses = read_text(spark, Source.of(main)).select(*POSITION, "text").withColumns({"applied": F.lit(0), "grafted": F.lit(0)})
     if main.get("reading_overrides"):
-        verses = R.override(verses, J.verse_map(spark, main["reading_overrides"]), POSITION, "text").drop("applied")
+        verses = R.override(verses.drop("applied"), J.verse_map(spark, main["reading_overrides"]), POSITION, "text")
     if main.get("tatweel_reference") and graft_mode != "none":
         reference = J.verse_map(spark, main["tatweel_reference"]).withColumnRenamed("text", "_ref")
-        verses = verses.join(reference, POSITION, "left").withColumn("text", graft(F.col("text"), F.col("_ref"), graft_mode == "needed")["text"]).drop("_ref")
+        done = graft(F.col("text"), F.col("_ref"), graft_mode == "needed")
+        verses = verses.join(reference, POSITION, "left").withColumn("_g", done).select(*POSITION, F.col("_g.text").alias("text"), "applied", F.col("_g.grafted").alias("grafted"))
     second = read_text(spark, Source.of(sources["arabic_indopak"])).select(*POSITION, F.col("text").alias("second")) if sources.get("arabic_indopak") else None
-    numbered = S.running_id(verses, POSITION)
+    numbered = S.running_id(verses, POSITION).withColumn("id", F.col("id").cast("int"))
     meta_spec = sources.get("metadata")
     if not meta_spec:
         meta = numbered.select(*POSITION, *(F.lit(None).cast("int").alias(c) for c in (*DIVISIONS, "sajda")))
@@ -151,7 +174,7 @@ def compile_tables(spark: SparkSession, config: dict, graft_mode: str = "needed"
     ayahs = R.with_defaults(numbered, meta, POSITION, {"sajda": 0})
     ayahs = ayahs.join(second, POSITION, "left") if second is not None else ayahs.withColumn("second", F.lit(None).cast("string"))
     ayahs = ayahs.select("id", F.col("surah").alias("surah_id"), F.col("ayah").alias("ayah_number"), F.col("text").alias("text_arabic_uthmani"), F.col("second").alias("text_arabic_indopak"), *DIVISIONS, "sajda")
-    surahs = R.fill_counts(chapters, verses, "id", "surah", "total_ayahs").withColumn("total_ayahs", F.col("total_ayahs").cast("int")).select("id", "name_arabic", "name_english", "revelation_place", "total_ayahs")
+    surahs = R.fill_counts(chapters, numbered, "id", "surah", "total_ayahs").withColumn("total_ayahs", F.col("total_ayahs").cast("int")).select("id", "name_arabic", "name_english", "revelation_place", "total_ayahs")
 
     editions = sources.get("translations") or []
     resources = spark.createDataFrame([(i, "translation", e["language_code"], e["name"], e.get("author"), e.get("license"), e.get("source_url")) for i, e in enumerate(editions, 1)], "id int, type string, language_code string, name string, author string, license string, source_url string")
@@ -160,13 +183,27 @@ def compile_tables(spark: SparkSession, config: dict, graft_mode: str = "needed"
     texts = [read_text(spark, Source.of(e)).join(ids, POSITION).select("ayah_id", "seq", T.apply_flags(F.col("text"), {f for f in T.EDITION_FLAGS if e.get(f)}).alias("text_content")) for e in editions]
     all_texts = R.append_editions(texts) if texts else empty
     translations = S.running_id(all_texts, ["resource_id", "seq"]).select("id", "ayah_id", "resource_id", "text_content")
-    return {"db_meta": metadata_rows(spark, config), "surahs": surahs, "ayahs": ayahs, "resources": resources, "translations": translations}
+    tables = {"db_meta": metadata_rows(spark, config), "surahs": surahs, "ayahs": ayahs, "resources": resources, "translations": translations}
+    return Compiled(tables, _counters(numbered, resources, translations))
+
+
+def compile_tables(spark: SparkSession, config: dict, graft_mode: str = "needed") -> dict[str, DataFrame]:
+    """The five tables of compile_corpus()."""
+    return compile_corpus(spark, config, graft_mode).tables
+
+
+def _counters(verses: DataFrame, resources: DataFrame, translations: DataFrame) -> DataFrame:
+    line = lambda what, n: F.struct(F.lit(what).alias("what"), F.lit("verses").alias("subject"), F.coalesce(n, F.lit(0)).cast("long").alias("n"))
+    totals = verses.agg(F.explode(F.array(line("verses", F.count(F.lit(1))), line("overrides applied", F.sum("applied")), line("carriers grafted", F.sum("grafted")))).alias("r")).select("r.*")
+    inserted = R.with_defaults(resources.select("id", "name"), translations.groupBy(F.col("resource_id").alias("id")).agg(F.count(F.lit(1)).alias("n")), ["id"], {"n": 0})
+    return totals.unionByName(inserted.select(F.lit("rows inserted").alias("what"), F.col("name").alias("subject"), "n"))
 
 
 def metadata_rows(spark: SparkSession, config: dict) -> DataFrame:
+    """(key, value): what the compiler records."""
     sums = json.dumps({f: checksum(f) for f in input_files(config)}, ensure_ascii=False, sort_keys=True)
-    rows = {"schema_version": str(int(config.get("schema_version", 1))), "db_version": str(config.get("db_version", "0.0.0")), "built_at": datetime.now(timezone.utc).isoformat(), "source_checksums": sums}
-    return spark.createDataFrame(list(rows.items()), "key string, value string")
+    own = {"schema_version": str(int(config.get("schema_version", 1))), "db_version": str(config.get("db_version", "0.0.0")), "built_at": datetime.now(timezone.utc).isoformat(), "source_checksums": sums}
+    return R.upsert(spark.createDataFrame([(*kv, i) for i, kv in enumerate(own.items())], "key string, value string, seq long"), ["key"], "seq")
 
 
 def write_parquet(frames: dict[str, DataFrame], folder: str) -> None:
@@ -177,9 +214,11 @@ def write_parquet(frames: dict[str, DataFrame], folder: str) -> None:
 
 def build(spark: SparkSession, config: dict, output: str | None = None, graft_mode: str = "needed") -> str:
     """Compiles into one SQLite file and returns its path."""
-    frames = compile_tables(spark, config, graft_mode)
+    done = compile_corpus(spark, config, graft_mode)
     path = output or config["output"]
-    sqlite.export(frames, path, DDL, ORDER)
+    sqlite.export(done.tables, path, DDL, ORDER)
+    for row in done.counters.collect():  # three rows and one per edition
+        log.info("%s, %s: %d", row["subject"], row["what"], row["n"])
     log.info("wrote %s", path)
     return path
 
@@ -189,17 +228,19 @@ def prepare(spark: SparkSession, words: str, layout: str, divisions: dict[str, t
 
     divisions: column -> (file, table, column that orders its start markers).
     """
-    first = sqlite.read_table(spark, words, "words").groupBy(F.col("surah").cast("int").alias("surah"), F.col("ayah").cast("int").alias("ayah")).agg(F.min(F.col("id").cast("long")).alias("word"))
-    lines = sqlite.read_table(spark, layout, "pages").where("line_type = 'ayah' AND first_word_id <> '' AND last_word_id <> ''")
+    read = lambda path, table, *columns: sqlite.read_table(spark, path, table, only=list(columns))
+    first = read(words, "words", "id", "surah", "ayah").groupBy(F.col("surah").cast("int").alias("surah"), F.col("ayah").cast("int").alias("ayah")).agg(F.min(F.col("id").cast("long")).alias("word"))
+    lines = read(layout, "pages", "line_type", "first_word_id", "last_word_id", "page_number").where("line_type = 'ayah' AND first_word_id <> '' AND last_word_id <> ''")
     lines = lines.select(F.col("first_word_id").cast("long").alias("lo"), F.col("last_word_id").cast("long").alias("hi"), F.col("page_number").cast("int").alias("page_number"), "_rowid")
     out = S.range_join(first, lines, "word", "lo", "hi", 64, "page_number", F.col("_rowid"))
+    markers = {}
     for name, (path, table, order) in divisions.items():
-        starts = sqlite.read_table(spark, path, table)
         chapter, verse = T.parse_key(F.col("first_verse_key"))
-        markers = S.marker_ordinals(starts.select(chapter.alias("surah"), verse.alias("ayah"), F.col(order).cast("long").alias("_o")), "_o")
-        out = S.expand_markers(out, markers.drop("_o"), POSITION, "n", name)
+        starts = read(path, table, "first_verse_key", order).select(chapter.alias("surah"), verse.alias("ayah"), F.col(order).cast("long").alias("_o"))
+        markers[name] = S.marker_ordinals(starts, "_o").select(*POSITION, F.col("n").cast("int").alias("n"))
+    out = S.expand_markers(out, markers, POSITION, "n")
     chapter, verse = T.parse_key(F.col("verse_key"))
-    members = sqlite.read_table(spark, flags, "sajdah").select(chapter.alias("surah"), verse.alias("ayah"))
+    members = read(flags, "sajdah", "verse_key").select(chapter.alias("surah"), verse.alias("ayah"))
     return R.membership_flag(out, members, POSITION, "sajda").select(*POSITION, "page_number", *divisions, "sajda")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lectern.functions.text import count_in_class
 from lectern.operators import relational as R
+from lectern.plans import shaping
 
 # What the full corpus has.
 RANGES = {"page_number": (1, 604), "juz_number": (1, 30), "hizb_number": (1, 60), "rub_el_hizb": (1, 240), "ruku_number": (1, 600)}
@@ -35,8 +36,13 @@ class Expected:
     opening: tuple[int, int] | None = (5, 1)
 
 
-def report(tables: dict[str, DataFrame], expected: Expected | None = None) -> DataFrame:
-    """(check_name, severity, subject, message), a row per finding; severity is FAIL, WARN or INFO."""
+def report(tables: dict[str, DataFrame], expected: Expected | None = None, glyphs: DataFrame | None = None, font: str | None = None) -> DataFrame:
+    """(check_name, severity, subject, message), a row per finding; severity is FAIL, WARN or INFO.
+
+    The second script's shaping is checked on glyphs (shaping.GLYPHS by surah_id and
+    ayah_number) if given, or with a font where a shaping library is present; else the
+    report says that it was not.
+    """
     e = expected or Expected()
     spark = tables["ayahs"].sparkSession
     a = tables["ayahs"]
@@ -62,7 +68,10 @@ def report(tables: dict[str, DataFrame], expected: Expected | None = None) -> Da
         add(n["controls"], "leaked_controls", "FAIL", "text_arabic_indopak", f"{n['controls']} format controls")
         for i, (c, v, what, _) in enumerate(CANARIES):
             add(n[f"canary{i}"] or not n[f"seen{i}"], "canary", "FAIL", f"{c}:{v}", f"not so: {what}")
-        add(True, "shaping", "WARN", "text_arabic_indopak", "no shaping library: glyphs not checked")
+        if glyphs is None and font and shaping.available():
+            glyphs = shaping.shape(a, "text_arabic_indopak", font)
+        add(glyphs is None, "shaping", "WARN", "text_arabic_indopak", "glyphs not checked: " + ("no shaping library" if font else "no font given"))
+        rows += shaping.findings(glyphs, "text_arabic_indopak") if glyphs is not None else []
     add(e.carriers is not None and n["carriers"] != e.carriers, "carriers", "FAIL", "text_arabic_uthmani", f"expected {e.carriers}, found {n['carriers']}")
     add(not n["opening"], "opening", "FAIL", ":".join(map(str, e.opening or ())), "does not open with the carried mark, or is missing")
     add(n["flagged"] != e.flagged, "flagged", "WARN", "sajda", f"expected {e.flagged}, found {n['flagged']}")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from lectern.functions import text as T
 from lectern.operators import relational as R, sequence as S
 from lectern.operators.align import graft
-from lectern.plans import navigate
+from lectern.plans import navigate, quality as Q, shaping
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -50,50 +50,48 @@ def ordered_concat(spark, d):
     return R.ordered_concat(table(spark, d, "conversations"), ["conv_id"], "turn", "text")
 
 
-@query("SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id, turn) AS id FROM conversations")
+@query("SELECT conv_id, turn, role, text, row_number() OVER (ORDER BY conv_id, turn) AS id FROM conversations")
 def running_id(spark, d):
-    return S.running_id_by_range(table(spark, d, "conversations").select("conv_id", "turn"), ["conv_id", "turn"]).withColumn("id", long("id"))
+    return S.running_id(table(spark, d, "conversations").select("conv_id", "turn", "role", "text"), ["conv_id", "turn"])
 
 
 _MARKED = """
     WITH m AS (SELECT event_id, row_number() OVER (ORDER BY ts) AS n FROM events WHERE event_type = 'signup'),
-    p AS (SELECT e.event_id, e.ts, m.n FROM events e LEFT JOIN m USING (event_id))
-    SELECT event_id, CAST(coalesce(last_value(n IGNORE NULLS) OVER (ORDER BY ts ROWS UNBOUNDED PRECEDING), 0) AS BIGINT) AS division FROM p
+    p AS (SELECT e.event_id, e.props, e.ts, m.n FROM events e LEFT JOIN m USING (event_id))
+    SELECT event_id, props, coalesce(last_value(n IGNORE NULLS) OVER (ORDER BY ts ROWS UNBOUNDED PRECEDING), 0) AS division FROM p
 """
 
 
 def _markers(events: DataFrame, kind: str = "signup") -> DataFrame:
-    return S.marker_ordinals(events.where(F.col("event_type") == kind).select("event_id", "ts"), "ts")
+    return S.marker_ordinals(events.where(F.col("event_type") == kind).select("event_id", "ts"), "ts").select("event_id", "n")
 
 
 @query(_MARKED)
 def marker_expand(spark, d):
-    e = table(spark, d, "events").select("event_id", "ts", "event_type")
-    return S.expand_markers(e, _markers(e).drop("ts"), ["event_id"], "n", "division", order=["ts"]).select("event_id", long("division").alias("division"))
+    e = table(spark, d, "events").select("event_id", "ts", "event_type", "props")
+    return S.expand_markers(e, {"division": _markers(e)}, ["event_id"], "n", order=["ts"]).select("event_id", "props", "division")
 
 
 @query(_MARKED)
 def marker_as_interval(spark, d):
     """Positions are microseconds, so intervals meet them in buckets of a day."""
-    e = table(spark, d, "events").select("event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"), "ts", "event_type")
-    m = _markers(e).select(F.unix_micros(F.col("ts").cast("timestamp")).alias("at"), "n")
-    return S.expand_markers_by_interval(e, m, "at", "n", "division", 86_400_000_000).select("event_id", long("division").alias("division"))
+    e = table(spark, d, "events").select("event_id", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"), "event_type", "props")
+    m = S.marker_ordinals(e.where("event_type = 'signup'").select("at"), "at")
+    return S.expand_markers_by_interval(e, m, "at", "n", "division", 86_400_000_000).select("event_id", "props", "division")
 
 
-_KINDS = ("signup", "purchase", "click")
+#: All types of the events.
+_KINDS = ("click", "error", "purchase", "signup", "view")
 
 
 @query(f"""
     WITH m AS (SELECT event_id, event_type, row_number() OVER (PARTITION BY event_type ORDER BY ts) AS n FROM events)
-    SELECT e.event_id, {', '.join(f"CAST(coalesce(last_value(CASE WHEN m.event_type = '{k}' THEN n END IGNORE NULLS) OVER w, 0) AS BIGINT) AS {k}_n" for k in _KINDS)}
+    SELECT e.event_id, {', '.join(f"coalesce(last_value(CASE WHEN m.event_type = '{k}' THEN n END IGNORE NULLS) OVER w, 0) AS {k}_n" for k in _KINDS)}
     FROM events e JOIN m USING (event_id) WINDOW w AS (ORDER BY e.ts ROWS UNBOUNDED PRECEDING)
 """)
 def marker_expand_multi(spark, d):
     e = table(spark, d, "events").select("event_id", "ts", "event_type")
-    out = e
-    for k in _KINDS:
-        out = S.expand_markers(out, _markers(e, k).drop("ts"), ["event_id"], "n", f"{k}_n", order=["ts"])
-    return out.select("event_id", *(long(f"{k}_n").alias(f"{k}_n") for k in _KINDS))
+    return S.expand_markers(e, {f"{k}_n": _markers(e, k) for k in _KINDS}, ["event_id"], "n", order=["ts"]).select("event_id", *(f"{k}_n" for k in _KINDS))
 
 
 _QUIRKS = [(3, 1), (9, 2), (77, 3), (9, 4), (5, 5)]  # unsorted, one unknown, one twice
@@ -105,7 +103,7 @@ _QUIRKS = [(3, 1), (9, 2), (77, 3), (9, 4), (5, 5)]  # unsorted, one unknown, on
 """)
 def marker_quirks(spark, d):
     m = inline(spark, _QUIRKS, "n_nationkey int, n int")
-    return S.expand_markers(table(spark, d, "nation").select("n_nationkey"), m, ["n_nationkey"], "n", "division").select("n_nationkey", long("division").alias("division"))
+    return S.expand_markers(table(spark, d, "nation").select("n_nationkey"), {"division": m}, ["n_nationkey"], "n").select("n_nationkey", long("division").alias("division"))
 
 
 @query("""
@@ -257,10 +255,11 @@ def guarded_replace(spark, d):
 
 
 _GUARDED = ["खुदा", "ख़ुदा ।", "खुदाई", "x खुदा।", "ख़ुदा", "अखुदा"]
-_GUARDED_OUT = [T.GUARDED_REPLACEMENT, T.GUARDED_REPLACEMENT + " ।", _GUARDED[2], "x " + T.GUARDED_REPLACEMENT + "।", _GUARDED[4], _GUARDED[5]]
+_LETTER = r"\x{0900}-\x{0903}\x{0905}-\x{0939}\x{093c}\x{093e}-\x{094f}\x{0951}-\x{0963}\x{0972}-\x{097f}"
+_WORD_SQL = rf"(^|[^{_LETTER}])\x{{0916}}\x{{093c}}?\x{{0941}}\x{{0926}}\x{{093e}}($|[^{_LETTER}])"
 
 
-@query(f"SELECT * FROM {values([*zip(range(6), _GUARDED_OUT)], 'i, text')}")
+@query(f"SELECT i, regexp_replace(regexp_replace(v, '{_WORD_SQL}', '\\1अल्लाह\\2', 'g'), '{_WORD_SQL}', '\\1अल्लाह\\2', 'g') AS text FROM {values([*zip(range(6), _GUARDED)], 'i, v')}")
 def guarded_word(spark, d):
     return inline(spark, [*zip(range(6), _GUARDED)], "i int, text string").select("i", T.replace_guarded(F.col("text")).alias("text"))
 
@@ -268,19 +267,28 @@ def guarded_word(spark, d):
 _CLUSTERS = ["آۖب", "َٓۚۛ ۖ", "بۖٓ", "ٰۤۖ", "ٓیۗۘxۙ", ""]
 
 
-_CLUSTERS_OUT = ["\u0627\u0653\u0628", "\u0653\u064e \u06d6", "\u0628\u06d6\u0653", "\u06e4\u0670\u06d6", "\u0653\u06ccx\u06d9", ""]
+_NOTES = r"\x{0600}-\x{0620}\x{064b}-\x{066f}\x{0672}-\x{06d5}\x{06dd}-\x{06ff}\x{06d6}-\x{06dc}"
+
 
+def _unstacked(text: str) -> str:
+    """SQL: runs that begin with a madd lose their small high signs."""
+    runs = rf"regexp_extract_all({text}, '(?s)[\x{{0653}}\x{{06e4}}][{_NOTES}]*|[^\x{{0653}}\x{{06e4}}]')"
+    return rf"array_to_string(list_transform({runs}, lambda r: CASE WHEN ord(r) IN (1619, 1764) THEN regexp_replace(r, '[\x{{06d6}}-\x{{06dc}}]', '', 'g') ELSE r END), '')"
 
-@query(f"SELECT * FROM {values([*zip(range(6), _CLUSTERS_OUT)], 'i, text')}")
+
+@query(f"SELECT i, {_unstacked('v')} AS text FROM {values([*zip(range(6), _CLUSTERS)], 'i, v')}")
 def cluster_drop(spark, d):
     return inline(spark, [*zip(range(6), _CLUSTERS)], "i int, text string").select("i", T.drop_stacked_signs(F.col("text")).alias("text"))
 
 
 _POINTS = ["ab", " ڪ  ے ", "لله​", " x﻿y z\t", ""]
-_POINTS_OUT = ["aٖb", "ك ي", "للّٰه", "xy z", ""]
+_MAPPED_SQL = "translate(v, '\ue003\ue004\u06aa\u06d2\u2002\u2003', '\u0656\u0657\u0643\u064a  ')"
+_STRIPPED_SQL = f"regexp_replace({_MAPPED_SQL}, '[\ue01a\ue01b\ue01c\ue01e\ue01f\ue021\ue022\u200b\u200c\u200d\u200e\u200f\ufeff\u0604]', '', 'g')"
+_SPACED_SQL = rf"trim(regexp_replace({_STRIPPED_SQL}, '[\s\x{{0b}}\x{{1c}}-\x{{1f}}\x{{85}}\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]+', ' ', 'g'))"
+_WRITTEN_SQL = f"replace({_SPACED_SQL}, '\u0644\u0644\u0647', '\u0644\u0644\u0651\u0670\u0647')"
 
 
-@query(f"SELECT * FROM {values([*zip(range(5), _POINTS_OUT)], 'i, text')}")
+@query(f"SELECT i, {_unstacked(_WRITTEN_SQL)} AS text FROM {values([*zip(range(5), _POINTS)], 'i, v')}")
 def codepoint_normalise(spark, d):
     return inline(spark, [*zip(range(5), _POINTS)], "i int, text string").select("i", T.normalise_code_points(F.col("text")).alias("text"))
 
@@ -308,16 +316,16 @@ def json_map_explode(spark, d):
     return table(spark, d, "events").select("event_id", F.explode(F.from_json("props", "map<string,string>")).alias("key", "value")).where("value IS NOT NULL")
 
 
-_EDITIONS = ("en", "fr", "de")
+_EDITIONS = ("en", "fr", "de", "es", None)
 
 
 @query(f"""
-    WITH e AS ({' UNION ALL '.join(f"SELECT doc_id, {i} AS resource_id FROM documents WHERE lang = '{k}'" for i, k in enumerate(_EDITIONS, 1))})
-    SELECT doc_id, resource_id, row_number() OVER (ORDER BY resource_id, doc_id) AS id FROM e
+    WITH e AS ({' UNION ALL '.join(f"SELECT doc_id, text, {i} AS resource_id FROM documents WHERE lang IS NOT DISTINCT FROM {literal(k)}" for i, k in enumerate(_EDITIONS, 1))})
+    SELECT doc_id, text, resource_id, row_number() OVER (ORDER BY resource_id, doc_id) AS id FROM e
 """)
 def append_editions(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "lang")
-    return S.running_id_by_range(R.append_editions([docs.where(F.col("lang") == k).drop("lang") for k in _EDITIONS]), ["resource_id", "doc_id"]).withColumn("id", long("id"))
+    docs = table(spark, d, "documents").select("doc_id", "lang", "text")
+    return S.running_id(R.append_editions([docs.where(F.col("lang").eqNullSafe(F.lit(k))).drop("lang") for k in _EDITIONS]), ["resource_id", "doc_id"])
 
 
 @query("""SELECT concat('{', string_agg(concat('"', lang, '":"', n, '"'), ',' ORDER BY lang), '}') AS counts FROM (SELECT lang, count(*) AS n FROM documents WHERE lang IS NOT NULL GROUP BY lang)""")
@@ -343,7 +351,7 @@ def neighbours(spark, d):
 
 @query("SELECT user_id, array_to_string(list_slice(list_sort(list_distinct(list(event_type))), 1, 2), ', ') AS some FROM events GROUP BY user_id")
 def first_offenders(spark, d):
-    return table(spark, d, "events").groupBy("user_id").agg(R.first_offenders(None, F.col("event_type"), 2).alias("some"))
+    return R.first_offenders(table(spark, d, "events").select("user_id", "event_type"), ["user_id"], F.col("event_type"), 2, "some")
 
 
 @query("SELECT (SELECT count(*) FROM (SELECT doc_id FROM documents EXCEPT SELECT doc_id FROM labels)) AS left_only, (SELECT count(*) FROM (SELECT doc_id FROM labels EXCEPT SELECT doc_id FROM documents)) AS right_only")
@@ -353,27 +361,99 @@ def key_set_difference(spark, d):
     return keys.agg(F.count_if(F.expr("a > b")).alias("left_only"), F.count_if(F.expr("b > a")).alias("right_only"))
 
 
-@query("SELECT conv_id, turn, text AS text, 0 AS grafted FROM conversations WHERE text IS NOT NULL")
+_CARRIED = """
+    SELECT conv_id, turn, {text} AS text, CAST(length({own}) - length(replace({own}, '{mark}', '')) AS INTEGER) AS grafted
+    FROM conversations WHERE text IS NOT NULL
+"""
+
+
+@query(_CARRIED.format(own="text", text="replace(text, 'e', 'eـ')", mark="e"))
 def graft_carriers(spark, d):
-    """Against a reference without carriers nothing changes; other cases are in the tests."""
-    c = table(spark, d, "conversations").where("text IS NOT NULL").select("conv_id", "turn", graft(F.col("text"), F.concat("text", F.lit("-")), False).alias("g"))
+    """The reference has a carrier behind every e; all of them are taken over."""
+    t = F.col("text")
+    c = table(spark, d, "conversations").where("text IS NOT NULL").select("conv_id", "turn", graft(t, F.replace(t, F.lit("e"), F.lit("eـ")), False).alias("g"))
     return c.select("conv_id", "turn", "g.text", "g.grafted")
 
 
-@query("""
-    SELECT 'blank_text' AS check_name, CASE WHEN count(*) FILTER (text IS NULL OR trim(text) = '') > 0 THEN 'FAIL' ELSE 'OK' END AS severity, count(*) FILTER (text IS NULL OR trim(text) = '') AS n FROM documents
-    UNION ALL SELECT 'unlabelled', CASE WHEN count(*) > 0 THEN 'WARN' ELSE 'OK' END, count(*) FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
-    UNION ALL SELECT 'orphans', CASE WHEN count(*) > 0 THEN 'FAIL' ELSE 'OK' END, count(*) FROM labels l WHERE NOT EXISTS (SELECT 1 FROM documents d WHERE l.doc_id = d.doc_id)
+_OWN = "replace(replace(text, 'e', 'eٓ'), 'o', 'oَ')"
+
+
+@query(_CARRIED.format(own=_OWN, text=f"replace({_OWN}, 'eٓ', 'eـٓ')", mark="ٓ"))
+def graft_needed_carriers(spark, d):
+    """Of carriers before two kinds of marks only those before a mark that needs one are taken over."""
+    own = F.replace(F.replace(F.col("text"), F.lit("e"), F.lit("eٓ")), F.lit("o"), F.lit("oَ"))
+    reference = F.regexp_replace(own, "([eo])", "$1ـ")
+    reference = F.regexp_replace(reference, "ـ(?![َٓ])", "")
+    c = table(spark, d, "conversations").where("text IS NOT NULL").select("conv_id", "turn", graft(own, reference).alias("g"))
+    return c.select("conv_id", "turn", "g.text", "g.grafted")
+
+
+_EXPECTED = Q.Expected(chapters=12, verses=250, carriers=7, flagged=3, ranges={"page_number": (1, 604), "juz_number": (1, 30), "ruku_number": (1, 5)}, opening=None)
+_PLAN = [(1, "en"), (2, "fr"), (3, "es"), (4, "none")]
+_VERSES = """
+    SELECT doc_id % 10 + 1 AS surah_id, CASE WHEN doc_id % 5 = 0 THEN ' ' ELSE text END AS first, doc_id % 700 AS page, doc_id % 31 AS juz, CAST(doc_id % 41 = 0 AS INTEGER) AS sajda, lang FROM documents
+"""
+
+
+@query(f"""
+    WITH v AS ({_VERSES}), c AS (SELECT range + 1 AS id, range * 3 AS declared FROM range(11)),
+    n AS (SELECT count(*) AS n, count(*) FILTER (first IS NULL OR trim(first) = '') AS blank, coalesce(CAST(sum(length(first) - length(replace(first, 'ـ', ''))) AS BIGINT), 0) AS carriers, coalesce(CAST(sum(sajda) AS BIGINT), 0) AS flagged FROM v),
+    f AS (
+        SELECT 'cardinality' AS check_name, 'FAIL' AS severity, 'surahs' AS subject, concat('expected 12, found ', count(*)) AS message FROM c HAVING count(*) <> 12
+        UNION ALL SELECT 'cardinality', 'FAIL', 'ayahs', concat('expected 250, found ', n) FROM n WHERE n <> 250
+        UNION ALL SELECT 'blank_text', 'FAIL', 'text_arabic_uthmani', concat(blank, ' verses without text') FROM n WHERE blank > 0
+        UNION ALL SELECT 'carriers', 'FAIL', 'text_arabic_uthmani', concat('expected 7, found ', carriers) FROM n WHERE carriers <> 7
+        UNION ALL SELECT 'flagged', 'WARN', 'sajda', concat('expected 3, found ', flagged) FROM n WHERE flagged <> 3
+        UNION ALL SELECT 'declared_count', 'WARN', CAST(id AS VARCHAR), concat('declared ', declared, ', found ', n) FROM c JOIN (SELECT surah_id, count(*) AS n FROM v GROUP BY 1) ON surah_id = id WHERE n <> declared
+        UNION ALL SELECT 'range', 'WARN', 'page_number', concat(min(page), ' to ', max(page), ', allowed 1 to 604') FROM v HAVING min(page) < 1 OR max(page) > 604
+        UNION ALL SELECT 'range', 'WARN', 'juz_number', concat(min(juz), ' to ', max(juz), ', allowed 1 to 30') FROM v HAVING min(juz) < 1 OR max(juz) > 30
+        UNION ALL SELECT 'range', 'WARN', 'ruku_number', 'no values'
+        UNION ALL SELECT 'coverage', 'WARN', name, concat(coalesce(k, 0), ' of 250 verses, ', 250 - coalesce(k, 0), ' missing') FROM {values(_PLAN, 'id, name')} LEFT JOIN (SELECT lang, count(*) AS k FROM documents GROUP BY lang) ON lang = name WHERE coalesce(k, 0) <> 250
+        UNION ALL SELECT 'checksum', 'INFO', 'a.db', '0123456789abcdef'
+    ) SELECT * FROM f
 """)
 def quality_report(spark, d):
-    docs, labels = table(spark, d, "documents"), table(spark, d, "labels").select("doc_id")
-    t = F.col("text")
-    count = lambda df, name, bad: df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("check_name"), F.when(F.col("n") > 0, bad).otherwise("OK").alias("severity"), "n")
-    return (
-        docs.agg(F.count_if(t.isNull() | (F.trim(t) == "")).alias("n")).select(F.lit("blank_text").alias("check_name"), F.when(F.col("n") > 0, "FAIL").otherwise("OK").alias("severity"), "n")
-        .unionByName(count(R.orphans(docs.select("doc_id"), labels.withColumnRenamed("doc_id", "_l"), "doc_id", "_l"), "unlabelled", "WARN"))
-        .unionByName(count(R.orphans(labels, docs.select(F.col("doc_id").alias("_d")), "doc_id", "_d"), "orphans", "FAIL"))
+    """plans.quality.report on documents in the place of verses."""
+    i = F.col("doc_id")
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    none = F.lit(None)
+    verses = docs.select(
+        i.alias("id"), (i % 10 + 1).alias("surah_id"), i.alias("ayah_number"), F.when(i % 5 == 0, " ").otherwise(F.col("text")).alias("text_arabic_uthmani"), none.cast("string").alias("text_arabic_indopak"),
+        (i % 700).alias("page_number"), (i % 31).alias("juz_number"), none.cast("int").alias("ruku_number"), (i % 41 == 0).cast("int").alias("sajda"),
     )
+    resources = inline(spark, _PLAN, "id int, name string")
+    tables = {
+        "ayahs": verses,
+        "surahs": spark.range(11).select((F.col("id") + 1).alias("id"), (F.col("id") * 3).alias("total_ayahs")),
+        "resources": resources,
+        "translations": docs.join(resources, docs["lang"] == resources["name"]).select(F.col("id").alias("resource_id")),
+        "db_meta": inline(spark, [("source_checksums", '{"a.db": "0123456789abcdef0123"}')], "key string, value string"),
+    }
+    return Q.report(tables, _EXPECTED)
+
+
+_GLYPHS = [(1, 100, 0, 0), (2, 0, 5, 700), (3, 0, 0, 0), (4, 0, 5, 50), (0, 100, 0, 0)]
+
+
+@query(f"""
+    WITH g AS (SELECT conv_id, turn, glyph, advance, x, y FROM conversations JOIN {values(_GLYPHS, 'glyph, advance, x, y')} ON (turn + conv_id) % 5 = glyph),
+    r AS (SELECT *, sum(CASE WHEN advance <> 0 THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY turn) AS base FROM g),
+    b AS (SELECT conv_id, base, bool_or(advance = 0 AND y >= 600) AND bool_or(advance = 0 AND y < 600 AND x = 0 AND y = 0) AS bad, bool_or(glyph = 0) AS missing FROM r GROUP BY ALL)
+    SELECT conv_id, bool_or(bad) AS collapsed, bool_or(missing) AS missing FROM b GROUP BY conv_id
+""")
+def collapsed_stacks(spark, d):
+    """A conversation's turns stand for glyphs of five kinds."""
+    g = inline(spark, _GLYPHS, "glyph int, advance int, x int, y int")
+    turns = table(spark, d, "conversations").select("conv_id", "turn").withColumn("glyph", ((F.col("turn") + F.col("conv_id")) % 5).cast("int")).join(F.broadcast(g), "glyph")
+    texts = turns.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "glyph", "advance", "x", "y"))).alias("g"))
+    glyphs = F.transform("g", lambda s: F.struct(s["glyph"].alias("glyph"), s["advance"].alias("advance"), s["x"].alias("x"), s["y"].alias("y")))
+    return texts.select("conv_id", shaping.collapsed_stack(glyphs).alias("collapsed"), shaping.missing_glyph(glyphs).alias("missing"))
+
+
+@query("SELECT event_type AS key, max_by(props, event_id) AS value FROM events GROUP BY event_type")
+def kv_upsert(spark, d):
+    e = table(spark, d, "events").select(F.col("event_type").alias("key"), F.col("props").alias("value"), F.col("event_id").alias("seq"))
+    return R.upsert(e, ["key"], "seq")
 
 
 @query("""
@@ -388,5 +468,5 @@ def corpus_flow(spark, d):
     c = table(spark, d, "conversations")
     ids = S.running_id(c, ["conv_id", "turn"])
     m = S.marker_ordinals(ids.where("role = 'user' AND turn < 2").select("id"), "id")
-    x = S.expand_markers(ids.select("id", "conv_id"), m, ["id"], "n", "division").groupBy("conv_id").agg(F.min("id").cast("long").alias("first_id"), F.max("division").cast("long").alias("division"))
+    x = S.expand_markers(ids.select("id", "conv_id"), {"division": m}, ["id"], "n").groupBy("conv_id").agg(F.min("id").cast("long").alias("first_id"), F.max("division").cast("long").alias("division"))
     return R.ordered_concat(c, ["conv_id"], "turn", "text").join(x, "conv_id")

@@ -5,7 +5,7 @@
 
 All columns are read as strings, since SQLite checks types per value and casts belong to the
 reader of the column; `_rowid` is the position in the table. A table is read in ranges of
-rowids, a partition each; a view or a table without rowids in one. Files must be at a path
+rowids that hold equal numbers of rows, a partition each; a view or a table without rowids in one. Files must be at a path
 that all executors see.
 """
 
@@ -72,14 +72,18 @@ class _Reader(DataSourceReader):
         self.path, self.table, self.names = path, table, names
 
     def partitions(self) -> list[_Range]:
+        """Ranges of ROWS_PER_PARTITION rows, however far apart their rowids are."""
+        name, parts = _quoted(self.table), []
         with closing(_open(self.path)) as db:
             try:
-                low, high = db.execute(f"SELECT min(rowid), max(rowid) FROM {_quoted(self.table)}").fetchone()
+                low, high = db.execute(f"SELECT min(rowid), max(rowid) FROM {name}").fetchone()
             except sqlite3.OperationalError:
                 return [_Range(None, None)]
-        if low is None:
-            return [_Range(0, -1)]
-        return [_Range(a, min(a + ROWS_PER_PARTITION - 1, high)) for a in range(low, high + 1, ROWS_PER_PARTITION)]
+            while low is not None:
+                after = db.execute(f"SELECT rowid FROM {name} WHERE rowid >= ? ORDER BY rowid LIMIT 1 OFFSET ?", (low, ROWS_PER_PARTITION)).fetchone()
+                parts.append(_Range(low, after[0] - 1 if after else high))
+                low = after and after[0]
+        return parts or [_Range(0, -1)]
 
     def read(self, part: _Range) -> Iterator[tuple]:
         cells = ", ".join(f"CAST({_quoted(c)} AS TEXT)" for c in self.names)

@@ -1,14 +1,16 @@
 """Sources and the compiler on a small corpus of invented text."""
 
 import json
+import random
 import sqlite3
 from contextlib import closing
 
 import pytest
+from pyspark.sql import functions as F
 
 from lectern.__main__ import corpus_tables, main
 from lectern.operators.align import CARRIER
-from lectern.plans import corpus, quality
+from lectern.plans import corpus, quality, shaping
 from lectern.plans.resolve import pick, resolve, text_kind
 from lectern.sources import sqlite
 
@@ -82,6 +84,103 @@ def test_build_and_verify(spark, inputs, tmp_path):
     assert main(["verify", "--db", path]) == 1
 
 
+def test_command_line_builds(spark, inputs, tmp_path, caplog, monkeypatch, capsys):
+    import yaml
+
+    monkeypatch.setattr("lectern.__main__.session", lambda: spark)
+    marked, plain = f"ي{CARRIER}\u0653", "ي\u0653"
+    inputs["sources"]["arabic_uthmani"]["columns"] = {"word": "text"}
+    with closing(sqlite3.connect(inputs["sources"]["arabic_uthmani"]["file"])) as db:
+        db.execute("UPDATE words SET text = ? WHERE surah = 2 AND ayah = 1", (plain,))
+        db.commit()
+    (tmp_path / "t.json").write_text(json.dumps({"1:2": f"t{CARRIER}eh", "2:1": marked}, ensure_ascii=False), encoding="utf-8")
+    (tmp_path / "c.yaml").write_text(yaml.safe_dump(inputs, allow_unicode=True), encoding="utf-8")
+    with caplog.at_level("INFO", logger="lectern"):
+        assert main(["build", "--config", str(tmp_path / "c.yaml"), "--output", str(tmp_path / "o.db")]) == 0
+    said = [r.getMessage() for r in caplog.records]
+    assert {"verses, verses: 5", "verses, overrides applied: 1", "verses, carriers grafted: 1", "A, rows inserted: 2", "B, rows inserted: 5"} <= set(said)
+    with closing(sqlite3.connect(tmp_path / "o.db")) as db:  # needed carriers only, by default
+        assert [t for (t,) in db.execute("SELECT text_arabic_uthmani FROM ayahs ORDER BY id")] == ["alef beh", "teh", "jeem", marked, "changed"]
+        assert db.execute("SELECT count(*) FROM sqlite_master WHERE type = 'index' AND name LIKE 'idx_%'").fetchone() == (9,)
+        built = db.execute("SELECT value FROM db_meta WHERE key = 'built_at'").fetchone()[0]
+        assert built.endswith("+00:00")
+    with pytest.raises(FileNotFoundError, match="config"):
+        main(["build", "--config", str(tmp_path / "none.yaml")])
+    assert main(["build", "--config", str(tmp_path / "c.yaml"), "--no-graft"]) == 0 and str(tmp_path) in capsys.readouterr().out
+
+
+def test_command_line_prepares(spark, tmp_path, monkeypatch, capsys):
+    monkeypatch.setattr("lectern.__main__.session", lambda: spark)
+    make(tmp_path / "words.db", words=("id INT, surah INT, ayah INT, glyph TEXT", [(i, c, v, "x") for i, (c, v) in enumerate(VERSES, 1)]))
+    make(tmp_path / "layout.db", pages=("page_number INT, line_type TEXT, first_word_id, last_word_id, more", [(1, "ayah", 1, 5, "")]))
+    for name, table, column in (("juz", "juz", "juz_number"), ("hizb", "hizbs", "hizb_number"), ("rub", "rub", "rub_number"), ("ruku", "ruku", "ruku_number")):
+        make(tmp_path / f"{name}.sqlite", **{table: (f"{column} INT, first_verse_key TEXT", [(1, "1:1"), (2, "2:1")])})
+    make(tmp_path / "sajda.sqlite", sajdah=("verse_key TEXT", [("2:2",)]))
+    assert main(["prepare", "--sources", str(tmp_path)]) == 0
+    with closing(sqlite3.connect(tmp_path / "structure.sqlite")) as db:
+        assert db.execute("SELECT * FROM ayah_meta ORDER BY surah, ayah").fetchall()[-1] == (2, 2, 1, 2, 2, 2, 2, 1)
+    assert "expected 6236 verses, got 5" in capsys.readouterr().out
+
+
+def test_command_line_script_and_edition(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("lectern.__main__.session", lambda: spark)
+    (tmp_path / "s.json").write_text(json.dumps({f"{1 + i // 300}:{i % 300}": "a" for i in range(6236)}))
+    assert main(["script", str(tmp_path / "s.json"), str(tmp_path / "s.db")]) == 0
+    whole = {"data": {"surahs": [{"number": c, "ayahs": [{"numberInSurah": v, "text": "t"} for v in range(1, 55 if c > 80 else 56)]} for c in range(1, 115)]}}
+    extra = 6236 - sum(len(s["ayahs"]) for s in whole["data"]["surahs"])
+    whole["data"]["surahs"][0]["ayahs"] = [{"numberInSurah": v, "text": "t"} for v in range(1, 56 + extra)]
+    (tmp_path / "p.json").write_text(json.dumps(whole))
+    assert main(["edition", str(tmp_path / "p.json"), str(tmp_path / "e.db")]) == 0
+    for name, table in (("s", "arabic_text"), ("e", "translation")):
+        assert sqlite.row_count(str(tmp_path / f"{name}.db"), table) == 6236
+
+
+def test_null_names_are_errors(spark, inputs, tmp_path):
+    inputs["sources"]["surahs"] = {"file": make(tmp_path / "n.db", chapters=("id INT, name TEXT, name_simple TEXT", [(1, None, "One")]))}
+    with pytest.raises(Exception, match="name_arabic is null"):
+        corpus.compile_tables(spark, inputs)["surahs"].collect()
+
+
+def verse_tables(spark, second, **more):
+    rows = [(i, c, v, "x", second.get((c, v), "t"), 1, 1) for i, (c, v) in enumerate([(1, v) for v in range(1, 8)], 1)]
+    a = spark.createDataFrame(rows, "id int, surah_id int, ayah_number int, text_arabic_uthmani string, text_arabic_indopak string, juz_number int, sajda int")
+    return {
+        "ayahs": a, "surahs": spark.createDataFrame([(1, 7)], "id int, total_ayahs int"), "resources": spark.createDataFrame([(1, "A")], "id int, name string"),
+        "translations": spark.createDataFrame([(1,)] * 6, "resource_id int"), "db_meta": spark.createDataFrame([("source_checksums", json.dumps({"f": "0123456789abcdef01"}))], "key string, value string"), **more,
+    }
+
+
+def test_second_script_checks(spark):
+    e = quality.Expected(chapters=1, verses=7, carriers=0, flagged=7, ranges={"juz_number": (1, 30)}, opening=None)
+    good = {(1, 2): "\u0627\u064ex", (1, 4): "\u0645\u0670", (1, 5): "\u0627\u0650x", (1, 6): "\u0627\u0650"}
+    found = lambda second, **k: {(r["check_name"], r["severity"], r["subject"], r["message"]) for r in quality.report(verse_tables(spark, second), e, **k).collect()}
+    fine = {("coverage", "WARN", "A", "6 of 7 verses, 1 missing"), ("checksum", "INFO", "f", "0123456789abcdef")}
+    assert found(good) == fine | {("shaping", "WARN", "text_arabic_indopak", "glyphs not checked: no font given")}
+    bad = found({**good, (1, 5): "\u0627\u0650\u0625", (1, 6): "x", (1, 1): "\ue01a\u200b\u200d"})
+    assert {("leaked_glyphs", "FAIL", "text_arabic_indopak", "1 private-use characters"), ("leaked_controls", "FAIL", "text_arabic_indopak", "2 format controls")} <= bad
+    assert {r[2] for r in bad if r[0] == "canary"} == {"1:5", "1:6"}
+    glyph = "surah_id int, ayah_number int, glyphs " + shaping.GLYPHS
+    base, high, low, origin, none = (5, 100, 0, 0), (6, 0, 3, 700), (7, 0, 3, 40), (8, 0, 0, 0), (0, 9, 0, 0)
+    shaped = spark.createDataFrame([(1, 1, [base, high, low, base, origin]), (1, 2, [none, high, base]), (1, 3, [base, origin, low, high]), (1, 4, [high, origin, base]), (1, 5, [])], glyph)
+    rows = found(good, glyphs=shaped) - fine
+    assert rows == {("missing_glyphs", "WARN", "text_arabic_indopak", "1 verses have characters that the font lacks"), ("collapsed_marks", "FAIL", "text_arabic_indopak", "2 verses have marks that failed to stack: 1:3, 1:4")}
+
+
+def test_stacks_against_a_loop(spark):
+    rng = random.Random(3)
+    kinds = [(1, 100, 0, 0), (2, 0, 3, 600), (3, 0, 0, 0), (4, 0, 1, 0), (5, 0, 0, 599), (6, -5, 0, 0)]
+    texts = [[rng.choice(kinds) for _ in range(rng.randrange(9))] for _ in range(400)]
+
+    def collapsed(glyphs):
+        runs = [[]]
+        for g in glyphs:
+            runs.append([]) if g[1] else runs[-1].append(g)
+        return any(any(g[3] >= 600 for g in run) and any(g[2:] == (0, 0) for g in run) for run in runs)
+
+    df = spark.createDataFrame([(i, g) for i, g in enumerate(texts)], f"i int, g {shaping.GLYPHS}")
+    assert [r["x"] for r in df.select("i", shaping.collapsed_stack(F.col("g")).alias("x")).orderBy("i").collect()] == [*map(collapsed, texts)]
+
+
 def test_missing_inputs_leave_the_output_alone(spark, inputs, tmp_path):
     old = tmp_path / "out" / "corpus.db"
     old.parent.mkdir()
@@ -122,7 +221,7 @@ def test_script_and_payload(spark, tmp_path):
         corpus.edition_from_payload(spark, str(tmp_path / "p.json"))
 
 
-def test_sqlite_source(spark, tmp_path):
+def test_sqlite_source(spark, tmp_path, monkeypatch):
     path = make(tmp_path / "x.db", little=("a INT", [(1,)]), big=("a INT, b TEXT", [(i, None if i == 2 else i / 2) for i in range(5)]), also=("a INT", [(i,) for i in range(5)]))
     assert sqlite.tables(path) == ["little", "big", "also"] and sqlite.columns(path, "big") == ["a", "b"] and sqlite.row_count(path, "big") == 5
     assert sqlite.data_table(path) == "big" and sqlite.data_table(path, "little") == "little"
@@ -138,7 +237,15 @@ def test_sqlite_source(spark, tmp_path):
         db.execute("CREATE TABLE keyed (k TEXT PRIMARY KEY, v INT) WITHOUT ROWID")
         db.execute("INSERT INTO keyed VALUES ('a', 1), ('b', 2)")
         db.commit()
+        db.execute("CREATE TABLE far (v INT)")
+        db.executemany("INSERT INTO far (rowid, v) VALUES (?, ?)", [(r, i) for i, r in enumerate((-(2**62), -1, 0, 5, 2**40, 2**62))])
+        db.commit()
     assert sorted(map(tuple, sqlite.read_table(spark, path, "keyed").collect())) == [("a", "1", 1), ("b", "2", 2)]
+    for n in (1, 2, 4, 6, 250_000):  # parts are counted in rows, however far the rowids lie apart
+        monkeypatch.setattr(sqlite, "ROWS_PER_PARTITION", n)
+        parts = sqlite._Reader(path, "far", ["v"]).partitions()
+        assert len(parts) == -(-6 // n)
+        assert [v for p in parts for v, _ in sqlite._Reader(path, "far", ["v"]).read(p)] == list("012345")
 
 
 def test_checksums_agree(spark, tmp_path):

@@ -2,7 +2,8 @@
 
 import random
 
-from pyspark.sql import functions as F
+import pytest
+from pyspark.sql import Window, functions as F
 
 from lectern.operators import relational as R, sequence as S
 
@@ -23,7 +24,7 @@ def test_markers_both_ways(spark):
         markers = [(p, i) for i, p in enumerate(starts, 1)]
         want = carried(positions, markers)  # a later marker at the same place wins
         df, m = spark.createDataFrame([(p,) for p in positions], "p long"), spark.createDataFrame(markers, "p long, n int")
-        one = S.expand_markers(df, m, ["p"], "n", "d").collect()
+        one = S.expand_markers(df, {"d": m}, ["p"], "n").collect()
         two = S.expand_markers_by_interval(df, m, "p", "n", "d", 16).collect()
         assert {r["p"]: r["d"] for r in one} == want == {r["p"]: r["d"] for r in two}
         assert len(two) == len(positions)
@@ -31,9 +32,9 @@ def test_markers_both_ways(spark):
 
 def test_no_markers_and_no_positions(spark):
     df, none = spark.createDataFrame([(1,), (2,)], "p long"), spark.createDataFrame([], "p long, n int")
-    assert [r["d"] for r in S.expand_markers(df, none, ["p"], "n", "d").collect()] == [0, 0]
+    assert [r["d"] for r in S.expand_markers(df, {"d": none}, ["p"], "n").collect()] == [0, 0]
     assert sorted(r["d"] for r in S.expand_markers_by_interval(df, none, "p", "n", "d", 8).collect()) == [0, 0]
-    assert S.expand_markers(df.limit(0), none, ["p"], "n", "d").count() == 0
+    assert S.expand_markers(df.limit(0), {"d": none}, ["p"], "n").count() == 0
 
 
 def test_range_join_last_wins(spark):
@@ -45,10 +46,54 @@ def test_range_join_last_wins(spark):
     assert {r["p"]: r["i"] for r in got.collect()} == want
 
 
-def test_ids_agree(spark):
-    df = spark.createDataFrame([(i * 37 % 101, i % 3) for i in range(101)], "a int, b int")
-    one, two = (sorted(map(tuple, f(df, ["a"]).collect())) for f in (S.running_id, S.running_id_by_range))
-    assert one == two and [r[2] for r in one] == list(range(1, 102))
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+def test_running_id_of_wide_rows(spark, adaptive):
+    """Every row, each with its own id, whatever other columns there are and however ranges are dealt."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.shuffle.partitions")}
+    try:
+        for k, v in zip(old, (adaptive, "1m", "16")):
+            spark.conf.set(k, v)
+        n = 300_000
+        rows = spark.range(n).select(F.xxhash64("id").alias("a"), F.sha2(F.col("id").cast("string"), 256).alias("wide"), F.lit("mine").alias("_at"))
+        got = S.running_id(rows, ["a"])
+        assert got.columns == ["a", "wide", "_at", "id"]
+        both = got.join(rows.select(F.col("a").alias("b"), F.col("wide").alias("w")), F.col("a") == F.col("b")).where("wide = w AND _at = 'mine'")
+        by_window = F.row_number().over(Window.orderBy("a"))
+        assert both.agg(F.count(F.lit(1)), F.count_distinct("id"), F.min("id"), F.max("id")).first() == (n, n, 1, n)
+        assert got.withColumn("want", by_window).where("want <> id").count() == 0
+        values = rows.withColumn("v", F.when(F.col("a") % 5000 == 0, F.col("wide")))
+        carried = S.carry_forward(values, ["a"], ["v"])
+        want = values.withColumn("v", F.last("v", ignorenulls=True).over(Window.orderBy("a").rowsBetween(Window.unboundedPreceding, 0)))
+        assert carried.exceptAll(want).count() == 0 == want.exceptAll(carried).count() and carried.count() == n
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def test_running_id_edges(spark):
+    df = spark.createDataFrame([(2, "b"), (None, "n"), (1, "x"), (1, "y")], "a int, id_ string")
+    got = sorted((r["id"], r["a"]) for r in S.running_id(df, ["a"]).collect())
+    assert got == [(1, None), (2, 1), (3, 1), (4, 2)]
+    assert S.running_id(df.limit(0), ["a"]).count() == 0
+    assert [r["v"] for r in S.carry_forward(spark.createDataFrame([(1, None), (2, None)], "a int, v int"), ["a"], ["v"]).collect()] == [None, None]
+
+
+def test_first_offenders_and_upsert(spark):
+    rows = [(1, "b", 1), (1, "a", 2), (1, "a", 3), (1, "c", 4), (2, None, 5), (3, "z", 6), (3, None, 7)]
+    df = spark.createDataFrame(rows, "g int, k string, o int")
+    assert {r["g"]: r["s"] for r in R.first_offenders(df, ["g"], F.col("k"), 2, "s").collect()} == {1: "a, b", 2: "", 3: "z"}
+    assert {r["g"]: r["k"] for r in R.upsert(df, ["g"], "o").collect()} == {1: "c", 2: None, 3: None}
+
+
+def test_shared_folder(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from lectern import shared
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):  # a cluster without a shared folder
+        shared.shared_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(master="spark://host:7077", getConf=lambda: SimpleNamespace(get=lambda k: None))))
+    assert shared.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    assert shared.unused_prefix(spark.createDataFrame([(1, 1)], "_A int, __b int")) == "___"
 
 
 def test_ordered_concat_is_stable_and_skips_nulls(spark):
