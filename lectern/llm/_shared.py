@@ -2,39 +2,35 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from pyspark.sql import Column, DataFrame, functions as F
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from lectern.shared import materialise, quoted, shared_dir, unused_prefix
+
+__all__ = ["SPACE", "broadcast_if", "column", "materialise", "own_columns", "quoted", "shared_dir", "sortable", "unused_prefix", "whole_text"]
 
 #: ASCII white space as the operators understand it: space and U+0009 to U+000D.
 SPACE = r"\x20\x09-\x0D"
 
 
+def column(name: str) -> Column:
+    return F.col(quoted(name))
+
+
 def whole_text(name: str = "text") -> Column:
     """The text column as a string; null counts as empty."""
-    return F.coalesce(F.col(name).cast("string"), F.lit(""))
+    return F.coalesce(column(name).cast("string"), F.lit(""))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
+def own_columns(df: DataFrame) -> list[Column]:
+    """The columns of df, whatever their names."""
+    return [column(c) for c in df.columns]
 
-    It is what the cluster names in spark.checkpoint.dir. Only where that is unset, as in
-    tests on one machine, a temporary folder is made and set.
-    """
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not where:
-        where = tempfile.mkdtemp(prefix="lectern-")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
 
+def sortable(df: DataFrame) -> list[Column]:
+    """The columns of df that have an order."""
+    return [column(f.name) for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as Parquet into the shared folder and reads it back.
 
-    This cuts the lineage: a lost executor costs no recomputation of what stands before.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def broadcast_if(df: DataFrame, most: int) -> DataFrame:
+    """df, a written table, with a broadcast hint if it has at most so many rows."""
+    return F.broadcast(df) if df.count() <= most else df

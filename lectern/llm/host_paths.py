@@ -1,27 +1,37 @@
 """Main text of web pages by the paths on which a host's pages agree.
 
 1. Each page is parsed; the text of a block counts for the container it stands in, and half
-   for the next one out; text in links counts against both. The best container of a page
-   votes, by its score, for its generalised path: the tags and classes from the root,
-   digits as #.
+   for the next one out; text in links counts against both. The best container of a page,
+   widened to the article around it, votes, by its score, for its generalised path: the tags
+   and classes from the root, digits as #.
 2. Votes are added up per (host, path) in Spark; a host's winner is the path with most votes.
 3. Each page of the host is parsed again and its text is taken from the elements on the
    winning path; a page that has none, or whose host has no votes, uses its own best container.
 
+Widening: the nearest article or main element around the best container if there is one, then
+further out while what is added is text like an article's: a headline or paragraphs beside
+the container, or sections beside it that hold paragraphs, and few links.
+
 What is left out everywhere: scripts, styles and other parts without text, menus, headers,
 footers, sidebars, notices, adverts, forms and reader comments, known by tag, role or
 class. A class or id does not make noise of what holds the main element, the only visible
 article or most of the page's text. Character references are decoded, white space within a block becomes one space,
 blocks are joined by one space.
 
+Parsing goes through a page once and never back: tags are matched without backtracking, and
+how many elements of a tag are open is known, so its time and memory are in proportion to
+the page however broken or deep it is.
+
 Votes are combined per task before they are shuffled, so a host with a third of all pages
 sends a row per task and path. The winners, a row per host, are written and counted: up to
 BROADCAST_HOSTS of them are broadcast and no page is shuffled; beyond, pages meet them in
-an equi-join, which adaptive execution splits for such a host.
+an equi-join, for which pages without a host and the pages of a host are salted.
 
 Edge cases: null or empty html has empty text; a null url has no host. A page without any
 markup is its own text. Unclosed and crossing tags are closed where the next block or the
-parent's end comes. Repeated pages each get their row. No rows give no rows.
+parent's end comes; a tag or comment that the page's end cuts off is left out. A quote opens a
+value only behind =, and only if it is closed. Repeated pages each get their row. Other
+columns are ignored. No rows give no rows.
 """
 
 from __future__ import annotations
@@ -38,17 +48,20 @@ from ._shared import materialise
 #: Most hosts whose winners are broadcast: at some 100 bytes each, 10 MB.
 BROADCAST_HOSTS = 100_000
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|select|option|iframe|object|svg|math|canvas|audio|video|title|head)\b[^>]*>"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?][^>]*>",
-    re.S | re.I,
-)
-_ATTRIBUTE = re.compile(r"""([a-zA-Z_:][-\w:.]*)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|\bhidden\b()""")
+#: Salts over which the pages of a host are spread if they meet the winners in a join.
+SALTS = 32
 
-#: Elements that hold no readable text; everything up to their end tag is skipped.
-SKIPPED = frozenset("script style noscript template textarea select option iframe object svg math canvas audio video title head".split())
+#: Attributes of a tag. Nothing is tried twice: a part once matched is not given up again.
+_ATTRIBUTES = r"""(?:[\s/]++|=?[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+|(?=>)))?+|=)*+"""
+_START = re.compile(rf"<([a-zA-Z][^\s/>]*+)({_ATTRIBUTES})>")
+_END = re.compile(r"</([a-zA-Z][^\s/>]*+)[^>]*+>")
+_ATTRIBUTE = re.compile(r"""(=?[^\s/>=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s>"'][^\s>]*+)))?+""")
+_UNQUOTED_END = re.compile(r"""=\s*+[^\s"'][^\s]*+$""")
+
+#: Elements whose content is no markup; it is skipped up to their end tag.
+RAW = frozenset("script style textarea title noscript iframe".split())
+#: Elements that hold no readable text. One that is never closed hides nothing, but for options.
+SKIPPED = frozenset("template select option object svg math canvas audio video head".split())
 #: Elements left out with all they contain.
 NOISE_TAGS = frozenset("nav header footer aside form button dialog menu".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
@@ -69,17 +82,20 @@ REPLIES = frozenset("comment comments commentlist disqus reply replies".split())
 #: Elements without content.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that do not end a line.
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby s samp small span strike strong sub sup time tt u var wbr img".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby s samp small span strike strong sub sup time tt u var wbr img object svg math canvas audio video select".split())
 #: Blocks whose text counts for the element around them.
 LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dt dd pre blockquote td th tr tbody thead table ul ol dl figure figcaption caption address summary".split())
 #: A start tag of a block ends an open one of these.
-_CLOSES = {"p": None, "li": frozenset({"ul", "ol"}), "dt": frozenset({"dl"}), "dd": frozenset({"dl"}), "tr": frozenset({"table"}), "td": frozenset({"tr", "table"}), "th": frozenset({"tr", "table"}), "option": None}
+_CLOSES = frozenset("p li dt dd tr td th option".split())
+#: These end each other as well.
+_PAIRS = {"dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th")}
+_RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*+>", re.I) for name in RAW}
 _ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main menu nav ol p pre section table ul".split())
 _SPLIT = re.compile(r"[^a-z]+")
 _HEADING = re.compile("h[1-6]")
 #: Why an element is noise.
 NONE, NAMED, REPLY, SURE = 0, 1, 2, 3
-_traits: dict[tuple[str, str], tuple[str, int]] = {}
+_traits: dict[tuple[str, str], tuple[str, int, bool]] = {}
 
 
 def _noise_word(name: str) -> str:
@@ -92,23 +108,20 @@ def _noise_word(name: str) -> str:
     return words[0] if words[0] in NOISE_WORDS and all(w in PARTS or w in NOISE_WORDS for w in words[1:]) else ""
 
 
-def _trait(tag: str, attributes: str) -> tuple[str, int]:
-    """(step of the path, why it is noise) of an element; remembered, as pages repeat them."""
+def _trait(tag: str, attributes: str) -> tuple[str, int, bool]:
+    """(step of the path, why it is noise, whether the tag closes itself) of an element; remembered, as pages repeat them."""
     got = _traits.get((tag, attributes))
     if got is None:
-        found, hidden = {}, False
+        found: dict[str, str] = {}
         for m in _ATTRIBUTE.finditer(attributes):
-            if m[1]:
-                found.setdefault(m[1].lower(), entities.unescape(m[2] or m[3] or m[4] or ""))
-            else:
-                hidden = True
+            found.setdefault(m[1].lower(), entities.unescape(m[2] or m[3] or m[4] or ""))
         classes = found.get("class", "").lower().split()
         names = found.get("class", "").split()
         if "id" in found and not (tag == "section" or _HEADING.fullmatch(tag)):  # the ids of these are made of their headings
             names.append(found["id"])
         words = set(map(_noise_word, names)) - {""}
-        hidden = hidden or "hidden" in found or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
-        if tag in NOISE_TAGS or hidden or found.get("role", "").lower() in NOISE_ROLES:
+        hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
+        if tag in NOISE_TAGS or tag in SKIPPED or hidden or found.get("role", "").lower() in NOISE_ROLES:
             noise = SURE
         elif tag in ("html", "body", "main", "article"):
             noise = REPLY if "comment" in words else NONE
@@ -117,87 +130,165 @@ def _trait(tag: str, attributes: str) -> tuple[str, int]:
         step = ".".join([tag, *sorted({re.sub(r"\d+", "#", c) for c in classes})])
         if len(_traits) > 50_000:
             _traits.clear()
-        got = _traits[tag, attributes] = step, noise
+        got = step, noise, attributes.endswith("/") and not _UNQUOTED_END.search(attributes)
+        if len(attributes) <= 1000:
+            _traits[tag, attributes] = got
     return got
 
 
 class Page:
     """The elements and text blocks of a page.
 
-    Element 0 is the page itself. parent, tag, path and noise are lists by element; texts
-    has (element of the block, innermost element, text, whether a new line starts before it, in a link).
+    Element 0 is the page itself. parent, tag, path, box and noise are lists by element: path
+    is a number that elements with equal paths share (steps tells, for each, the one above and
+    the last step), box the container that text directly in the element counts for; texts
+    has (innermost element, container, text, whether a new line starts before it, in a link).
     """
 
     def __init__(self, html: str):
-        self.parent, self.tag, self.path, self.noise = [0], [""], [""], [False]
-        why = [NONE]
-        self.texts: list[tuple[int, str, bool, bool]] = []
-        stack, blocks, links, new_line = [0], [0], 0, True
-        parent, tags, texts = self.parent, self.tag, self.texts
+        self.parent, self.tag, self.path, self.box, self.noise = [0], [""], [0], [0], [False]
+        self.steps: list[tuple[int, str]] = [(0, "")]
+        self.numbers: dict[tuple[int, str], int] = {}
+        self.texts: list[tuple[int, int, str, bool, bool]] = []
+        parent, tags, path, box, texts = self.parent, self.tag, self.path, self.box, self.texts
+        why, closed, depth_of = [NONE], [True], [0]
+        stack, blocks, opened = [0], [0], {}  # open elements, those of them that are no inline ones, and how many by tag
+        links, new_line = 0, True
+        ended: set[str] = set()  # raw elements of which no end tag is left
 
         def pop_to(depth: int) -> None:
             nonlocal links, new_line
             for e in stack[depth:]:
+                opened[tags[e]] -= 1
                 links -= tags[e] == "a"
-                if blocks[-1] == e:
-                    blocks.pop()
-                    new_line = True
             del stack[depth:]
+            while depth_of[blocks[-1]] >= depth:
+                blocks.pop()
+                new_line = True
 
-        at, n = 0, len(html)
-        for m in iter(lambda: _TOKEN.search(html, at), None):
-            start = m.start()
-            if start > at:
-                texts.append((stack[-1], blocks[-1], html[at:start], new_line, links > 0))
+        def text(start: int, stop: int) -> None:
+            nonlocal new_line
+            if stop > start:
+                texts.append((stack[-1], box[blocks[-1]], html[start:stop], new_line, links > 0))
                 new_line = False
-            at = m.end()
-            if m[1]:  # skipped up to its end
+
+        at, done, n = 0, 0, len(html)  # done: the text before it is stored
+        while at < n:
+            at = html.find("<", at)
+            if at < 0 or at + 1 == n:
+                break
+            c = html[at + 1]
+            if c in "!?":
+                text(done, at)
+                if html.startswith("<!--", at):
+                    stop = html.find("-->", at + 2)  # <!--> is a whole comment
+                    done = at = stop + 3 if stop >= 0 else n
+                else:
+                    stop = html.find(">", at)
+                    done = at = stop + 1 if stop >= 0 else n
+                continue
+            if c == "/":
+                m = _END.match(html, at)
+                if not m:
+                    stop = html.find(">", at)
+                    if stop < 0 and not re.match("[A-Za-z]", html[at + 2 : at + 3]):
+                        break  # no tag, nor is one behind it
+                    text(done, at)
+                    done = at = stop + 1 if stop >= 0 else n
+                    continue
+                text(done, at)
+                done = at = m.end()
                 name = m[1].lower()
-                end = re.compile(rf"</{name}\s*>", re.I).search(html, at)
-                if name == "head" and (body := re.compile(r"<body\b", re.I).search(html, at)) and (not end or body.start() < end.start()):
-                    at = body.start()
+                if opened.get(name):
+                    depth = len(stack) - 1
+                    while tags[stack[depth]] != name:
+                        depth -= 1
+                    closed[stack[depth]] = True
+                    pop_to(depth)
                 else:
-                    at = end.end() if end else n if name in ("script", "style") else at
+                    new_line = new_line or name not in INLINE
                 continue
-            if not m[3]:
+            if not (c.isascii() and c.isalpha()):
+                at += 1
                 continue
-            tag = m[3].lower()
-            if m[2]:
-                for depth in range(len(stack) - 1, 0, -1):
-                    if tags[stack[depth]] == tag:
-                        pop_to(depth)
-                        break
-                else:
-                    new_line = new_line or tag not in INLINE
+            m = _START.match(html, at)
+            text(done, at)
+            if not m:
+                done = at = n  # cut off
+                continue
+            done = at = m.end()
+            name = m[1].lower()
+            if name in RAW:
+                if name not in ended:
+                    end = _RAW_END[name].search(html, at)
+                    if end:
+                        done = at = end.end()
+                    else:
+                        ended.add(name)
+                        done = at = n if name in ("script", "style") else at
                 continue
-            if tag in VOID:
-                new_line = new_line or tag not in INLINE
+            if name in VOID:
+                new_line = new_line or name not in INLINE
                 continue
-            if tag in _ENDS_P or tag in _CLOSES:
-                for depth in range(len(stack) - 1, 0, -1):
-                    open_tag = tags[stack[depth]]
-                    if open_tag == "p" and tag in _ENDS_P or open_tag == tag and tag in _CLOSES or tag in ("dt", "dd") and open_tag in ("dt", "dd") or tag in ("td", "th") and open_tag in ("td", "th"):
-                        pop_to(depth)
+            if name == "body" and opened.get("head"):
+                pop_to(depth_of[next(e for e in blocks if tags[e] == "head")])
+            if name in _ENDS_P and opened.get("p") or opened.get(name) and name in _CLOSES or name in _PAIRS:
+                k = len(blocks) - 1
+                while k > 0:
+                    above = tags[blocks[k]]
+                    if above == "p" and name in _ENDS_P or above == name and name in _CLOSES or above in _PAIRS.get(name, ()):
+                        closed[blocks[k]] = True
+                        pop_to(depth_of[blocks[k]])
                         break
-                    if open_tag not in INLINE and open_tag != "p":
+                    if above != "p":
                         break
-            step, noise = _trait(tag, m[4])
-            up = stack[-1]
+                    k -= 1
+            step, noise, alone = _trait(name, m[2])
+            up, e = stack[-1], len(parent)
             parent.append(up)
-            tags.append(tag)
-            self.path.append(f"{self.path[up]}>{step}" if tag not in INLINE else self.path[up])
+            tags.append(name)
             why.append(noise)
-            e = len(parent) - 1
-            if not m[4].endswith("/"):
-                stack.append(e)
-                links += tag == "a"
-            if tag not in INLINE:
-                blocks.append(e)
+            if name in INLINE:
+                path.append(path[up])
+                box.append(box[blocks[-1]])
+            else:
+                key = path[up], step
+                number = self.numbers.get(key)
+                if number is None:
+                    number = self.numbers[key] = len(self.steps)
+                    self.steps.append(key)
+                path.append(number)
+                box.append(box[up] if name in LEAVES else e)
                 new_line = True
-        if at < n:
-            texts.append((stack[-1], blocks[-1], html[at:], new_line, links > 0))
+            depth_of.append(len(stack))
+            closed.append(alone)
+            if not alone:
+                stack.append(e)
+                opened[name] = opened.get(name, 0) + 1
+                links += name == "a"
+                if name not in INLINE:
+                    blocks.append(e)
+        text(done, n)
+        for e in range(1, len(why)):
+            if why[e] == SURE and tags[e] in SKIPPED and tags[e] != "option" and not closed[e]:
+                why[e] = NONE
         self._mark(why)
 
+    def spelled(self, element: int) -> str:
+        """The path of an element, its steps joined by >."""
+        out, number = [], self.path[element]
+        while number:
+            number, step = self.steps[number]
+            out.append(step)
+        return ">".join(reversed(out))
+
+    def on_path(self, path: str) -> set[int]:
+        """The elements with this path."""
+        number = 0
+        for step in path.split(">"):
+            number = self.numbers.get((number, step), -1)
+        return {e for e, x in enumerate(self.path) if x == number and self.tag[e] not in INLINE} if number > 0 else set()
+
     def _mark(self, why: list[int]) -> None:
         """Sets noise. A name makes no noise of what holds most of the page's text, or its main element or only visible article."""
         parent, tags, n = self.parent, self.tag, len(self.parent)
@@ -226,8 +317,10 @@ class Page:
             articles = [e for e in range(1, n) if tags[e] == "article" and not sure[e] and why[e] == NONE]
             if not anchors and articles and all(named[e] for e in articles):
                 anchors = [max(articles, key=size.__getitem__)]
+            seen = [False] * n
             for e in anchors:
-                while e:
+                while e and not seen[e]:
+                    seen[e] = True
                     why[e], e = (why[e] if why[e] == SURE else NONE), parent[e]
         self.noise = [False] * n
         for e in range(1, n):
@@ -236,15 +329,12 @@ class Page:
     def scores(self) -> dict[int, int]:
         """By container, twice the characters of its blocks and once those of the next level, less text in links."""
         out: dict[int, int] = {}
-        for inner, block, text, _, link in self.texts:
+        for inner, box, text, _, link in self.texts:
             if self.noise[inner]:
                 continue
             n = len(text.strip())
             if not n:
                 continue
-            box = block
-            while self.tag[box] in LEAVES:
-                box = self.parent[box]
             n = -n if link else n
             out[box] = out.get(box, 0) + 2 * n
             if box:
@@ -252,9 +342,49 @@ class Page:
         return out
 
     def best(self) -> tuple[int, int]:
-        """(container, score); of equal ones the innermost."""
+        """(container, score); of equal ones the innermost. The container is widened to the article around it."""
         score, box = max(((s, e) for e, s in self.scores().items()), default=(0, 0))
-        return box, score
+        return (self._widened(box) if box else box), score
+
+    def _widened(self, box: int) -> int:
+        parent, tags, n = self.parent, self.tag, len(self.parent)
+        own, size, links, prose = [0] * n, [0] * n, [0] * n, [False] * n  # characters: in the container itself, in all of it, of them in links; holds paragraphs
+        head, headed = [False] * n, [False] * n  # within a headline; a container with a headline of its own
+        for e in range(1, n):
+            head[e] = tags[e] in ("h1", "h2") or tags[e] in INLINE and head[parent[e]]
+        for inner, b, text, _, link in self.texts:
+            if not self.noise[inner] and (k := len(text.strip())):
+                size[b] += k
+                links[b] += k * link
+                own[b] += k * (not link)
+                prose[b] = prose[b] or not link and inner != b
+                headed[b] = headed[b] or head[inner]
+        for e in range(n - 1, 0, -1):
+            size[parent[e]] += size[e]
+            links[parent[e]] += links[e]
+            prose[parent[e]] |= prose[e]
+        beside: dict[int, list[int]] = {0: []}
+        up, e = box, box
+        while e:
+            beside[e] = []
+            if tags[e] in ("article", "main") and (tags[up] not in ("article", "main")):
+                up = e
+            e = parent[e]
+        for e in range(1, n):
+            if parent[e] in beside and size[e]:
+                beside[parent[e]].append(e)
+        e = up
+        while e and tags[parent[e]] != "html" and not self.noise[parent[e]]:
+            p = parent[e]
+            more, linked = size[p] - size[e], links[p] - links[e]
+            others = [x for x in beside[p] if x != e and tags[x] not in LEAVES and tags[x] not in INLINE]
+            like = bool(others) and tags[p] not in ("", "body", "main") and all(prose[x] and 3 * links[x] <= size[x] for x in others)
+            if more and (3 * linked > more or not (headed[p] if tags[p] in ("", "body") else own[p] or like)):
+                break
+            if more:
+                up = p
+            e = p
+        return up
 
     def text_of(self, boxes: set[int]) -> str:
         """The text of what stands in any of these elements."""
@@ -275,7 +405,7 @@ def extract(html: str | None, winner: str | None) -> str:
     if not html:
         return ""
     page = Page(html)
-    boxes = {e for e, p in enumerate(page.path) if p == winner and page.tag[e] not in INLINE} if winner else set()
+    boxes = page.on_path(winner) if winner else set()
     text = page.text_of(boxes) if boxes else ""
     return text or page.text_of({page.best()[0]})
 
@@ -296,7 +426,8 @@ def vote(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> Data
                 page = Page(html)
                 box, score = page.best()
                 if score > 0:
-                    rows[host, page.path[box]] = rows.get((host, page.path[box]), 0) + score
+                    path = page.spelled(box)
+                    rows[host, path] = rows.get((host, path), 0) + score
             yield pd.DataFrame([(*k, v) for k, v in rows.items()], columns=["host", "path", "votes"])
 
     known = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html")).where("host IS NOT NULL AND html IS NOT NULL AND html <> ''")
@@ -315,6 +446,11 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
     rows = pages.select(F.col(id_col).cast("string").alias("key"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(F.col(url_col)).alias("host"))
     winners = materialise(vote(pages, url_col, html_col), "winners")
-    winners = F.broadcast(winners) if winners.count() <= BROADCAST_HOSTS else winners
-    joined = rows.join(winners, "host", "left").select("key", "url", "html", "path")
+    if winners.count() <= BROADCAST_HOSTS:
+        joined = rows.join(F.broadcast(winners), "host", "left")
+    else:  # pages without a host and those of a large one are spread over the salts
+        salted = rows.withColumn("salt", F.when(F.col("host").isNull(), None).otherwise(F.pmod(F.xxhash64("key"), F.lit(SALTS))).cast("int"))
+        spread = winners.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = salted.where("host IS NOT NULL").join(spread, ["host", "salt"], "left").unionByName(salted.where("host IS NULL").withColumn("path", F.lit(None).cast("string")))
+    joined = joined.select("key", "url", "html", "path")
     return joined.mapInPandas(run, f"`{id_col}` string, `{url_col}` string, text string, n_chars long").withColumn(id_col, F.col(f"`{id_col}`").cast(kind))

@@ -295,6 +295,82 @@ def test_names_that_are_no_noise():
     assert get(f"<article><p>short</article><div class=ad>{text}</div>") == "short"
 
 
+def test_no_text_is_lost_to_quotes_or_broken_tags():
+    get = lambda body: host_paths.extract(page(f"<article>{body}</article>"), None)
+    assert get("<p title=it's>One...</p><p>Two, don't lose.</p><p>Three.</p>") == "One... Two, don't lose. Three."
+    assert get("""<p it's title = "a > b" x='>'>One</p><p class=a"b>5 < 6 </ p>two<//>.</p>""") == "One 5 < 6 two."
+    assert get("<p>a<!-- x > -- <p> -->b<!>c<?php echo '>'?></p>") == "abc'?>"  # as a browser reads it
+    assert host_paths.extract("<p>One <b>two</b> <a href='x", None) == "One two"
+    assert host_paths.extract("x < y & z &lt; <", None) == "x < y & z < <"
+    assert get("<p>One<svg>no</svg><object>two") == "Onetwo"  # an object that is never closed hides nothing
+    assert get("<select><option>no<option>no</select><div/>yes <a href=http://x/>link</a>") == "yes link"
+
+
+def test_headlines_and_sections_around_the_body():
+    text = "Some words of a story that goes on and on. " * 9
+    clean = text.strip()
+    get = lambda body: host_paths.extract(page(body), None)
+    assert get(f"<article><h1>Head</h1><p>Lead</p><div class='body'><p>{text}</p></div></article>") == f"Head Lead {clean}"
+    assert get(f"<div class=post><h1>Head</h1><p>Lead</p><div class='body'><p>{text}</p></div></div>") == f"Head Lead {clean}"
+    assert get(f"<div class=post><section class=intro><p>{text}</section><section class=body><p>{text * 3}</section></div>") == f"{clean} {(text * 3).strip()}"
+    assert get(f"<article><div><div class=a><p>{text}</div><div class=b><p>{text}</div></div><div class=c><h2>End</h2><p>bye</div></article>") == f"{clean} {clean} End bye"
+    assert get(f"<h1>Head</h1><div class=text><p>{text}</div>") == f"Head {clean}"
+    assert get(f"<div class=text><p>{text}</div><div class=more><ul><li><a href=x>{clean[:80]}</a></ul></div><p>(c) us") == clean
+    assert get(f"<main><h1>Head</h1><article><p>{text}</article></main>") == f"Head {clean}"
+
+
+def test_time_and_memory_grow_with_the_page():
+    import time
+
+    def seconds(html):
+        began = time.process_time()
+        host_paths.extract(html, "html>body>div")
+        return time.process_time() - began
+
+    shapes = ["<a ", "<a x='", '<p title="', "<!-- ", "</x ", "<p>x</b>", "<textarea>x", "<li><b>", "<ul><li>a", "<b><li>x</li>", "<script>", "<main><div>x", "< ", "</", "<div class=comment>x", "<x y", "=\"'<p ", "<blockquote>a"]
+    for shape in shapes:
+        small, large = "<body>" + shape * (60_000 // len(shape)), "<body>" + shape * (600_000 // len(shape))
+        assert seconds(large) < 40 * seconds(small) + 1, shape
+    deep = "<div class=c>" * 50_000 + "<p>bottom" + "</span>" * 50_000
+    assert host_paths.extract(deep, None) == "bottom" and seconds(deep) < 10
+    assert seconds("<a " * 350_000) < 2
+
+
+def test_main_text_against_a_dom_walk(spark, monkeypatch):
+    """Pages made from a tree; the plain walk over that tree says what must come out. Both ways of meeting the winners."""
+    rng = random.Random(9)
+    word = lambda: rng.choice(["alpha", "be&amp;ta", "it's", "5 &lt; 6", "é&eacute;", "x\n y", '"q"'])
+    import html as entities
+
+    def block():
+        """(markup, text or nothing)."""
+        text = " ".join(word() for _ in range(rng.randint(3, 30)))
+        seen = " ".join(entities.unescape(text).split())
+        kind = rng.randrange(9)
+        if kind == 0:
+            return f"<nav class='c{rng.randrange(9)}'><p>{text}</p></nav>", ""
+        if kind == 1:
+            return f"<div class=advert title=it's><p>{word()}</div>", ""
+        if kind == 2:
+            return f"<script>var a = '<p>{text}</p>'</script><!-- <p>{text}</p> -->", ""
+        if kind == 3:
+            return f"<ul><li>{text}<li><b>{text}</b></ul>", f"{seen} {seen}"
+        if kind == 4:
+            inner = [block() for _ in range(rng.randint(1, 3))]
+            return "<section>" + "".join(m for m, _ in inner) + "</section>", " ".join(t for _, t in inner if t)
+        return f"<p data-x=\"a > b\" {'hidden2' if kind == 5 else ''}>{text}" + ("</p>" if kind != 6 else ""), seen
+
+    rows, want = [], {}
+    for i in range(150):
+        parts = [block() for _ in range(rng.randint(8, 16))]
+        rows.append((i, rng.choice(["http://a.org/x", "http://b.org/y", None, f"http://h{i}.org"]), page("<article>" + "".join(m for m, _ in parts) + "</article>")))
+        want[i] = " ".join(t for _, t in parts if t)
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for most in (host_paths.BROADCAST_HOSTS, 0):
+        monkeypatch.setattr(host_paths, "BROADCAST_HOSTS", most)
+        assert {r["page_id"]: r["text"] for r in host_paths.extract_pages(df).collect()} == want
+
+
 def test_hosts(spark):
     urls = ["HTTP://User@Www.X.org:80/a?b#c", "//y.org/z", "no host", None, "https:///"]
     got = [r[0] for r in spark.createDataFrame([(u,) for u in urls], "u string").select(host_paths.host_of(F.col("u"))).collect()]
