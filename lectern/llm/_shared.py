@@ -28,7 +28,7 @@ def own_columns(df: DataFrame) -> list[Column]:
 
 def sortable(df: DataFrame) -> list[Column]:
     """The columns of df that have an order."""
-    return [column(f.name) for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
+    return [column(f.name) for f in df.schema.fields if "map<" not in (kind := f.dataType.simpleString()) and "variant" not in kind]
 
 
 def broadcast_if(df: DataFrame, most: int) -> DataFrame:

@@ -37,9 +37,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from ._shared import shared_dir, whole_text
+from ._shared import column, materialise, shared_dir, whole_text
 
 END = 2
 #: Ids in a shard, about: a document is never split.
@@ -47,6 +47,8 @@ SHARD_IDS = 1 << 20
 #: A pair must occur so often; a round takes all pairs at least SHARE times as frequent as the most frequent one. Rounds go on while there is such a pair.
 LEAST, SHARE = 16, 0.01
 ANCHOR = 1024
+#: Most parts whose first positions are broadcast (a few MB); beyond, shards meet them in a join.
+BROADCAST_PARTS = 100_000
 #: Pieces that a worker remembers in each of two generations, and the longest such piece.
 MEMORY, LONGEST = 900_000, 40
 
@@ -111,6 +113,42 @@ _END = struct.pack("<I", END)
 _loaded: dict[str, TextEncoder] = {}
 
 
+def _places(chosen: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places in pair that hold one of chosen, which one): by a hash table, as most pairs are not chosen.
+
+    Those of chosen that fall into a slot that is taken go into another round with another multiplier.
+    """
+    bits = 20
+    table = np.zeros(1 << bits, np.int32)
+    left = np.arange(len(chosen))
+    places, found = [], []
+    for multiplier in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93):
+        slot = lambda x: (x.astype(np.uint64) * np.uint64(multiplier) >> np.uint64(64 - bits)).astype(np.int32)  # noqa: E731, B023
+        mine = slot(chosen[left])
+        table[:] = 0
+        table[mine] = left + 1
+        got = table[slot(pair)]
+        at = np.flatnonzero(got)
+        which = got[at] - 1
+        same = chosen[which] == pair[at]
+        places.append(at[same])
+        found.append(which[same])
+        left = left[table[mine] != left + 1]
+        if not len(left):
+            break
+    else:  # the few that met others three times
+        rest = chosen[left]
+        spot = np.minimum(np.searchsorted(rest, pair), len(rest) - 1)
+        at = np.flatnonzero(rest[spot] == pair)
+        places.append(at)
+        found.append(left[spot[at]])
+    if len(places) == 1:
+        return places[0], found[0]
+    places, found = np.concatenate(places), np.concatenate(found)
+    order = np.argsort(places, kind="stable")
+    return places[order], found[order]
+
+
 def compress(ids: np.ndarray, lengths: np.ndarray, terminals: int) -> bytes:
     """The shard of these documents."""
     seq = ids.astype(np.uint32)
@@ -142,9 +180,8 @@ def compress(ids: np.ndarray, lengths: np.ndarray, terminals: int) -> bytes:
         if enough == LEAST:
             newest = top  # later on counts of pairs of old symbols can but fall
         chosen = kinds[count >= enough]
-        which = np.minimum(np.searchsorted(chosen, pair), len(chosen) - 1)
-        hit = chosen[which] == pair
-        at, which = where[hit], which[hit]
+        hit, which = _places(chosen, pair)
+        at = where[hit]
         run = np.concatenate(([True], np.diff(at) != 1))  # of pairs that overlap, every second from the left
         began = np.maximum.accumulate(np.where(run, np.arange(len(at)), 0))
         second = (np.arange(len(at)) - began) % 2 == 0
@@ -245,7 +282,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, path: str | None = None,
         if held:
             yield shard()
 
-    ordered = docs.select(F.col(id_col).alias("key"), whole_text(text_col).alias("text")).repartitionByRange(F.col("key").asc_nulls_first()).sortWithinPartitions(F.col("key").asc_nulls_first(), "text")
+    ordered = docs.select(column(id_col).alias("key"), whole_text(text_col).alias("text")).repartitionByRange(F.col("key").asc_nulls_first()).sortWithinPartitions(F.col("key").asc_nulls_first(), "text")
     named = ordered.select(F.col("key").cast("string").alias("key"), "text")  # as a string: pandas has no whole numbers beside nulls
     shards = named.mapInPandas(run, "part int, nth int, before long, n_ids long, doc_ids array<string>, payload binary")
     shards.withColumn("doc_ids", F.col("doc_ids").cast(f"array<{kind}>")).write.option("compression", "zstd").parquet(path)
@@ -256,9 +293,9 @@ def read_documents(spark, path: str, id_col: str = "doc_id") -> DataFrame:
     """A row per document of the shards: id, start, n_tokens, ids_crc32."""
     shards = spark.read.parquet(path)
     kind = shards.schema["doc_ids"].dataType.elementType.simpleString()
-    parts = shards.groupBy("part").agg(F.sum("n_ids").alias("_n"))  # a row per part
-    whole = parts.groupBy().agg(F.array_sort(F.collect_list(F.struct("part", "_n"))).alias("_all"))
-    starts = whole.select(F.explode(F.aggregate("_all", F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<part:int,at:bigint>>").alias("out")), lambda x, p: F.struct((x["at"] + p["_n"]).alias("at"), F.concat(x["out"], F.array(F.struct(p["part"].alias("part"), x["at"].alias("at")))).alias("out")), lambda x: x["out"])).alias("s")).select("s.part", F.col("s.at").alias("_part_start"))
+    parts = materialise(shards.groupBy("part").agg(F.sum("n_ids").alias("_n")), "parts")  # a row per part
+    starts = parts.select("part", (F.sum("_n").over(Window.orderBy("part")) - F.col("_n")).alias("_part_start"))
+    starts = F.broadcast(starts) if parts.count() <= BROADCAST_PARTS else starts
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -269,5 +306,5 @@ def read_documents(spark, path: str, id_col: str = "doc_id") -> DataFrame:
                 crc = [zlib.crc32(ids[a:b].astype("<u4")) for a, b in zip(starts.tolist(), ends.tolist())]
                 yield pd.DataFrame({id_col: pd.Series(list(keys), dtype=object), "start": starts + first + before, "n_tokens": shard.lengths.astype(np.int64), "ids_crc32": np.array(crc, np.int64)})
 
-    rows = shards.join(F.broadcast(starts), "part").select("_part_start", "before", F.col("doc_ids").cast("array<string>").alias("doc_ids"), "payload")
+    rows = shards.join(starts, "part").select("_part_start", "before", F.col("doc_ids").cast("array<string>").alias("doc_ids"), "payload")
     return rows.mapInPandas(run, f"`{id_col}` string, start long, n_tokens long, ids_crc32 long").withColumn(id_col, F.col(f"`{id_col}`").cast(kind))
