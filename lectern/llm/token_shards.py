@@ -114,39 +114,24 @@ _loaded: dict[str, TextEncoder] = {}
 
 
 def _places(chosen: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(places in pair that hold one of chosen, which one): by a hash table, as most pairs are not chosen.
+    """(places in pair that hold one of chosen, sorted; which one): by a hash table, as most pairs are not chosen.
 
-    Those of chosen that fall into a slot that is taken go into another round with another multiplier.
+    A pair whose slot is another's, which chosen pairs may share, is looked up by binary search.
     """
-    bits = 20
-    table = np.zeros(1 << bits, np.int32)
-    left = np.arange(len(chosen))
-    places, found = [], []
-    for multiplier in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93):
-        slot = lambda x: (x.astype(np.uint64) * np.uint64(multiplier) >> np.uint64(64 - bits)).astype(np.int32)  # noqa: E731, B023
-        mine = slot(chosen[left])
-        table[:] = 0
-        table[mine] = left + 1
-        got = table[slot(pair)]
-        at = np.flatnonzero(got)
-        which = got[at] - 1
-        same = chosen[which] == pair[at]
-        places.append(at[same])
-        found.append(which[same])
-        left = left[table[mine] != left + 1]
-        if not len(left):
-            break
-    else:  # the few that met others three times
-        rest = chosen[left]
-        spot = np.minimum(np.searchsorted(rest, pair), len(rest) - 1)
-        at = np.flatnonzero(rest[spot] == pair)
-        places.append(at)
-        found.append(left[spot[at]])
-    if len(places) == 1:
-        return places[0], found[0]
-    places, found = np.concatenate(places), np.concatenate(found)
-    order = np.argsort(places, kind="stable")
-    return places[order], found[order]
+    slot = lambda x: (x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int32)
+    table = np.full(1 << 20, -1, np.int32)
+    table[slot(chosen)] = np.arange(len(chosen), dtype=np.int32)
+    which = table[slot(pair)]
+    at = np.flatnonzero(which >= 0)
+    which = which[at]
+    here = pair[at]
+    same = chosen[which] == here
+    others = np.flatnonzero(~same)
+    if len(others):
+        spot = np.minimum(np.searchsorted(chosen, here[others]), len(chosen) - 1)
+        which[others] = spot
+        same[others] = chosen[spot] == here[others]
+    return at[same], which[same]
 
 
 def compress(ids: np.ndarray, lengths: np.ndarray, terminals: int) -> bytes:
@@ -155,11 +140,13 @@ def compress(ids: np.ndarray, lengths: np.ndarray, terminals: int) -> bytes:
     left, right, size = [], [], [np.ones(terminals, np.uint32)]
     rounds: list[int] = []
     top, sizes = terminals, size[0]
+    counts = np.bincount(seq, minlength=terminals)
     stops = np.arange(terminals) == END  # symbols that end a document: no rule goes on behind them
     newest = 0  # from here on symbols are new since all pairs that occur LEAST times were replaced
     while len(seq) > 1:
-        often = np.bincount(seq, minlength=top) >= LEAST  # others are in no pair that is
-        may = (often & ~stops)[seq[:-1]] & often[seq[1:]]
+        often = counts >= LEAST  # others are in no pair that is
+        side = ((often & ~stops).astype(np.uint8) | often.astype(np.uint8) << 1)[seq]  # 1: may be a left symbol, 2: a right one
+        may = (side[:-1] & (side[1:] >> 1)).view(bool)
         if newest:
             new = seq >= newest
             may &= new[:-1] | new[1:]
@@ -186,7 +173,10 @@ def compress(ids: np.ndarray, lengths: np.ndarray, terminals: int) -> bytes:
         began = np.maximum.accumulate(np.where(run, np.arange(len(at)), 0))
         second = (np.arange(len(at)) - began) % 2 == 0
         at = at[second]
-        used, symbol = np.unique(which[second], return_inverse=True)
+        which = which[second]
+        times = np.bincount(which, minlength=len(chosen))
+        used = np.flatnonzero(times)
+        symbol = (np.cumsum(times > 0) - 1)[which]
         a, b = (chosen[used] >> kind(shift)).astype(np.uint32), (chosen[used] & low).astype(np.uint32)
         seq[at] = top + symbol
         keep = np.ones(len(seq), bool)
@@ -197,6 +187,10 @@ def compress(ids: np.ndarray, lengths: np.ndarray, terminals: int) -> bytes:
         size.append(sizes[a] + sizes[b])
         sizes = np.concatenate((sizes, size[-1]))
         stops = np.concatenate((stops, stops[b]))
+        times = times[used]
+        counts = np.concatenate((counts, times))
+        np.subtract.at(counts, a, times)
+        np.subtract.at(counts, b, times)
         rounds.append(len(used))
         top += len(used)
     positions = np.cumsum(sizes[seq], dtype=np.uint32) - sizes[seq]
