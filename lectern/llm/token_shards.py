@@ -17,10 +17,11 @@ shared folder, so they are committed as a whole and survive lost executors. The
 shuffled once, by ranges of the id; what the shards need from each other is one number a
 part.
 
-Encoding: a text is cut where the tokenizer's own first cut must fall, after a run of
-Latin letters before white space, a full stop or a comma, before white space, and between
-a lone line feed and a letter; the
-library encodes each distinct piece, and workers remember results within a fixed bound.
+Encoding: where all white space is single spaces and line feeds between other characters,
+the tokenizer's own first cut falls before each space and on both sides of each line feed.
+Such a text is cut there, the library encodes each distinct piece (for words its merges
+alone do), and workers remember results within a fixed bound. Any other text is encoded as
+a whole by the library.
 
 Edge cases: a null text is empty and has the end id only. Null ids come first; rows
 with equal ids are ordered by text. No rows give no shards and no rows.
@@ -37,6 +38,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ._shared import column, materialise, shared_dir, whole_text
@@ -49,12 +52,18 @@ LEAST, SHARE = 16, 0.01
 ANCHOR = 1024
 #: Most parts whose first positions are broadcast (a few MB); beyond, shards meet them in a join.
 BROADCAST_PARTS = 100_000
+#: Bytes of text that are encoded at a time, about.
+SLICE = 1 << 23
 #: Pieces that a worker remembers in each of two generations, and the longest such piece.
-MEMORY, LONGEST = 900_000, 40
+MEMORY, LONGEST = 450_000, 40
 
-_PIECES = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]++(?![^\s.,])|\n(?=[A-Za-zÀ-ÖØ-öø-ɏ])|\s*\S+|\s+")
-_WORD = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+")
-_ODD = re.compile(r"[\x1c-\x1f]")  # white space to this module's patterns but not to the tokenizer's
+_WORD = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+")
+_LETTERS = f"^{_WORD.pattern}$"
+#: Signs that, at the end of a piece, are a token's start of their own.
+_SIGNS = ",.;:!?)"
+_SIGNED = f"^{_WORD.pattern}[{_SIGNS}]$"
+#: What keeps a text from being cut: white space other than single spaces and line feeds between other characters.
+_UNEVEN = r"[\t\r\x0b\x0c\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[ \n][ \n]|^[ \n]|[ \n]$"
 
 
 def _byte_letters() -> dict[int, str]:
@@ -64,52 +73,126 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(0x100 + i) for i, b in enumerate(hidden)}
 
 
-class _Memory(dict):
-    """The ids of pieces, as bytes; what is missing comes from an older generation or the library."""
-
-    def __init__(self, tokenizer, older: dict[str, bytes]):
-        super().__init__()
-        self.tokenizer, self.merge, self.older, self.letters = tokenizer, tokenizer.model.tokenize, older, _byte_letters()
-        self.long: list[str] = []
-
-    def __missing__(self, piece: str) -> bytes:
-        got = self.older.get(piece)
-        if got is None:
-            if _WORD.fullmatch(piece):  # the tokenizer's first cut leaves it whole, so its merges alone decide
-                spelled = piece.replace(" ", self.letters[32]) if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
-                ids = [t.id for t in self.merge(spelled)]
-            else:
-                ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-            got = struct.pack(f"<{len(ids)}I", *ids)
-        if len(piece) > LONGEST:
-            self.long.append(piece)
-        self[piece] = got
-        return got
+def _text(value: str) -> pa.Scalar:
+    return pa.scalar(value, pa.large_string())
 
 
 class TextEncoder:
-    """Ids of texts by a byte-level BPE file of the tokenizers library."""
+    """Ids of texts by a byte-level BPE file of the tokenizers library.
+
+    A piece is what follows a space, or a line feed with what follows it. Of a word, letters
+    only, known has the ids as bytes; words that are missing go to the library together, where a
+    token that begins with the letter for a space begins the next word. Other pieces go
+    there one by one.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known = _Memory(self.tokenizer, {})
-
-    def encode(self, text: str) -> np.ndarray:
-        """The ids with the end id."""
+        self.merge, self.letters = self.tokenizer.model.tokenize, _byte_letters()
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.begins[[i for t, i in vocabulary.items() if t.startswith(self.letters[32])]] = True
+        self.line = self._whole("\n")
+        self.signs = [b"", *map(self._whole, _SIGNS)]
+
+    def _whole(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Of words behind a space."""
+        texts = [" " + " ".join(words[k : k + 1000]) for k in range(0, len(words), 1000)]
+        ids = np.concatenate([np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        starts = np.flatnonzero(self.begins[ids])
+        if len(starts) != len(words):
+            return [self._whole(" " + w) for w in words]
+        raw, at = ids.tobytes(), [*(starts * 4).tolist(), 4 * len(ids)]
+        return [raw[a:b] for a, b in zip(at, at[1:])]
+
+    def _other(self, piece: str) -> bytes:
+        if not piece:
+            return b""  # what stands before the line feed of a text
+        if piece[0] != "\n":
+            return self._whole(" " + piece)
+        if not _WORD.fullmatch(piece, 1):
+            return self._whole(piece)
+        word = piece[1:]  # letters only: the tokenizer's first cut leaves them whole, so its merges alone decide
+        ids = [t.id for t in self.merge(word if word.isascii() else word.encode().decode("latin-1").translate(self.letters))]
+        return self.line + struct.pack(f"<{len(ids)}I", *ids)
+
+    def _ids(self, pieces: pa.Array, are_words: np.ndarray) -> list[bytes]:
+        """Of distinct pieces; what a worker remembers has a fixed bound."""
         if len(self.known) > MEMORY:
-            self.known.older = {}
-            self.known = _Memory(self.tokenizer, self.known)
-        known = self.known
-        raw = b"".join(map(known.__getitem__, [text] if _ODD.search(text) else _PIECES.findall(text)))
-        while known.long:
-            known.pop(known.long.pop(), None)
-        return np.frombuffer(raw + _END, "<u4")
+            self.older, self.known = self.known, {}
+        names = pieces.to_pylist()
+        got = [*map(self.known.get, names)]
+        missing = [i for i, x in enumerate(got) if x is None]
+        if self.older and missing:
+            for i in missing:
+                got[i] = self.older.get(names[i])
+        new = [i for i in missing if got[i] is None]
+        words = [i for i in new if are_words[i]]
+        if words:
+            for i, x in zip(words, self._words([names[i] for i in words])):
+                got[i] = x
+        for i in new:
+            if got[i] is None:
+                got[i] = self._other(names[i])
+        self.known.update((names[i], got[i]) for i in missing if len(names[i]) <= LONGEST)
+        return got
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(the ids of all texts, each with the end id, how many each has)."""
+        uneven = pc.match_substring_regex(texts, _UNEVEN)
+        odd = np.flatnonzero(uneven.to_numpy(zero_copy_only=False))
+        even = pc.if_else(uneven, _text(""), texts) if len(odd) else texts
+        # Each text is put behind a line feed, whose id then stands where the end id of the text before must be.
+        lines = pc.replace_substring(pc.binary_join_element_wise(_text(""), even, _text("\n")), "\n", " \n")
+        cut = pc.split_pattern(lines, " ")
+        chunks = cut.flatten().dictionary_encode()
+        # A word with a sign behind it is the word's ids and the sign's.
+        distinct = chunks.dictionary
+        signed = pc.match_substring_regex(distinct, _SIGNED)
+        sign = pc.index_in(pc.utf8_slice_codeunits(distinct, -1), pa.array([*_SIGNS], pa.large_string())).fill_null(-1).to_numpy()
+        sign = np.where(signed.to_numpy(zero_copy_only=False), sign + 1, 0)
+        pieces = pc.if_else(signed, pc.utf8_slice_codeunits(distinct, 0, -1), distinct).dictionary_encode()
+        values = [*self._ids(pieces.dictionary, pc.match_substring_regex(pieces.dictionary, _LETTERS).to_numpy(zero_copy_only=False)), *self.signs]
+        flat = np.frombuffer(b"".join(values), "<u4")
+        length = np.fromiter(map(len, values), np.int64, len(values)) >> 2
+        two = np.stack((pieces.indices.to_numpy(), len(pieces.dictionary) + sign), 1).ravel()
+        flat, length = _gathered(flat, length, two), length[two].reshape(-1, 2).sum(1)
+        which, ends = chunks.indices.to_numpy(), cut.value_lengths().to_numpy().cumsum()
+        ids = np.append(_gathered(flat, length, which), np.uint32(END))
+        n = np.cumsum(length[which])[ends - 1]
+        n = np.diff(n, prepend=0)
+        starts = np.cumsum(n) - n
+        ids[starts] = END
+        ids = ids[1:]
+        if len(odd):
+            whole = [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, np.uint32) for t in texts.take(pa.array(odd)).to_pylist()]
+            more = np.array([len(x) for x in whole])
+            ids = np.insert(ids, np.repeat(starts[odd], more), np.concatenate(whole))
+            n[odd] += more
+        return ids, n
+
+
+_BLOCK = 1 << 20
+
+
+def _gathered(flat: np.ndarray, length: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """The runs of flat, whose lengths are given, in the order of which."""
+    first, parts = np.cumsum(length) - length, []
+    for k in range(0, len(which), _BLOCK):
+        n = length[which[k : k + _BLOCK]]
+        parts.append(flat[np.repeat(first[which[k : k + _BLOCK]] - (np.cumsum(n) - n), n) + np.arange(n.sum())])
+    return np.concatenate(parts) if parts else flat[:0]
 
 
-_END = struct.pack("<I", END)
 _loaded: dict[str, TextEncoder] = {}
 
 
@@ -247,38 +330,63 @@ class Shard:
         return self.read(start, start + int(self.lengths[nth]))
 
 
+_ROW = pa.schema([("part", pa.int32()), ("nth", pa.int32()), ("before", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.string())), ("payload", pa.binary())])
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """The texts and keys of a batch, in slices of about SLICE bytes of text; a text is never split."""
+    texts, keys = batch.column("text").cast(pa.large_string()), batch.column("key").cast(pa.string())
+    ends, done = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)), 0
+    while done < len(texts):
+        start = int(ends[done - 1]) if done else 0
+        stop = max(int(np.searchsorted(ends, start + SLICE, "right")), done + 1)
+        yield texts.slice(done, stop - done), keys.slice(done, stop - done)
+        done = stop
+
+
 def write_shards(docs: DataFrame, tokenizer_path: str, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", shard_ids: int = SHARD_IDS) -> str:
     """Encodes docs into a table of shards; returns its path (in the shared folder if none is given)."""
     kind = docs.schema[id_col].dataType.simpleString()
     path = path or f"{shared_dir(docs.sparkSession)}/shards-{uuid.uuid4().hex}"
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         if tokenizer_path not in _loaded:
             _loaded[tokenizer_path] = TextEncoder(tokenizer_path)
         encoder = _loaded[tokenizer_path]
         terminals = max(encoder.tokenizer.get_vocab_size(), END + 1)
-        part, nth, before, keys, held, n = TaskContext.get().partitionId(), 0, 0, [], [], 0
+        part, nth, before = TaskContext.get().partitionId(), 0, 0
+        keys, held, lengths, n = [], [], [], 0  # documents of the shard to come
 
-        def shard() -> pd.DataFrame:
-            payload = compress(np.concatenate(held), np.array([len(x) for x in held], np.uint32), terminals)
-            return pd.DataFrame({"part": [part], "nth": [nth], "before": [before], "n_ids": [n], "doc_ids": [keys], "payload": [payload]})
+        def shard() -> pa.RecordBatch:
+            nonlocal nth, before, keys, held, lengths, n
+            payload = compress(np.concatenate(held), np.concatenate(lengths), terminals)
+            row = [[part], [nth], [before], [n], [pa.concat_arrays(keys).to_pylist()], [payload]]
+            nth, before, keys, held, lengths, n = nth + 1, before + n, [], [], [], 0
+            return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(row, _ROW)], schema=_ROW)
 
         for batch in batches:
-            for key, text in zip(batch["key"], batch["text"]):
-                keys.append(key)
-                held.append(encoder.encode(text))
-                n += len(held[-1])
-                if n >= shard_ids:
-                    yield shard()
-                    nth, before, keys, held, n = nth + 1, before + n, [], [], 0
+            for texts, names in _slices(batch):
+                ids, sizes = encoder.encode(texts)
+                ends, done = np.cumsum(sizes), 0
+                while done < len(ends):  # a shard ends with the document that fills it
+                    start = int(ends[done - 1]) if done else 0
+                    last = min(int(np.searchsorted(ends, start + shard_ids - n)), len(ends) - 1)
+                    stop = int(ends[last])
+                    keys.append(names.slice(done, last + 1 - done))
+                    held.append(ids[start:stop])
+                    lengths.append(sizes[done : last + 1])
+                    n += stop - start
+                    done = last + 1
+                    if n >= shard_ids:
+                        yield shard()
         if held:
             yield shard()
 
     ordered = docs.select(column(id_col).alias("key"), whole_text(text_col).alias("text")).repartitionByRange(F.col("key").asc_nulls_first()).sortWithinPartitions(F.col("key").asc_nulls_first(), "text")
     named = ordered.select(F.col("key").cast("string").alias("key"), "text")  # as a string: pandas has no whole numbers beside nulls
-    shards = named.mapInPandas(run, "part int, nth int, before long, n_ids long, doc_ids array<string>, payload binary")
+    shards = named.mapInArrow(run, "part int, nth int, before long, n_ids long, doc_ids array<string>, payload binary")
     shards.withColumn("doc_ids", F.col("doc_ids").cast(f"array<{kind}>")).write.option("compression", "zstd").parquet(path)
     return path
 

@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -77,9 +78,13 @@ def test_encoder_is_the_library():
     from tokenizers import Tokenizer
 
     lib, own = Tokenizer.from_file(BPE), token_shards.TextEncoder(BPE)
-    texts = [*(t or "" for t in ODD), *random_texts(2, 6000, ["'s", "'t", " ", "  ", "\t", "\n", "\r\n", "\xa0", "\x85", "\x1c", "a", "bc", "é", "Ж", "日", "1", "½", ".", ",", "$$", "!?", "🙂", "ª", "'", "’", "<|endoftext|>"])]
-    for t in texts:
-        assert own.encode(t).tolist() == [*lib.encode(t, add_special_tokens=False).ids, 2], t
+    words = [" ".join(t.split()) for t in random_texts(7, 3000, [*"aé,.;'1-( ", " ", " ", "the", "<|endoftext|>"])] + ["a b\nc d.\ne", "\n", "a\n\nb", "a \nb", "a\n b", "x, y.", "\x1fa b"]
+    texts = [*(t or "" for t in ODD), *words, *random_texts(2, 6000, ["'s", "'t", " ", "  ", "\t", "\n", "\r\n", "\xa0", "\x85", "\x1c", "a", "bc", "é", "Ж", "日", "1", "½", ".", ",", "$$", "!?", "🙂", "ª", "'", "’", "<|endoftext|>"])]
+    want = [[*lib.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    for step in (1, 7, len(texts)):
+        for k in range(0, len(texts), step):
+            ids, sizes = own.encode(pa.array(texts[k : k + step], pa.large_string()))
+            assert ids.tolist() == sum(want[k : k + step], []) and sizes.tolist() == [*map(len, want[k : k + step])], texts[k : k + step][:1]
 
 
 def test_shard_round_trip_and_random_access():
