@@ -53,9 +53,9 @@ ANCHOR = 1024
 #: Most parts whose first positions are broadcast (a few MB); beyond, shards meet them in a join.
 BROADCAST_PARTS = 100_000
 #: Bytes of text that are encoded at a time, about.
-SLICE = 1 << 23
+SLICE = 1 << 24
 #: Pieces that a worker remembers in each of two generations, and the longest such piece.
-MEMORY, LONGEST = 450_000, 40
+MEMORY, LONGEST = 700_000, 40
 
 _WORD = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+")
 _LETTERS = f"^{_WORD.pattern}$"
