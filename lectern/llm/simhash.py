@@ -9,7 +9,8 @@ fingerprint gets, for each half and each of its bits, a signature in which that
 wildcard: 64 in all. Linked fingerprints agree in a signature, and what agrees in one is
 verified. A pair is reported in one signature only.
 
-A signature that more than BIG fingerprints share is not compared pair by pair. Its
+A signature that more than BIG fingerprints share is not compared pair by pair (one whose
+members all come in one Arrow batch may be, so never more than a batch). Its
 members agree in half the fingerprint but for one bit, so they go through the same step
 again within the other half: two quarters, 16 wildcards each, and if need be two eighths.
 After that at most 2^11 fingerprints can agree, so the work has a bound, no link is lost
@@ -20,7 +21,8 @@ Equal fingerprints are combined before anything is compared.
 
 Edge cases: a null text is empty; a text without words has fingerprint 0, one with fewer
 than three words has one shingle. A null doc_id takes part, but names a component only if
-the component has no other. No rows give no rows.
+the component has no other. No rows give no rows. A fingerprint that many rows share is
+joined by broadcast (at most 2,000 can be that frequent).
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ._shared import materialise, whole_text
+from ._shared import column, join_groups, materialise, own_columns, sortable, unused_prefix, whole_text
 from .components import connected_components
 
 WORDS, SEED, DISTANCE = 3, 42, 3
@@ -202,28 +204,41 @@ def _deeper(key: Column, fp: Column, level: int) -> Column:
     return F.when(free == 0, cut[0]).when(free == 1, cut[1]).when(free == 2, cut[2]).otherwise(cut[3])
 
 
+def _prints(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    return materialise(docs.select(column(id_col).alias("_id"), *more, fingerprint_of(text_col).alias("fp")), "fingerprints")
+
+
 def assign_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """A row per row of docs: id, fingerprint (16 hexadecimal digits), component_id."""
-    prints = materialise(docs.select(F.col(id_col).alias("_id"), fingerprint_of(text_col).alias("fp")), "fingerprints")
-    return prints.join(component_table(prints), "fp").select(F.col("_id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    """A row per row of docs: id, fingerprint (16 hexadecimal digits), component_id. Other columns are ignored."""
+    prints = _prints(docs, id_col, text_col)
+    table = materialise(component_table(prints), "components")
+    return join_groups(prints, table, ["fp"], "_size").select(F.col("_id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def component_table(prints: DataFrame) -> DataFrame:
-    """(fp, root, component_id) for each distinct fp of prints (_id, fp); root is the smallest fp of the component."""
-    distinct = materialise(prints.groupBy("fp").agg(F.min("_id").alias("_least")), "distinct")
+    """(fp, root, component_id, _size) for each distinct fp of prints (_id, fp); root is the smallest fp of the component, _size how many rows have fp."""
+    distinct = materialise(prints.groupBy("fp").agg(F.min("_id").alias("_least"), F.count(F.lit(1)).alias("_size")), "distinct")
     stars = connected_components(links(distinct))
     linked = distinct.join(stars.withColumnRenamed("node", "fp"), "fp")
     named = linked.groupBy("root").agg(F.min("_least").alias("_id"))
     by_fp = stars.join(named, "root").select(F.col("node").alias("fp"), "root", "_id")
-    return distinct.join(by_fp, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("_id", "_least").alias("component_id"))
+    return distinct.join(by_fp, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("_id", "_least").alias("component_id"), "_size")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each component, that with the smallest id, with all columns of docs."""
-    prints = materialise(docs.select(F.col(id_col).alias("_id"), fingerprint_of(text_col).alias("fp")), "fingerprints")
-    table = component_table(prints)
-    tagged = docs.withColumn("_fp_", fingerprint_of(text_col))
-    keep = table.select(F.col("fp").alias("_fp"), F.col("root").alias("_root_"), F.col("component_id").alias("_keep_"))
-    heads = tagged.join(keep, (tagged["_fp_"] == keep["_fp"]) & tagged[id_col].eqNullSafe(keep["_keep_"]))
-    order = [F.col(f"`{f.name}`") for f in docs.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-    return heads.withColumn("_nth_", F.row_number().over(Window.partitionBy("_root_").orderBy(*order))).where("_nth_ = 1").select(*(f"`{c}`" for c in docs.columns))
+    """One row of each component, one with the smallest id, with all columns of docs, whatever their names.
+
+    The fingerprints are worked out once, beside the ids and SHA-256 of the texts; those name
+    the row that stays. The documents are shuffled once, by both.
+    """
+    p = unused_prefix(docs)
+    sha = F.unhex(F.sha2(whole_text(text_col), 256))
+    prints = _prints(docs, id_col, text_col, sha.alias("_sha"))
+    least = lambda key: F.min(F.struct(key.isNull().alias("n"), key.alias("id"), F.col("fp"), F.col("_sha")))
+    heads = prints.groupBy("fp").agg(least(F.col("_id")).alias("_row")).join(component_table(prints).select("fp", "root"), "fp").groupBy("root").agg(F.min("_row").alias("_row"))
+    name = lambda c: [F.coalesce(c.cast("string"), F.lit("")).alias(f"{p}id"), c.isNull().alias(f"{p}null")]
+    keys = [f"{p}id", f"{p}null", f"{p}sha"]
+    keep = materialise(heads.select(*name(F.col("_row.id")), F.col("_row._sha").alias(keys[2])), "heads")
+    tagged = docs.select("*", *name(column(id_col)), sha.alias(keys[2]))
+    first = Window.partitionBy(*keys).orderBy(*sortable(docs))  # the join has dealt the rows by the same keys
+    return tagged.join(keep, keys, "left_semi").withColumn(f"{p}nth", F.row_number().over(first)).where(F.col(f"{p}nth") == 1).select(*own_columns(docs))
