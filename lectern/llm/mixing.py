@@ -16,8 +16,8 @@ No document is dropped. Numbering the documents of a source takes no task with a
 rows: counts per (source, range of the order key) are summed first.
 
 Edge cases: a null source, and every source that isn't listed, belongs to the entry
-OTHERS. A null doc_id sorts first. Rows that repeat are numbered one by one. No rows
-give no rows.
+OTHERS. A null doc_id sorts first; rows with equal ids are ordered by their other columns. Rows
+that repeat are numbered one by one. No rows give no rows.
 """
 
 from __future__ import annotations
@@ -27,10 +27,13 @@ from fractions import Fraction
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ._shared import column, materialise, sortable, unused_prefix
+
 OTHERS = "*"
 #: Target shares; the entry OTHERS takes what isn't listed.
 SHARES = {"src0": 5, **{f"src{i}": 3 for i in range(1, 10)}, **{f"src{i}": 2 for i in range(10, 20)}, OTHERS: 1}
 BLOCK_DOCS = 16
+RESULTS = ("mix_source", "mix_block", "mix_release", "mix_deadline", "mix_slot", "mix_position")
 #: Hexadecimal digits of the order key that name a range: 4096 ranges, so a source with 10^10 documents has 2.5 million in each.
 RANGE_DIGITS = 3
 
@@ -89,35 +92,52 @@ def mix(docs: DataFrame, shares: dict[str, int] | None = None, block_docs: int =
     """docs with mix_source, mix_block (from 0), mix_release, mix_deadline, mix_slot and mix_position (from 0).
 
     mix_slot orders the blocks and mix_position the documents of a block; release and
-    deadline are slots of the whole schedule.
+    deadline are slots of the whole schedule. Columns of docs that are named like one of these are left out.
     """
     shares = SHARES if shares is None else shares
     if any(not isinstance(a, int) or a < 1 for a in shares.values()) or OTHERS not in shares:
         raise ValueError(f"shares must be whole numbers from 1 and have an entry {OTHERS!r}")
-    source = F.coalesce(F.col(source_col).cast("string"), F.lit(OTHERS))
-    keyed = docs.withColumn("mix_source", F.when(source.isin(list(shares)), source).otherwise(OTHERS)).withColumn("_key", F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
-    counts = {r[0]: r[1] for r in keyed.groupBy("mix_source").count().collect()}  # a row per share at most
-    keyed = keyed.withColumn("_range", F.conv(F.substring("_key", 1, RANGE_DIGITS), 16, 10).cast("int"))
-    before = Window.partitionBy("mix_source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = keyed.groupBy("mix_source", "_range").count().select("mix_source", "_range", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_before"))
-    nth = F.row_number().over(Window.partitionBy("mix_source", "_range").orderBy("_key", F.col(id_col).asc_nulls_first()))
-    numbered = keyed.withColumn("_nth", nth - 1).join(sizes, ["mix_source", "_range"]).withColumn("_nth", F.col("_before") + F.col("_nth"))
-    numbered = numbered.withColumn("mix_block", F.floor(F.col("_nth") / block_docs).cast("long")).withColumn("mix_position", (F.col("_nth") % block_docs).cast("long"))
+    p = unused_prefix(docs)
+    own = [c for c in docs.columns if c.lower() not in RESULTS]
+    source = F.coalesce(column(source_col).cast("string"), F.lit(OTHERS))
+    listed = F.when(source.isin(list(shares)), source).otherwise(OTHERS)
+    keyed = docs.select(*map(column, own), column(id_col).alias(f"{p}id"), listed.alias(f"{p}source"), F.md5(F.coalesce(column(id_col).cast("string"), F.lit(""))).alias(f"{p}key"))
+    keyed = keyed.withColumn(f"{p}range", F.conv(F.substring(f"{p}key", 1, RANGE_DIGITS), 16, 10).cast("int"))
+    group = [f"{p}source", f"{p}range"]
+    sizes = materialise(keyed.groupBy(*group).agg(F.count(F.lit(1)).alias(f"{p}size")), "sizes")  # a row per share and range at most: 4096 ranges
+    counts = {r[0]: r[1] for r in sizes.groupBy(f"{p}source").agg(F.sum(f"{p}size")).collect()}  # a row per share at most
+    before = Window.partitionBy(f"{p}source").orderBy(f"{p}range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*group, F.coalesce(F.sum(f"{p}size").over(before), F.lit(0)).alias(f"{p}before"))
+    nth = F.row_number().over(Window.partitionBy(*group).orderBy(f"{p}key", F.col(f"{p}id").asc_nulls_first(), *sortable(docs.select(own))))
+    numbered = keyed.withColumn(f"{p}nth", nth - 1).join(starts, group).withColumn(f"{p}nth", F.col(f"{p}before") + F.col(f"{p}nth"))
+    numbered = numbered.withColumn(f"{p}block", F.floor(F.col(f"{p}nth") / block_docs).cast("long"))
 
     phases = plan({s: -(-n // block_docs) for s, n in counts.items()}, shares)
-    table = [(s, i, p.first[s], p.first[s] + n, p.start, p.total, p.shares[s], p.places[s]) for i, p in enumerate(phases) for s, n in p.blocks.items() if n]
-    schedule = docs.sparkSession.createDataFrame(table, "mix_source string, _phase int, _from long, _to long, _start long, _total long, _share long, _places array<long>")
-    j = F.col("mix_block") - F.col("_from")
-    return (
-        numbered.join(F.broadcast(schedule), (numbered["mix_source"] == schedule["mix_source"]) & (F.col("mix_block") >= F.col("_from")) & (F.col("mix_block") < F.col("_to")))
-        .drop(schedule["mix_source"])
-        .withColumn("mix_release", F.col("_start") + F.expr("(mix_block - _from) * _total div _share"))
-        .withColumn("mix_deadline", F.col("_start") + F.expr("((mix_block - _from + 1) * _total + _share - 1) div _share"))
-        .withColumn("mix_slot", F.col("_start") + F.expr("(mix_block - _from) div _share * _total") + F.get("_places", (j % F.col("_share")).cast("int")))
-        .select(*docs.columns, "mix_source", "mix_block", "mix_release", "mix_deadline", "mix_slot", "mix_position")
+    table = [(s, x.first[s], x.first[s] + n, x.start, x.total, x.shares[s], x.places[s]) for x in phases for s, n in x.blocks.items() if n]
+    # at most (number of shares)^2 rows and (number of shares) * W places, which are parameters
+    schedule = docs.sparkSession.createDataFrame(table, f"{p}of string, {p}from long, {p}to long, {p}start long, {p}total long, {p}share long, {p}places array<long>")
+    block, share, total = F.col(f"{p}block"), F.col(f"{p}share"), F.col(f"{p}total")
+    j = block - F.col(f"{p}from")
+    whole = lambda a, b: F.call_function("div", a, b)
+    return numbered.join(F.broadcast(schedule), (F.col(f"{p}source") == F.col(f"{p}of")) & (block >= F.col(f"{p}from")) & (block < F.col(f"{p}to"))).select(
+        *map(column, own),
+        F.col(f"{p}source").alias("mix_source"),
+        block.alias("mix_block"),
+        (F.col(f"{p}start") + whole(j * total, share)).alias("mix_release"),
+        (F.col(f"{p}start") + whole((j + 1) * total + share - 1, share)).alias("mix_deadline"),
+        (F.col(f"{p}start") + whole(j, share) * total + F.get(f"{p}places", (j % share).cast("int"))).alias("mix_slot"),
+        (F.col(f"{p}nth") % block_docs).cast("long").alias("mix_position"),
     )
 
 
 def in_order(mixed: DataFrame) -> DataFrame:
     """The rows of mix() in the order of the schedule, across and within partitions."""
     return mixed.orderBy("mix_slot", "mix_position")
+
+
+def ordered(docs: DataFrame, **how) -> DataFrame:
+    """docs, all their columns and no others, in the order of the schedule."""
+    p = unused_prefix(docs)
+    safe = docs.select(*(column(c).alias(f"{p}{i}") for i, c in enumerate(docs.columns)))
+    at = {k: f"{p}{docs.columns.index(how.get(k, d))}" for k, d in (("id_col", "doc_id"), ("source_col", "source"))}
+    return in_order(mix(safe, **{**how, **at})).select(*(F.col(f"{p}{i}").alias(c) for i, c in enumerate(docs.columns)))
