@@ -49,8 +49,13 @@ def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    versions = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    findings, _ = secret_scan.scan(versions, path_cols=("doc_id",), content_col="text")
+    """Two batches of sources, one after the other, into one ledger; then the findings of all documents."""
+    versions = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    ledger = secret_scan.open_ledger(spark)
+    first = F.col("source").eqNullSafe(F.lit("src0"))
+    for batch in (versions.where(first), versions.where(~first)):
+        secret_scan.scan_into(ledger, batch, content_col="text")
+    findings = secret_scan.findings_of(versions, secret_scan.read_ledger(spark, ledger), path_cols=("doc_id",), content_col="text")
     return secret_scan.digest_rows(findings, "doc_id")
 
 
