@@ -9,12 +9,17 @@ address is permuted the same way character by character: letters stay letters of
 case, digits stay digits.
 
 kind    validated                                       permuted
-email   shape                                           local part; the domain stays
+email   up to 64 characters, @, labels, a name of letters  local part; the domain stays
 ip      four numbers up to 255                          all 2^32 addresses
 phone   three, three and four digits, or + and 7 to 15  see below
 card    13 to 19 digits, Luhn                           all but the first digit; new check digit
 ssn     area, group and serial in use                   898 areas x 99 * 9999
-date    Y-M-D or D-M-Y with - / or ., 1900 to 2099      the 73,049 days
+date    Y-M-D, D-M-Y or M-D-Y with - / or .             the 73,049 days from 1900 to 2099
+
+A date is read day first, and month first only if there is no such day. Years have four
+digits, or two where day and month are set off by / or have two digits each: these are 1950
+to 2049 and are permuted among the 36,525 days of those years. A date is laid out again in its own
+order, and without leading zeros if it had a day or month of one digit.
 
 A phone number of ten digits (+1 or no country code) whose area and exchange start with 2
 to 9 stays such a number: 800 areas x 8 million numbers. The other 3.6 billion are permuted
@@ -27,20 +32,24 @@ Only built-in column functions are used and nothing is shuffled. A text without
 and @ is passed on as it is.
 
 Edge cases: a null text stays null with counts of zero; an empty text stays empty. What
-fails validation stays as it is. Other columns are kept.
+fails validation stays as it is. Other columns are kept, but for those named like a result (n_pii,
+n_<kind>). No pattern repeats a group without a bound, so no text, however long, makes
+matching recurse.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ._shared import column, unused_prefix
+
 #: The key of tests and checks. Use your own, from a secret store.
 TEST_KEY = "not a secret"
 ROUNDS = 8
 
 #: Shapes, by kind, in the order in which they are tried at a place.
 SHAPES = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]++\.)+[A-Za-z]{2,}",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?=[A-Za-z0-9-]++\.[A-Za-z0-9-])[A-Za-z0-9.-]++",
     "phone": r"\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
     r"|(?<![0-9A-Za-z])\+[1-9](?:[ .()/-]{0,2}[0-9]){6,14}(?![0-9])"
     r"|(?<![0-9+])\(?[0-9]{3}(?:\)[ .-]?|[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
@@ -48,7 +57,9 @@ SHAPES = {
     "ip": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])",
     "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){2}[ -][0-9]{1,7}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])",
     "ssn": r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])",
-    "date": r"(?<![0-9])(?:(?:19|20)[0-9]{2}(?:-[0-9]{2}-|/[0-9]{2}/|\.[0-9]{2}\.)[0-9]{2}|[0-9]{2}(?:-[0-9]{2}-|/[0-9]{2}/|\.[0-9]{2}\.)(?:19|20)[0-9]{2})(?![0-9])",
+    "date": r"(?<![0-9])(?:(?:19|20)[0-9]{2}(?:-[0-9]{1,2}-|/[0-9]{1,2}/|\.[0-9]{1,2}\.)[0-9]{1,2}"
+    r"|[0-9]{1,2}(?:-[0-9]{1,2}-|/[0-9]{1,2}/|\.[0-9]{1,2}\.)(?:19|20)[0-9]{2})(?![0-9])"
+    r"|(?<![0-9])(?<![0-9][-/.])(?:[0-9]{1,2}/[0-9]{1,2}/[0-9]{2}|[0-9]{2}(?:-[0-9]{2}-|\.[0-9]{2}\.)[0-9]{2})(?![0-9]|[-/.][0-9])",
 }
 #: Country codes; no code begins with another.
 COUNTRY = "^(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9][0-9]{2})"
@@ -156,47 +167,74 @@ def _ip(text: Column, key: str) -> Column:
     return F.concat_ws(".", *(F.pmod(F.floor(out / 256**k), F.lit(256).cast("long")).cast("string") for k in (3, 2, 1, 0)))
 
 
-def _date(text: Column) -> Column:
-    """The day, or null if there is no such day."""
-    flat = F.regexp_replace(text, "[/.]", "-")
-    return F.to_date(F.coalesce(F.try_to_timestamp(flat, F.lit("yyyy-MM-dd")), F.try_to_timestamp(flat, F.lit("dd-MM-yyyy"))))
+def _domain(text: Column) -> Column:
+    """Whether a domain has, behind labels that aren't empty, one that begins with two letters."""
+    labels = F.split(F.substring_index(text, "@", -1), r"\.")
+    empty = F.array_position(labels, "")
+    known = F.when(empty > 0, F.slice(labels, F.lit(1), F.greatest(empty.cast("int") - 1, F.lit(0)))).otherwise(labels)
+    return F.exists(F.slice(known, F.lit(2), F.greatest(F.size(known) - 1, F.lit(0))), lambda x: x.rlike("^[A-Za-z]{2}"))
 
 
-def _new_date(text: Column, day: Column, key: str) -> Column:
-    first = F.to_date(F.lit("1900-01-01"))
-    days = 73_049  # 1900-01-01 to 2099-12-31
+def _date(text: Column) -> Column:
+    """struct(day, order, short): the day (null if there is none), how it is written (ymd, dmy, mdy), whether its year has two digits."""
+    parts = F.split(text, "[-/.]")
+    one, two, three = (F.get(parts, F.lit(i)) for i in range(3))
+    first = text.rlike("^[0-9]{4}")
+    short = ~first & (F.length(three) == 2)
+    year = F.when(short, F.concat(F.when(three < "50", "20").otherwise("19"), three)).when(first, one).otherwise(three)
+    day = lambda m, d: F.to_date(F.try_to_timestamp(F.concat_ws("-", year, F.lpad(m, 2, "0"), F.lpad(d, 2, "0")), F.lit("yyyy-MM-dd")))
+    by_day = day(two, one)
+    order = F.when(first, "ymd").when(by_day.isNotNull(), "dmy").otherwise("mdy")
+    return F.struct(F.when(first, day(two, three)).otherwise(F.coalesce(by_day, day(one, two))).alias("day"), order.alias("order"), short.alias("short"))
+
+
+def _days(day: Column, first: str, days: int, key: str, kind: str) -> Column:
+    """A keyed permutation of the days from a first one on."""
     left = next(k for k in range(2, days) if days % k == 0)
-    new = F.date_add(first, permute(F.datediff(day, first), left, days // left, key, "date").cast("int"))
-    return _laid_out(F.when(text.rlike("^[0-9]{4}"), F.date_format(new, "yyyyMMdd")).otherwise(F.date_format(new, "ddMMyyyy")), text)
+    start = F.to_date(F.lit(first))
+    return F.date_add(start, permute(F.datediff(day, start), left, days // left, key, kind).cast("int"))
+
+
+def _new_date(text: Column, date: Column, key: str) -> Column:
+    new = F.when(date["short"], _days(date["day"], "1950-01-01", 36_525, key, "date2")).otherwise(_days(date["day"], "1900-01-01", 73_049, key, "date"))
+    bare = text.rlike("(?<![0-9])[0-9](?![0-9])")  # a day or month of one digit
+    part = lambda n: F.when(bare, n.cast("string")).otherwise(_padded(n, 2))
+    day, month = part(F.dayofmonth(new)), part(F.month(new))
+    year = F.when(date["short"], _padded(F.year(new) % 100, 2)).otherwise(F.year(new).cast("string"))
+    sign = F.regexp_extract(text, "[-/.]", 0)
+    return F.when(date["order"] == "ymd", F.concat_ws("", year, sign, month, sign, day)).when(date["order"] == "dmy", F.concat_ws("", day, sign, month, sign, year)).otherwise(F.concat_ws("", month, sign, day, sign, year))
 
 
 def _tagged(text: Column, key: str) -> Column:
     """(kind, pseudonym) of a match of ANY; kind is null if it fails validation."""
     digits = F.regexp_replace(text, "[^0-9]", "")
     whole = lambda kind: text.rlike(f"^(?:{SHAPES[kind]})$")
-    day = _date(text)
+    date = _date(text)
     pair = lambda kind, out: F.struct(F.lit(kind).alias("kind"), out.alias("out"))
     return (
-        F.when(whole("email"), pair("email", F.concat(permute_string(F.substring_index(text, "@", 1), key, "email"), F.lit("@"), F.substring_index(text, "@", -1))))
+        F.when(whole("email") & _domain(text), pair("email", F.concat(permute_string(F.substring_index(text, "@", 1), key, "email"), F.lit("@"), F.substring_index(text, "@", -1))))
         .when(whole("phone"), pair("phone", _phone(text, key)))
         .when(whole("ip") & F.forall(F.split(text, r"\."), lambda p: p.cast("int") <= 255), pair("ip", _ip(text, key)))
         .when(whole("card") & F.call_function("luhn_check", digits), pair("card", _laid_out(_card(digits, key), text)))
         .when(whole("ssn"), pair("ssn", _laid_out(_ssn(digits, key), text)))
-        .when(whole("date") & day.isNotNull(), pair("date", _new_date(text, day, key)))
+        .when(whole("date") & date["day"].isNotNull(), pair("date", _new_date(text, date, key)))
         .otherwise(F.struct(F.lit(None).cast("string").alias("kind"), text.alias("out")))
     )
 
 
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """docs with text_col pseudonymised and n_pii and n_<kind> added."""
-    text = F.col(text_col)
+    p = unused_prefix(docs)
+    text = column(text_col)
+    results = {"n_pii", *(f"n_{kind}" for kind in SHAPES)}
     some = F.rlike(text, F.lit("[0-9@]")) & F.rlike(text, F.lit(ANY))
     nothing = F.array().cast("array<struct<kind:string,out:string>>")
     found = F.when(some, F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda m: _tagged(m, key))).otherwise(nothing)
-    count = lambda kind: F.size(F.filter("_found", lambda x: x["kind"] == kind)).cast("long")
-    put = F.when(F.size("_found") > 0, F.array_join(F.flatten(F.zip_with(F.split(text, ANY, -1), F.col("_found.out"), lambda gap, out: F.array(gap, F.coalesce(out, F.lit(""))))), "")).otherwise(text)
-    return docs.withColumn("_found", found).select(
-        *(put.alias(text_col) if c == text_col else F.col(f"`{c}`") for c in docs.columns),
-        F.size(F.filter("_found", lambda x: x["kind"].isNotNull())).cast("long").alias("n_pii"),
+    held = F.col(f"{p}found")
+    count = lambda kind: F.size(F.filter(held, lambda x: x["kind"] == kind)).cast("long")
+    put = F.when(F.size(held) > 0, F.array_join(F.flatten(F.zip_with(F.split(text, ANY, -1), held["out"], lambda gap, out: F.array(gap, F.coalesce(out, F.lit(""))))), "")).otherwise(text)
+    return docs.withColumn(f"{p}found", found).select(
+        *(put.alias(c) if c == text_col else column(c) for c in docs.columns if c.lower() not in results),
+        F.size(F.filter(held, lambda x: x["kind"].isNotNull())).cast("long").alias("n_pii"),
         *(count(kind).alias(f"n_{kind}") for kind in SHAPES),
     )
