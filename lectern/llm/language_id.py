@@ -2,21 +2,25 @@
 
 Training counts, per language, whole words and the n-grams (4 down to 1 characters, word
 ends marked) of about TRAIN_DOCS labelled documents a language: those whose hashed id is
-below a bound that the language's row count gives. The most frequent WORDS words and
-GRAMS n-grams of each length are kept, so the model, which each worker holds, has a fixed
-bound per language.
+below a bound that the language's row count gives. Counts and bounds are a row per language, which is
+broadcast behind a check of their number, so of the labelled texts only the sample moves. The
+most frequent WORDS words and GRAMS n-grams of each length are kept per language.
 
 A known word scores its log frequency in each language. An unseen word scores, at each
 place, the longest known n-gram that starts there, and counts as the mean over its
 places. The language with the highest sum wins (ties: the first by name); the score is its share
 when the sums are turned into probabilities.
 
+The model keeps, for each word and n-gram, only the languages that have it; the others share
+a floor per language. More than MAX_ENTRIES of these, or more than MAX_LANGUAGES languages, are an error
+and not cut: use smaller vocabularies or a cleaner label column.
+
 Rows with crc32(id as text) mod 3 = 1 are held out: nothing is learned from them.
 
 Edge cases: a null text or one without letters gives "und" with score 0, and so does
 every text if there is nothing to learn from. A null id is neither learned from nor held
 out. A null language is not learned from. Texts in unknown scripts get some learned
-language with a low score. Repeated rows count each. No rows give no rows.
+language with a low score. Repeated rows count each. Other columns are ignored. No rows give no rows.
 """
 
 from __future__ import annotations
@@ -30,19 +34,21 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ._shared import materialise
+from ._shared import column, materialise, quoted
 
 TRAIN_DOCS = 1000
 WORDS, GRAMS, LENGTHS = 30_000, 10_000, (4, 3, 2, 1)
 ALPHA = 0.5
-#: Unseen words that a worker remembers.
-MEMORY = 500_000
+#: Most languages, and most (language, word or n-gram) entries, of a model.
+MAX_LANGUAGES, MAX_ENTRIES = 1000, 3_000_000
+#: Scores of unseen words that a worker remembers, over all languages: 16 MB.
+MEMORY = 2_000_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 def held_out(id_col: str) -> Column:
-    return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3 == 1, F.lit(False))
+    return F.coalesce(F.crc32(column(id_col).cast("string")) % 3 == 1, F.lit(False))
 
 
 def _grams(word: str, n: int) -> list[str]:
@@ -63,16 +69,18 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([(*k, c) for k, c in all_counts.items()], columns=["lang", "n", "gram", "c"])
 
 
-def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train_docs: int = TRAIN_DOCS, words: int = WORDS, grams: int = GRAMS) -> DataFrame:
     """(lang, n, gram, c, total): n is 0 for words; total is the sum of c over all of that n, kept or not."""
-    rows = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
-    rows = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col)).alias("_h"))
-    bound = rows.groupBy("lang").count().select("lang", (F.lit(TRAIN_DOCS) / F.col("count")).alias("_share"))  # a row per language
-    sample = rows.join(bound, "lang").where((F.col("_h").cast("double") / 2.0**64 + 0.5) < F.col("_share")).select("lang", "text")
+    rows = docs.select(column(lang_col).cast("string").alias("lang"), column(text_col).cast("string").alias("text"), column(id_col).alias("_id"))
+    rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("_id").isNotNull() & ~held_out("_id"))
+    bound = materialise(rows.groupBy("lang").count().select("lang", (F.lit(train_docs) / F.col("count")).alias("_share")), "bounds")  # a row per language
+    if (n := bound.count()) > MAX_LANGUAGES:
+        raise ValueError(f"{n} languages, at most {MAX_LANGUAGES} are supported")
+    sample = rows.join(F.broadcast(bound), "lang").where((F.xxhash64("_id").cast("double") / 2.0**64 + 0.5) < F.col("_share")).select("lang", "text")
     counts = sample.mapInPandas(_count, "lang string, n int, gram string, c long").groupBy("lang", "n", "gram").agg(F.sum("c").alias("c"))
-    by = Window.partitionBy("lang", "n")
+    by = Window.partitionBy("lang", "n")  # of the sample, which has a bound
     ranked = counts.withColumn("total", F.sum("c").over(by)).withColumn("_r", F.row_number().over(by.orderBy(F.desc("c"), "gram")))
-    return ranked.where(F.col("_r") <= F.when(F.col("n") == 0, WORDS).otherwise(GRAMS)).where("n > 0 OR c > 1").drop("_r")
+    return ranked.where(F.col("_r") <= F.when(F.col("n") == 0, words).otherwise(grams)).drop("_r")
 
 
 class LanguageModel:
@@ -80,58 +88,77 @@ class LanguageModel:
 
     def __init__(self, rows: list[tuple]):
         self.langs = sorted({r[0] for r in rows})
-        column = {lang: i for i, lang in enumerate(self.langs)}
-        total: dict[int, np.ndarray] = {n: np.zeros(len(self.langs)) for n in (0, *LENGTHS)}
-        counts: dict[int, dict[str, np.ndarray]] = {n: {} for n in (0, *LENGTHS)}
+        number = {lang: i for i, lang in enumerate(self.langs)}
+        width, classes = max(len(self.langs), 1), (0, *LENGTHS)
+        total = np.zeros((len(classes), width))
+        entries: dict[tuple[int, str], list[tuple[int, int]]] = {}
         for lang, n, gram, c, t in rows:
-            total[n][column[lang]] = t
-            counts[n].setdefault(gram, np.zeros(len(self.langs)))[column[lang]] = c
-        self.tables = {n: {g: np.log((c + ALPHA) / (total[n] + ALPHA * (len(counts[n]) + 1))).astype(np.float32) for g, c in counts[n].items()} for n in counts}
-        self.index: dict[str, int] = {w: i for i, w in enumerate(self.tables[0])}
-        self.base = dict(self.index)
-        self.table = np.zeros((len(self.index) + MEMORY, max(len(self.langs), 1)), np.float32)
-        for w, i in self.index.items():
-            self.table[i] = self.tables[0][w]
+            total[classes.index(n), number[lang]] = t
+            entries.setdefault((classes.index(n), gram), []).append((number[lang], c))
+        keys = sorted(entries)
+        self.words = {g: i for i, (k, g) in enumerate(keys) if k == 0}
+        self.grams = {g: i for i, (k, g) in enumerate(keys) if k}  # of all lengths
+        self.kind = np.array([k for k, _ in keys], np.int64)
+        sizes = np.bincount(self.kind, minlength=len(classes))
+        self.floor = np.log(ALPHA) - np.log(total + ALPHA * (sizes[:, None] + 1))  # of a language that has not got it
+        self.first = np.cumsum([0, *(len(entries[k]) for k in keys)])
+        self.lang = np.array([i for k in keys for i, _ in entries[k]], np.int64)
+        self.above = np.log(np.array([c for k in keys for _, c in entries[k]]) + ALPHA) - np.log(ALPHA)
+        self.seen: dict[str, int] = {}  # unseen words, numbered on from the entries
+        self.rows = max(MEMORY // width, 5000)
+        self.memory: np.ndarray | None = None  # made by the worker, not sent
+
+    def _sum(self, ids: np.ndarray) -> np.ndarray:
+        """The sum of the entries' log frequencies by language."""
+        n = self.first[ids + 1] - self.first[ids]
+        at = np.repeat(self.first[ids] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        kinds = np.bincount(self.kind[ids], minlength=len(self.floor))
+        return np.bincount(self.lang[at], self.above[at], len(self.langs)) + kinds @ self.floor
 
     def _unseen(self, word: str) -> np.ndarray:
         """The mean, over the places of the word, of the longest known n-gram there; zeros where none is known."""
-        marked, out, places = f"_{word}_", np.zeros(len(self.langs)), 0
+        marked, found, grams = f"_{word}_", [], self.grams
         for i in range(len(marked) - 1):
-            places += 1
             for n in LENGTHS:
-                got = self.tables[n].get(marked[i : i + n]) if i + n <= len(marked) else None
-                if got is not None:
-                    out += got
+                if i + n <= len(marked) and (got := grams.get(marked[i : i + n])) is not None:
+                    found.append(got)
                     break
-        return out / places
+        return self._sum(np.array(found, np.int64)) / (len(marked) - 1)
 
-    def _row(self, word: str) -> int:
-        i = self.index.get(word)
-        if i is None:
-            i = self.index[word] = len(self.index)
-            self.table[i] = self._unseen(word)
+    def _number(self, word: str) -> int:
+        i = self.seen[word] = len(self.kind) + len(self.seen)
+        self.memory[i - len(self.kind)] = self._unseen(word)
         return i
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = _WORD.findall(text.lower()) if text and self.langs else []
         if not any(c.isalpha() for w in words for c in w):
             return "und", 0.0
+        if self.memory is None:
+            self.memory = np.zeros((self.rows, len(self.langs)))
         sums = np.zeros(len(self.langs))
         for k in range(0, len(words), 4096):
-            block = words[k : k + 4096]
-            if len(self.index) + len(block) > len(self.table):
-                self.index = dict(self.base)
-            at = [*map(self.index.get, block)]
+            if len(self.seen) + 4096 > self.rows:
+                self.seen = {}
+            known, seen = self.words.get, self.seen.get
+            at = [known(w) if (i := seen(w)) is None else i for w in words[k : k + 4096]]
             if None in at:
-                at = [self._row(w) if i is None else i for i, w in zip(at, block)]
-            sums += self.table[at].sum(0, dtype=np.float64)
+                for j, i in enumerate(at):
+                    if i is None:
+                        w = words[k + j]
+                        at[j] = self._number(w) if (got := seen(w)) is None else got
+            ids = np.array(at, np.int64)
+            old = ids < len(self.kind)
+            sums += self._sum(ids[old])
+            if not old.all():
+                sums += self.memory[ids[~old] - len(self.kind)].sum(0)
         best = int(sums.argmax())
         return self.langs[best], float(1 / math.fsum(math.exp(max(s - sums[best], -700)) for s in sums.tolist()))
 
 
 def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, held_out, lang_pred and score of each row; only the text is looked at."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # MAX_ENTRIES entries at most
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -141,11 +168,13 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
             out[id_col], out["held_out"] = batch["key"].values, batch["out"].values
             yield out[[id_col, "held_out", "lang_pred", "score"]]
 
-    rows = docs.select(F.col(id_col).cast("string").alias("key"), held_out(id_col).alias("out"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInPandas(run, f"`{id_col}` string, held_out boolean, lang_pred string, score double").withColumn(id_col, F.col(f"`{id_col}`").cast(kind))
+    rows = docs.select(column(id_col).cast("string").alias("key"), held_out(id_col).alias("out"), column(text_col).cast("string").alias("text"))
+    return rows.mapInPandas(run, f"{quoted(id_col)} string, held_out boolean, lang_pred string, score double").withColumn(id_col, column(id_col).cast(kind))
 
 
-def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """Learns from docs and predicts all of docs."""
-    rows = materialise(learn(docs, id_col, text_col, lang_col), "languages").collect()  # bounded by WORDS and GRAMS per language
-    return predict(docs, LanguageModel([tuple(r) for r in rows]), id_col, text_col)
+def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **how) -> DataFrame:
+    """Learns from docs (how: see learn) and predicts all of docs."""
+    rows = materialise(learn(docs, id_col, text_col, lang_col, **how), "languages")
+    if (n := rows.count()) > MAX_ENTRIES:
+        raise ValueError(f"{n} words and n-grams of all languages, at most {MAX_ENTRIES} are supported")
+    return predict(docs, LanguageModel([tuple(r) for r in rows.collect()]), id_col, text_col)
