@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +26,25 @@ def shared_dir(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+_scratch: list[str] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that materialise() writes within are removed at the end; results must have been written elsewhere by then."""
+    _scratch.append(f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}")
+    try:
+        yield
+    finally:
+        remove(spark, _scratch.pop())
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, wherever Spark can write."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet into the shared folder and reads it back.
 
@@ -31,7 +52,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     what depends on how rows were dealt to partitions is settled once.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_scratch[-1] if _scratch else shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

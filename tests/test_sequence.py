@@ -85,6 +85,19 @@ def test_first_offenders_and_upsert(spark):
     assert {r["g"]: r["k"] for r in R.upsert(df, ["g"], "o").collect()} == {1: "c", 2: None, 3: None}
 
 
+def test_scratch_tables_are_removed(spark):
+    import os
+
+    from lectern import shared
+
+    with shared.scratch(spark):
+        df = shared.materialise(spark.range(3), "x")
+        path = df.inputFiles()[0].removeprefix("file:")
+        assert df.count() == 3 and os.path.exists(path)
+    assert not os.path.exists(path)
+    assert shared.materialise(spark.range(2), "x").count() == 2
+
+
 def test_shared_folder(spark, monkeypatch):
     from types import SimpleNamespace
 
