@@ -2,7 +2,8 @@
 
 STAGES lists (name, function). Each function takes (spark, docs, sf_dir) and returns a
 DataFrame; run() writes what a stage returns as Parquet into the shared folder and reads
-it again as the docs of the next, so a lost executor repeats no earlier stage.
+it again as the docs of the next, so a lost executor repeats no earlier stage. What a stage
+wrote on its way, and its result once the next stage is written, are removed.
 
 1 quality    documents that the quality rules reject go
 2 exact      of texts that are equal but for white space, the row with the smallest id stays
@@ -27,7 +28,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from lectern.llm import exact_dedup, mixing, quality, sentencepiece_codec, simhash
-from lectern.llm._shared import shared_dir
+from lectern.shared import remove, scratch, shared_dir
 
 #: The rows of run() depend on XXH64 hashes, merges and a schedule, which SQL can't express.
 ORACLE_SQL = None
@@ -35,7 +36,7 @@ ORACLE_SQL = None
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     trusted = quality.trusted_sample(spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score(docs, trusted).where("kept").select(docs.columns)
+    return quality.keep(docs, trusted)
 
 
 def drop_exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +48,7 @@ def drop_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.in_order(mixing.mix(docs)).select(docs.columns)
+    return mixing.ordered(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,9 +69,14 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents, in the order of the schedule."""
     folder = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    done = None
     for name, stage in STAGES:
-        out = stage(spark, docs, sf_dir)
-        schema = out.schema
-        out.write.parquet(f"{folder}/{name}")
+        with scratch(spark):
+            out = stage(spark, docs, sf_dir)
+            schema = out.schema
+            out.write.parquet(f"{folder}/{name}")
         docs = spark.read.schema(schema).parquet(f"{folder}/{name}")
+        if done:
+            remove(spark, f"{folder}/{done}")
+        done = name
     return mixing.in_order(docs)
