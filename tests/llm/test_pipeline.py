@@ -46,6 +46,19 @@ def test_each_stage_returns_documents_and_passes_empty_tables(spark, tmp_path):
             docs = out
 
 
+def test_stages_keep_columns_of_any_name(spark, tmp_path):
+    from test_native import CLASH, clashing, mine
+
+    spark.createDataFrame([(0, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = clashing(spark)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and mine(out), name
+        docs = out
+    last = corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path))
+    assert last.columns == ["doc_id", "ids", "n_tokens", "ids_sha256", "decoded_sha256", "mix_slot", "mix_position"] and last.count() == docs.count()
+
+
 def test_mix_stage_orders_by_the_schedule(spark):
     rows = [(i, "x", f"src{i % 2}") for i in range(200)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")

@@ -246,6 +246,52 @@ def test_languages_on_held_out_documents(spark):
     assert model.predict(long)[0] == "aa"
 
 
+def test_scores_of_languages_against_loops(spark, monkeypatch):
+    """The docstring's rule by plain loops over the counts."""
+    import math
+
+    rng = random.Random(21)
+    make = {"aa": "abcde", "bb": "bcdfé", "cc": "xyzae"}
+    rows = [(i, " ".join("".join(rng.choices(make[l], k=rng.randint(1, 5))) for _ in range(rng.randint(1, 30))), l) for i in range(90) for l in [rng.choice([*make])]]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learnt = [tuple(r) for r in language_id.learn(df, words=40, grams=25).collect()]
+    counts = {(l, n, g): c for l, n, g, c, _ in learnt}
+    total = {(l, n): t for l, n, _, _, t in learnt}
+    size = {n: len({g for _, m, g, *_ in learnt if m == n}) for n in range(5)}
+    log = lambda l, n, g: math.log((counts.get((l, n, g), 0) + language_id.ALPHA) / (total.get((l, n), 0) + language_id.ALPHA * (size[n] + 1)))
+    has = {(n, g) for _, n, g, *_ in learnt}
+
+    def word(l, w):
+        if (0, w) in has:
+            return log(l, 0, w)
+        marked, out = f"_{w}_", 0.0
+        for i in range(len(marked) - 1):
+            n = next((n for n in (4, 3, 2, 1) if i + n <= len(marked) and (n, marked[i : i + n]) in has), None)
+            out += log(l, n, marked[i : i + n]) if n else 0.0
+        return out / (len(marked) - 1)
+
+    model = language_id.LanguageModel(learnt)
+    monkeypatch.setattr(language_id, "MEMORY", 0)
+    small = language_id.LanguageModel(learnt)
+    for text in [t for _, t, _ in rows] + ["qqq zzz abca", "Abc, ABC! 12", "ééé x", "q" * 300, " ".join(f"{a}{b}{c}" for a in "abxyz" for b in "abxyz" for c in "abcdefgh") * 60]:
+        sums = {l: sum(word(l, w) for w in re.findall(r"[^\W\d_]+", text.lower())) for l in make}
+        best = min(make, key=lambda l: (-sums[l], l))
+        share = 1 / sum(math.exp(max(s - sums[best], -700)) for s in sums.values())
+        for m in (model, small):
+            lang, score = m.predict(text)
+            assert abs(score - share) < 1e-6 and (lang == best or abs(sums[lang] - sums[best]) < 1e-6), text[:50]
+
+
+def test_too_large_models_are_errors(spark, monkeypatch):
+    df = spark.createDataFrame([(i, "some words", f"l{i}") for i in range(40)], "doc_id long, text string, lang string")
+    monkeypatch.setattr(language_id, "MAX_ENTRIES", 5)
+    with pytest.raises(ValueError, match="at most 5"):
+        language_id.identify(df)
+    monkeypatch.setattr(language_id, "MAX_LANGUAGES", 3)
+    with pytest.raises(ValueError, match="at most 3"):
+        language_id.identify(df)
+
+
 def test_language_edges(spark):
     none = spark.createDataFrame([(None, "a", "en"), (1, None, "en"), (2, "b", None)], "doc_id long, text string, lang string")
     got = sorted(map(tuple, language_id.identify(none).collect()), key=str)
