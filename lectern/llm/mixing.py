@@ -109,7 +109,8 @@ def mix(docs: DataFrame, shares: dict[str, int] | None = None, block_docs: int =
     before = Window.partitionBy(f"{p}source").orderBy(f"{p}range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(*group, F.coalesce(F.sum(f"{p}size").over(before), F.lit(0)).alias(f"{p}before"))
     nth = F.row_number().over(Window.partitionBy(*group).orderBy(f"{p}key", F.col(f"{p}id").asc_nulls_first(), *sortable(docs.select(*map(column, own)))))
-    numbered = keyed.withColumn(f"{p}nth", nth - 1).join(starts, group).withColumn(f"{p}nth", F.col(f"{p}before") + F.col(f"{p}nth"))
+    numbered = keyed.withColumn(f"{p}nth", nth - 1).join(starts.hint("merge"), group)  # dealt by the same keys already
+    numbered = numbered.withColumn(f"{p}nth", F.col(f"{p}before") + F.col(f"{p}nth"))
     numbered = numbered.withColumn(f"{p}block", F.floor(F.col(f"{p}nth") / block_docs).cast("long"))
 
     phases = plan({s: -(-n // block_docs) for s, n in counts.items()}, shares)
