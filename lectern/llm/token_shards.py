@@ -19,8 +19,8 @@ part.
 
 Encoding: where all white space is single spaces and line feeds between other characters,
 the tokenizer's own first cut falls before each space and on both sides of each line feed.
-Such a text is cut there, the library encodes each distinct piece (for words its merges
-alone do), and workers remember results within a fixed bound. Any other text is encoded as
+Such texts are cut there, a slice of some 16 MB of them at a time; the library encodes each
+distinct piece, and workers remember results within a fixed bound. Any other text is encoded as
 a whole by the library.
 
 Edge cases: a null text is empty and has the end id only. Null ids come first; rows
@@ -31,13 +31,13 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
@@ -54,25 +54,19 @@ ANCHOR = 1024
 BROADCAST_PARTS = 100_000
 #: Bytes of text that are encoded at a time, about.
 SLICE = 1 << 24
-#: Pieces that a worker remembers in each of two generations, and the longest such piece.
+#: Pieces that a worker remembers (some 40 bytes each), and the longest such piece.
 MEMORY, LONGEST = 700_000, 40
 
-_WORD = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+")
-_LETTERS = f"^{_WORD.pattern}$"
-#: Signs that, at the end of a piece, are a token's start of their own.
-_SIGNS = ",.;:!?)"
-_SIGNED = f"^{_WORD.pattern}[{_SIGNS}]$"
+#: Letters, of which the tokenizer's first cut makes one piece, and signs, which are cut off behind them and make another one.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
+_WORD, _LINE_WORD = f"^[{_LETTERS}]+$", f"^\\n[{_LETTERS}]+$"
+_LETTERS_AND_LINES = "\n" + "".join(c for c in map(chr, range(0x250)) if re.fullmatch(f"[{_LETTERS}]", c))
+#: How byte-level vocabularies write a space.
+SPACE_LETTER = "\u0120"
 #: What keeps a text from being cut: white space other than single spaces and line feeds between other characters.
 _UNEVEN = r"[\t\r\x0b\x0c\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|[ \n][ \n]|^[ \n]|[ \n]$"
 
 
-def _byte_letters() -> dict[int, str]:
-    """The letter by which byte-level vocabularies write each byte: itself if visible, else one from U+0100 on."""
-    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    hidden = [b for b in range(256) if b not in visible]
-    return {b: chr(0x100 + i) for i, b in enumerate(hidden)}
-
-
 def _text(value: str) -> pa.Scalar:
     return pa.scalar(value, pa.large_string())
 
@@ -80,10 +74,12 @@ def _text(value: str) -> pa.Scalar:
 class TextEncoder:
     """Ids of texts by a byte-level BPE file of the tokenizers library.
 
-    A piece is what follows a space, or a line feed with what follows it. Of a word, letters
-    only, known has the ids as bytes; words that are missing go to the library together, where a
-    token that begins with the letter for a space begins the next word. Other pieces go
-    there one by one.
+    A piece is what follows a space, or a line feed with what follows it; signs behind letters
+    are a piece of their own, named with a space before them, as no other piece is. The ids of pieces
+    are remembered in entries: pieces names them, flat has their ids one after the other, length how many
+    each has, hits in how many slices it was met lately. Words, letters only, that are
+    missing go to the library together, each behind a space or all behind line feeds, whose tokens
+    then tell where the next word begins; other pieces go there one by one.
     """
 
     def __init__(self, path: str):
@@ -91,60 +87,64 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.merge, self.letters = self.tokenizer.model.tokenize, _byte_letters()
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
-        self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.begins[[i for t, i in vocabulary.items() if t.startswith(self.letters[32])]] = True
-        self.line = self._whole("\n")
-        self.signs = [b"", *map(self._whole, _SIGNS)]
+        self.line = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.begins = {c: np.zeros(max(vocabulary.values()) + 1, bool) for c in " \n"}
+        self.begins[" "][[i for t, i in vocabulary.items() if t.startswith(SPACE_LETTER)]] = True
+        self.begins["\n"][self.line] = True
+        self.pieces = pa.array([" "], pa.large_string())  # no signs
+        self.flat, self.length, self.hits = np.empty(0, "<u4"), np.zeros(1, np.int64), np.array([1 << 60])
 
     def _whole(self, text: str) -> bytes:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Of words behind a space."""
-        texts = [" " + " ".join(words[k : k + 1000]) for k in range(0, len(words), 1000)]
-        ids = np.concatenate([np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
-        starts = np.flatnonzero(self.begins[ids])
-        if len(starts) != len(words):
-            return [self._whole(" " + w) for w in words]
-        raw, at = ids.tobytes(), [*(starts * 4).tolist(), 4 * len(ids)]
-        return [raw[a:b] for a, b in zip(at, at[1:])]
+    def _words(self, words: list[str], before: str) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many each has) of words behind a space, or behind a line feed and with its id."""
+        texts = [before + before.join(words[k : k + 1000]) for k in range(0, len(words), 1000)]
+        ids = np.concatenate([np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] or [np.empty(0, "<u4")])
+        starts = np.flatnonzero(self.begins[before][ids])
+        if len(starts) == len(words):
+            return ids, np.diff(starts, append=len(ids))
+        raw = [self._whole(before + w) for w in words]
+        return np.frombuffer(b"".join(raw), "<u4"), np.array([len(x) >> 2 for x in raw])
 
     def _other(self, piece: str) -> bytes:
         if not piece:
             return b""  # what stands before the line feed of a text
-        if piece[0] != "\n":
-            return self._whole(" " + piece)
-        if not _WORD.fullmatch(piece, 1):
-            return self._whole(piece)
-        word = piece[1:]  # letters only: the tokenizer's first cut leaves them whole, so its merges alone decide
-        ids = [t.id for t in self.merge(word if word.isascii() else word.encode().decode("latin-1").translate(self.letters))]
-        return self.line + struct.pack(f"<{len(ids)}I", *ids)
-
-    def _ids(self, pieces: pa.Array, are_words: np.ndarray) -> list[bytes]:
-        """Of distinct pieces; what a worker remembers has a fixed bound."""
-        if len(self.known) > MEMORY:
-            self.older, self.known = self.known, {}
-        names = pieces.to_pylist()
-        got = [*map(self.known.get, names)]
-        missing = [i for i, x in enumerate(got) if x is None]
-        if self.older and missing:
-            for i in missing:
-                got[i] = self.older.get(names[i])
-        new = [i for i in missing if got[i] is None]
-        words = [i for i in new if are_words[i]]
-        if words:
-            for i, x in zip(words, self._words([names[i] for i in words])):
-                got[i] = x
-        for i in new:
-            if got[i] is None:
-                got[i] = self._other(names[i])
-        self.known.update((names[i], got[i]) for i in missing if len(names[i]) <= LONGEST)
-        return got
+        return self._whole(piece if piece[0] == "\n" else piece[1:] if piece[0] == " " else " " + piece)
+
+    def _entries(self, pieces: pa.Array) -> tuple[np.ndarray, int]:
+        """(the entry of each piece, how many entries may stay); what is missing is added, long pieces last."""
+        if len(self.length) > MEMORY:
+            self._shrink()
+        entry = pc.index_in(pieces, value_set=self.pieces).fill_null(-1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(entry < 0)
+        names = pieces.take(pa.array(new))
+        has = lambda pattern: pc.match_substring_regex(names, pattern).to_numpy(zero_copy_only=False)
+        kind = np.where(pc.utf8_length(names).to_numpy() > LONGEST, 3, np.where(has(_WORD), 0, np.where(has(_LINE_WORD), 1, 2)))
+        order = np.argsort(kind, kind="stable")
+        names, new = names.take(pa.array(order)), new[order]
+        words, lines, others, long = np.bincount(kind, minlength=4).tolist()
+        ids, length = self._words(names[:words].to_pylist(), " ")
+        ids_l, length_l = self._words([x[1:] for x in names[words : words + lines].to_pylist()], "\n")
+        raw = [*map(self._other, names[words + lines :].to_pylist())]
+        entry[new] = len(self.length) + np.arange(len(new))
+        self.pieces = pa.concat_arrays([self.pieces, names])
+        self.flat = np.concatenate((self.flat, ids, ids_l, np.frombuffer(b"".join(raw), "<u4")))
+        self.length = np.concatenate((self.length, length, length_l, np.array([len(x) >> 2 for x in raw], np.int64)))
+        self.hits = np.concatenate((self.hits, np.zeros(len(new), np.int64)))
+        self.hits[entry] += 1
+        return entry, len(self.length) - long
+
+    def _shrink(self) -> None:
+        """Keeps the half that was met in most slices."""
+        self._keep(np.sort(np.argpartition(-self.hits, MEMORY // 2)[: MEMORY // 2]))
+        self.hits[1:] //= 2
+
+    def _keep(self, entries: np.ndarray) -> None:
+        self.flat = _gathered(self.flat, self.length, entries)
+        self.pieces, self.length, self.hits = self.pieces.take(pa.array(entries)), self.length[entries], self.hits[entries]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(the ids of all texts, each with the end id, how many each has)."""
@@ -155,17 +155,20 @@ class TextEncoder:
         lines = pc.replace_substring(pc.binary_join_element_wise(_text(""), even, _text("\n")), "\n", " \n")
         cut = pc.split_pattern(lines, " ")
         chunks = cut.flatten().dictionary_encode()
-        # A word with a sign behind it is the word's ids and the sign's.
+        # Letters with signs behind them are two pieces.
         distinct = chunks.dictionary
-        signed = pc.match_substring_regex(distinct, _SIGNED)
-        sign = pc.index_in(pc.utf8_slice_codeunits(distinct, -1), pa.array([*_SIGNS], pa.large_string())).fill_null(-1).to_numpy()
-        sign = np.where(signed.to_numpy(zero_copy_only=False), sign + 1, 0)
-        pieces = pc.if_else(signed, pc.utf8_slice_codeunits(distinct, 0, -1), distinct).dictionary_encode()
-        values = [*self._ids(pieces.dictionary, pc.match_substring_regex(pieces.dictionary, _LETTERS).to_numpy(zero_copy_only=False)), *self.signs]
-        flat = np.frombuffer(b"".join(values), "<u4")
-        length = np.fromiter(map(len, values), np.int64, len(values)) >> 2
-        two = np.stack((pieces.indices.to_numpy(), len(pieces.dictionary) + sign), 1).ravel()
-        flat, length = _gathered(flat, length, two), length[two].reshape(-1, 2).sum(1)
+        stems = pc.utf8_rtrim(distinct, string.punctuation)
+        signed = pc.and_(pc.not_equal(stems, distinct), pc.match_substring_regex(stems, f"^\\n?[{_LETTERS}]+$"))
+        pieces = pc.if_else(signed, stems, distinct).dictionary_encode()
+        signs = pc.binary_join_element_wise(_text(" "), pc.utf8_ltrim(distinct.filter(signed), _LETTERS_AND_LINES), _text("")).dictionary_encode()
+        n_pieces = len(pieces.dictionary)
+        entry, stay = self._entries(pa.concat_arrays([pieces.dictionary, signs.dictionary.cast(pa.large_string())]))
+        sign = np.zeros(len(distinct), np.int64)  # entry 0: none
+        sign[signed.to_numpy(zero_copy_only=False)] = entry[n_pieces:][signs.indices.to_numpy()]
+        two = np.stack((entry[pieces.indices.to_numpy()], sign), 1).ravel()
+        flat, length = _gathered(self.flat, self.length, two), self.length[two].reshape(-1, 2).sum(1)
+        if stay < len(self.length):
+            self._keep(np.arange(stay))
         which, ends = chunks.indices.to_numpy(), cut.value_lengths().to_numpy().cumsum()
         ids = np.append(_gathered(flat, length, which), np.uint32(END))
         n = np.cumsum(length[which])[ends - 1]
@@ -399,14 +402,17 @@ def read_documents(spark, path: str, id_col: str = "doc_id") -> DataFrame:
     starts = parts.select("part", (F.sum("_n").over(Window.orderBy("part")) - F.col("_n")).alias("_part_start"))
     starts = F.broadcast(starts) if parts.count() <= BROADCAST_PARTS else starts
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = pa.schema([(id_col, pa.string()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, before, keys, payload in zip(batch["_part_start"], batch["before"], batch["doc_ids"], batch["payload"]):
-                shard = Shard(payload)
-                ids, ends = shard.ids(), np.cumsum(shard.lengths, dtype=np.int64)
-                starts = ends - shard.lengths
-                crc = [zlib.crc32(ids[a:b].astype("<u4")) for a, b in zip(starts.tolist(), ends.tolist())]
-                yield pd.DataFrame({id_col: pd.Series(list(keys), dtype=object), "start": starts + first + before, "n_tokens": shard.lengths.astype(np.int64), "ids_crc32": np.array(crc, np.int64)})
+            for i, (first, before) in enumerate(zip(batch.column("_part_start").to_pylist(), batch.column("before").to_pylist())):
+                shard = Shard(batch.column("payload")[i].as_buffer())
+                ids, ends = memoryview(shard.ids().astype("<u4", copy=False)).cast("B"), np.cumsum(shard.lengths, dtype=np.int64)
+                at = [0, *(4 * ends).tolist()]
+                crc = [zlib.crc32(ids[a:b]) for a, b in zip(at, at[1:])]
+                columns = [batch.column("doc_ids")[i].values.cast(pa.string()), ends - shard.lengths + first + before, shard.lengths.astype(np.int64), crc]
+                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) if not isinstance(x, pa.Array) else x for x, f in zip(columns, schema)], schema=schema)
 
     rows = shards.join(starts, "part").select("_part_start", "before", F.col("doc_ids").cast("array<string>").alias("doc_ids"), "payload")
-    return rows.mapInPandas(run, f"`{id_col}` string, start long, n_tokens long, ids_crc32 long").withColumn(id_col, F.col(f"`{id_col}`").cast(kind))
+    return rows.mapInArrow(run, f"`{id_col}` string, start long, n_tokens long, ids_crc32 long").withColumn(id_col, F.col(f"`{id_col}`").cast(kind))

@@ -87,6 +87,21 @@ def test_encoder_is_the_library():
             assert ids.tolist() == sum(want[k : k + step], []) and sizes.tolist() == [*map(len, want[k : k + step])], texts[k : k + step][:1]
 
 
+def test_encoder_forgets_and_stays_right(monkeypatch):
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_shards, "MEMORY", 60)
+    monkeypatch.setattr(token_shards, "LONGEST", 7)
+    lib, own = Tokenizer.from_file(BPE), token_shards.TextEncoder(BPE)
+    rng = random.Random(4)
+    for _ in range(40):
+        texts = [" ".join("".join(rng.choices("abcé", k=rng.randint(1, 9))) + rng.choice(["", ",", ".", "9", "\nx"]) for _ in range(rng.randint(0, 30))) for _ in range(5)]
+        ids, sizes = own.encode(pa.array(texts, pa.large_string()))
+        want = [[*lib.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+        assert ids.tolist() == sum(want, []) and sizes.tolist() == [*map(len, want)]
+        assert len(own.pieces) == len(own.length) == len(own.hits) and own.length.sum() == len(own.flat) and len(own.pieces) < 60 + 150
+
+
 def test_shard_round_trip_and_random_access():
     rng = np.random.default_rng(1)
     for n_docs, alphabet in ((0, 5), (1, 3), (40, 4), (300, 60), (50, 50_000)):
