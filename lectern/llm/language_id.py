@@ -104,53 +104,56 @@ class LanguageModel:
         self.first = np.cumsum([0, *(len(entries[k]) for k in keys)])
         self.lang = np.array([i for k in keys for i, _ in entries[k]], np.int64)
         self.above = np.log(np.array([c for k in keys for _, c in entries[k]]) + ALPHA) - np.log(ALPHA)
-        self.seen: dict[str, int] = {}  # unseen words, numbered on from the entries
         self.rows = max(MEMORY // width, 5000)
-        self.memory: np.ndarray | None = None  # made by the worker, not sent
+        # Made by the worker, not sent: words and, numbered on from the entries, unseen words with their scores.
+        self.index: dict[str, int] = {}
+        self.unseen, self.memory = 0, None
 
-    def _sum(self, ids: np.ndarray) -> np.ndarray:
-        """The sum of the entries' log frequencies by language."""
-        n = self.first[ids + 1] - self.first[ids]
+    def _sums(self, ids: np.ndarray, owner: np.ndarray, owners: int) -> np.ndarray:
+        """For each owner, the sum of its entries' log frequencies by language."""
+        n, width, kinds = self.first[ids + 1] - self.first[ids], len(self.langs), len(self.floor)
         at = np.repeat(self.first[ids] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-        kinds = np.bincount(self.kind[ids], minlength=len(self.floor))
-        return np.bincount(self.lang[at], self.above[at], len(self.langs)) + kinds @ self.floor
-
-    def _unseen(self, word: str) -> np.ndarray:
-        """The mean, over the places of the word, of the longest known n-gram there; zeros where none is known."""
-        marked, found, grams = f"_{word}_", [], self.grams
-        for i in range(len(marked) - 1):
-            for n in LENGTHS:
-                if i + n <= len(marked) and (got := grams.get(marked[i : i + n])) is not None:
-                    found.append(got)
-                    break
-        return self._sum(np.array(found, np.int64)) / (len(marked) - 1)
-
-    def _number(self, word: str) -> int:
-        i = self.seen[word] = len(self.kind) + len(self.seen)
-        self.memory[i - len(self.kind)] = self._unseen(word)
-        return i
+        above = np.bincount(np.repeat(owner, n) * width + self.lang[at], self.above[at], owners * width)
+        return above.reshape(owners, width) + np.bincount(owner * kinds + self.kind[ids], minlength=owners * kinds).reshape(owners, kinds) @ self.floor
+
+    def _remember(self, words: list[str]) -> None:
+        """Scores unseen words: the mean, over the places of a word, of the longest known n-gram there; nothing where none is known."""
+        get, ids, owner = self.grams.get, [], []
+        for k, word in enumerate(words):
+            marked = f"_{word}_"
+            for i in range(len(word) + 1):
+                for n in LENGTHS:
+                    got = get(marked[i : i + n]) if i + n <= len(marked) else None
+                    if got is not None:
+                        ids.append(got)
+                        owner.append(k)
+                        break
+        places = np.array([len(w) + 1 for w in words])[:, None]
+        first = self.unseen
+        self.memory[first : first + len(words)] = self._sums(np.array(ids, np.int64), np.array(owner, np.int64), len(words)) / places
+        self.index.update(zip(words, range(len(self.kind) + first, len(self.kind) + first + len(words))))
+        self.unseen += len(words)
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = _WORD.findall(text.lower()) if text and self.langs else []
         if not any(c.isalpha() for w in words for c in w):
             return "und", 0.0
         if self.memory is None:
-            self.memory = np.zeros((self.rows, len(self.langs)))
+            self.index, self.memory = dict(self.words), np.zeros((self.rows, len(self.langs)))
         sums = np.zeros(len(self.langs))
         for k in range(0, len(words), 4096):
-            if len(self.seen) + 4096 > self.rows:
-                self.seen = {}
-            known, seen = self.words.get, self.seen.get
-            at = [known(w) if (i := seen(w)) is None else i for w in words[k : k + 4096]]
+            block = words[k : k + 4096]
+            if self.unseen + len(block) > self.rows:
+                self.index, self.unseen = dict(self.words), 0
+            at = [*map(self.index.get, block)]
             if None in at:
-                for j, i in enumerate(at):
-                    if i is None:
-                        w = words[k + j]
-                        at[j] = self._number(w) if (got := seen(w)) is None else got
+                self._remember([*dict.fromkeys(w for w, i in zip(block, at) if i is None)])
+                at = [*map(self.index.get, block)]
             ids = np.array(at, np.int64)
             old = ids < len(self.kind)
-            sums += self._sum(ids[old])
-            if not old.all():
+            known = ids[old]
+            sums += self._sums(known, np.zeros(len(known), np.int64), 1)[0]
+            if len(known) < len(ids):
                 sums += self.memory[ids[~old] - len(self.kind)].sum(0)
         best = int(sums.argmax())
         return self.langs[best], float(1 / math.fsum(math.exp(max(s - sums[best], -700)) for s in sums.tolist()))
