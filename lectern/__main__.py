@@ -9,7 +9,7 @@ from pathlib import Path
 
 from lectern.plans import corpus, quality
 from lectern.session import session
-from lectern.sources import sqlite
+from lectern.sources import json_files, sqlite
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -28,7 +28,7 @@ def main(argv: list[str] | None = None) -> int:
     verify = commands.add_parser("verify", help="check a compiled file; exit code 1 if a check fails")
     verify.add_argument("--db", required=True)
     verify.add_argument("--font", help="also shape the second script with this font, if a shaping library is present")
-    for name, text in (("script", "normalise a second-script snapshot"), ("edition", "flatten a saved edition payload")):
+    for name, text in (("script", "normalise a second-script snapshot"), ("edition", "flatten an edition payload, a file or a URL that is saved beside the output first")):
         one = commands.add_parser(name, help=text)
         one.add_argument("input")
         one.add_argument("output")
@@ -52,6 +52,8 @@ def main(argv: list[str] | None = None) -> int:
             print(f"{row['severity']}: {row['check_name']} {row['subject']}: {row['message']}")
         return quality.exit_code(findings)
     else:
+        if args.command == "edition" and args.input.startswith(("http://", "https://")):
+            args.input = json_files.download(args.input, f"{args.output}.json")
         rows, ddl = (corpus.normalised_script(spark, args.input), "CREATE TABLE arabic_text (sura INTEGER, ayah INTEGER, text TEXT, PRIMARY KEY (sura, ayah));") if args.command == "script" else (corpus.edition_from_payload(spark, args.input), "CREATE TABLE translation (sura INTEGER, ayah INTEGER, ayah_key TEXT, text TEXT);")
         name = ddl.split()[2]
         sqlite.export({name: rows}, args.output, ddl, {name: ["sura", "ayah"]})

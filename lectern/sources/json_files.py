@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import os
+import shutil
+import urllib.request
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lectern.functions.text import parse_key, verse_key
@@ -17,6 +22,21 @@ def _document(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.text(path, wholetext=True).select(F.from_json("value", schema, {"mode": "FAILFAST"}).alias("j"))
 
 
+def download(url: str, path: str, timeout: float = 60) -> str:
+    """Saves the JSON document at a URL; nothing is left at path if it does not arrive whole or is no JSON."""
+    draft = f"{path}.part"
+    try:
+        with urllib.request.urlopen(url, timeout=timeout) as answer, open(draft, "wb") as f:
+            shutil.copyfileobj(answer, f)
+        with open(draft, encoding="utf-8") as f:
+            json.load(f)
+        os.replace(draft, path)
+    finally:
+        if os.path.exists(draft):
+            os.remove(draft)
+    return path
+
+
 def verse_map(spark: SparkSession, path: str) -> DataFrame:
     """(surah, ayah, text) of an object "c:v" -> text."""
     rows = _document(spark, path, "map<string,string>").select(F.explode("j").alias("key", "text"))

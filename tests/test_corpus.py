@@ -3,7 +3,10 @@
 import json
 import random
 import sqlite3
-from contextlib import closing
+import threading
+from contextlib import closing, contextmanager
+from functools import partial
+from http.server import SimpleHTTPRequestHandler, ThreadingHTTPServer
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +15,7 @@ from lectern.__main__ import corpus_tables, main
 from lectern.operators.align import CARRIER
 from lectern.plans import corpus, quality, shaping
 from lectern.plans.resolve import pick, resolve, text_kind
-from lectern.sources import sqlite
+from lectern.sources import json_files, sqlite
 
 VERSES = [(1, 1), (1, 2), (1, 3), (2, 1), (2, 2)]
 
@@ -122,6 +125,18 @@ def test_command_line_prepares(spark, tmp_path, monkeypatch, capsys):
     assert "expected 6236 verses, got 5" in capsys.readouterr().out
 
 
+@contextmanager
+def serving(folder):
+    """A web server on this machine for the files of a folder."""
+    quiet = type("Quiet", (SimpleHTTPRequestHandler,), {"log_message": lambda *a: None})
+    server = ThreadingHTTPServer(("127.0.0.1", 0), partial(quiet, directory=str(folder)))
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        yield f"http://127.0.0.1:{server.server_port}"
+    finally:
+        server.shutdown()
+
+
 def test_command_line_script_and_edition(spark, tmp_path, monkeypatch):
     monkeypatch.setattr("lectern.__main__.session", lambda: spark)
     (tmp_path / "s.json").write_text(json.dumps({f"{1 + i // 300}:{i % 300}": "a" for i in range(6236)}))
@@ -131,7 +146,15 @@ def test_command_line_script_and_edition(spark, tmp_path, monkeypatch):
     whole["data"]["surahs"][0]["ayahs"] = [{"numberInSurah": v, "text": "t"} for v in range(1, 56 + extra)]
     (tmp_path / "p.json").write_text(json.dumps(whole))
     assert main(["edition", str(tmp_path / "p.json"), str(tmp_path / "e.db")]) == 0
-    for name, table in (("s", "arabic_text"), ("e", "translation")):
+    with serving(tmp_path) as url:
+        assert main(["edition", f"{url}/p.json", str(tmp_path / "f.db")]) == 0
+        with pytest.raises(Exception, match="404"):
+            json_files.download(f"{url}/none.json", str(tmp_path / "none.json"))
+        (tmp_path / "half.json").write_text('{"a": [')
+        with pytest.raises(ValueError):
+            json_files.download(f"{url}/half.json", str(tmp_path / "got.json"))
+    assert not list(tmp_path.glob("none*")) and not list(tmp_path.glob("got*"))
+    for name, table in (("s", "arabic_text"), ("e", "translation"), ("f", "translation")):
         assert sqlite.row_count(str(tmp_path / f"{name}.db"), table) == 6236
 
 
