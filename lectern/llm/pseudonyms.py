@@ -66,6 +66,11 @@ COUNTRY = "^(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9][0
 ANY = "|".join(SHAPES.values())
 
 
+def _let(value: Column, body) -> Column:
+    """body(value), with value worked out once however often body has it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _hash(key: str, kind: str, nth: Column, half: Column) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), nth.cast("string"), half.cast("string")), 256)
 
@@ -139,17 +144,15 @@ def _phone(text: Column, key: str) -> Column:
 
 def _ten_digits(digits: Column, key: str) -> Column:
     """The last ten digits permuted; what stands before them stays."""
-    ten = F.right(digits, F.lit(10))
-    area, exchange, line = (F.substring(ten, at, n).cast("long") for at, n in ((1, 3), (4, 3), (7, 4)))
-    value = permute((area - 200) * 8_000_000 + (exchange - 200) * 10_000 + line, 800, 8_000_000, key, "phone")
-    valid = (F.floor(value / 8_000_000) + 200) * 10_000_000 + F.pmod(value, F.lit(8_000_000).cast("long")) + 2_000_000
-    # the others: 200 areas x 10 million, then 800 areas x 2 million
-    low = 200 * 10_000_000
-    nth = F.when(area < 200, ten.cast("long")).otherwise(low + (area - 200) * 2_000_000 + exchange * 10_000 + line)
-    other = permute(nth, 60_000, 60_000, key, "phone")
-    rest = other - low
-    invalid = F.when(other < low, other).otherwise((F.floor(rest / 2_000_000) + 200) * 10_000_000 + F.pmod(rest, F.lit(2_000_000).cast("long")))
-    return F.concat(F.substring(digits, F.lit(1), F.length(digits) - 10), _padded(F.when((area >= 200) & (exchange >= 200), valid).otherwise(invalid), 10))
+    area, exchange, line = (F.substring(F.right(digits, F.lit(10)), at, n).cast("long") for at, n in ((1, 3), (4, 3), (7, 4)))
+    number = lambda value, first: (F.floor(value / first) + 200) * 10_000_000 + F.pmod(value, F.lit(first).cast("long"))
+    low = 200 * 10_000_000  # of the others, 200 areas x 10 million, then 800 areas x 2 million
+    valid = lambda x: number(permute((x["a"] - 200) * 8_000_000 + (x["e"] - 200) * 10_000 + x["l"], 800, 8_000_000, key, "phone"), 8_000_000) + 2_000_000
+    nth = lambda x: F.when(x["a"] < 200, x["a"] * 10_000_000 + x["e"] * 10_000 + x["l"]).otherwise(low + (x["a"] - 200) * 2_000_000 + x["e"] * 10_000 + x["l"])
+    invalid = lambda x: _let(permute(nth(x), 60_000, 60_000, key, "phone"), lambda y: F.when(y < low, y).otherwise(number(y - low, 2_000_000)))
+    chosen = lambda x: F.when((x["a"] >= 200) & (x["e"] >= 200), _let(x, valid)).otherwise(invalid(x))
+    new = _let(F.struct(area.alias("a"), exchange.alias("e"), line.alias("l")), chosen)
+    return F.concat(F.substring(digits, F.lit(1), F.length(digits) - 10), _padded(new, 10))
 
 
 def _ssn(digits: Column, key: str) -> Column:
@@ -177,15 +180,17 @@ def _domain(text: Column) -> Column:
 
 def _date(text: Column) -> Column:
     """struct(day, order, short): the day (null if there is none), how it is written (ymd, dmy, mdy), whether its year has two digits."""
-    parts = F.split(text, "[-/.]")
-    one, two, three = (F.get(parts, F.lit(i)) for i in range(3))
     first = text.rlike("^[0-9]{4}")
-    short = ~first & (F.length(three) == 2)
-    year = F.when(short, F.concat(F.when(three < "50", "20").otherwise("19"), three)).when(first, one).otherwise(three)
-    day = lambda m, d: F.to_date(F.try_to_timestamp(F.concat_ws("-", year, F.lpad(m, 2, "0"), F.lpad(d, 2, "0")), F.lit("yyyy-MM-dd")))
-    by_day = day(two, one)
-    order = F.when(first, "ymd").when(by_day.isNotNull(), "dmy").otherwise("mdy")
-    return F.struct(F.when(first, day(two, three)).otherwise(F.coalesce(by_day, day(one, two))).alias("day"), order.alias("order"), short.alias("short"))
+
+    def read(parts: Column) -> Column:
+        one, two, three = (F.get(parts, F.lit(i)) for i in range(3))
+        short = ~first & (F.length(three) == 2)
+        year = F.when(short, F.concat(F.when(three < "50", "20").otherwise("19"), three)).when(first, one).otherwise(three)
+        day = lambda m, d: F.to_date(F.try_to_timestamp(F.concat_ws("-", year, F.lpad(m, 2, "0"), F.lpad(d, 2, "0")), F.lit("yyyy-MM-dd")))
+        return F.struct(day(two, F.when(first, three).otherwise(one)).alias("usual"), F.when(~first, day(one, two)).alias("turned"), short.alias("short"))
+
+    order = lambda x: F.when(first, "ymd").when(x["usual"].isNotNull(), "dmy").otherwise("mdy")
+    return _let(_let(F.split(text, "[-/.]"), read), lambda x: F.struct(F.coalesce(x["usual"], x["turned"]).alias("day"), order(x).alias("order"), x["short"].alias("short")))
 
 
 def _days(day: Column, first: str, days: int, key: str, kind: str) -> Column:
@@ -199,26 +204,27 @@ def _new_date(text: Column, date: Column, key: str) -> Column:
     new = F.when(date["short"], _days(date["day"], "1950-01-01", 36_525, key, "date2")).otherwise(_days(date["day"], "1900-01-01", 73_049, key, "date"))
     bare = text.rlike("(?<![0-9])[0-9](?![0-9])")  # a day or month of one digit
     part = lambda n: F.when(bare, n.cast("string")).otherwise(_padded(n, 2))
-    day, month = part(F.dayofmonth(new)), part(F.month(new))
-    year = F.when(date["short"], _padded(F.year(new) % 100, 2)).otherwise(F.year(new).cast("string"))
+    year = lambda n: F.when(date["short"], _padded(F.year(n) % 100, 2)).otherwise(F.year(n).cast("string"))
+    parts = _let(new, lambda n: F.struct(part(F.dayofmonth(n)).alias("d"), part(F.month(n)).alias("m"), year(n).alias("y")))
+    laid = lambda x: F.when(date["order"] == "ymd", F.array(x["y"], x["m"], x["d"])).when(date["order"] == "dmy", F.array(x["d"], x["m"], x["y"])).otherwise(F.array(x["m"], x["d"], x["y"]))
     sign = F.regexp_extract(text, "[-/.]", 0)
-    return F.when(date["order"] == "ymd", F.concat_ws("", year, sign, month, sign, day)).when(date["order"] == "dmy", F.concat_ws("", day, sign, month, sign, year)).otherwise(F.concat_ws("", month, sign, day, sign, year))
+    return F.aggregate(_let(parts, laid), F.lit(""), lambda x, y: F.concat(x, F.when(x == "", "").otherwise(sign), y))
 
 
 def _tagged(text: Column, key: str) -> Column:
     """(kind, pseudonym) of a match of ANY; kind is null if it fails validation."""
     digits = F.regexp_replace(text, "[^0-9]", "")
     whole = lambda kind: text.rlike(f"^(?:{SHAPES[kind]})$")
-    date = _date(text)
     pair = lambda kind, out: F.struct(F.lit(kind).alias("kind"), out.alias("out"))
+    plain = F.struct(F.lit(None).cast("string").alias("kind"), text.alias("out"))
     return (
         F.when(whole("email") & _domain(text), pair("email", F.concat(permute_string(F.substring_index(text, "@", 1), key, "email"), F.lit("@"), F.substring_index(text, "@", -1))))
         .when(whole("phone"), pair("phone", _phone(text, key)))
         .when(whole("ip") & F.forall(F.split(text, r"\."), lambda p: p.cast("int") <= 255), pair("ip", _ip(text, key)))
         .when(whole("card") & F.call_function("luhn_check", digits), pair("card", _laid_out(_card(digits, key), text)))
         .when(whole("ssn"), pair("ssn", _laid_out(_ssn(digits, key), text)))
-        .when(whole("date") & date["day"].isNotNull(), pair("date", _new_date(text, date, key)))
-        .otherwise(F.struct(F.lit(None).cast("string").alias("kind"), text.alias("out")))
+        .when(whole("date"), _let(_date(text), lambda d: F.when(d["day"].isNotNull(), pair("date", _new_date(text, d, key))).otherwise(plain)))
+        .otherwise(plain)
     )
 
 
