@@ -220,8 +220,8 @@ def component_table(prints: DataFrame) -> DataFrame:
     distinct = materialise(prints.groupBy("fp").agg(F.min("_id").alias("_least"), F.count(F.lit(1)).alias("_size")), "distinct")
     stars = connected_components(links(distinct))
     linked = distinct.join(stars.withColumnRenamed("node", "fp"), "fp")
-    named = linked.groupBy("root").agg(F.min("_least").alias("_id"))
-    by_fp = stars.join(named, "root").select(F.col("node").alias("fp"), "root", "_id")
+    named = materialise(linked.groupBy("root").agg(F.min("_least").alias("_id"), F.count(F.lit(1)).alias("_nodes")), "named")
+    by_fp = join_groups(stars, named, ["root"], "_nodes").select(F.col("node").alias("fp"), "root", "_id")
     return distinct.join(by_fp, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("_id", "_least").alias("component_id"), "_size")
 
 
@@ -235,7 +235,8 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     sha = F.unhex(F.sha2(whole_text(text_col), 256))
     prints = _prints(docs, id_col, text_col, sha.alias("_sha"))
     least = lambda key: F.min(F.struct(key.isNull().alias("n"), key.alias("id"), F.col("fp"), F.col("_sha")))
-    heads = prints.groupBy("fp").agg(least(F.col("_id")).alias("_row")).join(component_table(prints).select("fp", "root"), "fp").groupBy("root").agg(F.min("_row").alias("_row"))
+    table = materialise(component_table(prints).select("fp", "root"), "components")
+    heads = prints.groupBy("fp").agg(least(F.col("_id")).alias("_row")).join(table, "fp").groupBy("root").agg(F.min("_row").alias("_row"))
     name = lambda c: [F.coalesce(c.cast("string"), F.lit("")).alias(f"{p}id"), c.isNull().alias(f"{p}null")]
     keys = [f"{p}id", f"{p}null", f"{p}sha"]
     keep = materialise(heads.select(*name(F.col("_row.id")), F.col("_row._sha").alias(keys[2])), "heads")
