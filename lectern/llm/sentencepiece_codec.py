@@ -37,6 +37,8 @@ LETTER = re.compile(r"[A-Za-zÀ-ÖØ-öø-ɏ]+")
 OTHER = r"[^A-Za-zÀ-ÖØ-öø-ɏ▁]+"
 #: Results of chunks that a worker remembers in each of two generations, the same for pairs, and the longest such chunk.
 MEMORY, PAIRS, LONGEST = 500_000, 200_000, 40
+#: Ids that a worker holds before it passes rows on.
+HELD = 500_000
 
 
 class SentencePieceCodec:
@@ -268,11 +270,19 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
         c = codec(model_path)
         c.memory = memory
         for batch in batches:
-            rows = []
+            rows, held, first = [], 0, 0
+
+            def out() -> pd.DataFrame:
+                return pd.DataFrame(rows, columns=names).assign(**{k: batch[k].values[first : first + len(rows)] for k in keep})
+
             for key, text in zip(batch["key"], batch["text"]):
+                if held > HELD:
+                    yield out()
+                    rows, held, first = [], 0, first + len(rows)
                 got = c.encode(text, add_end=True)
+                held += len(got)
                 rows.append((key, *([got] if ids else []), len(got), hashlib.sha256(c.decimals(got).encode()).hexdigest(), hashlib.sha256(c.decode(got).encode()).hexdigest()))
-            yield pd.DataFrame(rows, columns=names).assign(**{k: batch[k].values for k in keep})
+            yield out()
         if forget:
             c.forget()
 

@@ -69,6 +69,9 @@ def test_encode_documents(spark):
         assert got[i]["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert got[i]["decoded_sha256"] == hashlib.sha256(lib.decode(ids).encode()).hexdigest()
     assert sentencepiece_codec.encode_documents(frame(spark, ["x"]).limit(0), SP).count() == 0
+    many = frame(spark, [f"word {i} " * 3000 for i in range(60)]).withColumn("more", F.col("doc_id") * 7)  # more ids than are held at a time
+    rows = sentencepiece_codec.encode_documents(many, SP, keep=("more",)).collect()
+    assert sorted((r["doc_id"], r["more"]) for r in rows) == [(i, 7 * i) for i in range(60)] and all(r["ids"] == lib.encode(f"word {r['doc_id']} " * 3000, add_eos=True) for r in rows)
 
 
 # token shards
