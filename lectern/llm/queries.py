@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, host_paths, language_id, mixing, pseudonyms, quality, secret_scan, sentencepiece_codec, simhash, token_shards
+from . import exact_dedup, filter_audit, host_paths, language_id, mixing, pseudonyms, quality, secret_scan, sentencepiece_codec, simhash, token_shards
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +68,10 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.encode_documents(_table(spark, sf_dir, "documents"), _tokenizer("piece_bpe_32k.model"), ids=False)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_host_paths": op1_host_paths,
     "op2_token_shards": op2_token_shards,
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_quality": op10_quality,
+    "op11_filter_audit": op11_filter_audit,
 }
 
 def _matches(kind: str, nth: int, pattern: str, group: int, least: int) -> str:
@@ -115,4 +120,26 @@ SQL: dict[str, str] = {
                row_number() OVER (PARTITION BY norm ORDER BY doc_id) = 1 AS kept, sha256(norm) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY norm)
     """,
+    "op11_filter_audit": r"""
+        WITH w AS (SELECT *, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        f AS (SELECT part, doc_id, [
+                len(words) < 200, 100 * len(list_distinct(words)) < 50 * len(words), 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t),
+                regexp_matches(t, '[#$%&*|]'), min(doc_id) OVER (PARTITION BY t) < doc_id] AS fails FROM w),
+        l AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+        c AS (SELECT part, fails, count(*) AS n, count(*) FILTER (good = 1) AS good, count(*) FILTER (toxic = 1) AS toxic FROM f LEFT JOIN l USING (doc_id) GROUP BY part, fails),
+        a AS (SELECT unnest(range(1, 6)) AS i),
+        o AS (SELECT [p.i, q.i, r.i, s.i, t.i] AS o FROM a p, a q, a r, a s, a t WHERE len(list_distinct([p.i, q.i, r.i, s.i, t.i])) = 5),
+        k AS (SELECT part, o, i AS step,
+                fails[o[i]] AS fail, len(list_filter(o[1:i - 1], lambda x: fails[x])) > 0 AS gone,
+                len(list_filter(fails, lambda x: x)) AS many, n, good, toxic FROM c, o, a),
+        z AS (SELECT part, o, step,
+                sum(n) FILTER (NOT fail AND NOT gone) AS kept, sum(n) FILTER (fail AND NOT gone) AS removed, sum(n) FILTER (fail AND gone) AS redundant,
+                sum(n) FILTER (fail AND many = 1) AS unique_fails, sum(good) FILTER (fail AND NOT gone) AS good_lost, sum(toxic) FILTER (fail AND NOT gone) AS toxic_lost FROM k GROUP BY ALL),
+        s AS (SELECT part, o[step] AS filter, sum(removed) AS shapley FROM z GROUP BY ALL)
+        SELECT part, array_to_string(list_transform(o, lambda x: chr(CAST(64 + x AS INT))), '') AS filter_order, CAST(step AS INT) AS step,
+               CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+               CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+               CAST(coalesce(shapley, 0) AS BIGINT) AS shapley
+        FROM z JOIN s USING (part) WHERE s.filter = o[step]
+    """,
 }
