@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact_dedup, filter_audit, host_paths, language_id, mixing, pseudonyms, quality, secret_scan, sentencepiece_codec, simhash, token_shards
+from . import alignment, exact_dedup, filter_audit, host_paths, language_id, mixing, pseudonyms, quality, secret_scan, sentencepiece_codec, simhash, token_shards
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,6 +72,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align_documents(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_host_paths": op1_host_paths,
     "op2_token_shards": op2_token_shards,
@@ -84,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_sentencepiece": op9_sentencepiece,
     "op10_quality": op10_quality,
     "op11_filter_audit": op11_filter_audit,
+    "op12_alignment": op12_alignment,
 }
 
 def _matches(kind: str, nth: int, pattern: str, group: int, least: int) -> str:
