@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import alignment, exact_dedup, filter_audit, host_paths, language_id, mixing, pseudonyms, quality, secret_scan, sentencepiece_codec, simhash, token_shards
+from . import alignment, exact_dedup, filter_audit, host_paths, language_id, lm_trie, mixing, pseudonyms, quality, secret_scan, sentencepiece_codec, simhash, token_shards
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +76,10 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_documents(_table(spark, sf_dir, "documents"), _tokenizer("byte_bpe_50k.json"), _tokenizer("piece_bpe_32k.model"))
 
 
+def op13_lm_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_trie.score_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_host_paths": op1_host_paths,
     "op2_token_shards": op2_token_shards,
@@ -89,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
     "op11_filter_audit": op11_filter_audit,
     "op12_alignment": op12_alignment,
+    "op13_lm_trie": op13_lm_trie,
 }
 
 def _matches(kind: str, nth: int, pattern: str, group: int, least: int) -> str:
