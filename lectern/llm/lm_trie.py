@@ -53,7 +53,7 @@ WEIGHT = 4.0
 STEPS, FLOOR = 1024, 24
 #: Tokens of a shard, about.
 SHARD_TOKENS = 2_000_000
-BLOCK, BLOCK_DOCS = 8 << 20, 30_000
+BLOCK, BLOCK_DOCS = 4 << 20, 30_000
 #: A pair that so many documents of a block have is answered for; its documents stay with the block.
 DEFER = 32
 #: The modulus and remainder of crc32(id) that hold a document out.
