@@ -5,7 +5,7 @@ SentencePiece BPE model, given the text, which adds that space itself. Both give
 same bytes, so a text is cut into groups where tokens of both end, and the tokens that end there
 are linked. How often an id pair is linked in the whole corpus tells how much a link means.
 
-1. Postings. Texts are encoded in blocks of some 8 MB; lengths of tokens and their running sums
+1. Postings. Texts are encoded in blocks of some 4 MB; lengths of tokens and their running sums
    give the ends, and ends in common give the links. A block writes a row per document (sizes,
    digest of its groups) and, per id of B, a posting list: for each id of A linked with it the
    documents of the block and how often each has the pair.
@@ -43,7 +43,7 @@ from .text_buffers import slices
 from .token_shards import TextEncoder, _gathered
 
 #: Bytes of text in a block, and the most documents of one (their numbers are kept in 16 bits).
-BLOCK, BLOCK_DOCS = 8 << 20, 30_000
+BLOCK, BLOCK_DOCS = 4 << 20, 30_000
 #: An id of B with over 1/SHARES of the postings is split.
 SHARES = 400
 #: Postings worked on at a time, and contributions held before they are passed on.
