@@ -237,8 +237,8 @@ def prepare(spark: SparkSession, words: str, layout: str, divisions: dict[str, t
     for name, (path, table, order) in divisions.items():
         chapter, verse = T.parse_key(F.col("first_verse_key"))
         starts = read(path, table, "first_verse_key", order).select(chapter.alias("surah"), verse.alias("ayah"), F.col(order).cast("long").alias("_o"))
-        markers[name] = S.marker_ordinals(starts, "_o").select(*POSITION, F.col("n").cast("int").alias("n"))
-    out = S.expand_markers(out, markers, POSITION, "n")
+        markers[name] = starts
+    out = S.scan_markers(out, markers, POSITION, "_o").withColumns({name: F.col(name).cast("int") for name in markers})
     chapter, verse = T.parse_key(F.col("verse_key"))
     members = read(flags, "sajdah", "verse_key").select(chapter.alias("surah"), verse.alias("ayah"))
     return R.membership_flag(out, members, POSITION, "sajda").select(*POSITION, "page_number", *divisions, "sajda")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from lectern.functions import text as T
 from lectern.operators import relational as R, sequence as S
 from lectern.operators.align import graft
-from lectern.plans import navigate, quality as Q, shaping
+from lectern.plans import quality as Q, shaping
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -62,14 +62,14 @@ _MARKED = """
 """
 
 
-def _markers(events: DataFrame, kind: str = "signup") -> DataFrame:
-    return S.marker_ordinals(events.where(F.col("event_type") == kind).select("event_id", "ts"), "ts").select("event_id", "n")
+def _starts(events: DataFrame, kind: str) -> DataFrame:
+    return events.where(F.col("event_type") == kind).select("event_id", "ts")
 
 
 @query(_MARKED)
 def marker_expand(spark, d):
     e = table(spark, d, "events").select("event_id", "ts", "event_type", "props")
-    return S.expand_markers(e, {"division": _markers(e)}, ["event_id"], "n", order=["ts"]).select("event_id", "props", "division")
+    return S.scan_markers(e, {"division": _starts(e, "signup")}, ["event_id"], "ts", order=["ts"]).select("event_id", "props", "division")
 
 
 @query(_MARKED)
@@ -91,7 +91,7 @@ _KINDS = ("click", "error", "purchase", "signup", "view")
 """)
 def marker_expand_multi(spark, d):
     e = table(spark, d, "events").select("event_id", "ts", "event_type")
-    return S.expand_markers(e, {f"{k}_n": _markers(e, k) for k in _KINDS}, ["event_id"], "n", order=["ts"]).select("event_id", *(f"{k}_n" for k in _KINDS))
+    return S.scan_markers(e, {f"{k}_n": _starts(e, k) for k in _KINDS}, ["event_id"], "ts", order=["ts"]).select("event_id", *(f"{k}_n" for k in _KINDS))
 
 
 _QUIRKS = [(3, 1), (9, 2), (77, 3), (9, 4), (5, 5)]  # unsorted, one unknown, one twice
@@ -112,7 +112,7 @@ def marker_quirks(spark, d):
 """)
 def range_join_page(spark, d):
     ranges = spark.range(5000).select(F.col("id").alias("page"), (F.col("id") * 40 + 5).alias("lo"), (F.col("id") * 40 + 30).alias("hi"))
-    return S.range_join(table(spark, d, "documents").select("doc_id"), ranges, "doc_id", "lo", "hi", 64, "page", F.col("page"), how_many="one")
+    return S.range_join(table(spark, d, "documents").select("doc_id"), ranges, "doc_id", "lo", "hi", 64, "page", F.col("page"))
 
 
 _OVERLAP = [(1, 1, 60, 1), (2, 40, 120, 2), (3, 10, 20, 3), (4, 100, 90, 4)]
@@ -336,17 +336,17 @@ def meta_kv(spark, d):
 
 @query("SELECT d.doc_id, d.source, l.quality FROM documents d JOIN labels l USING (doc_id) WHERE d.source = 'src3'")
 def navigate_division(spark, d):
-    return navigate.in_division(table(spark, d, "documents").select("doc_id", "source"), table(spark, d, "labels").select(F.col("doc_id").alias("_k"), "quality"), "source", "src3", "doc_id", "_k").drop("_k")
+    return R.in_division(table(spark, d, "documents").select("doc_id", "source"), table(spark, d, "labels").select(F.col("doc_id").alias("_k"), "quality"), "source", "src3", "doc_id", "_k").drop("_k")
 
 
 @query(f"SELECT division, count(*) AS verses FROM ({_MARKED}) GROUP BY division")
 def navigate_summary(spark, d):
-    return navigate.summary(marker_expand(spark, d), "division")
+    return R.summary(marker_expand(spark, d), "division")
 
 
 @query("SELECT conv_id, turn, lag(turn) OVER w AS previous, lead(turn) OVER w AS next FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)")
 def neighbours(spark, d):
-    return navigate.neighbours(table(spark, d, "conversations").select("conv_id", "turn"), ["turn"], "turn", ["conv_id"])
+    return S.neighbours(table(spark, d, "conversations").select("conv_id", "turn"), ["turn"], "turn", ["conv_id"])
 
 
 @query("SELECT user_id, array_to_string(list_slice(list_sort(list_distinct(list(event_type))), 1, 2), ', ') AS some FROM events GROUP BY user_id")
@@ -467,6 +467,6 @@ def corpus_flow(spark, d):
     """Words to verses, running ids, start markers, divisions: the compiler's main path in one query."""
     c = table(spark, d, "conversations")
     ids = S.running_id(c, ["conv_id", "turn"])
-    m = S.marker_ordinals(ids.where("role = 'user' AND turn < 2").select("id"), "id")
-    x = S.expand_markers(ids.select("id", "conv_id"), {"division": m}, ["id"], "n").groupBy("conv_id").agg(F.min("id").cast("long").alias("first_id"), F.max("division").cast("long").alias("division"))
+    m = ids.where("role = 'user' AND turn < 2").select("id", F.col("id").alias("rank"))
+    x = S.scan_markers(ids.select("id", "conv_id"), {"division": m}, ["id"], "rank").groupBy("conv_id").agg(F.min("id").cast("long").alias("first_id"), F.max("division").cast("long").alias("division"))
     return R.ordered_concat(c, ["conv_id"], "turn", "text").join(x, "conv_id")
