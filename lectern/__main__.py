@@ -9,6 +9,7 @@ from pathlib import Path
 
 from lectern.plans import corpus, quality
 from lectern.session import session
+from lectern.shared import scratch
 from lectern.sources import json_files, sqlite
 
 
@@ -36,6 +37,11 @@ def main(argv: list[str] | None = None) -> int:
     logging.basicConfig(level=logging.WARNING, format="%(message)s")
     logging.getLogger("lectern").setLevel(logging.INFO)
     spark = session()
+    with scratch(spark):  # what a command writes on its way goes with it
+        return run(spark, args)
+
+
+def run(spark, args: argparse.Namespace) -> int:
     if args.command == "build":
         print(corpus.build(spark, corpus.load_config(args.config), args.output, args.graft))
     elif args.command == "prepare":

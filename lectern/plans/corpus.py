@@ -1,7 +1,9 @@
 """The compiler: sources of one ordered corpus in, five related tables out.
 
 All inputs are checked before anything is written, and outputs are put in place in one step.
-Frames are lazy; the corpus is read once per table that needs it.
+Frames are lazy but for running ids and markers, whose ranges are written as the plan is built: put
+shared.scratch around a compilation, as the commands do, to have them removed. The corpus is
+read once per table that needs it.
 """
 
 from __future__ import annotations

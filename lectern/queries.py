@@ -124,9 +124,12 @@ def range_join_overlap(spark, d):
     return S.range_join(table(spark, d, "part").select("p_partkey"), r, "p_partkey", "lo", "hi", 32, "page", F.col("ord"))
 
 
-@query(f"SELECT page, CAST(unnest(range(lo, hi + 1)) AS BIGINT) AS word FROM {values(_OVERLAP[:3], 'page, lo, hi, ord')}")
+@query("SELECT doc_id AS page, CAST(unnest(range(doc_id * 10, doc_id * 10 + n_chars % 7 + 1)) AS BIGINT) AS word FROM documents")
 def range_points(spark, d):
-    return S.ranges_to_points(inline(spark, _OVERLAP[:3], "page int, lo long, hi long, ord int"), "lo", "hi", "word").select("page", "word")
+    """Each document is a page of one to seven words."""
+    i = F.col("doc_id")
+    pages = table(spark, d, "documents").select(i.alias("page"), (i * 10).alias("lo"), (i * 10 + F.col("n_chars") % 7).alias("hi"))
+    return S.ranges_to_points(pages, "lo", "hi", "word").select("page", "word")
 
 
 @query("SELECT user_id, min(event_id) AS first_event FROM events GROUP BY user_id")
@@ -254,17 +257,25 @@ def guarded_replace(spark, d):
     return table(spark, d, "documents").select("doc_id", T.replace_guarded(F.col("text"), "the", "GOD", "A-Za-z").alias("text"))
 
 
-_GUARDED = ["खुदा", "ख़ुदा ।", "खुदाई", "x खुदा।", "ख़ुदा", "अखुदा"]
 _LETTER = r"\x{0900}-\x{0903}\x{0905}-\x{0939}\x{093c}\x{093e}-\x{094f}\x{0951}-\x{0963}\x{0972}-\x{097f}"
 _WORD_SQL = rf"(^|[^{_LETTER}])\x{{0916}}\x{{093c}}?\x{{0941}}\x{{0926}}\x{{093e}}($|[^{_LETTER}])"
+#: Words of the documents that stand for the guarded word: bare, dotted, inflected, and as a part of another one.
+_STAND_INS = {"the": "खुदा", "de": "ख़ुदा", "of": "खुदाई", "and": "अखुदा", "der": "ख़ुदा।"}
 
 
-@query(f"SELECT i, regexp_replace(regexp_replace(v, '{_WORD_SQL}', '\\1अल्लाह\\2', 'g'), '{_WORD_SQL}', '\\1अल्लाह\\2', 'g') AS text FROM {values([*zip(range(6), _GUARDED)], 'i, v')}")
-def guarded_word(spark, d):
-    return inline(spark, [*zip(range(6), _GUARDED)], "i int, text string").select("i", T.replace_guarded(F.col("text")).alias("text"))
+def _stood_in(text: str) -> str:
+    for word, other in _STAND_INS.items():
+        text = rf"regexp_replace({text}, '\b{word}\b', '{other}', 'g')"
+    return text
 
 
-_CLUSTERS = ["آۖب", "َٓۚۛ ۖ", "بۖٓ", "ٰۤۖ", "ٓیۗۘxۙ", ""]
+@query(f"SELECT doc_id, regexp_replace(regexp_replace(v, '{_WORD_SQL}', '\\1अल्लाह\\2', 'g'), '{_WORD_SQL}', '\\1अल्लाह\\2', 'g') AS text FROM (SELECT doc_id, {_stood_in('text')} AS v FROM documents)")
+def guarded_word(spark, d):
+    """Documents in which frequent words became the guarded word and words like it."""
+    t = F.col("text")
+    for word, other in _STAND_INS.items():
+        t = F.regexp_replace(t, rf"\b{word}\b", other)
+    return table(spark, d, "documents").select("doc_id", T.replace_guarded(t).alias("text"))
 
 
 _NOTES = r"\x{0600}-\x{0620}\x{064b}-\x{066f}\x{0672}-\x{06d5}\x{06dd}-\x{06ff}\x{06d6}-\x{06dc}"
@@ -276,29 +287,40 @@ def _unstacked(text: str) -> str:
     return rf"array_to_string(list_transform({runs}, lambda r: CASE WHEN ord(r) IN (1619, 1764) THEN regexp_replace(r, '[\x{{06d6}}-\x{{06dc}}]', '', 'g') ELSE r END), '')"
 
 
-@query(f"SELECT i, {_unstacked('v')} AS text FROM {values([*zip(range(6), _CLUSTERS)], 'i, v')}")
+#: Letters of the documents and the signs that stand for them.
+_SIGNS = "eaoinr", "\u0653\u06d6\u06da\u064e\u06e4\u06db"
+
+
+@query(f"SELECT doc_id, {_unstacked('v')} AS text FROM (SELECT doc_id, translate(text, '{_SIGNS[0]}', '{_SIGNS[1]}') AS v FROM documents)")
 def cluster_drop(spark, d):
-    return inline(spark, [*zip(range(6), _CLUSTERS)], "i int, text string").select("i", T.drop_stacked_signs(F.col("text")).alias("text"))
+    return table(spark, d, "documents").select("doc_id", T.drop_stacked_signs(F.translate("text", *_SIGNS)).alias("text"))
 
 
-_POINTS = ["ab", " ڪ  ے ", "لله​", " x﻿y z\t", ""]
+#: Letters of the documents and the code points that stand for them.
+_POINTS = "aeioutlshn", "\u06aa\u06d2\ue003\ue01a\u200c\u0644\u0644\u0644\u0647\u2002"
 _MAPPED_SQL = "translate(v, '\ue003\ue004\u06aa\u06d2\u2002\u2003', '\u0656\u0657\u0643\u064a  ')"
 _STRIPPED_SQL = f"regexp_replace({_MAPPED_SQL}, '[\ue01a\ue01b\ue01c\ue01e\ue01f\ue021\ue022\u200b\u200c\u200d\u200e\u200f\ufeff\u0604]', '', 'g')"
 _SPACED_SQL = rf"trim(regexp_replace({_STRIPPED_SQL}, '[\s\x{{0b}}\x{{1c}}-\x{{1f}}\x{{85}}\x{{a0}}\x{{1680}}\x{{2000}}-\x{{200a}}\x{{2028}}\x{{2029}}\x{{202f}}\x{{205f}}\x{{3000}}]+', ' ', 'g'))"
 _WRITTEN_SQL = f"replace({_SPACED_SQL}, '\u0644\u0644\u0647', '\u0644\u0644\u0651\u0670\u0647')"
 
 
-@query(f"SELECT i, {_unstacked(_WRITTEN_SQL)} AS text FROM {values([*zip(range(5), _POINTS)], 'i, v')}")
+@query(f"SELECT doc_id, {_unstacked(_WRITTEN_SQL)} AS text FROM (SELECT doc_id, translate(text, '{_POINTS[0]}', '{_POINTS[1]}') AS v FROM documents)")
 def codepoint_normalise(spark, d):
-    return inline(spark, [*zip(range(5), _POINTS)], "i int, text string").select("i", T.normalise_code_points(F.col("text")).alias("text"))
+    return table(spark, d, "documents").select("doc_id", T.normalise_code_points(F.translate("text", *_POINTS)).alias("text"))
 
 
 _FLAGS = ["", "0", "none", "None", "false", "False", "0.0", " 0 ", "1", "yes", None]
 
 
-@query(f"SELECT i, CASE WHEN v IS NULL THEN NULL WHEN trim(v) IN ('', '0', 'none', 'None', 'false') THEN 0 ELSE 1 END AS flag FROM {values([*zip(range(11), _FLAGS)], 'i, v')}")
+@query(f"""
+    SELECT p_partkey, CASE WHEN v IS NULL THEN NULL WHEN trim(v) IN ('', '0', 'none', 'None', 'false') THEN 0 ELSE 1 END AS flag
+    FROM (SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN p_brand ELSE f.v END AS v FROM part JOIN {values([*zip(range(11), _FLAGS)], 'i, v').replace(') AS v(', ') AS f(')} ON p_partkey % 11 = i)
+""")
 def bool_coerce(spark, d):
-    return inline(spark, [*zip(range(11), _FLAGS)], "i int, v string").select("i", T.flag(F.col("v")).alias("flag"))
+    """Parts of even size are flagged by their brand, the others by one of the spellings."""
+    p = table(spark, d, "part").select("p_partkey", "p_brand", "p_size")
+    spelling = F.element_at(F.array(*map(F.lit, _FLAGS)), (F.col("p_partkey") % 11 + 1).cast("int"))
+    return p.select("p_partkey", T.flag(F.when(F.col("p_size") % 2 == 0, F.col("p_brand")).otherwise(spelling)).alias("flag"))
 
 
 @query("SELECT c_custkey, lower(trim(c_mktsegment)) AS segment FROM customer")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -22,21 +25,29 @@ def shared_dir(spark: SparkSession) -> str:
         if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         where = tempfile.mkdtemp(prefix="lectern-")
+        atexit.register(shutil.rmtree, where, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
 
 
-_scratch: list[str] = []
+_local = threading.local()
+
+
+def _scopes() -> list[str]:
+    """The folders of the scopes that this thread is in."""
+    if not hasattr(_local, "scopes"):
+        _local.scopes = []
+    return _local.scopes
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Tables that materialise() writes within are removed at the end; results must have been written elsewhere by then."""
-    _scratch.append(f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}")
+    _scopes().append(f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}")
     try:
         yield
     finally:
-        remove(spark, _scratch.pop())
+        remove(spark, _scopes().pop())
 
 
 def remove(spark: SparkSession, path: str) -> None:
@@ -52,7 +63,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     what depends on how rows were dealt to partitions is settled once.
     """
     spark = df.sparkSession
-    path = f"{_scratch[-1] if _scratch else shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_scopes()[-1] if _scopes() else shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
