@@ -61,24 +61,47 @@ RULES = (
 )
 
 
+#: Matches whose places are added up at a time; lists of places are copied within such a run only.
+RUN = 256
+
+
+def _bound(value: Column, use) -> Column:
+    """use(value), with value worked out once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def find_spans(text: Column, rule: Rule) -> Column:
-    """The spans of a rule in a text, in code points: what stands between the matches gives their places."""
-    pattern = F.lit(rule.pattern)
-    starts = F.aggregate(
-        F.arrays_zip(F.split(text, rule.pattern, -1).alias("gap"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("all"), F.regexp_extract_all(text, pattern, F.lit(rule.group)).alias("part")),
-        F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("out")),
-        lambda acc, x: F.struct(
-            (acc["at"] + F.length(x["gap"]) + F.coalesce(F.length(x["all"]), F.lit(0))).alias("at"),
-            F.when(
-                F.length(x["part"]) >= rule.least,
-                F.concat(acc["out"], F.array(F.struct(F.lit(rule.kind).alias("kind"), (acc["at"] + F.length(x["gap"])).alias("start"), (acc["at"] + F.length(x["gap"]) + F.length(x["all"])).alias("end")).cast(SPAN))),
-            )
-            .otherwise(acc["out"])
-            .alias("out"),
-        ),
-        lambda acc: acc["out"],
-    )
-    return F.when(F.rlike(text, F.lit(rule.hint or rule.pattern)), starts).otherwise(F.array().cast(f"array<{SPAN}>"))
+    """The spans of a rule in a text, in code points: what stands between the matches gives their places.
+
+    Places are added up in runs of RUN matches, from 0 in each, and the runs' lengths after that, so
+    the time grows with the text also where it is full of matches.
+    """
+    pattern, none = F.lit(rule.pattern), F.array().cast(f"array<{SPAN}>")
+    length = lambda c: F.coalesce(F.length(c), F.lit(0))
+    span = lambda start, end: F.struct(F.lit(rule.kind).alias("kind"), start.alias("start"), end.alias("end")).cast(SPAN)
+    matches = F.arrays_zip(F.split(text, rule.pattern, -1).alias("gap"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("all"), F.regexp_extract_all(text, pattern, F.lit(rule.group)).alias("part"))
+
+    def run(part: Column) -> Column:
+        return F.aggregate(
+            part,
+            F.struct(F.lit(0).alias("at"), none.alias("out")),
+            lambda acc, x: F.struct(
+                (acc["at"] + F.length(x["gap"]) + length(x["all"])).alias("at"),
+                F.when(F.length(x["part"]) >= rule.least, F.concat(acc["out"], F.array(span(acc["at"] + F.length(x["gap"]), acc["at"] + F.length(x["gap"]) + F.length(x["all"]))))).otherwise(acc["out"]).alias("out"),
+            ),
+        )
+
+    def placed(runs: Column) -> Column:
+        starts = F.aggregate(
+            runs,
+            F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts")),
+            lambda acc, r: F.struct((acc["at"] + r["at"]).alias("at"), F.concat(acc["starts"], F.array(acc["at"])).alias("starts")),
+        )["starts"]
+        return F.flatten(F.zip_with(runs, starts, lambda r, start: F.transform(r["out"], lambda s: span(s["start"] + start, s["end"] + start))))
+
+    in_runs = lambda all_: F.transform(F.sequence(F.lit(0), F.floor((F.size(all_) - 1) / RUN).cast("int")), lambda i: run(F.slice(all_, i * RUN + 1, RUN)))
+    found = _bound(matches, lambda all_: _bound(in_runs(all_), placed))
+    return F.when(F.rlike(text, F.lit(rule.hint or rule.pattern)), found).otherwise(none)
 
 
 def open_ledger(spark: SparkSession, path: str | None = None) -> str:
@@ -117,17 +140,19 @@ def _missing(versions: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, .
 
 
 def findings_of(versions: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = RULES, path_cols: tuple[str, ...] = ("path", "version"), content_col: str = "content") -> DataFrame:
-    """path_cols, blob and spans (array of kind, start, end; by start, then in the rules' order) of each row of versions, as the ledger has them."""
-    order = F.create_map(*(x for i, r in enumerate(rules) for x in (F.lit(r.kind), F.lit(i))))
+    """path_cols, blob and spans (array of kind, start, end; by start, then in the rules' order) of each row of versions.
+
+    The findings are those that the ledger has; a row whose blob it lacks has none.
+    """
+    order = F.create_map(*(x for i, r in enumerate(rules) for x in (F.lit(r.key), F.lit(i))))
     paths = materialise(versions.select(*map(column, path_cols), F.sha2(whole_text(content_col), 256).alias("blob")), "paths")
     sizes = paths.groupBy("blob").agg(F.count(F.lit(1)).alias("_size"))
     one = ledger.where(F.col("rule").isin([r.key for r in rules])).groupBy("blob", "rule").agg(F.max("spans").alias("spans"))  # of repeated entries one counts
-    by_blob = (
-        one.groupBy("blob")
-        .agg(F.flatten(F.collect_list("spans")).alias("spans"))  # one entry a rule
-        .withColumn("spans", F.transform(F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("a"), order[s["kind"]].alias("b"), s.alias("s")))), lambda x: x["s"]))
-    )
-    return join_groups(paths, materialise(by_blob.join(sizes, "blob"), "findings"), ["blob"], "_size").select(*map(column, path_cols), "blob", "spans")
+    placed = F.transform("spans", lambda s: F.struct(s["start"].alias("a"), order[F.col("rule")].alias("b"), s.alias("s")))
+    by_blob = one.groupBy("blob").agg(F.array_sort(F.flatten(F.collect_list(placed))).alias("spans"))  # one entry a rule
+    by_blob = by_blob.select("blob", F.transform("spans", lambda x: x["s"]).alias("spans"))
+    known = sizes.join(by_blob, "blob", "left").select("blob", "_size", F.coalesce("spans", F.array().cast(f"array<{SPAN}>")).alias("spans"))
+    return join_groups(paths, materialise(known, "findings"), ["blob"], "_size").select(*map(column, path_cols), "blob", "spans")
 
 
 def scan(versions: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, path_cols: tuple[str, ...] = ("path", "version"), content_col: str = "content") -> tuple[DataFrame, DataFrame]:
@@ -149,4 +174,4 @@ def digest_rows(findings: DataFrame, id_col: str, rules: tuple[Rule, ...] = RULE
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
     listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     own = F.filter("spans", lambda s: s["kind"].isin(base))
-    return findings.select(column(id_col), *(count(r.kind).alias(f"n_{r.kind}") for r in rules), F.sha2(listed(own), 256).alias("base_sha256"), listed("spans").alias("spans"))
+    return findings.select(column(id_col), *(count(k).alias(f"n_{k}") for k in dict.fromkeys(r.kind for r in rules)), F.sha2(listed(own), 256).alias("base_sha256"), listed("spans").alias("spans"))

@@ -314,6 +314,37 @@ def test_hints_ledgers_and_digests(spark, monkeypatch):
         assert sorted((r["doc_id"], len(r["spans"])) for r in found) == [(i, int(i % 9 > 0)) for i in range(80)]
 
 
+def test_texts_full_of_findings(spark):
+    """A megabyte of findings, in a time that grows with the text."""
+    import time
+
+    def seconds(n):
+        text = "".join(f"{'é' * (i % 3)} token={i:012d}" for i in range(n))
+        one = spark.createDataFrame([(1, text)], "doc_id int, text string").select("doc_id", secret_scan.find_spans(F.col("text"), secret_scan.RULES[0]).alias("s"), F.length("text").alias("n"))
+        began = time.perf_counter()
+        got = one.select(F.size("s").alias("k"), F.element_at("s", -1)["end"].alias("end"), "n", F.expr("exists(s, x -> x.end - x.start <> 18)").alias("bad")).first()
+        assert tuple(got) == (n, len(text), len(text), False)
+        return time.perf_counter() - began
+
+    seconds(300)
+    assert seconds(50_000) < 20
+    for n in (1, secret_scan.RUN - 1, secret_scan.RUN, secret_scan.RUN + 1, 3 * secret_scan.RUN):
+        t = "x" + " token=abcdefghijkl\n🙂" * n
+        got = spark.createDataFrame([(t,)], "t string").select(secret_scan.find_spans(F.col("t"), secret_scan.RULES[0]).alias("s")).first()["s"]
+        assert [f"{s['kind']}:{s['start']}:{s['end']}" for s in got] == spans(t)
+
+
+def test_unknown_blobs_and_versions_of_a_kind(spark):
+    rules = (secret_scan.Rule("hex", "[0-9a-f]+", 0, 8), secret_scan.Rule("hex", "[0-9a-f]+", 0, 16, version=2))
+    rows = spark.createDataFrame([("p", 1, "deadbeef12 0123456789abcdef")], "path string, version int, content string")
+    findings, ledger = secret_scan.scan(rows, rules=rules)
+    assert [tuple(s) for s in findings.first()["spans"]] == [("hex", 0, 10), ("hex", 11, 27), ("hex", 11, 27)]
+    assert secret_scan.digest_rows(findings, "path", rules).first()["n_hex"] == 3
+    more = rows.unionByName(spark.createDataFrame([("q", 1, "never scanned 0123456789abcdef"), ("r", 1, None)], rows.schema))
+    got = {r["path"]: len(r["spans"]) for r in secret_scan.findings_of(more, ledger, rules).collect()}
+    assert got == {"p": 3, "q": 0, "r": 0}
+
+
 def test_ledger_query_on_batches(spark, tmp_path):
     from lectern.llm import queries
 
