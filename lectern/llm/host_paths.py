@@ -14,8 +14,8 @@ the container, or sections beside it that hold paragraphs, and few links.
 
 What is left out everywhere: scripts, styles and other parts without text, menus, headers,
 footers, sidebars, notices, adverts, forms and reader comments, known by tag, role or
-class. A class or id does not make noise of what holds the main element, the only visible
-article or most of the page's text. Character references are decoded, white space within a block becomes one space,
+class. A form, class or id does not make noise of what holds the main element, the only visible
+article or most of the page's text: many servers put a whole page into one form. Character references are decoded, white space within a block becomes one space,
 blocks are joined by one space.
 
 Parsing goes through a page once and never back: tags are matched without backtracking, and
@@ -121,12 +121,12 @@ def _trait(tag: str, attributes: str) -> tuple[str, int, bool]:
             names.append(found["id"])
         words = set(map(_noise_word, names)) - {""}
         hidden = "hidden" in found or found.get("aria-hidden", "").lower() == "true" or "display:none" in found.get("style", "").replace(" ", "").lower()
-        if tag in NOISE_TAGS or tag in SKIPPED or hidden or found.get("role", "").lower() in NOISE_ROLES:
+        if tag in NOISE_TAGS and tag != "form" or tag in SKIPPED or hidden or found.get("role", "").lower() in NOISE_ROLES:
             noise = SURE
         elif tag in ("html", "body", "main", "article"):
             noise = REPLY if "comment" in words else NONE
         else:
-            noise = REPLY if words & REPLIES else NAMED if words else NONE
+            noise = REPLY if words & REPLIES else NAMED if words or tag == "form" else NONE
         step = ".".join([tag, *sorted({re.sub(r"\d+", "#", c) for c in classes})])
         if len(_traits) > 50_000:
             _traits.clear()
@@ -407,7 +407,10 @@ def extract(html: str | None, winner: str | None) -> str:
     page = Page(html)
     boxes = page.on_path(winner) if winner else set()
     text = page.text_of(boxes) if boxes else ""
-    return text or page.text_of({page.best()[0]})
+    if text:
+        return text
+    box = page.best()[0]
+    return page.text_of(page.on_path(page.spelled(box)) if page.tag[box] == "article" else {box})  # as with a host, all articles alike
 
 
 def host_of(url: Column) -> Column:

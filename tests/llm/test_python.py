@@ -347,6 +347,27 @@ def test_main_text(spark):
     assert host_paths.extract_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_pages_within_a_form():
+    """A form around the page is layout; one that asks for something stays noise."""
+    text = "Some words of a story that goes on and on. " * 6
+    clean = text.strip()
+    search = "<form class=search><label>Search this site</label><input name=q></form>"
+    login = "<form id=login><p>Name and password, please.</p><input></form>"
+    asp = f"<html><body><form id='aspnetForm' action='x'>{NAV}<div class='content'><h1>Head</h1><p>{text}</p></div>{FOOT}</form></body></html>"
+    for html, want in (
+        (asp, f"Head {clean}"), (f"<body>{NAV}<form><article><p>{text}</p></article></form>{search}{login}</body>", clean),
+        (page(f"{search}<div class=story><p>{text}</p>{login}</div>"), clean), (page(f"<article><p>{text}</p></article><form><p>{text * 3}</p></form>"), clean),
+    ):
+        assert host_paths.extract(html, None) == want
+        assert host_paths.extract(html, host_paths.Page(html).spelled(host_paths.Page(html).best()[0])) == want
+
+
+def test_articles_with_and_without_a_host():
+    html = page("<article><p>First one, with some words.</p></article><article><p>Second one, with some more words.</p></article>")
+    want = "First one, with some words. Second one, with some more words."
+    assert host_paths.extract(html, None) == want == host_paths.extract(html, "html>body>article")
+
+
 def test_names_that_are_no_noise():
     text = "Some words of a story that goes on and on. " * 5
     clean, art = text.strip(), f"<article><p>{text}</article>"
