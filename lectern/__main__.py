@@ -19,6 +19,7 @@ def main(argv: list[str] | None = None) -> int:
     build = commands.add_parser("build", help="compile the configured sources into one SQLite file")
     build.add_argument("--config", default="config/sources.yaml")
     build.add_argument("--output")
+    build.add_argument("--parquet", help="compile into a folder of Parquet tables instead")
     mode = build.add_mutually_exclusive_group()
     mode.add_argument("--no-graft", action="store_const", dest="graft", const="none", default="needed")
     mode.add_argument("--full-graft", action="store_const", dest="graft", const="full")
@@ -43,7 +44,8 @@ def main(argv: list[str] | None = None) -> int:
 
 def run(spark, args: argparse.Namespace) -> int:
     if args.command == "build":
-        print(corpus.build(spark, corpus.load_config(args.config), args.output, args.graft))
+        config = corpus.load_config(args.config)
+        print(corpus.write_parquet(spark, config, args.parquet, args.graft) if args.parquet else corpus.build(spark, config, args.output, args.graft))
     elif args.command == "prepare":
         at = lambda name: str(Path(args.sources) / name)
         divisions = {"juz_number": (at(args.juz), "juz", "juz_number"), "hizb_number": (at(args.hizb), "hizbs", "hizb_number"), "rub_el_hizb": (at(args.rub), "rub", "rub_number"), "ruku_number": (at(args.ruku), "ruku", "ruku_number")}

@@ -9,12 +9,13 @@ read once per table that needs it.
 from __future__ import annotations
 
 import hashlib
-import json
 import logging
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 from pathlib import Path
 
+import pandas as pd
 import yaml
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -22,7 +23,9 @@ from lectern.functions import text as T
 from lectern.operators import relational as R, sequence as S
 from lectern.operators.align import graft
 from lectern.plans.resolve import CHAPTER, METADATA, resolve, text_kind
+from lectern.shared import materialise
 from lectern.sources import json_files as J, sqlite
+from lectern.sources.tables import write_together
 
 log = logging.getLogger("lectern")
 
@@ -80,14 +83,32 @@ def check_inputs(config: dict) -> None:
         raise FileNotFoundError(f"source files not found: {missing}")
 
 
-def checksum(path: str) -> str:
-    with open(path, "rb") as f:
-        return hashlib.file_digest(f, "sha256").hexdigest()
+#: Bytes of a file that a task holds while it adds up the checksum.
+CHUNK = 1 << 20
 
 
-def checksums_in_spark(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """(path, sha256) of many files that fit in memory one by one."""
-    return spark.read.format("binaryFile").load(paths).select("path", F.sha2("content", 256).alias("sha256"))
+def checksum(uri: str) -> str:
+    """SHA-256 of a file at a path or URI, in bounded memory."""
+    from pyarrow import fs
+
+    store, path = fs.FileSystem.from_uri(uri) if "://" in uri else (fs.LocalFileSystem(), uri)
+    digest = hashlib.sha256()
+    with store.open_input_stream(path, compression=None, buffer_size=0) as f:
+        while chunk := f.read(CHUNK):
+            digest.update(chunk)
+    return digest.hexdigest()
+
+
+def checksums(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path, sha256) of files of any size: a row and a task per file, which streams through it."""
+    names = spark.createDataFrame([(p,) for p in dict.fromkeys(paths)], "path string")
+    spread = names.repartition(max(min(len(paths), 1000), 1), "path") if paths else names
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield batch.assign(sha256=[checksum(p) for p in batch["path"]])
+
+    return spread.mapInPandas(run, "path string, sha256 string")
 
 
 def _table(spark: SparkSession, source: Source, choose) -> tuple[DataFrame, dict[str, str | None], str]:
@@ -202,16 +223,20 @@ def _counters(verses: DataFrame, resources: DataFrame, translations: DataFrame)
 
 
 def metadata_rows(spark: SparkSession, config: dict) -> DataFrame:
-    """(key, value): what the compiler records."""
-    sums = json.dumps({f: checksum(f) for f in input_files(config)}, ensure_ascii=False, sort_keys=True)
-    own = {"schema_version": str(int(config.get("schema_version", 1))), "db_version": str(config.get("db_version", "0.0.0")), "built_at": datetime.now(timezone.utc).isoformat(), "source_checksums": sums}
-    return R.upsert(spark.createDataFrame([(*kv, i) for i, kv in enumerate(own.items())], "key string, value string, seq long"), ["key"], "seq")
-
-
-def write_parquet(frames: dict[str, DataFrame], folder: str) -> None:
-    """A folder per table, sorted as it is looked up."""
-    for name, df in frames.items():
-        df.orderBy(*(["resource_id", "ayah_id"] if name == "translations" else ORDER[name])).write.mode("overwrite").parquet(f"{folder}/{name}")
+    """(key, value): what the compiler records. Inputs are hashed on the executors."""
+    sums = R.sorted_json(checksums(spark, input_files(config)), "path", "sha256", "value").select(F.lit("source_checksums").alias("key"), "value", F.lit(3).cast("long").alias("seq"))
+    own = {"schema_version": str(int(config.get("schema_version", 1))), "db_version": str(config.get("db_version", "0.0.0")), "built_at": datetime.now(timezone.utc).isoformat()}
+    return R.upsert(spark.createDataFrame([(*kv, i) for i, kv in enumerate(own.items())], "key string, value string, seq long").unionByName(sums), ["key"], "seq")
+
+
+def write_parquet(spark: SparkSession, config: dict, folder: str, graft_mode: str = "needed") -> str:
+    """Compiles into a folder of Parquet tables, put in place in one step; stops before that if rows lack their parents."""
+    tables = {name: materialise(df, name) for name, df in compile_corpus(spark, config, graft_mode).tables.items()}
+    links = [("ayahs", "surah_id", "surahs"), ("translations", "ayah_id", "ayahs"), ("translations", "resource_id", "resources")]
+    if broken := [f"{child}.{key}" for child, key, parent in links if not R.orphans(tables[child].select(key), tables[parent].select("id"), key, "id").isEmpty()]:
+        raise ValueError(f"rows without their parents: {broken}")
+    write_together(tables, folder, ORDER | {"translations": ["resource_id", "ayah_id"]})
+    return folder
 
 
 def build(spark: SparkSession, config: dict, output: str | None = None, graft_mode: str = "needed") -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -10,6 +11,8 @@ from lectern.functions import text as T
 from lectern.operators import relational as R, sequence as S
 from lectern.operators.align import graft
 from lectern.plans import quality as Q, shaping
+from lectern.shared import shared_dir
+from lectern.sources.tables import merge_into, read_merged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -492,3 +495,23 @@ def corpus_flow(spark, d):
     m = ids.where("role = 'user' AND turn < 2").select("id", F.col("id").alias("rank"))
     x = S.scan_markers(ids.select("id", "conv_id"), {"division": m}, ["id"], "rank").groupBy("conv_id").agg(F.min("id").cast("long").alias("first_id"), F.max("division").cast("long").alias("division"))
     return R.ordered_concat(c, ["conv_id"], "turn", "text").join(x, "conv_id")
+
+
+@query("""
+    WITH a AS (SELECT doc_id AS id, source, n_chars, 1 AS batch FROM documents WHERE doc_id % 2 = 0),
+    b AS (SELECT doc_id AS id, lang AS source, n_chars + 1 AS n_chars, 2 AS batch FROM documents WHERE doc_id % 3 = 0)
+    SELECT 'replace' AS mode, coalesce(b.id, a.id) AS id, CASE WHEN b.id IS NULL THEN a.source ELSE b.source END AS source, coalesce(b.n_chars, a.n_chars) AS n_chars, coalesce(b.batch, a.batch) AS batch FROM a FULL JOIN b USING (id)
+    UNION ALL SELECT 'ignore', coalesce(a.id, b.id), CASE WHEN a.id IS NULL THEN b.source ELSE a.source END, coalesce(a.n_chars, b.n_chars), coalesce(a.batch, b.batch) FROM a FULL JOIN b USING (id)
+""")
+def merge_batches(spark, d):
+    """Two batches of documents merged into a stored table, the second one twice, once replacing rows and once leaving them."""
+    docs, i = table(spark, d, "documents"), F.col("doc_id")
+    first = docs.where(i % 2 == 0).select(i.alias("id"), "source", "n_chars", F.lit(1).alias("batch"), i.alias("seq"))
+    second = docs.where(i % 3 == 0).select(i.alias("id"), F.col("lang").alias("source"), (F.col("n_chars") + 1).alias("n_chars"), F.lit(2).alias("batch"), i.alias("seq"))
+    tables = []
+    for mode in ("replace", "ignore"):
+        path = f"{shared_dir(spark)}/merged-{uuid.uuid4().hex}"
+        for batch in (first, second, second):
+            merge_into(path, batch, ["id"], "seq", replace=mode == "replace", parts=8)
+        tables.append(read_merged(spark, path, "id long, source string, n_chars long, batch int").select(F.lit(mode).alias("mode"), "*"))
+    return tables[0].unionByName(tables[1])

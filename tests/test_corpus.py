@@ -1,5 +1,6 @@
 """Sources and the compiler on a small corpus of invented text."""
 
+import hashlib
 import json
 import random
 import sqlite3
@@ -15,7 +16,7 @@ from lectern.__main__ import corpus_tables, main
 from lectern.operators.align import CARRIER
 from lectern.plans import corpus, quality, shaping
 from lectern.plans.resolve import pick, resolve, text_kind
-from lectern.sources import json_files, sqlite
+from lectern.sources import json_files, sqlite, tables
 
 VERSES = [(1, 1), (1, 2), (1, 3), (2, 1), (2, 2)]
 
@@ -309,8 +310,65 @@ def test_filters_go_to_sqlite(spark, tmp_path, monkeypatch):
 
 
 def test_checksums_agree(spark, tmp_path):
-    (tmp_path / "f.bin").write_bytes(b"abc" * 1000)
-    assert corpus.checksums_in_spark(spark, [str(tmp_path / "f.bin")]).first()["sha256"] == corpus.checksum(str(tmp_path / "f.bin"))
+    """A file of over 2 GB streams through its task; other files give hashlib's digest."""
+    (tmp_path / "f.bin").write_bytes(b"abc" * 1_000_000)
+    with open(tmp_path / "large.bin", "wb") as f:
+        f.truncate(3 * 2**30)
+    (tmp_path / "empty").write_bytes(b"")
+    paths = [str(tmp_path / n) for n in ("f.bin", "large.bin", "empty", "f.bin")]
+    got = {r["path"]: r["sha256"] for r in corpus.checksums(spark, [*paths, f"file://{paths[0]}"]).collect()}
+    zeros = hashlib.sha256()
+    for _ in range(3 * 2**10):
+        zeros.update(bytes(2**20))
+    assert got == {paths[0]: hashlib.sha256(b"abc" * 1_000_000).hexdigest(), paths[1]: zeros.hexdigest(), paths[2]: hashlib.sha256().hexdigest(), f"file://{paths[0]}": got[paths[0]]}
+    assert corpus.checksums(spark, []).count() == 0
+
+
+def test_merge_into_a_stored_table(spark, tmp_path):
+    """Batches by key: the table, a dict beside it, parts that are left alone, and retries."""
+    import os
+
+    rng, want = random.Random(2), {False: {}, True: {}}
+    schema = "k int, part_ string, v int"
+    for replace in (True, False):
+        path = str(tmp_path / f"t{replace}")
+        assert tables.read_merged(spark, path, schema).count() == 0
+        for nth in range(3):
+            rows = [(rng.choice((None, *range(30))), f"p{i}", nth * 100 + i, i) for i in range(25)]
+            for k, x, v, _ in rows if replace else reversed(rows):
+                if replace or k not in want[False] or want[False][k][1] >= nth * 100:
+                    want[replace][k] = (x, v)
+            batch = spark.createDataFrame(rows, f"{schema}, seq int")
+            for _ in range(2):  # a batch that comes again changes nothing
+                tables.merge_into(path, batch, ["k"], "seq", replace, parts=5)
+                assert {r["k"]: (r["part_"], r["v"]) for r in tables.read_merged(spark, path, schema).collect()} == want[replace]
+        before = {p: os.listdir(f"{path}/{p}") for p in os.listdir(path) if p.startswith("part=")}
+        tables.merge_into(path, spark.createDataFrame([(7, "one", -1, 1)], f"{schema}, seq int"), ["k"], "seq", replace, parts=5)
+        tables.merge_into(path, batch.limit(0), ["k"], "seq", replace, parts=5)
+        after = {p: os.listdir(f"{path}/{p}") for p in before}
+        assert len(before) == 5 and sum(before[p] != after[p] for p in before) == 1
+    with pytest.raises(ValueError, match="own"):
+        tables.merge_into(path, batch.withColumn("part", F.lit(1)), ["k"], "seq")
+
+
+def test_parquet_output_in_one_step(spark, inputs, tmp_path, monkeypatch):
+    import os
+
+    folder = str(tmp_path / "tables")
+    assert corpus.write_parquet(spark, inputs, folder, "none") == folder
+    a = spark.read.parquet(f"{folder}/ayahs").orderBy("id").collect()
+    assert [r["text_arabic_uthmani"] for r in a] == ["alef beh", "teh", "jeem", "dal", "changed"] and spark.read.parquet(f"{folder}/translations").count() == 7
+    assert len(json.loads(spark.read.parquet(f"{folder}/db_meta").where("key = 'source_checksums'").first()["value"])) == 8
+    real = corpus.compile_corpus
+
+    def broken(*args):
+        done = real(*args)
+        return corpus.Compiled(done.tables | {"ayahs": done.tables["ayahs"].withColumn("surah_id", F.lit(99))}, done.counters)
+
+    monkeypatch.setattr(corpus, "compile_corpus", broken)
+    with pytest.raises(ValueError, match="ayahs.surah_id"):
+        corpus.write_parquet(spark, inputs, folder, "none")
+    assert spark.read.parquet(f"{folder}/ayahs").where("surah_id = 99").count() == 0 and not [f for f in os.listdir(tmp_path) if "draft" in f]
 
 
 def test_resolver():
