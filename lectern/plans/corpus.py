@@ -230,12 +230,15 @@ def metadata_rows(spark: SparkSession, config: dict) -> DataFrame:
 
 
 def write_parquet(spark: SparkSession, config: dict, folder: str, graft_mode: str = "needed") -> str:
-    """Compiles into a folder of Parquet tables, put in place in one step; stops before that if rows lack their parents."""
+    """Compiles into a folder of Parquet tables, put in place in one step; stops before that if rows lack their parents.
+
+    The verses are clustered by all five divisions, in the place of indexes.
+    """
     tables = {name: materialise(df, name) for name, df in compile_corpus(spark, config, graft_mode).tables.items()}
     links = [("ayahs", "surah_id", "surahs"), ("translations", "ayah_id", "ayahs"), ("translations", "resource_id", "resources")]
     if broken := [f"{child}.{key}" for child, key, parent in links if not R.orphans(tables[child].select(key), tables[parent].select("id"), key, "id").isEmpty()]:
         raise ValueError(f"rows without their parents: {broken}")
-    write_together(tables, folder, ORDER | {"translations": ["resource_id", "ayah_id"]})
+    write_together(tables, folder, ORDER | {"translations": ["resource_id", "ayah_id"]}, {"ayahs": DIVISIONS})
     return folder
 
 

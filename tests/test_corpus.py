@@ -388,3 +388,27 @@ def test_duplicate_translation_rows_and_first_wins(spark):
     df = spark.createDataFrame([(1, 2, "b"), (1, 1, "a"), (2, 5, None)], "k int, o int, v string").withColumn("p", __import__("pyspark").sql.functions.col("o"))
     assert {r["k"]: r["v"] for r in first_wins(df, ["k"], "o").collect()} == {1: "a", 2: None}
     assert {r["k"]: r["v"] for r in last_wins(df, ["k"], "o").collect()} == {1: "b", 2: None}
+
+
+def test_look_ups_by_each_division_skip_most_row_groups(spark, tmp_path):
+    import glob
+
+    from pyarrow import parquet
+
+    n = 120_000
+    ids = spark.range(n).withColumnRenamed("id", "verse")
+    mixed = lambda salt, k: F.pmod(F.xxhash64("verse", F.lit(salt)), F.lit(k)).cast("int")
+    verses = ids.select("verse", (F.col("verse") / n * 604).cast("int").alias("page"), (F.col("verse") / n * 30).cast("int").alias("juz"), mixed(1, 60).alias("hizb"), mixed(2, 240).alias("rub"), F.when(F.col("verse") % 9 > 0, mixed(3, 500)).alias("ruku"))
+    columns = ("page", "juz", "hizb", "rub", "ruku")
+    tables.write_together({"v": verses.repartition(4)}, str(tmp_path / "out"), {"v": ["verse"]}, {"v": columns}, group_bytes=2048)
+    groups = [m.row_group(i) for f in glob.glob(f"{tmp_path}/out/v/*.parquet") for m in [parquet.ParquetFile(f).metadata] for i in range(m.num_row_groups)]
+    assert len(groups) > 1000
+    for at, c in enumerate(columns, 1):
+        stats = [g.column(at).statistics for g in groups]
+        top = max(s.max for s in stats if s.has_min_max)
+        for value in (top // 5, top // 2, top - 1):
+            read = sum(s.has_min_max and s.min <= value <= s.max for s in stats)
+            assert read <= 0.5 * len(groups), (c, value, read, len(groups))
+    got = spark.read.parquet(f"{tmp_path}/out/v")
+    assert got.exceptAll(verses).count() == 0 and got.count() == n
+    assert tables.clustered(verses.limit(0), columns, ["verse"]).count() == 0
