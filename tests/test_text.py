@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lectern.functions import text as T
-from lectern.operators.align import ABOVE, CARRIER, graft, graft_one
+from lectern.operators.align import ABOVE, CARRIER, graft, graft_all
 
 
 def apply(spark, f, texts):
@@ -63,11 +63,11 @@ def test_flag_and_keys(spark):
 
 def test_graft(spark):
     plain, marked = "يَٰٓb", f"يَ{CARRIER}ٰٓb"
-    assert graft_one(plain, marked, True) == (marked, 1)
-    assert graft_one("يٰb", f"ي{CARRIER}ٰb", True) == ("يٰb", 0)
-    assert graft_one("يٰb", f"ي{CARRIER}ٰb", False) == (f"ي{CARRIER}ٰb", 1)
-    assert graft_one("axb", f"a{CARRIER}b", False) == (f"ax{CARRIER}b", 1)  # what stood there stays
-    assert graft_one("ab", "axb", False) == ("ab", 0) and graft_one("ab", None, False) == ("ab", 0)
+    assert graft_all([plain], [marked], True) == [(marked, 1)]
+    assert graft_all(["يٰb"], [f"ي{CARRIER}ٰb"], True) == [("يٰb", 0)]
+    assert graft_all(["يٰb"], [f"ي{CARRIER}ٰb"], False) == [(f"ي{CARRIER}ٰb", 1)]
+    assert graft_all(["axb"], [f"a{CARRIER}b"], False) == [(f"ax{CARRIER}b", 1)]  # what stood there stays
+    assert graft_all(["ab"], ["axb"], False) == [("ab", 0)] and graft_all([], [], False) == []
     df = spark.createDataFrame([(plain, marked), (None, "x"), ("", None)], "t string, r string").select(graft(F.col("t"), F.col("r")).alias("g")).select("g.*")
     assert [tuple(r) for r in df.collect()] == [(marked, 1), (None, 0), ("", 0)]
     assert unicodedata.combining(ABOVE)
