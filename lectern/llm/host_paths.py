@@ -4,13 +4,20 @@
    for the next one out; text in links counts against both. The best container of a page,
    widened to the article around it, votes, by its score, for its generalised path: the tags
    and classes from the root, digits as #.
-2. Votes are added up per (host, path) in Spark; a host's winner is the path with most votes.
-3. Each page of the host is parsed again and its text is taken from the elements on the
-   winning path; a page that has none, or whose host has no votes, uses its own best container.
+2. Votes are added up per (host, path) in Spark; a host's winners are the path with most votes
+   and all others with a SHARE of them, so hosts with several templates have a path for each.
+3. Each page of the host is parsed again. The first winner whose elements hold a container that
+   scores at least a CLEARLY-th of the page's best gives the text; if none does, or the host has no
+   votes, the page's own best container does.
+
+Of several elements on a path without a class those are left out that differ from the best one: few
+words or none in paragraphs, many links, a copyright line.
 
 Widening: the nearest article or main element around the best container if there is one, then
 further out while what is added is text like an article's: a headline or paragraphs beside
-the container, or sections beside it that hold paragraphs, and few links.
+the container, or sections beside it that hold paragraphs, and few links. A cell beside other
+cells of a row that holds a headline or several paragraphs is layout: it is a container, and
+widening ends there.
 
 What is left out everywhere: scripts, styles and other parts without text, menus, headers,
 footers, sidebars, notices, adverts, forms and reader comments, known by tag, role or
@@ -23,9 +30,9 @@ how many elements of a tag are open is known, so its time and memory are in prop
 the page however broken or deep it is.
 
 Votes are combined per task before they are shuffled, so a host with a third of all pages
-sends a row per task and path. The winners, a row per host, are written and counted: up to
-BROADCAST_HOSTS of them are broadcast and no page is shuffled; beyond, pages meet them in
-an equi-join, for which pages without a host and the pages of a host are salted.
+sends a row per task and path. The winners, a row per host with at most 1 / SHARE paths, are written
+and measured: up to BROADCAST_HOSTS of them, with BROADCAST_BYTES of paths, are broadcast and no page
+is shuffled; beyond, pages meet them in an equi-join, for which pages without a host and the pages of a host are salted.
 
 Edge cases: null or empty html has empty text; a null url has no host. A page without any
 markup is its own text. Unclosed and crossing tags are closed where the next block or the
@@ -38,15 +45,21 @@ from __future__ import annotations
 
 import html as entities
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ._shared import materialise
 
-#: Most hosts whose winners are broadcast: at some 100 bytes each, 10 MB.
-BROADCAST_HOSTS = 100_000
+#: Most hosts whose winners are broadcast, and most characters of their paths.
+BROADCAST_HOSTS, BROADCAST_BYTES = 100_000, 16 << 20
+
+#: Paths with this share of a host's votes are winners.
+SHARE = 0.05
+
+#: A container that scores more than so many times as much as a winner's is clearly better.
+CLEARLY = 4
 
 #: Salts over which the pages of a host are spread if they meet the winners in a join.
 SALTS = 32
@@ -93,6 +106,7 @@ _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*+>", re.I) for name in RA
 _ENDS_P = frozenset("address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main menu nav ol p pre section table ul".split())
 _SPLIT = re.compile(r"[^a-z]+")
 _HEADING = re.compile("h[1-6]")
+_LEGAL = re.compile(r"\s*(?:©|&copy;|\(c\)\s|copyright\b|all rights reserved)", re.I)
 #: Why an element is noise.
 NONE, NAMED, REPLY, SURE = 0, 1, 2, 3
 _traits: dict[tuple[str, str], tuple[str, int, bool]] = {}
@@ -272,8 +286,30 @@ class Page:
         for e in range(1, len(why)):
             if why[e] == SURE and tags[e] in SKIPPED and tags[e] != "option" and not closed[e]:
                 why[e] = NONE
+        self._cells()
         self._mark(why)
 
+    def _cells(self) -> None:
+        """Makes containers of the cells that lay out the page."""
+        parent, tags, box, n = self.parent, self.tag, self.box, len(self.parent)
+        self.layout: set[int] = set()
+        if "td" not in tags:
+            return
+        cell, cells, heads, paragraphs = [0] * n, [0] * n, [0] * n, [0] * n
+        for e in range(1, n):
+            cell[e] = e if tags[e] == "td" else cell[parent[e]]
+            cells[parent[e]] += tags[e] == "td"
+            heads[cell[e]] += tags[e] in ("h1", "h2")
+            paragraphs[cell[e]] += tags[e] == "p"
+        self.layout = {e for e in range(1, n) if tags[e] == "td" and cells[parent[e]] > 1 and (heads[e] or paragraphs[e] > 1)}
+        if self.layout:
+            for e in range(1, n):
+                if e in self.layout:
+                    box[e] = e
+                elif tags[e] in LEAVES or tags[e] in INLINE:
+                    box[e] = box[parent[e]]
+            self.texts = [(inner, box[inner], *rest) for inner, _, *rest in self.texts]
+
     def spelled(self, element: int) -> str:
         """The path of an element, its steps joined by >."""
         out, number = [], self.path[element]
@@ -376,6 +412,8 @@ class Page:
         e = up
         while e and tags[parent[e]] != "html" and not self.noise[parent[e]]:
             p = parent[e]
+            if e in self.layout:
+                break
             more, linked = size[p] - size[e], links[p] - links[e]
             others = [x for x in beside[p] if x != e and tags[x] not in LEAVES and tags[x] not in INLINE]
             like = bool(others) and tags[p] not in ("", "body", "main") and all(prose[x] and 3 * links[x] <= size[x] for x in others)
@@ -386,6 +424,36 @@ class Page:
             e = p
         return up
 
+    def peaks(self) -> list[int]:
+        """For each element the highest score of a container in it, itself included."""
+        out = [0] * len(self.parent)
+        for e, score in self.scores().items():
+            out[e] = max(score, 0)
+        for e in range(len(out) - 1, 0, -1):
+            out[self.parent[e]] = max(out[self.parent[e]], out[e])
+        return out
+
+    def alike(self, boxes: set[int], peaks: list[int]) -> set[int]:
+        """Those of the elements on one path that are like the best of them; all, if their class or tag says that they are."""
+        first = min(boxes)
+        if len(boxes) == 1 or "." in self.steps[self.path[first]][1] or self.tag[first] in ("article", "main"):
+            return boxes
+        n = len(self.parent)
+        size, links, prose, legal, begun = [0] * n, [0] * n, [False] * n, [False] * n, [False] * n
+        within, leaf = [0] * n, [False] * n  # the innermost of them around an element; whether a paragraph or the like stands between
+        for e in range(1, n):
+            within[e] = e if e in boxes else within[self.parent[e]]
+            leaf[e] = e not in boxes and (self.tag[e] in LEAVES or leaf[self.parent[e]])
+        for inner, _, text, _, link in self.texts:
+            if not self.noise[inner] and (k := len(text.strip())) and (e := within[inner]):
+                size[e] += k
+                links[e] += k * link
+                prose[e] |= not link and leaf[inner]
+                legal[e] |= not begun[e] and bool(_LEGAL.match(text))
+                begun[e] = True
+        top = max(boxes, key=lambda e: (peaks[e], -e))
+        return {e for e in boxes if e == top or size[e] and 3 * links[e] <= size[e] and not legal[e] and (prose[e] or 4 * size[e] >= size[top])}
+
     def text_of(self, boxes: set[int]) -> str:
         """The text of what stands in any of these elements."""
         inside = [0 in boxes] * len(self.parent)
@@ -400,15 +468,17 @@ class Page:
         return " ".join("".join(parts).split())
 
 
-def extract(html: str | None, winner: str | None) -> str:
-    """The main text of a page, given its host's path."""
+def extract(html: str | None, winners: Sequence[str]) -> str:
+    """The main text of a page, given its host's paths, that with most votes first."""
     if not html:
         return ""
     page = Page(html)
-    boxes = page.on_path(winner) if winner else set()
-    text = page.text_of(boxes) if boxes else ""
-    if text:
-        return text
+    if winners:
+        peaks = page.peaks()
+        for path in winners:
+            boxes = page.on_path(path)
+            if boxes and peaks[0] <= CLEARLY * max(peaks[e] for e in boxes) and (text := page.text_of(page.alike(boxes, peaks))):
+                return text
     box = page.best()[0]
     return page.text_of(page.on_path(page.spelled(box)) if page.tag[box] == "article" else {box})  # as with a host, all articles alike
 
@@ -420,7 +490,7 @@ def host_of(url: Column) -> Column:
 
 
 def vote(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, path) with the most votes of each host; ties go to the path that sorts last."""
+    """(host, paths): the path with most votes of each host and all others with a SHARE of them, most votes first; of ties the one that sorts last."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -434,8 +504,15 @@ def vote(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> Data
             yield pd.DataFrame([(*k, v) for k, v in rows.items()], columns=["host", "path", "votes"])
 
     known = pages.select(host_of(F.col(url_col)).alias("host"), F.col(html_col).alias("html")).where("host IS NOT NULL AND html IS NOT NULL AND html <> ''")
-    votes = known.mapInPandas(run, "host string, path string, votes long").groupBy("host", "path").agg(F.sum("votes").alias("votes"))
-    return votes.groupBy("host").agg(F.max(F.struct("votes", "path"))["path"].alias("path"))
+    votes = materialise(known.mapInPandas(run, "host string, path string, votes long").groupBy("host", "path").agg(F.sum("votes").alias("votes")), "votes")
+    hosts = materialise(votes.groupBy("host").agg(F.sum("votes").alias("all"), F.max(F.struct("votes", "path"))["path"].alias("top")), "hosts")
+    few = F.broadcast(hosts) if hosts.count() <= BROADCAST_HOSTS and _characters(hosts, "top") <= BROADCAST_BYTES else hosts
+    won = votes.join(few, "host").where((F.col("votes") >= F.lit(SHARE) * F.col("all")) | (F.col("path") == F.col("top")))
+    return won.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("votes", "path")), asc=False)["path"].alias("paths"))  # 1 / SHARE + 1 at most
+
+
+def _characters(rows: DataFrame, paths: str) -> int:
+    return rows.agg(F.sum(F.length(paths))).first()[0] or 0
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -444,16 +521,16 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            text = [extract(h, p) for h, p in zip(batch["html"], batch["path"])]
+            text = [extract(h, () if p is None else tuple(p)) for h, p in zip(batch["html"], batch["paths"])]
             yield pd.DataFrame({id_col: batch["key"].values, url_col: batch["url"].values, "text": text, "n_chars": [len(t) for t in text]})
 
     rows = pages.select(F.col(id_col).cast("string").alias("key"), F.col(url_col).alias("url"), F.col(html_col).alias("html"), host_of(F.col(url_col)).alias("host"))
     winners = materialise(vote(pages, url_col, html_col), "winners")
-    if winners.count() <= BROADCAST_HOSTS:
+    if winners.count() <= BROADCAST_HOSTS and _characters(winners.select(F.array_join("paths", "").alias("p")), "p") <= BROADCAST_BYTES:
         joined = rows.join(F.broadcast(winners), "host", "left")
     else:  # pages without a host and those of a large one are spread over the salts
         salted = rows.withColumn("salt", F.when(F.col("host").isNull(), None).otherwise(F.pmod(F.xxhash64("key"), F.lit(SALTS))).cast("int"))
         spread = winners.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = salted.where("host IS NOT NULL").join(spread, ["host", "salt"], "left").unionByName(salted.where("host IS NULL").withColumn("path", F.lit(None).cast("string")))
-    joined = joined.select("key", "url", "html", "path")
+        joined = salted.where("host IS NOT NULL").join(spread, ["host", "salt"], "left").unionByName(salted.where("host IS NULL").withColumn("paths", F.lit(None).cast("array<string>")))
+    joined = joined.select("key", "url", "html", "paths")
     return joined.mapInPandas(run, f"`{id_col}` string, `{url_col}` string, text string, n_chars long").withColumn(id_col, F.col(f"`{id_col}`").cast(kind))

@@ -333,7 +333,8 @@ def test_main_text(spark):
     deep = lambda n, more="": page(f"<div class='c{n} main-{n}'><h1>Head</h1><p>{text}<p>{text}</div>{more}")
     rows = [(i, f"http://One.example/{i}", deep(i)) for i in range(8)]
     rows += [
-        (20, "http://one.example/short", page("<div class='c9 main-9'><p>tiny</div><div class=other><p>" + text * 4 + "</div>")),  # the host's path wins over the longer text
+        (20, "http://one.example/short", page("<div class='c9 main-9'><p>tiny</div><div class=other><p>" + text * 4 + "</div>")),  # clearly better than what the host's path has
+        (19, "http://one.example/near", page(f"<div class='c9 main-9'><p>{text}</div><div class=other><p>" + text * 3 + "</div>")),  # the host's path wins over the longer text
         (21, "http://one.example/lost", page(f"<section><p>{text}</section>")),  # no such path: its own best
         (22, None, deep(1)), (23, "http://one.example/n", None), (24, "x", ""), (25, "x", "plain &lt;text&gt;"), (26, "http://two.example", deep(1, f"<div class=comments><p>{text * 9}</div><form><p>{text * 9}</form>")),
         (27, "http://one.example/broken", page(f"<div class='c1 main-1'><p><b>{text}<br><p>tail")), (28, "x", "<p>unclosed <script>bad"),
@@ -341,7 +342,7 @@ def test_main_text(spark):
     got = {r["page_id"]: r for r in host_paths.extract_pages(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("path", F.lit("clash"))).collect()}
     for i in (*range(8), 22, 26):
         assert got[i]["text"] == f"Head {clean} {clean}", i
-    assert got[20]["text"] == "tiny" and got[21]["text"] == clean and got[27]["text"] == f"{clean} tail"
+    assert got[20]["text"] == " ".join([clean] * 4) and got[19]["text"] == clean and got[21]["text"] == clean and got[27]["text"] == f"{clean} tail"
     assert (got[23]["text"], got[24]["text"], got[25]["text"], got[28]["text"]) == ("", "", "plain <text>", "unclosed")
     assert all(r["n_chars"] == len(r["text"]) for r in got.values()) and len(got) == len(rows)
     assert host_paths.extract_pages(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
@@ -358,20 +359,20 @@ def test_pages_within_a_form():
         (asp, f"Head {clean}"), (f"<body>{NAV}<form><article><p>{text}</p></article></form>{search}{login}</body>", clean),
         (page(f"{search}<div class=story><p>{text}</p>{login}</div>"), clean), (page(f"<article><p>{text}</p></article><form><p>{text * 3}</p></form>"), clean),
     ):
-        assert host_paths.extract(html, None) == want
-        assert host_paths.extract(html, host_paths.Page(html).spelled(host_paths.Page(html).best()[0])) == want
+        assert host_paths.extract(html, []) == want
+        assert host_paths.extract(html, [host_paths.Page(html).spelled(host_paths.Page(html).best()[0])]) == want
 
 
 def test_articles_with_and_without_a_host():
     html = page("<article><p>First one, with some words.</p></article><article><p>Second one, with some more words.</p></article>")
     want = "First one, with some words. Second one, with some more words."
-    assert host_paths.extract(html, None) == want == host_paths.extract(html, "html>body>article")
+    assert host_paths.extract(html, []) == want == host_paths.extract(html, ["html>body>article"])
 
 
 def test_names_that_are_no_noise():
     text = "Some words of a story that goes on and on. " * 5
     clean, art = text.strip(), f"<article><p>{text}</article>"
-    get = lambda body: host_paths.extract(page(body), None)
+    get = lambda body: host_paths.extract(page(body), [])
     for wrap in ("class='has-sidebar'", "id=page class='nav-open'", "class=search-page", "class=sidebar", "class='modal share'", "id=comments"):
         assert get(f"<div {wrap}>{art}</div>") == clean, wrap
         assert get(f"<div {wrap}><main><p>{text}</main></div>") == clean, wrap
@@ -386,12 +387,12 @@ def test_names_that_are_no_noise():
 
 
 def test_no_text_is_lost_to_quotes_or_broken_tags():
-    get = lambda body: host_paths.extract(page(f"<article>{body}</article>"), None)
+    get = lambda body: host_paths.extract(page(f"<article>{body}</article>"), [])
     assert get("<p title=it's>One...</p><p>Two, don't lose.</p><p>Three.</p>") == "One... Two, don't lose. Three."
     assert get("""<p it's title = "a > b" x='>'>One</p><p class=a"b>5 < 6 </ p>two<//>.</p>""") == "One 5 < 6 two."
     assert get("<p>a<!-- x > -- <p> -->b<!>c<?php echo '>'?></p>") == "abc'?>"  # as a browser reads it
-    assert host_paths.extract("<p>One <b>two</b> <a href='x", None) == "One two"
-    assert host_paths.extract("x < y & z &lt; <", None) == "x < y & z < <"
+    assert host_paths.extract("<p>One <b>two</b> <a href='x", []) == "One two"
+    assert host_paths.extract("x < y & z &lt; <", []) == "x < y & z < <"
     assert get("<p>One<svg>no</svg><object>two") == "Onetwo"  # an object that is never closed hides nothing
     assert get("<select><option>no<option>no</select><div/>yes <a href=http://x/>link</a>") == "yes link"
 
@@ -399,7 +400,7 @@ def test_no_text_is_lost_to_quotes_or_broken_tags():
 def test_headlines_and_sections_around_the_body():
     text = "Some words of a story that goes on and on. " * 9
     clean = text.strip()
-    get = lambda body: host_paths.extract(page(body), None)
+    get = lambda body: host_paths.extract(page(body), [])
     assert get(f"<article><h1>Head</h1><p>Lead</p><div class='body'><p>{text}</p></div></article>") == f"Head Lead {clean}"
     assert get(f"<div class=post><h1>Head</h1><p>Lead</p><div class='body'><p>{text}</p></div></div>") == f"Head Lead {clean}"
     assert get(f"<div class=post><section class=intro><p>{text}</section><section class=body><p>{text * 3}</section></div>") == f"{clean} {(text * 3).strip()}"
@@ -414,7 +415,7 @@ def test_time_and_memory_grow_with_the_page():
 
     def seconds(html):
         began = time.process_time()
-        host_paths.extract(html, "html>body>div")
+        host_paths.extract(html, ["html>body>div"])
         return time.process_time() - began
 
     shapes = ["<a ", "<a x='", '<p title="', "<!-- ", "</x ", "<p>x</b>", "<textarea>x", "<li><b>", "<ul><li>a", "<b><li>x</li>", "<script>", "<main><div>x", "< ", "</", "<div class=comment>x", "<x y", "=\"'<p ", "<blockquote>a"]
@@ -422,7 +423,7 @@ def test_time_and_memory_grow_with_the_page():
         small, large = "<body>" + shape * (60_000 // len(shape)), "<body>" + shape * (600_000 // len(shape))
         assert seconds(large) < 40 * seconds(small) + 1, shape
     deep = "<div class=c>" * 50_000 + "<p>bottom" + "</span>" * 50_000
-    assert host_paths.extract(deep, None) == "bottom" and seconds(deep) < 10
+    assert host_paths.extract(deep, []) == "bottom" and seconds(deep) < 10
     assert seconds("<a " * 350_000) < 2
 
 
@@ -461,6 +462,65 @@ def test_main_text_against_a_dom_walk(spark, monkeypatch):
         assert {r["page_id"]: r["text"] for r in host_paths.extract_pages(df).collect()} == want
 
 
+def test_elements_that_share_the_winning_path():
+    story = "Some words of a story that goes on and on. " * 9
+    clean = story.strip()
+    bare = ["html>body>div"]
+    get = lambda body, winners: host_paths.extract(f"<html><body>{body}</body></html>", winners)
+    assert get(f"<div>Home About</div><div><p>{story}</p></div><div>Copyright 2020 us</div>", bare) == clean
+    assert get(f"<div><p><a href=x>Home</a> <a href=y>About</a></div><div>{story}</div><div><p>&copy; 2020 us</div>", bare) == clean
+    assert get(f"<div><h2>One</h2><p>{story}</div><div><h2>Two</h2><p>short</div>", bare) == f"One {clean} Two short"
+    assert get(f"<div class=post>{story}</div><div class=post>short</div>", ["html>body>div.post"]) == f"{clean} short"
+    assert get("<div></div><div></div>", bare) == ""
+
+
+def test_pages_of_several_templates():
+    story = "Some words of a story that goes on and on. " * 9
+    clean, teaser = story.strip(), "A teaser of some words that is short."
+    both = f"<html><body><div class=story><p>{story}</p></div><div class=post><p>{teaser}</p></div></body></html>"
+    assert host_paths.extract(both, ["html>body>div.post"]) == clean  # the page's own container is clearly better
+    assert host_paths.extract(both, ["html>body>div.post", "html>body>div.story"]) == clean
+    near = both.replace(teaser, story[:200])
+    assert host_paths.extract(near, ["html>body>div.post", "html>body>div.story"]) == story[:200].strip()  # of comparable ones the one with most votes
+
+
+def test_layout_by_table_cells():
+    story = "Some words of a story that goes on and on. " * 9
+    clean = story.strip()
+    get = lambda body: host_paths.extract(f"<html><body>{body}</body></html>", [])
+    rows = lambda cell: f"<table><tr><td colspan=2>Site</td></tr><tr><td>Home<br>About us</td><td>{cell}</td></tr></table>"
+    assert get(rows(f"<div class=text><h1>Head</h1><p>{story}</div>")) == f"Head {clean}"
+    assert get(rows(f"<h1>Head</h1><p>{story}")) == f"Head {clean}"
+    assert get(rows(f"<p>{story}<p>{story}<table><tr><td>1<td>2</table>")) == f"{clean} {clean} 1 2"
+    assert get(f"<article><p>{story}<table><tr><td><p>a<p>b<td><p>c</table></article>") == f"{clean} a b c"  # a table of an article is a part of it
+
+
+def test_votes_of_several_templates_against_the_trees(spark):
+    """Hosts with two templates, without classes, with a form around the page: what was put in as the article comes out."""
+    rng = random.Random(21)
+    words = lambda n: " ".join(rng.choice(["alpha", "beta", "gamma", "delta", "eps"]) for _ in range(n))
+
+    def article():
+        parts = [words(rng.randint(25, 60)) for _ in range(rng.randint(2, 6))]
+        return "".join(f"<p>{t}</p>" for t in parts), " ".join(parts)
+
+    shells = {
+        "two.org": ["<div class=story>{}</div><div class=post><p>a teaser</p></div>", "<div class=post>{}</div>"],
+        "bare.org": ["<div>Home About</div><div>{}</div><div>Copyright 2020 us</div>"],
+        "form.org": ["<form id=aspnetForm><div class=menu>Home</div><div class=content>{}</div></form>"],
+        "cells.org": ["<table><tr><td>Home<br>About</td><td>{}</td></tr></table>"],
+    }
+    rows, want = [], {}
+    for i in range(160):
+        host = rng.choice(list(shells))
+        markup, want[i] = article()
+        rows.append((i, f"http://{host}/{i}", f"<html><body>{rng.choice(shells[host]).format(markup)}</body></html>"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r["page_id"]: r["text"] for r in host_paths.extract_pages(df).collect()} == want
+    paths = {r["host"]: set(r["paths"]) for r in host_paths.vote(df).collect()}
+    assert paths["two.org"] == {"html>body>div.story", "html>body>div.post"} and all(len(p) == 1 for h, p in paths.items() if h != "two.org")
+
+
 def test_hosts(spark):
     urls = ["HTTP://User@Www.X.org:80/a?b#c", "//y.org/z", "no host", None, "https:///"]
     got = [r[0] for r in spark.createDataFrame([(u,) for u in urls], "u string").select(host_paths.host_of(F.col("u"))).collect()]
