@@ -3,7 +3,7 @@
 Numbers and dates are validated and then permuted within the set of valid values of their
 format, so the result is valid too, equal values get equal pseudonyms in all documents
 and who holds the key can undo it. A set of a * b values is a pair (left, right); each of
-eight rounds adds to one half, modulo its size, a keyed hash of the other. Nothing is
+eight rounds adds to one half, modulo its size, an HMAC of the other. Nothing is
 mapped outside the set, so no cycle walking is needed. The local part of an e-mail
 address is permuted the same way character by character: letters stay letters of their
 case, digits stay digits.
@@ -39,7 +39,9 @@ matching recurse.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import hashlib
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ._shared import column, unused_prefix
 
@@ -71,11 +73,24 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _hash(key: str, kind: str, nth: Column, half: Column) -> Column:
-    return F.sha2(F.concat_ws("|", F.lit(key), F.lit(kind), nth.cast("string"), half.cast("string")), 256)
+def secret(spark: SparkSession, key: str) -> Column:
+    """struct(inner, outer): the two padded keys of HMAC-SHA-256, as the value of a subquery over one row.
+
+    No plan, page of the web UI or event log shows a value of that row, as it would a literal's.
+    """
+    raw = key.encode()
+    raw = (hashlib.sha256(raw).digest() if len(raw) > 64 else raw).ljust(64, b"\0")
+    pads = [bytes(b ^ pad for b in raw) for pad in (0x36, 0x5C)]
+    return spark.createDataFrame([(pads[0], pads[1])], "inner binary, outer binary").select(F.struct("inner", "outer").alias("pads")).scalar()
+
+
+def _hash(key: Column, kind: str, nth: Column, half: Column) -> Column:
+    """HMAC-SHA-256, in hexadecimal, of what a round depends on."""
+    message = F.concat_ws("|", F.lit(kind), nth.cast("string"), half.cast("string")).cast("binary")
+    return F.sha2(F.concat(key["outer"], F.unhex(F.sha2(F.concat(key["inner"], message), 256))), 256)
 
 
-def permute(value: Column, left: int, right: int, key: str, kind: str) -> Column:
+def permute(value: Column, left: int, right: int, key: Column, kind: str) -> Column:
     """A keyed permutation of 0 .. left * right - 1."""
     draw = lambda nth, half, size: F.pmod(F.conv(F.substring(_hash(key, kind, nth, half), 1, 15), 16, 10).cast("long"), F.lit(size).cast("long"))
     value = value.cast("long")
@@ -101,7 +116,7 @@ def _shifted(text: Column, stream: Column) -> Column:
     return F.array_join(F.transform(F.split(text, ""), moved), "")
 
 
-def permute_string(text: Column, key: str, kind: str) -> Column:
+def permute_string(text: Column, key: Column, kind: str) -> Column:
     """A keyed permutation of the strings with the same pattern of letters, digits and other characters."""
     half = F.floor(F.length(text) / 2).cast("int")
     return F.aggregate(
@@ -120,7 +135,7 @@ def _laid_out(digits: Column, shape: Column) -> Column:
     return F.aggregate(F.split(shape, ""), F.struct(F.lit(0).alias("k"), F.lit("").alias("out")), step, lambda x: x["out"])
 
 
-def _card(digits: Column, key: str) -> Column:
+def _card(digits: Column, key: Column) -> Column:
     """All digits but the first and the last by a permutation of halves, the last by the Luhn rule."""
     n = F.length(digits) - 2
     body = F.concat(F.substring(digits, 1, 1), permute_string(F.substring(digits, F.lit(2), n), key, "card"))
@@ -133,7 +148,7 @@ def _card(digits: Column, key: str) -> Column:
     return F.concat(body, F.pmod(-total, F.lit(10)).cast("string"))
 
 
-def _phone(text: Column, key: str) -> Column:
+def _phone(text: Column, key: Column) -> Column:
     held = F.replace(text, F.lit("(0)"), F.lit("(\u0001)"))  # a trunk zero is no part of the number
     digits = F.regexp_replace(held, "[^0-9]", "")
     code = F.regexp_extract(digits, COUNTRY, 0)
@@ -142,7 +157,7 @@ def _phone(text: Column, key: str) -> Column:
     return F.replace(_laid_out(F.when(ours, _ten_digits(digits, key)).otherwise(abroad), held), F.lit("\u0001"), F.lit("0"))
 
 
-def _ten_digits(digits: Column, key: str) -> Column:
+def _ten_digits(digits: Column, key: Column) -> Column:
     """The last ten digits permuted; what stands before them stays."""
     area, exchange, line = (F.substring(F.right(digits, F.lit(10)), at, n).cast("long") for at, n in ((1, 3), (4, 3), (7, 4)))
     number = lambda value, first: (F.floor(value / first) + 200) * 10_000_000 + F.pmod(value, F.lit(first).cast("long"))
@@ -155,7 +170,7 @@ def _ten_digits(digits: Column, key: str) -> Column:
     return F.concat(F.substring(digits, F.lit(1), F.length(digits) - 10), _padded(new, 10))
 
 
-def _ssn(digits: Column, key: str) -> Column:
+def _ssn(digits: Column, key: Column) -> Column:
     area, group, serial = (F.substring(digits, at, n).cast("long") for at, n in ((1, 3), (4, 2), (6, 4)))
     size = 99 * 9999
     value = permute((area - 1 - (area > 666).cast("long")) * size + (group - 1) * 9999 + serial - 1, 898, size, key, "ssn")
@@ -163,7 +178,7 @@ def _ssn(digits: Column, key: str) -> Column:
     return F.concat(_padded(first + (first > 665).cast("long"), 3), _padded(F.floor(rest / 9999) + 1, 2), _padded(F.pmod(rest, F.lit(9999).cast("long")) + 1, 4))
 
 
-def _ip(text: Column, key: str) -> Column:
+def _ip(text: Column, key: Column) -> Column:
     parts = F.split(text, r"\.")
     value = F.aggregate(parts, F.lit(0).cast("long"), lambda x, p: x * 256 + p.cast("long"))
     out = permute(value, 65_536, 65_536, key, "ip")
@@ -193,14 +208,14 @@ def _date(text: Column) -> Column:
     return _let(_let(F.split(text, "[-/.]"), read), lambda x: F.struct(F.coalesce(x["usual"], x["turned"]).alias("day"), order(x).alias("order"), x["short"].alias("short")))
 
 
-def _days(day: Column, first: str, days: int, key: str, kind: str) -> Column:
+def _days(day: Column, first: str, days: int, key: Column, kind: str) -> Column:
     """A keyed permutation of the days from a first one on."""
     left = next(k for k in range(2, days) if days % k == 0)
     start = F.to_date(F.lit(first))
     return F.date_add(start, permute(F.datediff(day, start), left, days // left, key, kind).cast("int"))
 
 
-def _new_date(text: Column, date: Column, key: str) -> Column:
+def _new_date(text: Column, date: Column, key: Column) -> Column:
     new = F.when(date["short"], _days(date["day"], "1950-01-01", 36_525, key, "date2")).otherwise(_days(date["day"], "1900-01-01", 73_049, key, "date"))
     bare = text.rlike("(?<![0-9])[0-9](?![0-9])")  # a day or month of one digit
     part = lambda n: F.when(bare, n.cast("string")).otherwise(_padded(n, 2))
@@ -211,7 +226,7 @@ def _new_date(text: Column, date: Column, key: str) -> Column:
     return F.aggregate(_let(parts, laid), F.lit(""), lambda x, y: F.concat(x, F.when(x == "", "").otherwise(sign), y))
 
 
-def _tagged(text: Column, key: str) -> Column:
+def _tagged(text: Column, key: Column) -> Column:
     """(kind, pseudonym) of a match of ANY; kind is null if it fails validation."""
     digits = F.regexp_replace(text, "[^0-9]", "")
     whole = lambda kind: text.rlike(f"^(?:{SHAPES[kind]})$")
@@ -229,17 +244,17 @@ def _tagged(text: Column, key: str) -> Column:
 
 
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
-    """docs with text_col pseudonymised and n_pii and n_<kind> added."""
+    """docs with text_col pseudonymised and n_pii and n_<kind> added. The key is in no plan."""
     p = unused_prefix(docs)
     text = column(text_col)
     results = {"n_pii", *(f"n_{kind}" for kind in SHAPES)}
     some = F.rlike(text, F.lit("[0-9@]")) & F.rlike(text, F.lit(ANY))
     nothing = F.array().cast("array<struct<kind:string,out:string>>")
-    found = F.when(some, F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda m: _tagged(m, key))).otherwise(nothing)
+    found = F.when(some, F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda m: _tagged(m, F.col(f"{p}key")))).otherwise(nothing)
     held = F.col(f"{p}found")
     count = lambda kind: F.size(F.filter(held, lambda x: x["kind"] == kind)).cast("long")
     put = F.when(F.size(held) > 0, F.array_join(F.flatten(F.zip_with(F.split(text, ANY, -1), held["out"], lambda gap, out: F.array(gap, F.coalesce(out, F.lit(""))))), "")).otherwise(text)
-    return docs.withColumn(f"{p}found", found).select(
+    return docs.withColumn(f"{p}key", secret(docs.sparkSession, key)).withColumn(f"{p}found", found).select(
         *(put.alias(c) if c == text_col else column(c) for c in docs.columns if c.lower() not in results),
         F.size(F.filter(held, lambda x: x["kind"].isNotNull())).cast("long").alias("n_pii"),
         *(count(kind).alias(f"n_{kind}") for kind in SHAPES),

@@ -98,13 +98,81 @@ def luhn(digits):
 
 
 def test_permutations_are_permutations(spark):
-    n = spark.range(17 * 23).select(pseudonyms.permute(F.col("id"), 17, 23, "k", "t").alias("x")).collect()
+    n = spark.range(17 * 23).withColumn("key", pseudonyms.secret(spark, "k")).select(pseudonyms.permute(F.col("id"), 17, 23, F.col("key"), "t").alias("x")).collect()
     assert sorted(r["x"] for r in n) == list(range(17 * 23))
     two = [a + b for a in "abcdefghijklmnopqrstuvwxyz" for b in "0123456789"]
-    out = spark.createDataFrame([(t,) for t in two], "t string").select(pseudonyms.permute_string(F.col("t"), "k", "t").alias("x")).collect()
+    out = spark.createDataFrame([(t,) for t in two], "t string").withColumn("key", pseudonyms.secret(spark, "k")).select(pseudonyms.permute_string(F.col("t"), F.col("key"), "t").alias("x")).collect()
     assert sorted(r["x"] for r in out) == sorted(two)
 
 
+def feistel(key, kind, a, b, move):
+    """Eight rounds in plain Python; move adds a digest to a half."""
+    import hmac
+
+    for nth in range(8):
+        digest = lambda half: hmac.new(key.encode(), f"{kind}|{nth}|{half}".encode(), "sha256").hexdigest()  # noqa: E731, B023
+        if nth % 2 == 0:
+            a = move(a, digest(b), 0)
+        else:
+            b = move(b, digest(a), 1)
+    return a, b
+
+
+def number_as_named(value, left, right, key, kind):
+    a, b = feistel(key, kind, *divmod(value, right), lambda half, digest, side: (half + int(digest[:15], 16)) % (left, right)[side])
+    return a * right + b
+
+
+def string_as_named(text, key, kind):
+    def move(half, digest, side):
+        out = ""
+        for i, c in enumerate(half):
+            by = int(digest[i % 32 * 2 : i % 32 * 2 + 2], 16)
+            first, n = next(((ord(x), m) for x, y, m in (("a", "z", 26), ("A", "Z", 26), ("0", "9", 10)) if x <= c <= y), (0, 0))
+            out += chr(first + (ord(c) - first + by) % n) if n else c
+        return out
+
+    return "".join(feistel(key, kind, text[: len(text) // 2], text[len(text) // 2 :], move))
+
+
+def test_pseudonyms_are_those_of_a_plain_version(spark):
+    import datetime
+
+    rng = random.Random(12)
+    for key in ("k", "a key of more than sixty-four bytes, which HMAC hashes before it pads it"):
+        texts, want = [], []
+        for _ in range(60):
+            digits = lambda n: "".join(rng.choices("0123456789", k=n))
+            mail = "".join(rng.choices("abcXYZ019._", k=rng.randint(1, 40)))
+            ip = [rng.randrange(256) for _ in range(4)]
+            day = datetime.date(1900, 1, 1) + datetime.timedelta(rng.randrange(73_049))
+            ssn = (rng.choice([1, 5, 665, 667, 899]), rng.randint(1, 99), rng.randint(1, 9999))
+            area, exchange, line = rng.randint(200, 999), rng.randint(200, 999), rng.randrange(10_000)
+            body = "4" + digits(14)
+            check = lambda body: next(str(c) for c in range(10) if luhn(body + str(c)))
+            texts.append(f"{mail}@x.org {'.'.join(map(str, ip))} {day} {ssn[0]:03}-{ssn[1]:02}-{ssn[2]:04} {area}-{exchange}-{line:04} {body + check(body)}")
+            n = number_as_named(int.from_bytes(bytes(ip)), 65_536, 65_536, key, "ip")
+            left = next(k for k in range(2, 73_049) if 73_049 % k == 0)
+            new_day = datetime.date(1900, 1, 1) + datetime.timedelta(number_as_named((day - datetime.date(1900, 1, 1)).days, left, 73_049 // left, key, "date"))
+            first, rest = divmod(number_as_named(((ssn[0] - 1 - (ssn[0] > 666)) * 99 + ssn[1] - 1) * 9999 + ssn[2] - 1, 898, 99 * 9999, key, "ssn"), 99 * 9999)
+            first += 1 + (first + 1 > 665)
+            a, b = divmod(number_as_named((area - 200) * 8_000_000 + (exchange - 200) * 10_000 + line, 800, 8_000_000, key, "phone"), 8_000_000)
+            new_body = body[0] + string_as_named(body[1:], key, "card")
+            phone = f"{(a + 200) * 10_000_000 + b + 2_000_000}"
+            want.append(f"{string_as_named(mail, key, 'email')}@x.org {'.'.join(map(str, n.to_bytes(4)))} {new_day} {first:03}-{rest // 9999 + 1:02}-{rest % 9999 + 1:04} {phone[:3]}-{phone[3:6]}-{phone[6:]} {new_body + check(new_body)}")
+        assert [r["text"] for r in sorted(pseudonyms.pseudonymise(frame(spark, texts), key).collect())] == want
+
+
+def test_key_is_in_no_plan(spark):
+    key = "k3y-0f-n0-plan"
+    df = pseudonyms.pseudonymise(frame(spark, ["a@b.org"]), key)
+    df.collect()
+    plans = df._jdf.queryExecution().toString() + df._jdf.queryExecution().optimizedPlan().toString() + df._jdf.queryExecution().executedPlan().treeString()
+    pad = bytes(b ^ 0x36 for b in key.encode().ljust(64, b"\0"))
+    for shown in (key, pad[:14].decode("latin1"), pad[:8].hex(), pad[:8].hex().upper(), pad[:8].hex(" ").upper()):
+        assert shown not in plans
+
+
 def test_pseudonyms_keep_formats_and_links(spark):
     card, grouped, phone, mail, ip, ssn = "4429526289707589", "4111-1111-1111-1111", "+1 (504) 555-3746", "frhrk.eo_59@mail1.example.com", "29.217.126.147", "123-45-6789"
     texts = [f"a {card} b {phone},{mail};{ip} {ssn} 2024-02-29 31/12/1999", f"{ip} {card}\n{mail} {grouped}", None, "", "none 12 @ 300.1.1.1 4429526289707588 000-12-3456 2023-02-29", f"{card} {card}"]
