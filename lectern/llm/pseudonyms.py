@@ -10,6 +10,7 @@ case, digits stay digits.
 
 kind    validated                                       permuted
 email   up to 64 characters, @, labels, a name of letters  local part; the domain stays
+iban    country and its length, mod 97                  all behind the check digits; new check digits
 ip      four numbers up to 255                          all 2^32 addresses
 phone   three, three and four digits, or + and 7 to 15  see below
 card    13 to 19 digits, Luhn                           all but the first digit; new check digit
@@ -32,7 +33,7 @@ Only built-in column functions are used and nothing is shuffled. A text without
 and @ is passed on as it is.
 
 Edge cases: a null text stays null with counts of zero; an empty text stays empty. What
-fails validation stays as it is. Other columns are kept, but for those named like a result (n_pii,
+fails validation stays as it is, all of a match (a wrong IBAN with a card number in it too). Other columns are kept, but for those named like a result (n_pii,
 n_<kind>). No pattern repeats a group without a bound, so no text, however long, makes
 matching recurse.
 """
@@ -49,9 +50,27 @@ from ._shared import column, unused_prefix
 TEST_KEY = "not a secret"
 ROUNDS = 8
 
+#: Countries by the length of their IBANs: fixed values of the public registry.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FO FI GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC",
+}
+
+
+def _iban_shape() -> str:
+    """An IBAN of its country's length, without spaces or in groups of four."""
+    kinds = []
+    for length, countries in IBAN_LENGTHS.items():
+        groups, rest = divmod(length - 4, 4)
+        grouped = f"(?: [A-Z0-9]{{4}}){{{groups}}}" + f" [A-Z0-9]{{{rest}}}" * (rest > 0)
+        kinds.append(f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:[A-Z0-9]{{{length - 4}}}|{grouped})")
+    return f"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{'|'.join(kinds)})(?![A-Za-z0-9])"
+
+
 #: Shapes, by kind, in the order in which they are tried at a place.
 SHAPES = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?=[A-Za-z0-9-]++\.[A-Za-z0-9-])[A-Za-z0-9.-]++",
+    "iban": _iban_shape(),
     "phone": r"\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}(?![0-9])"
     r"|(?<![0-9A-Za-z])\+[1-9](?:[ .()/-]{0,2}[0-9]){6,14}(?![0-9])"
     r"|(?<![0-9+])\(?[0-9]{3}(?:\)[ .-]?|[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
@@ -148,6 +167,26 @@ def _card(digits: Column, key: Column) -> Column:
     return F.concat(body, F.pmod(-total, F.lit(10)).cast("string"))
 
 
+def _mod97(text: Column) -> Column:
+    """The number that digits and letters (10 to 35) spell, modulo 97."""
+    step = lambda x, c: F.when(c <= "9", x * 10 + F.ascii(c) - 48).otherwise(x * 100 + F.ascii(c) - 55) % 97
+    return F.aggregate(F.split(text, ""), F.lit(0), step)
+
+
+def _is_iban(text: Column) -> Column:
+    """Whether the check digits are those that the rest asks for: one pair from 02 to 98."""
+    plain = F.replace(text, F.lit(" "), F.lit(""))
+    return F.substring(plain, 3, 2).between("02", "98") & (_mod97(F.concat(F.substring(plain, F.lit(5), F.length(plain)), F.substring(plain, 1, 4))) == 1)
+
+
+def _iban(text: Column, key: Column) -> Column:
+    """The country stays, what is behind the check digits is permuted within its letters and digits, and new check digits are set."""
+    plain = F.replace(text, F.lit(" "), F.lit(""))
+    new = lambda x: F.concat(x["c"], _padded(98 - _mod97(F.concat(x["b"], x["c"], F.lit("00"))), 2), x["b"])
+    whole = _let(F.struct(F.substring(plain, 1, 2).alias("c"), permute_string(F.substring(plain, F.lit(5), F.length(plain)), key, "iban").alias("b")), new)
+    return F.when(F.contains(text, F.lit(" ")), F.regexp_replace(whole, "(.{4})(?=.)", "$1 ")).otherwise(whole)
+
+
 def _phone(text: Column, key: Column) -> Column:
     held = F.replace(text, F.lit("(0)"), F.lit("(\u0001)"))  # a trunk zero is no part of the number
     digits = F.regexp_replace(held, "[^0-9]", "")
@@ -234,6 +273,7 @@ def _tagged(text: Column, key: Column) -> Column:
     plain = F.struct(F.lit(None).cast("string").alias("kind"), text.alias("out"))
     return (
         F.when(whole("email") & _domain(text), pair("email", F.concat(permute_string(F.substring_index(text, "@", 1), key, "email"), F.lit("@"), F.substring_index(text, "@", -1))))
+        .when(whole("iban") & _is_iban(text), pair("iban", _iban(text, key)))
         .when(whole("phone"), pair("phone", _phone(text, key)))
         .when(whole("ip") & F.forall(F.split(text, r"\."), lambda p: p.cast("int") <= 255), pair("ip", _ip(text, key)))
         .when(whole("card") & F.call_function("luhn_check", digits), pair("card", _laid_out(_card(digits, key), text)))

@@ -163,6 +163,25 @@ def test_pseudonyms_are_those_of_a_plain_version(spark):
         assert [r["text"] for r in sorted(pseudonyms.pseudonymise(frame(spark, texts), key).collect())] == want
 
 
+def test_ibans(spark):
+    def value(iban):
+        return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+
+    good = ["DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB29 NWBK 6016 1331 9268 19", "BE68 5390 0754 7034", "NO9386011117947", "MT84MALT011000012345MTLCAST001S", "FR1420041010050500013M02606"]
+    none = ["DE88370400440532013000", "DE8937040044053201300", "XX89370400440532013000", "de89370400440532013000", "XDE89370400440532013000"]
+    rows = sorted(pseudonyms.pseudonymise(frame(spark, [f"to {t} THEN" for t in [*good, *none]]), "key").collect())
+    new = []
+    for t, r in zip(good, rows):
+        got = r["text"][3:-5]
+        shape = lambda x: re.sub("[A-Z]", "A", re.sub("[0-9]", "0", x))
+        assert (r["n_iban"], r["n_pii"]) == (1, 1) and got != t and shape(got) == shape(t) and got[:2] == t[:2], (t, r)
+        plain = got.replace(" ", "")
+        assert value(plain) == 1 and plain[4:] == string_as_named(t.replace(" ", "")[4:], "key", "iban"), (t, got)
+        new.append(plain)
+    assert new[0] == new[1]  # linked across layouts
+    assert [(r["text"], r["n_iban"]) for r in rows[len(good) :]] == [(f"to {t} THEN", 0) for t in none]
+
+
 def test_key_is_in_no_plan(spark):
     key = "k3y-0f-n0-plan"
     df = pseudonyms.pseudonymise(frame(spark, ["a@b.org"]), key)
