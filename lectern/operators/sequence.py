@@ -78,15 +78,15 @@ def expand_markers(positions: DataFrame, markers: dict[str, DataFrame], keys: li
     """Each position gets, per entry of markers, the ordinal of the last marker at or before it, 0 before the first.
 
     Markers at unknown positions are ignored, though they used up their ordinal; markers
-    out of order are legal, so the result may go down along the order. All entries are
-    carried forward in one pass.
+    out of order are legal, so the result may go down along the order. Positions that tie in the
+    order are taken by their keys. All entries are carried forward in one pass.
     """
     joined = positions
     for name, m in markers.items():
         joined = joined.join(_highest(m, keys, ordinal, name), keys, "left")
     if not markers:
         return joined
-    carried = carry_forward(joined, order or keys, list(markers))
+    carried = carry_forward(joined, [*(order or []), *(k for k in keys if k not in (order or []))], list(markers))
     return carried.withColumns({name: F.coalesce(name, F.lit(0)) for name in markers}).select(*positions.columns, *markers)
 
 
@@ -97,8 +97,8 @@ def scan_markers(positions: DataFrame, markers: dict[str, DataFrame], keys: list
     once. What is worked out per range is a state that two neighbouring ranges can merge: for each
     dimension the number of markers so far, and the last ordinal met by a position. Merged
     over the ranges (a row per range and dimension), the first gives every marker its
-    ordinal and the second what each range starts with. A null rank comes first; of markers with equal
-    ranks the hash of the row decides.
+    ordinal and the second what each range starts with. A null rank comes first. Markers with equal
+    ranks and positions that tie in the order are both taken by their keys, and by the hash of the row if those are equal, too.
     """
     if not markers:
         return positions
@@ -111,7 +111,7 @@ def scan_markers(positions: DataFrame, markers: dict[str, DataFrame], keys: list
     for d, (name, m) in enumerate(markers.items(), 1):
         place = [(c(k).cast(kinds[k]) if k in keys else F.lit(None).cast(kinds[k])).alias(k) for k in own]
         rows = rows.unionByName(m.select(F.lit(d).alias(f"{p}d"), *place, *(c(rank).alias(f"{p}o_{n}") if n == name else blank(n) for n in names)))
-    by = [F.col(f"{p}d"), *(F.when(F.col(f"{p}d") == 0, c(k)) for k in order), *(c(f"{p}o_{n}") for n in names), *_tie(rows)]
+    by = [F.col(f"{p}d"), *(F.when(F.col(f"{p}d") == 0, c(k)) for k in order), *(c(f"{p}o_{n}") for n in names), *map(c, keys), *_tie(rows)]
     written = materialise(rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn(f"{p}at", F.monotonically_increasing_id()), "markers").withColumn(f"{p}r", _range_of(f"{p}at"))
 
     marks = written.where(F.col(f"{p}d") > 0)
