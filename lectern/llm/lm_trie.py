@@ -25,7 +25,7 @@ read in place. Logarithms are kept in steps of 1/STEPS in 16 bits.
    is a few bytes a block. The shard adds counts up, builds its trie and asks it for all pairs.
 3. Sum: the shards' sums and answers meet the block's documents.
 
-S grows with the corpus: a shard has about SHARD_TOKENS tokens. All counts cover all training texts; there is
+S grows with the corpus: a shard has about SHARD_TOKENS tokens, and a task has one shard. All counts cover all training texts; there is
 no cap on words or pairs. Words are known by 64-bit hashes; contexts by 32 bits within a word.
 
 Edge cases: a null or empty text, or one of white space, is its end alone. A null id counts as an empty
@@ -56,6 +56,8 @@ SHARD_TOKENS = 2_000_000
 BLOCK, BLOCK_DOCS = 4 << 20, 30_000
 #: A pair that so many documents of a block have is answered for; its documents stay with the block.
 DEFER = 32
+#: Pairs that a shard answers for at a time, about; what one block sent is never split.
+TOGETHER = 1 << 18
 #: The modulus and remainder of crc32(id) that hold a document out.
 HELD_OUT = (7, 2)
 
@@ -397,11 +399,21 @@ def shard_levels(rows: list[pa.RecordBatch], hot: np.ndarray, hot_counts: np.nda
     return Trie.levels(names[known], counts[known], place[pair_word], (pairs & np.uint64(0xFFFFFFFF)).astype(np.uint32), n, total, distinct)
 
 
+def _few(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in slices of about TOGETHER pairs."""
+    for batch in rows:
+        ends, done = np.cumsum(pc.list_value_length(batch.column("contexts")).to_numpy()), 0
+        while done < len(ends):
+            stop = max(int(np.searchsorted(ends, (ends[done - 1] if done else 0) + TOGETHER, "right")), done + 1)
+            yield batch.slice(done, stop - done)
+            done = stop
+
+
 def shard_answers(rows: list[pa.RecordBatch], trie: Trie, total: int, distinct: int) -> Iterator[dict[str, object]]:
     """By block: sums for documents (known, base, score), and the same for one occurrence of each pair that was asked for."""
     nothing = np.log10(1 / (total + distinct + 1))
     missing = int(quantised(np.log10(np.array([WEIGHT / (total + distinct + 1)])))[0]), int(quantised(np.log10(np.array([WEIGHT])))[0])
-    for batch in rows:
+    for batch in _few(rows):
         word = batch.column("words").flatten().to_numpy().view(np.uint64)
         n_contexts = batch.column("n_contexts").flatten().to_numpy()
         place = trie.find(word)
@@ -432,7 +444,7 @@ _GIVEN = {"docs": pa.int16(), "known": pa.int32(), "base": pa.float64(), "score"
 
 
 def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[pa.RecordBatch], list[pa.RecordBatch]]]:
-    """(shard, rows of pairs, rows of documents) of each shard."""
+    """(shard, rows of pairs, rows of documents) of each shard; those of documents come last, so both are slices of what was read."""
     now, held, own = None, [], []
     for batch in batches:
         shard = batch.column("shard").to_numpy()
@@ -444,9 +456,9 @@ def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[pa.
                 yield now, held, own
                 held, own = [], []
             now, part = int(shard[a]), batch.slice(a, z - a)
-            is_own = part.column("ids").is_valid()
-            held.append(part.filter(pc.invert(is_own)))
-            own.append(part.filter(is_own))
+            pairs = part.column("ids").null_count
+            held.append(part.slice(0, pairs))
+            own.append(part.slice(pairs))
     if now is not None:
         yield now, held, own
 
@@ -506,7 +518,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
             if sum(r.num_rows for r in held):
                 yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "levels": pa.array([shard_levels(held, hot, hot_counts, total, distinct)], pa.binary())})
 
-    return sent_pairs(docs, hot, slots, shards, id_col, text_col).repartition("shard").sortWithinPartitions("shard", "block").mapInArrow(run, "shard int, levels binary")
+    return sent_pairs(docs, hot, slots, shards, id_col, text_col).repartitionById(shards, "shard").sortWithinPartitions("shard", F.col("ids").isNotNull(), "block").mapInArrow(run, "shard int, levels binary")
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -530,7 +542,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 yield pa.RecordBatch.from_arrays([lists[c] for c in names], names=names)
 
     schema = f"block long, ids array<{kind}>, n_tokens array<long>, n_docs array<int>, times array<int>, docs array<short>, known array<int>, base array<double>, score array<long>, ask array<int>, ask_known array<int>, ask_base array<double>, ask_score array<long>"
-    sent = sent_pairs(docs, hot, slots, shards, id_col, text_col).repartition("shard").sortWithinPartitions("shard", "block")
+    sent = sent_pairs(docs, hot, slots, shards, id_col, text_col).repartitionById(shards, "shard").sortWithinPartitions("shard", F.col("ids").isNotNull(), "block")
     given = sent.mapInArrow(run, schema).repartition("block").sortWithinPartitions("block", F.col("ids").isNull())
     done = given.mapInArrow(_finished, f"id {kind}, n_tokens long, n_known long, base_score double, score double")
     return done.select(F.col("id").alias(id_col), "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score").select(id_col, is_held_out(id_col).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

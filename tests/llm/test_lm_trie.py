@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from lectern.llm import lm_trie as L
 
@@ -129,3 +130,22 @@ def test_edges(spark):
     [(_, offsets, data)] = L.slices(texts)
     t, n, hashes = L._vocabulary(data, offsets)
     assert n.tolist() == [3, 1, 2] and len(hashes) == 3 and t.tolist() == [1, 2, 0, 0, 1, 0]
+
+
+def test_a_task_has_one_shard(spark, monkeypatch):
+    """So what a task holds at once does not grow with the shards that a hash of their numbers puts together."""
+    monkeypatch.setattr(L, "SHARD_TOKENS", 100)
+    docs = spark.createDataFrame([(i, " ".join(f"w{i * k % 97}" for k in range(60))) for i in range(60)], "doc_id long, text string")
+    tasks = [r["count"] for r in L.fit(docs).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(tasks) > 20 and set(tasks) == {1}
+
+
+def test_answers_in_slices(monkeypatch):
+    lists = {"words": [[1, 5], [5], [1]], "n_contexts": [[2, 1], [3], [1]], "contexts": [[7, 8, 7], [7, 8, 9], [8]], "trained": [[2, 1, 1], [0, 2, 1], [3]], "n_docs": [[1, 0, 2], [1, 1, 1], [1]], "ask": [[0, 1, 0], [0, 0, 0], [0]], "docs": [[0, 0, 1], [0, 1, 0], [4]], "times": [[2, 1, 1], [1, 2, 3], [3]]}
+    rows = [pa.RecordBatch.from_pydict({"block": pa.array([3, 4, 9])} | {c: pa.array(x, pa.list_(L._SENT[c])) for c, x in lists.items()})]
+    none = np.empty(0, np.uint64)
+    trie = L.mapped(L.shard_levels(rows, none, none.astype(np.int64), 10, 2))
+    whole = [{c: np.asarray(v).tolist() for c, v in x.items()} for x in L.shard_answers(rows, trie, 10, 2)]
+    monkeypatch.setattr(L, "TOGETHER", 2)
+    assert [x.num_rows for x in L._few(rows)] == [1, 1, 1]
+    assert [{c: np.asarray(v).tolist() for c, v in x.items()} for x in L.shard_answers(rows, trie, 10, 2)] == whole and [x["block"] for x in whole] == [3, 4, 9]
