@@ -12,6 +12,11 @@ make a block too long or put it in a wrong place, so a block that holds is the r
 batch starts again with other hashes. Time is that of sorting the characters, times the
 levels and the logarithm of the longest block; texts alike in most places have few levels.
 
+Where a reference is the text with carriers behind every one of some characters and nowhere else, and the text has
+no carrier, no alignment is worked out, as it is known: a common block lies in a piece between carriers, and all but the
+last piece end with such a character and have no other one. So wherever in the text a longest piece is found, it is a
+whole piece; the first of them is the block, and what stands before and behind it is of the same kind.
+
 Edge cases: a null text stays null, a null reference changes nothing, empty texts have no blocks.
 """
 
@@ -132,6 +137,8 @@ def _codes(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def matching_blocks(texts: Sequence[str], references: Sequence[str]) -> list[list[tuple[int, int, int]]]:
     """For each pair the blocks (place in the text, place in the reference, length), in order; those that touch are not joined."""
+    if not texts:
+        return []
     (a, at), (b, bt) = _codes(texts), _codes(references)
     parts = np.stack((at[:-1], at[1:], bt[:-1], bt[1:]), 1)
     seed = 0
@@ -157,10 +164,32 @@ def _needs_carrier(text: str, at: int) -> bool:
     return False
 
 
+def _spelled_out(text: str, reference: str, only_needed: bool) -> tuple[str, int] | None:
+    """The graft where the reference has carriers behind every one of some characters and is the text otherwise; None where it isn't."""
+    if CARRIER in text or reference.replace(CARRIER, "") != text:
+        return None
+    *pieces, last = reference.split(CARRIER)
+    ends = [p[-1] for p in pieces if p]
+    if sum(map(text.count, set(ends))) != len(ends):
+        return None
+    if not only_needed:
+        return reference, len(pieces)
+    out, added, at = [], 0, 0
+    for piece in pieces:  # of a run of carriers all but the first stand behind an empty piece
+        at += len(piece)
+        out.append(piece)
+        if _needs_carrier(text, at):
+            out.append(CARRIER)
+            added += 1
+    return "".join([*out, last]), added
+
+
 def graft_all(texts: Sequence[str], references: Sequence[str], only_needed: bool) -> list[tuple[str, int]]:
     """Runs that a reference inserts, or has in place of something, are taken over if they are carriers only."""
-    out = []
-    for text, reference, blocks in zip(texts, references, matching_blocks(texts, references)):
+    out = [_spelled_out(text, reference, only_needed) for text, reference in zip(texts, references)]
+    rest = [at for at, row in enumerate(out) if row is None]
+    texts, references = [texts[at] for at in rest], [references[at] for at in rest]
+    for row, text, reference, blocks in zip(rest, texts, references, matching_blocks(texts, references)):
         pieces, added, done, i, k = [], 0, 0, 0, 0
         for j, m, size in [*blocks, (len(text), len(reference), 0)]:
             run = reference[k:m]
@@ -168,7 +197,7 @@ def graft_all(texts: Sequence[str], references: Sequence[str], only_needed: bool
                 pieces += [text[done:j], run]  # what stood there stays before the run
                 added, done = added + len(run), j
             i, k = j + size, m + size
-        out.append(("".join([*pieces, text[done:]]), added))
+        out[row] = "".join([*pieces, text[done:]]), added
     return out
 
 

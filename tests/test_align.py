@@ -61,6 +61,27 @@ def test_grafts_follow_the_rule():
         assert graft_all(texts, references, only_needed) == [plain_graft(a, b, only_needed) for a, b in some]
 
 
+def test_carriers_behind_every_one_of_some_characters(monkeypatch):
+    """Known without an alignment; and what is nearly so is aligned."""
+    rng = random.Random(8)
+    known = nearly = 0
+    for _ in range(6000):
+        text = "".join(rng.choices(f"ab{ABOVE}xy"[: rng.randint(1, 5)], k=rng.randint(0, 30)))
+        marked = rng.choice(["a", "ab", "x", ABOVE, "b" + ABOVE])
+        reference = CARRIER * rng.randint(0, 1) + "".join(c + CARRIER * rng.choice((1, 1, 2)) if c in marked else c for c in text)
+        if rng.random() < 0.3 and reference:
+            at = rng.randrange(len(reference))
+            reference = reference[:at] + reference[at + 1 :]
+        for only_needed in (True, False):
+            got = align._spelled_out(text, reference, only_needed)
+            assert graft_all([text], [reference], only_needed) == [plain_graft(text, reference, only_needed)]
+            known, nearly = known + (got is not None), nearly + (got is None)
+    assert known > 3000 and nearly > 500
+    assert align._spelled_out("ababab", f"ab{CARRIER}abab", False) is None  # its longest piece stands elsewhere in the text, too
+    monkeypatch.setattr(align, "_align", None)
+    assert graft_all(["beten"] * 9, [f"be{CARRIER}te{CARRIER}n"] * 9, False) == [(f"be{CARRIER}te{CARRIER}n", 2)] * 9
+
+
 def test_no_pairs_and_hashes_that_fail(monkeypatch):
     assert matching_blocks([], []) == []
     assert matching_blocks(["", "abc", ""], ["", "xbcx", "a"]) == [[], [(1, 1, 2)], []]
