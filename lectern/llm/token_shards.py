@@ -99,14 +99,15 @@ class TextEncoder:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _words(self, words: list[str], before: str) -> tuple[np.ndarray, np.ndarray]:
+    def _words(self, words: pa.Array, before: str) -> tuple[np.ndarray, np.ndarray]:
         """(ids, how many each has) of words behind a space, or behind a line feed and with its id."""
-        texts = [before + before.join(words[k : k + 1000]) for k in range(0, len(words), 1000)]
+        rows = pa.ListArray.from_arrays(np.append(np.arange(0, len(words), 1000), len(words)).astype(np.int32), words.cast(pa.string()))
+        texts = [before + row for row in pc.binary_join(rows, before).to_pylist()]
         ids = np.concatenate([np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] or [np.empty(0, "<u4")])
         starts = np.flatnonzero(self.begins[before][ids])
         if len(starts) == len(words):
             return ids, np.diff(starts, append=len(ids))
-        raw = [self._whole(before + w) for w in words]
+        raw = [self._whole(before + w) for w in words.to_pylist()]
         return np.frombuffer(b"".join(raw), "<u4"), np.array([len(x) >> 2 for x in raw])
 
     def _other(self, piece: str) -> bytes:
@@ -115,26 +116,28 @@ class TextEncoder:
         return self._whole(piece if piece[0] == "\n" else piece[1:] if piece[0] == " " else " " + piece)
 
     def _entries(self, pieces: pa.Array) -> tuple[np.ndarray, int]:
-        """(the entry of each piece, how many entries may stay); what is missing is added, long pieces last."""
+        """(the entry of each piece, repeats included, how many entries may stay); what is missing is added, long pieces last."""
         if len(self.length) > MEMORY:
             self._shrink()
-        entry = pc.index_in(pieces, value_set=self.pieces).fill_null(-1).to_numpy().astype(np.int64)
-        new = np.flatnonzero(entry < 0)
-        names = pieces.take(pa.array(new))
+        known = len(self.length)
+        coded = pa.concat_arrays([self.pieces, pieces]).dictionary_encode()  # names are distinct, so their codes are their entries
+        entry, names = coded.indices.to_numpy()[known:].astype(np.int64), coded.dictionary[known:]
         has = lambda pattern: pc.match_substring_regex(names, pattern).to_numpy(zero_copy_only=False)
         kind = np.where(pc.utf8_length(names).to_numpy() > LONGEST, 3, np.where(has(_WORD), 0, np.where(has(_LINE_WORD), 1, 2)))
         order = np.argsort(kind, kind="stable")
-        names, new = names.take(pa.array(order)), new[order]
+        place, new = np.empty(len(order), np.int64), np.flatnonzero(entry >= known)
+        place[order] = known + np.arange(len(order))
+        entry[new] = place[entry[new] - known]
+        names = names.take(pa.array(order))
         words, lines, others, long = np.bincount(kind, minlength=4).tolist()
-        ids, length = self._words(names[:words].to_pylist(), " ")
-        ids_l, length_l = self._words([x[1:] for x in names[words : words + lines].to_pylist()], "\n")
+        ids, length = self._words(names[:words], " ")
+        ids_l, length_l = self._words(pc.utf8_ltrim(names[words : words + lines], "\n"), "\n")
         raw = [*map(self._other, names[words + lines :].to_pylist())]
-        entry[new] = len(self.length) + np.arange(len(new))
         self.pieces = pa.concat_arrays([self.pieces, names])
         self.flat = np.concatenate((self.flat, ids, ids_l, np.frombuffer(b"".join(raw), "<u4")))
         self.length = np.concatenate((self.length, length, length_l, np.array([len(x) >> 2 for x in raw], np.int64)))
-        self.hits = np.concatenate((self.hits, np.zeros(len(new), np.int64)))
-        self.hits[entry] += 1
+        self.hits = np.concatenate((self.hits, np.zeros(len(names), np.int64)))
+        self.hits[entry] += 1  # once, however often a piece is repeated
         return entry, len(self.length) - long
 
     def _shrink(self) -> None:
@@ -159,17 +162,15 @@ class TextEncoder:
         distinct = chunks.dictionary
         stems = pc.utf8_rtrim(distinct, string.punctuation)
         signed = pc.and_(pc.not_equal(stems, distinct), pc.match_substring_regex(stems, f"^\\n?[{_LETTERS}]+$"))
-        pieces = pc.if_else(signed, stems, distinct).dictionary_encode()
-        signs = pc.binary_join_element_wise(_text(" "), pc.utf8_ltrim(distinct.filter(signed), _LETTERS_AND_LINES), _text("")).dictionary_encode()
-        n_pieces = len(pieces.dictionary)
-        entry, stay = self._entries(pa.concat_arrays([pieces.dictionary, signs.dictionary.cast(pa.large_string())]))
+        signs = pc.binary_join_element_wise(_text(" "), pc.utf8_ltrim(distinct.filter(signed), _LETTERS_AND_LINES), _text(""))
+        entry, stay = self._entries(pa.concat_arrays([pc.if_else(signed, stems, distinct), signs.cast(pa.large_string())]))
         sign = np.zeros(len(distinct), np.int64)  # entry 0: none
-        sign[signed.to_numpy(zero_copy_only=False)] = entry[n_pieces:][signs.indices.to_numpy()]
-        two = np.stack((entry[pieces.indices.to_numpy()], sign), 1).ravel()
+        sign[signed.to_numpy(zero_copy_only=False)] = entry[len(distinct) :]
+        two = np.stack((entry[: len(distinct)], sign), 1).ravel()
         flat, length = _gathered(self.flat, self.length, two), self.length[two].reshape(-1, 2).sum(1)
         if stay < len(self.length):
             self._keep(np.arange(stay))
-        which, ends = chunks.indices.to_numpy(), cut.value_lengths().to_numpy().cumsum()
+        which, ends = chunks.indices.to_numpy().astype(np.intp), cut.value_lengths().to_numpy().cumsum()
         ids = np.append(_gathered(flat, length, which), np.uint32(END))
         n = np.cumsum(length[which])[ends - 1]
         n = np.diff(n, prepend=0)
@@ -204,24 +205,27 @@ def _places(chosen: np.ndarray, pair: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
     A pair whose slot is another's, which chosen pairs may share, is looked up by binary search.
     """
-    slot = lambda x: (x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int32)
-    table = np.full(1 << 20, -1, np.int32)
-    table[slot(chosen)] = np.arange(len(chosen), dtype=np.int32)
-    which = table[slot(pair)]
-    at = np.flatnonzero(which >= 0)
-    which = which[at]
-    here = pair[at]
+    kind, factor, shift = (np.uint32, 0x9E3779B1, 14) if pair.dtype == np.uint32 else (np.uint64, 0x9E3779B97F4A7C15, 46)
+    slot = lambda x: (x * kind(factor) >> kind(shift)).astype(np.intp)
+    table, taken = np.zeros(1 << 18, np.int32), np.zeros(1 << 18, bool)
+    slots = slot(chosen)
+    table[slots], taken[slots] = np.arange(len(chosen), dtype=np.int32), True
+    slots = slot(pair)
+    at = np.flatnonzero(taken[slots])
+    which, here = table[slots[at]], pair[at]
+    which = which.astype(np.intp)
     same = chosen[which] == here
     others = np.flatnonzero(~same)
     if len(others):
         spot = np.minimum(np.searchsorted(chosen, here[others]), len(chosen) - 1)
         which[others] = spot
         same[others] = chosen[spot] == here[others]
+    same = np.flatnonzero(same)
     return at[same], which[same]
 
 
 def compress(ids: np.ndarray, lengths: np.ndarray, terminals: int) -> bytes:
-    """The shard of these documents."""
+    """The shard of these documents. NumPy is much faster by indices of its own kind than by others or by masks."""
     seq = ids.astype(np.uint32)
     left, right, size = [], [], [np.ones(terminals, np.uint32)]
     rounds: list[int] = []
@@ -231,7 +235,7 @@ def compress(ids: np.ndarray, lengths: np.ndarray, terminals: int) -> bytes:
     newest = 0  # from here on symbols are new since all pairs that occur LEAST times were replaced
     while len(seq) > 1:
         often = counts >= LEAST  # others are in no pair that is
-        side = ((often & ~stops).astype(np.uint8) | often.astype(np.uint8) << 1)[seq]  # 1: may be a left symbol, 2: a right one
+        side = ((often & ~stops).astype(np.uint8) | often.astype(np.uint8) << 1)[seq.astype(np.intp)]  # 1: may be a left symbol, 2: a right one
         may = (side[:-1] & (side[1:] >> 1)).view(bool)
         if newest:
             new = seq >= newest
@@ -241,7 +245,7 @@ def compress(ids: np.ndarray, lengths: np.ndarray, terminals: int) -> bytes:
             break
         kind, shift = (np.uint32, 16) if top <= 1 << 16 else (np.uint64, 32)
         low = kind((1 << shift) - 1)
-        pair = seq[where].astype(kind) << kind(shift) | seq[where + 1].astype(kind)
+        pair = (seq[:-1].astype(kind, copy=False) << kind(shift) | seq[1:])[where]
         in_order = np.sort(pair)
         first = np.flatnonzero(np.concatenate(([True], in_order[1:] != in_order[:-1])))
         count = np.diff(np.concatenate((first, [len(in_order)])))
@@ -257,7 +261,7 @@ def compress(ids: np.ndarray, lengths: np.ndarray, terminals: int) -> bytes:
         at = where[hit]
         run = np.concatenate(([True], np.diff(at) != 1))  # of pairs that overlap, every second from the left
         began = np.maximum.accumulate(np.where(run, np.arange(len(at)), 0))
-        second = (np.arange(len(at)) - began) % 2 == 0
+        second = np.flatnonzero((np.arange(len(at)) - began) & 1 == 0)
         at = at[second]
         which = which[second]
         times = np.bincount(which, minlength=len(chosen))
@@ -267,7 +271,7 @@ def compress(ids: np.ndarray, lengths: np.ndarray, terminals: int) -> bytes:
         seq[at] = top + symbol
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
-        seq = seq[keep]
+        seq = seq[np.flatnonzero(keep)]
         left.append(a)
         right.append(b)
         size.append(sizes[a] + sizes[b])
@@ -279,7 +283,8 @@ def compress(ids: np.ndarray, lengths: np.ndarray, terminals: int) -> bytes:
         np.subtract.at(counts, b, times)
         rounds.append(len(used))
         top += len(used)
-    positions = np.cumsum(sizes[seq], dtype=np.uint32) - sizes[seq]
+    covers = sizes[seq.astype(np.intp)]
+    positions = np.cumsum(covers, dtype=np.uint32) - covers
     head = struct.pack("<4s6I", b"RPS1", terminals, top - terminals, len(rounds), len(seq), len(lengths), len(ids))
     arrays = [np.array(rounds), *left, *right, *size[1:], lengths, positions[::ANCHOR], seq]
     return head + b"".join(np.asarray(x, "<u4").tobytes() for x in arrays)
@@ -337,14 +342,15 @@ _ROW = pa.schema([("part", pa.int32()), ("nth", pa.int32()), ("before", pa.int64
 
 
 def _slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, pa.Array]]:
-    """The texts and keys of a batch, in slices of about SLICE bytes of text; a text is never split."""
+    """The texts and keys of a batch, in equal slices of about SLICE bytes of text; a text is never split."""
     texts, keys = batch.column("text").cast(pa.large_string()), batch.column("key").cast(pa.string())
-    ends, done = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False)), 0
-    while done < len(texts):
-        start = int(ends[done - 1]) if done else 0
-        stop = max(int(np.searchsorted(ends, start + SLICE, "right")), done + 1)
-        yield texts.slice(done, stop - done), keys.slice(done, stop - done)
-        done = stop
+    ends, done = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64), 0
+    whole = int(ends[-1]) if len(ends) else 0
+    parts = max(round(whole / SLICE), 1)  # without a small rest, for which all that is remembered would be searched once more
+    for stop in np.searchsorted(ends, [whole * k // parts for k in range(1, parts + 1)], "right").tolist():
+        if stop > done:
+            yield texts.slice(done, stop - done), keys.slice(done, stop - done)
+            done = stop
 
 
 def write_shards(docs: DataFrame, tokenizer_path: str, path: str | None = None, id_col: str = "doc_id", text_col: str = "text", shard_ids: int = SHARD_IDS) -> str:
